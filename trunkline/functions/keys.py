@@ -51,9 +51,10 @@ def code_to_int(c: ColumnOrName) -> Column:
 def br_timestamp(c: ColumnOrName) -> Column:
     """``dd/MM/yyyy HH:mm:ss`` text to a timestamp without time zone, else NULL."""
     c = as_column(c)
-    pattern = r"^(\d{1,2})/(\d{1,2})/(\d{4}) (\d{1,2}):(\d{1,2}):(\d{1,2})$"
+    # Any other text becomes separators only, which no cast accepts.
+    pattern = r"(?s)^(?:(\d{1,2})/(\d{1,2})/(\d{4}) (\d{1,2}):(\d{1,2}):(\d{1,2})\z|.*)"
     iso = F.regexp_replace(c, pattern, "$3-$2-$1 $4:$5:$6")
-    return F.when(c.rlike(pattern), iso.try_cast("timestamp_ntz"))
+    return iso.try_cast("timestamp_ntz")
 
 
 def area_code(number: ColumnOrName) -> Column:

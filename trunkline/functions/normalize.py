@@ -7,10 +7,8 @@ from pyspark.sql import functions as F
 
 from trunkline.functions.numbering_rules import (
     CALL_PREFIX_PATTERN,
-    FULL_NUMBER,
-    FULL_NUMBER_LENGTH,
-    LOCAL_NUMBER,
     NOISE_PATTERN,
+    SUBSCRIBER,
 )
 
 ColumnOrName = Column | str
@@ -22,8 +20,8 @@ def as_column(c: ColumnOrName) -> Column:
 
 def first_of_list(number: ColumnOrName) -> Column:
     """Text before the first ``;`` without the lower-case filler ``f``."""
-    head = F.split_part(as_column(number).cast("string"), F.lit(";"), F.lit(1))
-    return F.replace(head, F.lit("f"), F.lit(""))
+    head = F.substring_index(as_column(number).cast("string"), ";", 1)
+    return F.translate(head, "f", "")
 
 
 def clean_number(text: ColumnOrName) -> Column:
@@ -36,13 +34,41 @@ def strip_call_prefix(digits: ColumnOrName) -> Column:
     return F.regexp_replace(as_column(digits), CALL_PREFIX_PATTERN, "")
 
 
-def find_subscriber(digits: ColumnOrName) -> Column:
-    """The number the numbering rules recognise at the end of ``digits``, else ``''``."""
-    digits = as_column(digits)
+def find_subscriber(cleaned: ColumnOrName) -> Column:
+    """The number that the numbering rules see at the end of a cleaned text, else ``''``."""
+    return F.regexp_replace(as_column(cleaned), SUBSCRIBER, "$1$2")
+
+
+def _found(given: Column) -> Column:
+    return F.coalesce(find_subscriber(clean_number(given)), F.lit(""))
+
+
+def _code(national_destination_code: ColumnOrName) -> Column:
+    """A plain string is the area code itself, a Column is read per row."""
+    if isinstance(national_destination_code, str):
+        return F.lit(national_destination_code)
+    return F.coalesce(national_destination_code.cast("string"), F.lit(""))
+
+
+def _valid(found: Column) -> Column:
+    # Another test than in _number, so that the shared part is ``found`` itself and
+    # code generation evaluates it once per row.
+    return F.length(found) > 0
+
+
+def _number(found: Column, given: Column, code: Column) -> Column:
+    local = F.length(found).isin(8, 9)
+    return F.when(found == "", given).otherwise(
+        F.concat(F.when(local, code).otherwise(""), found)
+    )
+
+
+def _area_code_context(found: Column, code: Column) -> Column:
+    """Area code that a calling number hands to the number it calls."""
+    with_area = F.length(found).isin(10, 11)
     return F.when(
-        F.length(digits) >= FULL_NUMBER_LENGTH,
-        F.regexp_extract(digits, FULL_NUMBER, 1),
-    ).otherwise(F.regexp_extract(digits, LOCAL_NUMBER, 1))
+        with_area, F.when(code != "", code).otherwise(F.substring(found, 1, 2))
+    ).otherwise("")
 
 
 def normalize_number(
@@ -55,36 +81,10 @@ def normalize_number(
     digits. An invalid number comes back as its first ``;``-part without fillers.
     A NULL number gives ``(NULL, false)``.
     """
-    code = (
-        F.lit(national_destination_code)
-        if isinstance(national_destination_code, str)
-        else F.coalesce(national_destination_code.cast("string"), F.lit(""))
-    )
     given = first_of_list(subscriber_number)
-    found = find_subscriber(strip_call_prefix(clean_number(given)))
-    valid = F.coalesce(found != "", F.lit(False))
-    number = (
-        F.when(~valid, given)
-        .when(F.length(found).isin(8, 9), F.concat(code, found))
-        .otherwise(found)
-    )
-    return F.struct(number.alias("number"), valid.alias("valid"))
-
-
-def area_code_context(
-    number: Column, valid: Column, national_destination_code: ColumnOrName = ""
-) -> Column:
-    """Area code that a normalised calling number hands to the called number."""
-    code = (
-        F.lit(national_destination_code)
-        if isinstance(national_destination_code, str)
-        else national_destination_code.cast("string")
-    )
-    own = F.substring(number, 1, 2)
-    return F.when(
-        valid & F.length(number).isin(10, 11),
-        F.coalesce(F.nullif(code, F.lit("")), own),
-    ).otherwise("")
+    found = _found(given)
+    number = _number(found, given, _code(national_destination_code))
+    return F.struct(number.alias("number"), _valid(found).alias("valid"))
 
 
 def normalize_number_pair(
@@ -92,17 +92,18 @@ def normalize_number_pair(
     number_b: ColumnOrName,
     national_destination_code: ColumnOrName = "",
 ) -> Column:
-    """``struct<number_a, valid_a, number_b, valid_b>``: A's area code completes B."""
-    a = normalize_number(number_a)
-    context = area_code_context(
-        a["number"], a["valid"], national_destination_code
-    )
-    b = normalize_number(number_b, context)
+    """``struct<number_a, valid_a, number_b, valid_b>``: A's area code completes B.
+
+    A given area code replaces that of A, but only if A is valid and has one.
+    """
+    given_a, given_b = first_of_list(number_a), first_of_list(number_b)
+    found_a, found_b = _found(given_a), _found(given_b)
+    context = _area_code_context(found_a, _code(national_destination_code))
     return F.struct(
-        a["number"].alias("number_a"),
-        a["valid"].alias("valid_a"),
-        b["number"].alias("number_b"),
-        b["valid"].alias("valid_b"),
+        _number(found_a, given_a, F.lit("")).alias("number_a"),
+        _valid(found_a).alias("valid_a"),
+        _number(found_b, given_b, context).alias("number_b"),
+        _valid(found_b).alias("valid_b"),
     )
 
 

@@ -1,7 +1,7 @@
 """Brazilian numbering rules as data, and the search patterns built from them.
 
-The patterns are ordinary Java/Python regular expressions, so that a Spark
-``regexp_extract`` can apply them inside whole-stage code generation.
+The patterns are Java regular expressions for Spark's ``regexp_replace``, which
+runs inside whole-stage code generation.
 """
 
 from __future__ import annotations
@@ -96,14 +96,16 @@ FULL_NUMBER_LENGTH = 10
 
 
 def any_of(codes: Iterable[str]) -> str:
-    """One alternative per stem, the last digits of a stem folded into a class."""
-    stems: dict[str, str] = {}
+    """Pattern for any of the codes, common leading digits written once."""
+    tails: dict[str, list[str]] = {}
     for code in codes:
-        stems[code[:-1]] = stems.get(code[:-1], "") + code[-1]
-    parts = [
-        stem + (digits if len(digits) == 1 else f"[{digits}]")
-        for stem, digits in stems.items()
-    ]
+        tails.setdefault(code[0], []).append(code[1:])
+    single = [digit for digit, rest in tails.items() if rest == [""]]
+    parts = [single[0] if len(single) == 1 else f"[{''.join(single)}]"] if single else []
+    for digit, rest in tails.items():
+        if rest != [""]:
+            longer = any_of(r for r in rest if r)
+            parts.append(digit + (f"(?:{longer})?" if "" in rest else longer))
     return parts[0] if len(parts) == 1 else f"(?:{'|'.join(parts)})"
 
 
@@ -111,38 +113,69 @@ def _digits(n: int) -> str:
     return f"[0-9]{{{n}}}"
 
 
-def full_number_pattern() -> str:
-    """Optional country and carrier-selection codes, then area code and subscriber."""
-    area = any_of(AREA_CODES)
+def full_number_rules() -> str:
+    """Full numbers: area code and subscriber, or a non-geographic number."""
+    subscriber = [
+        any_of(MOBILE_LEADS) + _digits(8),
+        any_of(FIXED_LEADS) + _digits(7),
+    ]
     services = [
-        area + any_of(MOBILE_LEADS) + _digits(8),
-        area + any_of(FIXED_LEADS) + _digits(7),
+        f"{any_of(AREA_CODES)}(?:{'|'.join(subscriber)})",
         any_of(NON_GEOGRAPHIC_CODES) + _digits(7),
     ]
     services += [
         any_of(areas.split()) + any_of(leads.split()) + _digits(6)
         for areas, leads in TRUNKED_LEADS_BY_AREA
     ]
-    return (
-        f"(?:{COUNTRY_CODE})?{any_of(CARRIER_SELECTION_CODES)}?"
-        f"((?:{'|'.join(services)})$)"
-    )
+    return "|".join(services)
 
 
-def local_number_pattern() -> str:
-    """Optional country and area codes, then a local number or a public-utility code."""
+def local_number_rules() -> str:
+    """Numbers without an area code: local subscribers and public-utility codes."""
     services = [
         any_of(MOBILE_LEADS) + _digits(8),
         any_of(FIXED_LEADS) + _digits(7),
         any_of(LOCAL_TRUNKED_LEADS) + _digits(6),
         any_of(PUBLIC_UTILITY_CODES),
     ]
+    return "|".join(services)
+
+
+# A text ends here; one trailing line feed is tolerated and dropped.
+_END = r"\n?\z"
+
+
+def _search(optional: list[str], rules: str, sizes: str) -> str:
+    """Earliest start of the optional codes and a number that ends the text.
+
+    The look-ahead on the remaining size comes first, so the rules are tried at the
+    two or three places only where a number can begin.
+    """
+    codes = "".join(f"{c}?" for c in optional)
+    return f".*?{codes}(?=(?:{sizes}){_END})({rules}){_END}"
+
+
+def subscriber_pattern() -> str:
+    """One pattern for a whole cleaned text; its groups hold the number it ends with.
+
+    After the call prefix, a long rest is searched for a full number (group 1) behind
+    an optional country code and carrier-selection code, a short rest for a local
+    number (group 2) behind an optional country code and area code. A text without a
+    number matches too, with both groups empty, so that a replacement by the groups
+    is the whole answer.
+    """
+    country = f"(?:{COUNTRY_CODE})"
+    full = _search(
+        [country, any_of(CARRIER_SELECTION_CODES)], full_number_rules(), "[0-9]{10,11}"
+    )
+    local = _search(
+        [country, any_of(AREA_CODES)], local_number_rules(), "[0-9]{3,5}|[0-9]{8,9}"
+    )
+    long_rest = f".{{{FULL_NUMBER_LENGTH}}}"
     return (
-        f"(?:{COUNTRY_CODE})?{any_of(AREA_CODES)}?"
-        f"((?:{'|'.join(services)})$)"
+        f"(?s){CALL_PREFIX_PATTERN}?+"
+        f"(?:(?={long_rest}){full}|(?!{long_rest}){local})|^.*"
     )
 
 
-#: ``(?d)``: only ``\n`` counts as a line ending for ``$``.
-FULL_NUMBER = "(?d)" + full_number_pattern()
-LOCAL_NUMBER = "(?d)" + local_number_pattern()
+SUBSCRIBER = subscriber_pattern()

@@ -32,7 +32,7 @@ def _one_name_per_code(pairs: DataFrame) -> DataFrame:
         .otherwise(F.col("nome"))
         .alias("nome_prestadora"),
     )
-    unknown = pairs.sparkSession.range(1).select(
+    unknown = pairs.sparkSession.range(0, 1, 1, 1).select(
         F.lit(UNKNOWN_CARRIER).cast("bigint").alias("cod_prestadora"),
         F.lit(UNKNOWN_CARRIER_NAME).alias("nome_prestadora"),
     )

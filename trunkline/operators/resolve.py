@@ -81,7 +81,7 @@ def assigned_carrier(
     which each has at most ten thousand distinct numbers; numbers without a prefix
     match nothing and are spread over many keys.
     """
-    ranges = broadcast_if_small(_ranked_plan(plan), broadcast_limit).alias("p")
+    ranges = broadcast_if_small(_ranked_plan(plan), broadcast_limit, plan).alias("p")
     n = numbers.withColumn(
         "chave_prefixo",
         F.when(F.col("cn") >= 0, F.col("prefixo")).otherwise(

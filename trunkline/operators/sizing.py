@@ -30,10 +30,14 @@ def measured_bytes(df: DataFrame) -> int:
     return rows * 8 * (len(df.columns) + 1) + chars
 
 
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
+def broadcast_if_small(
+    df: DataFrame, limit: int = BROADCAST_LIMIT, measured: DataFrame | None = None
+) -> DataFrame:
     """Mark ``df`` for broadcast if its measured size is within ``limit``.
 
-    Beyond the limit it comes back unmarked: the join shuffles both sides, and the
+    ``measured`` is a table that bounds the size of ``df`` and is cheaper to measure.
+    Beyond the limit ``df`` comes back unmarked: the join shuffles both sides, and the
     adaptive skew join splits hot keys.
     """
-    return F.broadcast(df) if measured_bytes(df) <= limit else df
+    small = measured_bytes(df if measured is None else measured) <= limit
+    return F.broadcast(df) if small else df

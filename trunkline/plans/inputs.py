@@ -7,9 +7,12 @@ Spark and DuckDB both understand; it covers the whole table and grows with it.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from trunkline.functions.keys import MISSING_MARKS
+from trunkline.session import shared_folder
 
 
 def mobile(prefix: str, last: str) -> str:
@@ -241,3 +244,33 @@ def derive(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
             tables[table] = spark.read.parquet(f"{sf_dir}/{table}.parquet")
             sql = sql.replace(f"from {table}", f"from {{{table}}}")
     return spark.sql(sql, **tables)
+
+
+_landed: dict[tuple[str, str, str], str] = {}
+
+
+def land(
+    spark: SparkSession,
+    sf_dir: str,
+    name: str,
+    build: Callable[[SparkSession, str], DataFrame],
+) -> DataFrame:
+    """A derived input as the parquet table that a user would have, written once a session.
+
+    Queries then start at a scan, as they do in use, with its pushdown and pruning. An
+    input of fewer splits than the cluster has cores is spread over all of them.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _landed:
+        path = shared_folder(spark, name)
+        df = build(spark, sf_dir)
+        cores = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < cores:
+            df = df.repartition(cores)
+        df.write.parquet(path)
+        _landed[key] = path
+    return spark.read.parquet(_landed[key])
+
+
+def landed(spark: SparkSession, sf_dir: str, name: str, sql: str) -> DataFrame:
+    return land(spark, sf_dir, name, lambda s, d: derive(s, d, sql))

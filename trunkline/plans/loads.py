@@ -15,7 +15,6 @@ from trunkline.operators.carriers import (
 from trunkline.operators.history import dedup_portability
 from trunkline.operators.plan import consolidate_plan
 from trunkline.operators.quality import load_report
-from trunkline.session import ensure_checkpoint_dir
 from trunkline.sources.discovery import base_name, file_type, list_files
 from trunkline.sources.numbering import (
     ARCHIVE_PATTERN,
@@ -30,6 +29,7 @@ from trunkline.sources.portability import (
     type_portability,
 )
 from trunkline.sources.tables import (
+    materialize,
     merge_history,
     read_history,
     table_exists,
@@ -68,9 +68,8 @@ def update_carriers(warehouse: Warehouse) -> None:
         if warehouse.has(table):
             found.append(carriers_from_numbering(warehouse.read(table)))
     old = warehouse.read("prestadoras") if warehouse.has("prestadoras") else None
-    ensure_checkpoint_dir(warehouse.spark)
-    names = upsert_carriers(old, found).checkpoint()
-    write_table(names.coalesce(1), warehouse.path("prestadoras"))
+    names = materialize(upsert_carriers(old, found), "prestadoras")
+    write_table(names, warehouse.path("prestadoras"))
 
 
 def _with_empty_files(report: DataFrame, files: DataFrame) -> DataFrame:

@@ -36,7 +36,7 @@ def queries() -> dict[str, Query]:
 
 
 def portability_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return inputs.derive(spark, sf_dir, inputs.PORTABILITY_LINES)
+    return inputs.landed(spark, sf_dir, "lines", inputs.PORTABILITY_LINES)
 
 
 def typed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,58 +44,57 @@ def typed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def staged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return inputs.derive(spark, sf_dir, inputs.STAGED_PORTABILITY)
+    return inputs.landed(spark, sf_dir, "staged", inputs.STAGED_PORTABILITY)
 
 
 def staged_numbering(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return inputs.derive(spark, sf_dir, inputs.STAGED_NUMBERING)
+    return inputs.landed(spark, sf_dir, "numbering", inputs.STAGED_NUMBERING)
 
 
 def staged_cng(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return inputs.derive(spark, sf_dir, inputs.STAGED_CNG)
+    return inputs.landed(spark, sf_dir, "cng", inputs.STAGED_CNG)
 
 
 def staged_sup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return inputs.derive(spark, sf_dir, inputs.STAGED_SUP)
+    return inputs.landed(spark, sf_dir, "sup", inputs.STAGED_SUP)
 
 
 def numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return inputs.derive(spark, sf_dir, inputs.NUMBERS)
+    return inputs.landed(spark, sf_dir, "numbers", inputs.NUMBERS)
 
 
 def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return inputs.derive(spark, sf_dir, inputs.CALLS)
+    return inputs.landed(spark, sf_dir, "calls", inputs.CALLS)
 
 
 def dialled_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return inputs.derive(spark, sf_dir, inputs.DIALLED_CALLS)
+    return inputs.landed(spark, sf_dir, "dialled", inputs.DIALLED_CALLS)
 
 
-def history_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return history.dedup_portability(staged(spark, sf_dir))
+def history_table_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored history, as the loader leaves it."""
+    return inputs.land(spark, sf_dir, "historico", dedup_portability)
 
 
-def plan_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plan.consolidate_plan(staged_numbering(spark, sf_dir), staged_cng(spark, sf_dir))
+def plan_table_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored numbering plan."""
+    return inputs.land(spark, sf_dir, "numeracao", consolidate_plan)
 
 
-def carriers_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return carriers.upsert_carriers(
-        None,
-        [
-            carriers.carriers_from_portability(staged(spark, sf_dir)),
-            carriers.carriers_from_numbering(staged_cng(spark, sf_dir)),
-            carriers.carriers_from_numbering(staged_sup(spark, sf_dir)),
-            carriers.carriers_from_numbering(staged_numbering(spark, sf_dir)),
-        ],
-    )
+def carriers_table_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored carrier names."""
+    return inputs.land(spark, sf_dir, "prestadoras", upsert_carriers)
 
 
 def lookup_tables(
     spark: SparkSession, sf_dir: str
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """History, plan and carrier names."""
-    return history_of(spark, sf_dir), plan_of(spark, sf_dir), carriers_of(spark, sf_dir)
+    return (
+        history_table_of(spark, sf_dir),
+        plan_table_of(spark, sf_dir),
+        carriers_table_of(spark, sf_dir),
+    )
 
 
 def normalized_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -360,7 +359,9 @@ def classify_call(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def consolidate_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plan_of(spark, sf_dir)
+    return plan.consolidate_plan(
+        staged_numbering(spark, sf_dir), staged_cng(spark, sf_dir)
+    )
 
 
 @query
@@ -375,12 +376,20 @@ def carriers_from_numbering(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def upsert_carriers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return carriers_of(spark, sf_dir)
+    return carriers.upsert_carriers(
+        None,
+        [
+            carriers.carriers_from_portability(staged(spark, sf_dir)),
+            carriers.carriers_from_numbering(staged_cng(spark, sf_dir)),
+            carriers.carriers_from_numbering(staged_sup(spark, sf_dir)),
+            carriers.carriers_from_numbering(staged_numbering(spark, sf_dir)),
+        ],
+    )
 
 
 @query
 def dedup_portability(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return history_of(spark, sf_dir)
+    return history.dedup_portability(staged(spark, sf_dir))
 
 
 def _two_batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -445,7 +454,7 @@ def incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def range_join_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     keyed = resolve.numbers_to_query(numbers(spark, sf_dir))
-    return resolve.assigned_carrier(keyed, plan_of(spark, sf_dir))
+    return resolve.assigned_carrier(keyed, plan_table_of(spark, sf_dir))
 
 
 @query
@@ -453,7 +462,7 @@ def asof_single_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     keyed = resolve.numbers_to_query(numbers(spark, sf_dir))
     day = keys.parse_reference_date(REFERENCE_DATE)
     return resolve.ported_carrier(
-        keyed, history_of(spark, sf_dir), {"cod_receptora": day}
+        keyed, history_table_of(spark, sf_dir), {"cod_receptora": day}
     ).select("nu_terminal", "cod_receptora")
 
 
@@ -461,7 +470,7 @@ def asof_single_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 def asof_per_call(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolve.asof_per_call(
         calls(spark, sf_dir).select("call_id", "origem", "dia"),
-        history_of(spark, sf_dir),
+        history_table_of(spark, sf_dir),
         "origem",
         "dia",
     )

@@ -42,10 +42,3 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all nodes")
         root = tempfile.mkdtemp(prefix="trunkline-")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Make ``DataFrame.checkpoint`` usable, with the configured folder if there is one."""
-    context = spark.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(shared_folder(spark, "checkpoints"))

@@ -79,8 +79,14 @@ def type_portability(lines: DataFrame) -> DataFrame:
     wrong_width = (
         F.col(BAD_LINE).isNotNull() if BAD_LINE in lines.columns else F.lit(False)
     )
-    bad_type = text["tipo_registro"].isNotNull() & typed["tipo_registro"].isNull()
-    reason = F.when(wrong_width, "numero de campos").when(bad_type, "tipo_registro")
+    values = lines.select(
+        *[typed[f.name].alias(f.name) for f in STAGED_PORTABILITY.fields],
+        wrong_width.alias("_largura"),
+        text["tipo_registro"].isNotNull().alias("_tem_tipo"),
+    )
+    reason = F.when(F.col("_largura"), "numero de campos").when(
+        F.col("_tem_tipo") & F.col("tipo_registro").isNull(), "tipo_registro"
+    )
     for required in (
         "numero_bp",
         "tn_inicial",
@@ -88,11 +94,8 @@ def type_portability(lines: DataFrame) -> DataFrame:
         "cod_status",
         "ind_portar_origem",
     ):
-        reason = reason.when(typed[required].isNull(), required)
-    return lines.select(
-        *[typed[f.name].alias(f.name) for f in STAGED_PORTABILITY.fields],
-        reason.alias("motivo"),
-    )
+        reason = reason.when(F.col(required).isNull(), required)
+    return values.select(*STAGED_PORTABILITY.fieldNames(), reason.alias("motivo"))
 
 
 def accepted(typed: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from trunkline.functions.keys import cn_bucket
 from trunkline.operators.history import upsert_history
 from trunkline.schemas import HISTORY
-from trunkline.session import ensure_checkpoint_dir
+from trunkline.session import shared_folder
 from trunkline.sources.discovery import path_is_folder
 
 
@@ -19,6 +19,13 @@ def table_exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
+def materialize(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` as a table in the shared folder: computed once, without its lineage."""
+    path = shared_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def write_table(df: DataFrame, path: str) -> None:
     """Replace a table. Used for staging, the plan and the carrier names."""
     df.write.mode("overwrite").parquet(path)
@@ -58,19 +65,18 @@ def merge_history(
 ) -> None:
     """Upsert a deduplicated batch into the history table, or replace the table by it.
 
-    Only the area-code buckets the batch touches are read and rewritten. Batch and
-    merged rows are checkpointed in the shared folder, so the write does not read
-    the partitions it replaces, and a lost executor never recomputes from them.
+    Only the area-code buckets the batch touches are read and rewritten. The batch is
+    written once to the shared folder, as three steps use it. New files go to a staging
+    folder next to the table and replace the old ones when the job commits; until then
+    a lost executor can read the old partitions again.
     """
     if rebuild or not table_exists(spark, path):
         _write_history(_bucketed(batch), path, dynamic=False)
         return
-    ensure_checkpoint_dir(spark)
-    fresh = _bucketed(batch).checkpoint()
+    fresh = materialize(_bucketed(batch), "batch")
     # At most one value per area-code range.
     touched = [r[0] for r in fresh.select("cn_bucket").distinct().collect()]
     if not touched:
         return
     current = read_history(spark, path).where(F.col("cn_bucket").isin(touched))
-    merged = _bucketed(upsert_history(current, fresh)).checkpoint()
-    _write_history(merged, path, dynamic=True)
+    _write_history(_bucketed(upsert_history(current, fresh)), path, dynamic=True)
