@@ -22,15 +22,27 @@ def load_report(rows: DataFrame, rejected: Column) -> DataFrame:
     )
 
 
-def load_totals(report: DataFrame) -> DataFrame:
-    """Files processed, successes, errors and rows over a whole load."""
-    return report.agg(
+def load_totals(report: DataFrame, seconds: float | None = None) -> DataFrame:
+    """Files, successes, errors and rows over a whole load.
+
+    With the load's duration also its speed; files run in parallel, so there is no
+    speed per file.
+    """
+    totals = report.agg(
         F.count(F.lit(1)).alias("arquivos"),
         F.count_if(F.col("status") == "success").alias("sucessos"),
         F.count_if(F.col("status") != "success").alias("erros"),
         F.coalesce(F.sum("linhas"), F.lit(0)).cast("bigint").alias("linhas"),
         F.coalesce(F.sum("rejeitadas"), F.lit(0)).cast("bigint").alias("rejeitadas"),
     )
+    if seconds is None:
+        return totals
+    return totals.withColumns(
+        {
+            "segundos": F.lit(float(seconds)),
+            "linhas_por_segundo": F.try_divide("linhas", F.lit(float(seconds))),
+        }
+    )
 
 
 def portability_rate(resolved: DataFrame) -> DataFrame:

@@ -1,0 +1 @@
+"""Loads over a warehouse, and the registered queries."""

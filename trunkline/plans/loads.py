@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import time
+from collections.abc import Iterable
+from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,8 +16,9 @@ from trunkline.operators.carriers import (
     upsert_carriers,
 )
 from trunkline.operators.history import dedup_portability
-from trunkline.operators.plan import consolidate_plan
-from trunkline.operators.quality import load_report
+from trunkline.operators.plan import consolidate_plan, rejected_ranges
+from trunkline.operators.quality import load_report, load_totals
+from trunkline.operators.resolve import RefDate, resolve_carriers
 from trunkline.sources.discovery import base_name, file_type, list_files
 from trunkline.sources.numbering import (
     ARCHIVE_PATTERN,
@@ -29,6 +33,7 @@ from trunkline.sources.portability import (
     type_portability,
 )
 from trunkline.sources.tables import (
+    drop_table,
     materialize,
     merge_history,
     read_history,
@@ -37,6 +42,17 @@ from trunkline.sources.tables import (
 )
 
 
+@dataclass(frozen=True)
+class LoadResult:
+    """Report per file of a load, and how long the load took."""
+
+    report: DataFrame
+    seconds: float
+
+    def totals(self) -> DataFrame:
+        return load_totals(self.report, self.seconds)
+
+
 @dataclass(frozen=True)
 class Warehouse:
     """Table folders below one root that all nodes can reach."""
@@ -57,6 +73,30 @@ class Warehouse:
     def history(self) -> DataFrame:
         return read_history(self.spark, self.path("portabilidade_historico"))
 
+    def query_numbers_carriers(
+        self, numbers: Iterable | DataFrame, reference_date: RefDate = None
+    ) -> DataFrame:
+        """Carrier of each number from the stored tables, as ``resolve_carriers`` gives it.
+
+        ``numbers`` is a list or other iterable of numbers or texts, or a DataFrame
+        whose first column holds them.
+        """
+        if not isinstance(numbers, DataFrame):
+            if isinstance(numbers, (str, bytes)) or not isinstance(numbers, Iterable):
+                raise TypeError("numbers must be a list, an iterable or a DataFrame")
+            rows = [(str(n),) for n in numbers]
+            if not rows:
+                raise ValueError("numbers cannot be empty")
+            numbers = self.spark.createDataFrame(rows, "nu_terminal string")
+        return resolve_carriers(
+            numbers,
+            self.history,
+            self.read("numeracao"),
+            self.read("prestadoras"),
+            reference_date,
+            (numbers.columns[0],),
+        )
+
 
 def update_carriers(warehouse: Warehouse) -> None:
     """Rebuild the carrier names from the old names and every staged table there is."""
@@ -86,22 +126,28 @@ def _with_empty_files(report: DataFrame, files: DataFrame) -> DataFrame:
 
 
 def load_portability(
-    warehouse: Warehouse, path: str, rebuild: bool = False, encoding: str = "UTF-8"
-) -> DataFrame:
+    warehouse: Warehouse,
+    path: str,
+    rebuild: bool = False,
+    drop_staging: bool = False,
+    encoding: str = "UTF-8",
+) -> LoadResult:
     """Load portability reports into the history and the carrier names.
 
-    Staging holds the lines of this load, rejected ones with their reason. Returns
-    the report per file. Within one load the greatest file name wins; between loads
-    the later load wins.
+    Staging holds the lines of this load, rejected ones with their reason. Within one
+    load the greatest file name wins; between loads the later load wins. A folder
+    without reports changes nothing.
     """
+    start = time.monotonic()
     spark = warehouse.spark
     files = list_files(spark, path, REPORT_PATTERN)
-    typed = type_portability(scan_portability(spark, path, encoding))
-    write_table(typed, warehouse.path("stg_portabilidade"))
-    staged = warehouse.read("stg_portabilidade")
-    report = _with_empty_files(
-        load_report(staged, F.col("motivo").isNotNull()), files
-    )
+    if files.isEmpty():
+        return _result(load_report(_no_rows(spark), F.lit(False)), start)
+    stage = warehouse.path("stg_portabilidade")
+    write_table(type_portability(scan_portability(spark, path, encoding)), stage)
+    staged = spark.read.parquet(stage)
+    report = load_report(staged, F.col("motivo").isNotNull())
+    result = _result(_with_empty_files(report, files), start)
     merge_history(
         spark,
         dedup_portability(accepted(staged)),
@@ -109,32 +155,58 @@ def load_portability(
         rebuild,
     )
     update_carriers(warehouse)
-    return report
+    if drop_staging:
+        drop_table(spark, stage)
+    return replace(result, seconds=time.monotonic() - start)
 
 
-def load_numbering(warehouse: Warehouse, path: str) -> DataFrame:
+def load_numbering(
+    warehouse: Warehouse, path: str, drop_staging: bool = False
+) -> LoadResult:
     """Load numbering-plan archives into the plan and the carrier names.
 
-    The plan is replaced. Public-utility files are staged and name carriers, but are
-    no part of the plan. A file of unknown type is reported as an error.
+    The plan is replaced; ranges with a value that does not parse go to
+    ``numeracao_rejeitada`` instead. Public-utility files are staged and name
+    carriers, but are no part of the plan. A file of unknown type is reported as an
+    error. A folder without archives changes nothing.
     """
+    start = time.monotonic()
     spark = warehouse.spark
-    archives = scan_archives(spark, path)
     files = list_files(spark, path, ARCHIVE_PATTERN)
-    write_table(stage_fixed_and_mobile(archives), warehouse.path("stg_numeracao"))
-    write_table(stage_numbering(archives, "CNG"), warehouse.path("stg_cng"))
-    write_table(stage_numbering(archives, "SUP"), warehouse.path("stg_sup"))
-    plan = consolidate_plan(warehouse.read("stg_numeracao"), warehouse.read("stg_cng"))
-    write_table(plan, warehouse.path("numeracao"))
+    if files.isEmpty():
+        return _result(load_report(_no_rows(spark), F.lit(False)), start)
+    archives = scan_archives(spark, path)
+    staging = {
+        "stg_numeracao": stage_fixed_and_mobile(archives),
+        "stg_cng": stage_numbering(archives, "CNG"),
+        "stg_sup": stage_numbering(archives, "SUP"),
+    }
+    for table, rows in staging.items():
+        write_table(rows, warehouse.path(table))
+    ranges = (warehouse.read("stg_numeracao"), warehouse.read("stg_cng"))
+    write_table(consolidate_plan(*ranges), warehouse.path("numeracao"))
+    write_table(rejected_ranges(*ranges), warehouse.path("numeracao_rejeitada"))
     update_carriers(warehouse)
-    names = (
-        warehouse.read("stg_numeracao")
-        .select("nome_arquivo")
-        .unionByName(warehouse.read("stg_cng").select("nome_arquivo"))
-        .unionByName(warehouse.read("stg_sup").select("nome_arquivo"))
+    names = reduce(
+        DataFrame.unionByName,
+        [warehouse.read(t).select("nome_arquivo") for t in staging],
     )
     report = _with_empty_files(load_report(names, F.lit(False)), files)
     known = file_type(F.col("nome_arquivo")).isNotNull()
-    return report.withColumn(
+    report = report.withColumn(
         "status", F.when(known, F.col("status")).otherwise("error")
     )
+    result = _result(report, start)
+    if drop_staging:
+        for table in staging:
+            drop_table(spark, warehouse.path(table))
+    return replace(result, seconds=time.monotonic() - start)
+
+
+def _no_rows(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], "nome_arquivo string")
+
+
+def _result(report: DataFrame, start: float) -> LoadResult:
+    """The report as a table of its own, so that it outlives the staging tables."""
+    return LoadResult(materialize(report, "report"), time.monotonic() - start)

@@ -396,6 +396,12 @@ def oracle_sql() -> dict[str, str]:
         "b_number number_b, b_valid valid_b from b"
     )
     sql["normalize_pair"] = _with(*_PAIR) + pair
+    sql["normalize_calls"] = (
+        _with(*_PAIR)
+        + "select call_id, numero_a, numero_b, ddd, a_number numero_a_norm, "
+        "a_valid numero_a_valid, b_number numero_b_norm, b_valid numero_b_valid, "
+        "a_valid and b_valid ambos_validos from b"
+    )
     sql["both_valid"] = _with(*_PAIR) + pair + " where a_valid and b_valid"
     sql["invalid_count"] = (
         _with(*_PAIR)

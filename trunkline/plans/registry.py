@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from trunkline.functions import keys
 from trunkline.functions import normalize as norm
+from trunkline.operators import calls as call_records
 from trunkline.operators import carriers, history, plan, quality, resolve
 from trunkline.plans import inputs, loads
 from trunkline.plans.oracle import EARLIER_DATE, REFERENCE_DATE
@@ -332,6 +333,12 @@ def normalize_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalized_calls(spark, sf_dir)
 
 
+@query
+def normalize_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dialled = dialled_calls(spark, sf_dir)
+    return call_records.normalize_calls(dialled, "numero_a", "numero_b", F.col("ddd"))
+
+
 @query
 def both_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.both_valid(normalized_calls(spark, sf_dir), "valid_a", "valid_b")

@@ -1,0 +1,35 @@
+"""Files in, tables out."""
+
+from trunkline.sources.discovery import file_inventory, file_type, list_files
+from trunkline.sources.numbering import (
+    scan_archives,
+    stage_fixed_and_mobile,
+    stage_numbering,
+)
+from trunkline.sources.portability import (
+    accepted,
+    rejected,
+    scan_portability,
+    type_portability,
+)
+from trunkline.sources.preview import encoding_probe, header_check, preview_files
+from trunkline.sources.tables import merge_history, read_history, write_result
+
+__all__ = [
+    "accepted",
+    "encoding_probe",
+    "file_inventory",
+    "file_type",
+    "header_check",
+    "list_files",
+    "merge_history",
+    "preview_files",
+    "read_history",
+    "rejected",
+    "scan_archives",
+    "scan_portability",
+    "stage_fixed_and_mobile",
+    "stage_numbering",
+    "type_portability",
+    "write_result",
+]

@@ -31,6 +31,13 @@ def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def drop_table(spark: SparkSession, path: str) -> None:
+    """Remove a table folder, if there is one."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    hadoop_path.getFileSystem(conf).delete(hadoop_path, True)
+
+
 def write_result(df: DataFrame, path: str, fmt: str = "csv") -> None:
     """Write an answer as CSV with a header, or in another Spark format."""
     writer = df.write.mode("overwrite").format(fmt)

@@ -1,0 +1,8 @@
+"""Structured Streaming."""
+
+from trunkline.streaming.incremental import (
+    load_portability_stream,
+    read_portability_stream,
+)
+
+__all__ = ["load_portability_stream", "read_portability_stream"]
