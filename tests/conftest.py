@@ -37,9 +37,12 @@ def conf(spark):
     def set_(**settings):
         for key, value in settings.items():
             name = key.replace("__", ".")
-            saved.setdefault(name, spark.conf.get(name))
+            saved.setdefault(name, spark.conf.get(name, None))
             spark.conf.set(name, value)
 
     yield set_
     for name, value in saved.items():
-        spark.conf.set(name, value)
+        if value is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, value)

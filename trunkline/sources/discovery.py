@@ -37,7 +37,10 @@ def file_options(spark: SparkSession, path: str, pattern: str) -> dict[str, str]
 
 
 def list_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """``path, modificationTime, length`` of the files; no content is read."""
+    """``path, modificationTime, length`` of the files; no content is read.
+
+    Spark does not list files of zero bytes.
+    """
     return (
         spark.read.format("binaryFile")
         .options(**file_options(spark, path, pattern))
@@ -60,9 +63,9 @@ def file_inventory(files: DataFrame, root: str | None = None) -> DataFrame:
     name = base_name(F.col("path"))
     place = F.col("path")
     if root is not None:
-        tail = "/" + root.rstrip("/").split("/")[-1] + "/"
-        place = F.substring_index(F.col("path"), root.split(":", 1)[-1].rstrip("/") + "/", -1)
-        place = F.when(F.contains("path", F.lit(tail)), place).otherwise(F.col("path"))
+        below = root.split(":", 1)[-1].rstrip("/") + "/"
+        at = F.locate(below, place)
+        place = F.when(at > 0, F.substr(place, at + len(below))).otherwise(place)
     suffix = extension(name)
     kinds = F.create_map(*[F.lit(v) for pair in FILE_FORMATS.items() for v in pair])
     return files.select(

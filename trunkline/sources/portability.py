@@ -27,6 +27,9 @@ CSV_OPTIONS = {
     "escape": '"',
     "mode": "PERMISSIVE",
     "columnNameOfCorruptRecord": BAD_LINE,
+    # A pruned parser counts only the fields that a query asks for, so whether a line
+    # is bad would depend on the query.
+    "columnPruning": "false",
 }
 
 FILE_SCHEMA = T.StructType(
