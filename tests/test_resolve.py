@@ -252,6 +252,13 @@ def test_hash_aggregates_carry_the_lookup(spark, frames):
     assert text.count("BroadcastHashJoin") >= 2
 
 
+def test_numbers_are_resolved_once_for_both_sides(spark, frames, conf):
+    conf(**NO_BROADCAST)
+    calls, history, plan, names = frames
+    df = enrich_calls(calls, history, plan, names, "origem", "destino", REF)
+    assert "ReusedExchange" in _final_plan(df)
+
+
 def test_measured_bytes_decides(spark):
     df = spark.createDataFrame([(1, "abc"), (2, None)], "a bigint, b string")
     assert measured_bytes(df) == 2 * 8 * 3 + 3

@@ -35,6 +35,7 @@ from trunkline.sources.portability import (
 from trunkline.sources.tables import (
     drop_table,
     materialize,
+    materialized,
     merge_history,
     read_history,
     table_exists,
@@ -108,8 +109,8 @@ def update_carriers(warehouse: Warehouse) -> None:
         if warehouse.has(table):
             found.append(carriers_from_numbering(warehouse.read(table)))
     old = warehouse.read("prestadoras") if warehouse.has("prestadoras") else None
-    names = materialize(upsert_carriers(old, found), "prestadoras")
-    write_table(names, warehouse.path("prestadoras"))
+    with materialized(upsert_carriers(old, found), "prestadoras") as names:
+        write_table(names, warehouse.path("prestadoras"))
 
 
 def _with_empty_files(report: DataFrame, files: DataFrame) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +29,18 @@ def materialize(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+@contextmanager
+def materialized(df: DataFrame, purpose: str) -> Iterator[DataFrame]:
+    """The same for the length of a block; the table is removed afterwards."""
+    spark = df.sparkSession
+    path = shared_folder(spark, purpose)
+    df.write.parquet(path)
+    try:
+        yield spark.read.parquet(path)
+    finally:
+        drop_table(spark, path)
+
+
 def write_table(df: DataFrame, path: str) -> None:
     """Replace a table. Used for staging, the plan and the carrier names."""
     df.write.mode("overwrite").parquet(path)
@@ -80,10 +95,10 @@ def merge_history(
     if rebuild or not table_exists(spark, path):
         _write_history(_bucketed(batch), path, dynamic=False)
         return
-    fresh = materialize(_bucketed(batch), "batch")
-    # At most one value per area-code range.
-    touched = [r[0] for r in fresh.select("cn_bucket").distinct().collect()]
-    if not touched:
-        return
-    current = read_history(spark, path).where(F.col("cn_bucket").isin(touched))
-    _write_history(_bucketed(upsert_history(current, fresh)), path, dynamic=True)
+    with materialized(_bucketed(batch), "batch") as fresh:
+        # At most one value per area-code range.
+        touched = [r[0] for r in fresh.select("cn_bucket").distinct().collect()]
+        if touched:
+            current = read_history(spark, path).where(F.col("cn_bucket").isin(touched))
+            merged = upsert_history(current, fresh)
+            _write_history(_bucketed(merged), path, dynamic=True)
