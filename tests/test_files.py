@@ -227,6 +227,15 @@ def test_load_and_query(spark, tmp_path, plan_folder):
     assert dict(warehouse.read("prestadoras").collect())[777] == "Nova"
 
 
+def test_load_without_good_lines(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "wh"))
+    write_report(tmp_path / "bad" / "r.csv.gz", [line(flag="?")])
+    write_report(tmp_path / "good" / "r.csv.gz", [line()])
+    for folder, rows in (("bad", 0), ("bad", 0), ("good", 1), ("bad", 1)):
+        load_portability(warehouse, str(tmp_path / folder))
+        assert warehouse.history.count() == rows
+
+
 def test_stream_equals_batch_loads(spark, tmp_path):
     inbox = tmp_path / "in"
     history = str(tmp_path / "history")

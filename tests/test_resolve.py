@@ -233,9 +233,11 @@ def test_hot_number_is_split_by_the_adaptive_join(spark, conf):
     names = spark.createDataFrame(
         [(101, "A"), (9001, "P")], "cod_prestadora bigint, nome_prestadora string"
     )
+    one_day = calls.withColumn("dia", F.lit(START))
     for df in (
         enrich_calls(calls, history, plan, names, "origem", "destino", REF),
         asof_per_call(calls, history, "origem", "dia"),
+        asof_per_call(one_day, history, "origem", "dia"),
     ):
         assert df.count() == 600_000
         executed = _final_plan(df)

@@ -248,26 +248,27 @@ def enrich_calls(
     ).select("nu_terminal", "nome_prestadora")
     result = calls
     for side, name in ((origin, "operadora_origem"), (destination, "operadora_destino")):
-        result = _join_back(result, side, resolved, name)
+        keyed = result.withColumn("_nu", F.col(side).try_cast("bigint"))
+        names = resolved.select(
+            F.col("nu_terminal").alias("_nu"), F.col("nome_prestadora").alias(name)
+        )
+        result = _join_answers(keyed, names, ["_nu"])
     return result
 
 
-def _join_back(calls: DataFrame, side: str, resolved: DataFrame, name: str) -> DataFrame:
-    """Left join on the number and its area code.
+def _join_answers(calls: DataFrame, answers: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join of calls with answers that are unique on ``keys``, number ``_nu`` first.
 
-    The area code follows from the number and is there for the physical plan: the
-    resolved numbers are partitioned by number alone, so the two-column key gives
-    both sides an exchange of their own, and with that the adaptive skew join can
-    split the calls of a hot number over many tasks.
+    The area code follows from the number and joins the key for the physical plan only:
+    the answers are partitioned by number alone, so the longer key gives both sides an
+    exchange of their own, and with that the adaptive skew join can split the calls of
+    a hot number over many tasks.
     """
-    number = F.col(side).try_cast("bigint")
-    keyed = calls.withColumns({"_nu": number, "_cn": area_code(number)})
-    right = resolved.select(
-        F.col("nu_terminal").alias("_nu"),
-        area_code("nu_terminal").alias("_cn"),
-        F.col("nome_prestadora").alias(name),
+    area = area_code("_nu")
+    joined = calls.withColumn("_cn", area).join(
+        answers.withColumn("_cn", area), [*keys, "_cn"], "left"
     )
-    return keyed.join(right, ["_nu", "_cn"], "left").drop("_nu", "_cn")
+    return joined.drop(*keys, "_cn")
 
 
 def asof_per_call(
@@ -278,7 +279,7 @@ def asof_per_call(
     The calls are first reduced to distinct (number, day) pairs, so that a hot number
     weighs at most one row per calendar day. Pairs and history are then merged in
     one ordered pass per number, which is linear in both, and the answer joins back
-    on (number, day), where the adaptive skew join can split a hot pair.
+    on number and day.
     """
     keyed = calls.withColumns(
         {"_nu": F.col(number).try_cast("bigint"), "_dia": F.col(day).cast("date")}
@@ -306,4 +307,4 @@ def asof_per_call(
         .where((F.col("_e_chamada") == 1) & F.col("_ultimo").isNotNull())
         .select("_nu", "_dia", F.col("_ultimo.cod_receptora").alias("cod_receptora"))
     )
-    return keyed.join(answered, ["_nu", "_dia"], "left").drop("_nu", "_dia")
+    return _join_answers(keyed, answered, ["_nu", "_dia"])

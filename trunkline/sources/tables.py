@@ -7,6 +7,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trunkline.functions.keys import cn_bucket
 from trunkline.operators.history import upsert_history
@@ -77,9 +78,9 @@ def _bucketed(rows: DataFrame) -> DataFrame:
 def read_history(spark: SparkSession, path: str) -> DataFrame:
     """The history with its partition column ``cn_bucket``; empty if there is none yet."""
     if not table_exists(spark, path):
-        empty = spark.createDataFrame([], HISTORY)
-        return _bucketed(empty)
-    return spark.read.parquet(path).select(*HISTORY.fieldNames(), "cn_bucket")
+        return _bucketed(spark.createDataFrame([], HISTORY))
+    schema = T.StructType([*HISTORY.fields, T.StructField("cn_bucket", T.StringType())])
+    return spark.read.schema(schema).parquet(path)
 
 
 def merge_history(
