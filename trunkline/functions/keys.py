@@ -75,24 +75,28 @@ def cn_bucket(cn: ColumnOrName) -> Column:
     return F.coalesce(*names, F.lit("cn_default"))
 
 
-def query_keys(number: ColumnOrName) -> tuple[Column, Column, Column]:
+def query_keys(number: ColumnOrName, whole: bool = False) -> tuple[Column, Column, Column]:
     """``(nu_terminal, cn, prefixo)`` of a number to look up.
 
-    The keys come from the text as given: 10 and 11 characters have an area code
-    and a prefix of 4 or 5 digits, any other length has the keys -1.
+    Numbers of 10 and 11 digits as written have an area code, the first two, and a
+    prefix, the next four or five. Any other length has the keys -1. ``whole`` says
+    that the column is a whole number, not text, so that its size decides.
     """
-    text = as_column(number).cast("string")
-    size = F.length(text)
-    cn = F.when(size.between(10, 11), F.substring(text, 1, 2)).otherwise("-1")
-    prefix = (
-        F.when(size == 10, F.substring(text, 3, 4))
-        .when(size == 11, F.substring(text, 3, 5))
-        .otherwise("-1")
-    )
+    if whole:
+        nu = as_column(number).cast("bigint")
+        ten = nu.between(10**9, 10**10 - 1)
+        eleven = nu.between(10**10, 10**11 - 1)
+    else:
+        text = as_column(number).cast("string")
+        nu = text.try_cast("bigint")
+        ten, eleven = F.length(text) == 10, F.length(text) == 11
+    block = nu / 10_000
+    cn = F.when(ten, nu / 10**8).when(eleven, nu / 10**9).otherwise(-1)
+    prefix = F.when(ten, block % 10**4).when(eleven, block % 10**5).otherwise(-1)
     return (
-        text.try_cast("bigint").alias("nu_terminal"),
-        cn.try_cast("int").alias("cn"),
-        prefix.try_cast("int").alias("prefixo"),
+        nu.alias("nu_terminal"),
+        cn.cast("int").alias("cn"),
+        prefix.cast("int").alias("prefixo"),
     )
 
 

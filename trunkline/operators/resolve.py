@@ -8,8 +8,9 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from trunkline.functions.keys import area_code, parse_reference_date, query_keys
+from trunkline.functions.keys import parse_reference_date, query_keys
 from trunkline.operators.sizing import BROADCAST_LIMIT, broadcast_if_small
 
 RefDate = date | str | None
@@ -28,15 +29,19 @@ def numbers_to_query(numbers: DataFrame, *columns: str) -> DataFrame:
     is left out.
     """
     columns = columns or ("nu_terminal",)
-    text = numbers.select(
-        F.explode(F.array(*[F.col(c).cast("string") for c in columns])).alias("n")
-        if len(columns) > 1
-        else F.col(columns[0]).cast("string").alias("n")
-    )
+    types = {numbers.select(c).schema[0].dataType for c in columns}
+    whole = all(isinstance(t, T.IntegralType) for t in types)
+    values = [F.col(c).cast("bigint" if whole else "string") for c in columns]
+    value = F.explode(F.array(*values)) if len(values) > 1 else values[0]
+    given = numbers.select(value.alias("n"))
+    if whole:
+        # The keys follow from the number, so they are computed once per number.
+        distinct = given.where(F.col("n").isNotNull()).distinct()
+        return distinct.select(*query_keys("n", whole=True))
     nu, cn, prefix = query_keys("n")
     packed = cn * F.lit(_PREFIX_SPAN).cast("bigint") + prefix
     distinct = (
-        text.select(nu, packed.alias("chave"))
+        given.select(nu, packed.alias("chave"))
         .where(F.col("nu_terminal").isNotNull())
         .groupBy("nu_terminal")
         .agg(F.max("chave").alias("chave"))
@@ -135,7 +140,8 @@ def ported_carrier(
     joined = numbers.join(
         ported, numbers["nu_terminal"] == ported["tn_inicial"], "left"
     )
-    eligible = F.col("cn") == area_code("nu_terminal")
+    _, own_area, _ = query_keys("nu_terminal", whole=True)
+    eligible = (F.col("cn") >= 0) & (F.col("cn") == own_area)
     return joined.select(
         *numbers.columns, *[F.when(eligible, F.col(c)).alias(c) for c in dates]
     )
@@ -259,16 +265,16 @@ def enrich_calls(
 def _join_answers(calls: DataFrame, answers: DataFrame, keys: list[str]) -> DataFrame:
     """Left join of calls with answers that are unique on ``keys``, number ``_nu`` first.
 
-    The area code follows from the number and joins the key for the physical plan only:
-    the answers are partitioned by number alone, so the longer key gives both sides an
-    exchange of their own, and with that the adaptive skew join can split the calls of
-    a hot number over many tasks.
+    A remainder of the number joins the key for the physical plan only: the answers are
+    partitioned by number alone, so the longer key gives both sides an exchange of
+    their own, and with that the adaptive skew join can split the calls of a hot number
+    over many tasks.
     """
-    area = area_code("_nu")
-    joined = calls.withColumn("_cn", area).join(
-        answers.withColumn("_cn", area), [*keys, "_cn"], "left"
+    rest = F.col("_nu") % 97
+    joined = calls.withColumn("_resto", rest).join(
+        answers.withColumn("_resto", rest), [*keys, "_resto"], "left"
     )
-    return joined.drop(*keys, "_cn")
+    return joined.drop(*keys, "_resto")
 
 
 def asof_per_call(
