@@ -10,12 +10,14 @@ from trunkline.functions.keys import (
     br_timestamp,
     cn_bucket,
     parse_reference_date,
+    query_keys,
     reference_date,
 )
 from trunkline.operators import (
     asof_per_call,
     carrier_change,
     enrich_calls,
+    numbers_to_query,
     resolve_carriers,
 )
 from trunkline.operators.sizing import broadcast_if_small, measured_bytes
@@ -199,6 +201,33 @@ def test_leading_zeros_have_no_keys(spark, frames):
     assert tuple(row) == (11900000001, None, 0, 0)
 
 
+def test_text_and_whole_numbers_agree(spark, frames):
+    calls, history, plan, names = frames
+    whole = calls.select(*[F.col(c).cast("bigint").alias(c) for c in ("origem", "destino")])
+    assert numbers_to_query(whole, "origem", "destino").columns == ["nu_terminal", "cn", "prefixo"]
+    got, expected = (
+        {tuple(r) for r in resolve_carriers(
+            df, history, plan, names, REF, ("origem", "destino")).collect()}
+        for df in (whole, calls)
+    )
+    assert got == expected and len(got) > 100
+
+
+def test_query_keys(spark):
+    texts = {
+        "11987654321": (11987654321, 11, 98765), "1133334444": (1133334444, 11, 3333),
+        "0987654321": (987654321, 9, 8765), "987654321": (987654321, -1, -1),
+        "551198765432": (551198765432, -1, -1), "01100001234": (1100001234, 1, 10000),
+        "x": (None, -1, -1), "190": (190, -1, -1),
+    }
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for r in df.select("t", *query_keys("t")).collect():
+        assert tuple(r)[1:] == texts[r.t]
+    whole = df.where("t not like '0%' and t <> 'x'").select(F.col("t").cast("bigint"))
+    for r in whole.select("t", *query_keys("t", whole=True)).collect():
+        assert tuple(r)[1:] == texts[str(r.t)]
+
+
 def test_hot_number_is_split_by_the_adaptive_join(spark, conf):
     """A third of the calls has one number, on one day; several tasks join them."""
     conf(
