@@ -149,6 +149,30 @@ def test_stage_numbering(spark, plan_folder):
     assert cng_only.count() == 1
 
 
+def test_damaged_archive_is_reported(spark, plan_folder, tmp_path):
+    (plan_folder / "SMP_ruim.zip").write_bytes(b"PK no archive")
+    body = "h\n" + "".join(f"P;{i};11;90000;0000;9999;1\n" for i in range(30_000))
+    write_zip(plan_folder / "STFC_crc.zip", body)
+    raw = bytearray((plan_folder / "STFC_crc.zip").read_bytes())
+    raw[len(raw) // 2] ^= 0xFF  # the check sum no longer fits
+    (plan_folder / "STFC_crc.zip").write_bytes(bytes(raw))
+    warehouse = Warehouse(spark, str(tmp_path / "wh"))
+    rows = load_numbering(warehouse, str(plan_folder)).report.collect()
+    report = {r.nome_arquivo: r for r in rows}
+    assert report["SMP_ruim.zip"].status == "error"
+    assert report["SMP_ruim.zip"].erro.startswith("BadZipFile")
+    assert report["STFC_crc.zip"].erro.startswith("BadZipFile")
+    assert report["outro.zip"].erro == "tipo desconhecido"
+    assert report["smp.zip"].status == "success" and report["smp.zip"].linhas == 2
+
+
+def test_other_file_types_are_not_read(spark, plan_folder):
+    cng = numbering.scan_archives(spark, str(plan_folder), "CNG")
+    cng.collect()
+    scan = cng._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+    assert scan.metrics().apply("numFiles").value() == 1
+
+
 def test_many_records_in_one_archive(spark, tmp_path):
     n = 50_000
     body = "".join(f"P;{i};11;9{i % 10000:04d};0000;9999;1\n" for i in range(n))
@@ -183,9 +207,9 @@ def test_load_and_query(spark, tmp_path, plan_folder):
     load = load_portability(warehouse, str(reports))
     report = {r.nome_arquivo: tuple(r)[1:] for r in load.report.collect()}
     assert report == {
-        "r0.csv.gz": (0, 0, 0, "success"),
-        "r1.csv.gz": (4, 3, 1, "error"),
-        "r2.csv.gz": (1, 1, 0, "success"),
+        "r0.csv.gz": (0, 0, 0, None, "success"),
+        "r1.csv.gz": (4, 3, 1, "ind_portar_origem", "error"),
+        "r2.csv.gz": (1, 1, 0, None, "success"),
     }
     totals = load.totals().first()
     assert (totals.arquivos, totals.sucessos, totals.erros, totals.linhas) == (3, 2, 1, 4)

@@ -6,20 +6,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def load_report(rows: DataFrame, rejected: Column) -> DataFrame:
-    """Rows read, loaded and rejected per source file, with the file's status."""
-    bad = F.coalesce(rejected, F.lit(False))
-    return (
-        rows.groupBy("nome_arquivo")
-        .agg(
-            F.count(F.lit(1)).alias("linhas_lidas"),
-            F.count_if(~bad).alias("linhas"),
-            F.count_if(bad).alias("rejeitadas"),
-        )
-        .withColumn(
-            "status", F.when(F.col("rejeitadas") == 0, "success").otherwise("error")
-        )
+def load_report(rows: DataFrame, reason: Column) -> DataFrame:
+    """Rows read, loaded and rejected per source file, with the file's status.
+
+    ``reason`` says why a row is rejected and is NULL for a good row; ``erro`` names one
+    of the reasons of the file.
+    """
+    report = rows.groupBy("nome_arquivo").agg(
+        F.count(F.lit(1)).alias("linhas_lidas"),
+        F.count_if(reason.isNull()).alias("linhas"),
+        F.count_if(reason.isNotNull()).alias("rejeitadas"),
+        F.max(reason).alias("erro"),
     )
+    status = F.when(F.col("rejeitadas") == 0, "success").otherwise("error")
+    return report.withColumn("status", status)
 
 
 def load_totals(report: DataFrame, seconds: float | None = None) -> DataFrame:

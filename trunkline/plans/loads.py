@@ -19,11 +19,13 @@ from trunkline.operators.history import dedup_portability
 from trunkline.operators.plan import consolidate_plan, rejected_ranges
 from trunkline.operators.quality import load_report, load_totals
 from trunkline.operators.resolve import RefDate, resolve_carriers
+from trunkline.schemas import NUMBERING_FILES
 from trunkline.sources.discovery import base_name, file_type, list_files
 from trunkline.sources.numbering import (
     ARCHIVE_PATTERN,
+    fixed_and_mobile,
+    readable,
     scan_archives,
-    stage_fixed_and_mobile,
     stage_numbering,
 )
 from trunkline.sources.portability import (
@@ -107,7 +109,7 @@ def update_carriers(warehouse: Warehouse) -> None:
         found.append(carriers_from_portability(staged))
     for table in ("stg_cng", "stg_sup", "stg_numeracao"):
         if warehouse.has(table):
-            found.append(carriers_from_numbering(warehouse.read(table)))
+            found.append(carriers_from_numbering(readable(warehouse.read(table))))
     old = warehouse.read("prestadoras") if warehouse.has("prestadoras") else None
     with materialized(upsert_carriers(old, found), "prestadoras") as names:
         write_table(names, warehouse.path("prestadoras"))
@@ -122,6 +124,7 @@ def _with_empty_files(report: DataFrame, files: DataFrame) -> DataFrame:
             F.coalesce(c, F.lit(0)).alias(c)
             for c in ("linhas_lidas", "linhas", "rejeitadas")
         ],
+        "erro",
         F.coalesce("status", F.lit("success")).alias("status"),
     )
 
@@ -143,11 +146,11 @@ def load_portability(
     spark = warehouse.spark
     files = list_files(spark, path, REPORT_PATTERN)
     if files.isEmpty():
-        return _result(load_report(_no_rows(spark), F.lit(False)), start)
+        return _result(load_report(_no_rows(spark), F.lit(None).cast("string")), start)
     stage = warehouse.path("stg_portabilidade")
     write_table(type_portability(scan_portability(spark, path, encoding)), stage)
     staged = spark.read.parquet(stage)
-    report = load_report(staged, F.col("motivo").isNotNull())
+    report = load_report(staged, F.col("motivo"))
     result = _result(_with_empty_files(report, files), start)
     merge_history(
         spark,
@@ -168,34 +171,40 @@ def load_numbering(
 
     The plan is replaced; ranges with a value that does not parse go to
     ``numeracao_rejeitada`` instead. Public-utility files are staged and name
-    carriers, but are no part of the plan. A file of unknown type is reported as an
-    error. A folder without archives changes nothing.
+    carriers, but are no part of the plan. A file that cannot be read, or whose type is
+    unknown, is reported as an error. A folder without archives changes nothing.
     """
     start = time.monotonic()
     spark = warehouse.spark
     files = list_files(spark, path, ARCHIVE_PATTERN)
     if files.isEmpty():
-        return _result(load_report(_no_rows(spark), F.lit(False)), start)
-    archives = scan_archives(spark, path)
+        return _result(load_report(_no_rows(spark), F.lit(None).cast("string")), start)
+    rows = {
+        kind: stage_numbering(scan_archives(spark, path, kind), kind)
+        for kind in NUMBERING_FILES
+    }
     staging = {
-        "stg_numeracao": stage_fixed_and_mobile(archives),
-        "stg_cng": stage_numbering(archives, "CNG"),
-        "stg_sup": stage_numbering(archives, "SUP"),
+        "stg_numeracao": fixed_and_mobile(rows["STFC"], rows["SMP_SME"]),
+        "stg_cng": rows["CNG"],
+        "stg_sup": rows["SUP"],
     }
-    for table, rows in staging.items():
-        write_table(rows, warehouse.path(table))
-    ranges = (warehouse.read("stg_numeracao"), warehouse.read("stg_cng"))
+    for table, staged in staging.items():
+        write_table(staged, warehouse.path(table))
+    ranges = [readable(warehouse.read(t)) for t in ("stg_numeracao", "stg_cng")]
     write_table(consolidate_plan(*ranges), warehouse.path("numeracao"))
     write_table(rejected_ranges(*ranges), warehouse.path("numeracao_rejeitada"))
     update_carriers(warehouse)
-    names = reduce(
+    lines = reduce(
         DataFrame.unionByName,
-        [warehouse.read(t).select("nome_arquivo") for t in staging],
+        [warehouse.read(t).select("nome_arquivo", "erro") for t in staging],
     )
-    report = _with_empty_files(load_report(names, F.lit(False)), files)
+    report = _with_empty_files(load_report(lines, F.col("erro")), files)
     known = file_type(F.col("nome_arquivo")).isNotNull()
-    report = report.withColumn(
-        "status", F.when(known, F.col("status")).otherwise("error")
+    report = report.withColumns(
+        {
+            "erro": F.when(known, F.col("erro")).otherwise("tipo desconhecido"),
+            "status": F.when(known, F.col("status")).otherwise("error"),
+        }
     )
     result = _result(report, start)
     if drop_staging:

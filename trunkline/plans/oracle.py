@@ -327,7 +327,7 @@ def oracle_sql() -> dict[str, str]:
         _with(*_TYPED)
         + "select nome_arquivo, count(*) linhas_lidas, "
         "count(*) filter (where motivo is null) linhas, "
-        "count(*) filter (where motivo is not null) rejeitadas, "
+        "count(*) filter (where motivo is not null) rejeitadas, max(motivo) erro, "
         "case when bool_and(motivo is null) then 'success' else 'error' end status "
         "from judged group by nome_arquivo"
     )

@@ -195,7 +195,7 @@ def na_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.load_report(typed_lines(spark, sf_dir), F.col("motivo").isNotNull())
+    return quality.load_report(typed_lines(spark, sf_dir), F.col("motivo"))
 
 
 @query

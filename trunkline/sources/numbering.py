@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 import io
+import itertools
 import zipfile
 from collections.abc import Iterator
 
@@ -17,7 +18,7 @@ from trunkline.sources.discovery import base_name, file_options, file_type
 
 ARCHIVE_PATTERN = "*.zip"
 
-_RECORDS = "nome_arquivo string, campos array<string>"
+_RECORDS = "nome_arquivo string, campos array<string>, erro string"
 _BATCH = 20_000
 
 
@@ -32,23 +33,28 @@ def _records(content: bytes, encoding: str) -> Iterator[list[str]]:
 
 
 def unzip_records(archives: DataFrame, encoding: str = "latin-1") -> DataFrame:
-    """``(nome_arquivo, campos)`` of archives given as ``(path, content)``.
+    """``(nome_arquivo, campos, erro)`` of archives given as ``(path, content)``.
 
     A ZIP member cannot be split, so one task reads one archive; it streams the
-    records out in batches and Spark types them.
+    records out in batches and Spark types them. An archive that cannot be read to its
+    end adds one row with ``erro`` and no fields.
     """
 
+    def batches_of(name: str, content: bytes) -> Iterator[pd.DataFrame]:
+        records = _records(content, encoding)
+        try:
+            while rows := list(itertools.islice(records, _BATCH)):
+                yield pd.DataFrame({"nome_arquivo": name, "campos": rows, "erro": None})
+        except Exception as error:  # reported per file, like a rejected line
+            message = f"{type(error).__name__}: {error}"
+            yield pd.DataFrame(
+                {"nome_arquivo": [name], "campos": [None], "erro": [message]}
+            )
+
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for name, content in zip(batch["nome_arquivo"], batch["content"]):
-                rows: list[list[str]] = []
-                for row in _records(content, encoding):
-                    rows.append(row)
-                    if len(rows) == _BATCH:
-                        yield pd.DataFrame({"nome_arquivo": name, "campos": rows})
-                        rows = []
-                if rows:
-                    yield pd.DataFrame({"nome_arquivo": name, "campos": rows})
+                yield from batches_of(name, content)
 
     named = archives.select(base_name(F.col("path")).alias("nome_arquivo"), "content")
     return named.mapInPandas(read, _RECORDS)
@@ -60,7 +66,7 @@ def scan_archives(
     """``(path, content)`` of the archives, of one file type if ``kind`` is given.
 
     A folder is searched recursively for ``*.zip``; a single file may have any
-    extension.
+    extension. Files of other types are pruned by name and not read.
     """
     files = (
         spark.read.format("binaryFile")
@@ -68,15 +74,16 @@ def scan_archives(
         .load(path)
     )
     if kind is not None:
-        files = files.where(file_type(base_name(F.col("path"))) == kind)
+        files = files.where(file_type(F.col("_metadata.file_name")) == kind)
     return files.select("path", "content")
 
 
 def stage_numbering(archives: DataFrame, kind: str) -> DataFrame:
-    """Text columns of one file type, by position, with ``nome_arquivo``.
+    """Text columns of one file type, by position, with ``nome_arquivo`` and ``erro``.
 
     Missing marks become NULL, missing trailing fields too, and surplus fields are
-    cut off. Fixed and mobile rows carry their service in ``servico``.
+    cut off. Fixed and mobile rows carry their service in ``servico``. A row with
+    ``erro`` stands for an unreadable archive and has no values.
     """
     of_kind = archives.where(file_type(base_name(F.col("path"))) == kind)
     records = unzip_records(of_kind)
@@ -86,16 +93,25 @@ def stage_numbering(archives: DataFrame, kind: str) -> DataFrame:
     ]
     if kind in ("STFC", "SMP_SME"):
         columns.append(F.lit(kind).alias("servico"))
-    return records.select(*columns, "nome_arquivo")
+    return records.select(*columns, "nome_arquivo", "erro")
+
+
+def fixed_and_mobile(fixed: DataFrame, mobile: DataFrame) -> DataFrame:
+    """Fixed and mobile rows in one table; columns that a type lacks are NULL."""
+    return fixed.unionByName(mobile, allowMissingColumns=True)
 
 
 def stage_fixed_and_mobile(archives: DataFrame) -> DataFrame:
-    """Fixed, mobile and trunked files in one table; columns a type lacks are NULL."""
-    return stage_numbering(archives, "STFC").unionByName(
-        stage_numbering(archives, "SMP_SME"), allowMissingColumns=True
+    """Fixed, mobile and trunked files among the archives, staged in one table."""
+    return fixed_and_mobile(
+        stage_numbering(archives, "STFC"), stage_numbering(archives, "SMP_SME")
     )
 
 
+def readable(staged: DataFrame) -> DataFrame:
+    return staged.where(F.col("erro").isNull()).drop("erro")
+
+
 def unknown_files(archives: DataFrame) -> DataFrame:
     """Names of archives whose type the name does not tell."""
     name = base_name(F.col("path"))
