@@ -290,6 +290,17 @@ def test_numbers_are_resolved_once_for_both_sides(spark, frames, conf):
     assert "ReusedExchange" in _final_plan(df)
 
 
+def test_date_filter_and_columns_reach_the_scan(spark, frames, tmp_path):
+    calls, history, plan, names = frames
+    history.withColumn("numero_bp", F.lit(1)).write.parquet(str(tmp_path / "h"))
+    stored = spark.read.parquet(str(tmp_path / "h"))
+    df = resolve_carriers(calls, stored, plan, names, REF, ("origem",))
+    leaves = df._jdf.queryExecution().executedPlan().toString().split("FileScan parquet")
+    assert len(leaves) == 2
+    assert "LessThanOrEqual(data_agendamento,2010-06-30)" in leaves[1]
+    assert "struct<tn_inicial:bigint,data_agendamento:date,cod_receptora:int>" in leaves[1]
+
+
 def test_measured_bytes_decides(spark):
     df = spark.createDataFrame([(1, "abc"), (2, None)], "a bigint, b string")
     assert measured_bytes(df) == 2 * 8 * 3 + 3

@@ -161,12 +161,13 @@ def scan_numbering(spark: SparkSession, sf_dir: str) -> DataFrame:
         }
     )
     mobile_rows = rows.where("servico = 'SMP_SME'").withColumn("status", F.lit("1"))
-    archives = _archives(
-        fixed_rows, "STFC", numbering.NUMBERING_FILES["STFC"].fieldNames()
-    ).unionByName(
-        _archives(mobile_rows, "SMP", numbering.NUMBERING_FILES["SMP_SME"].fieldNames())
-    )
-    return numbering.stage_fixed_and_mobile(archives).select(
+    schemas = numbering.NUMBERING_FILES
+    fixed_files = _archives(fixed_rows, "STFC", schemas["STFC"].fieldNames())
+    mobile_files = _archives(mobile_rows, "SMP", schemas["SMP_SME"].fieldNames())
+    return numbering.fixed_and_mobile(
+        numbering.stage_numbering(fixed_files, "STFC"),
+        numbering.stage_numbering(mobile_files, "SMP_SME"),
+    ).select(
         "nome_prestadora",
         "cnpj_prestadora",
         "cn",
