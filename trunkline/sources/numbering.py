@@ -5,10 +5,12 @@ from __future__ import annotations
 import csv
 import io
 import itertools
+import sys
 import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +20,9 @@ from trunkline.sources.discovery import base_name, file_options, file_type
 
 ARCHIVE_PATTERN = "*.zip"
 
+# The task functions travel with the job, so executors need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _RECORDS = "nome_arquivo string, campos array<string>, erro string"
 _BATCH = 20_000
 

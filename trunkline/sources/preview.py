@@ -5,17 +5,22 @@ from __future__ import annotations
 import gzip
 import io
 import itertools
+import sys
 import zipfile
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
 import pyarrow as pa
 import pyarrow.fs as pafs
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trunkline.sources.discovery import base_name, file_options
 
+# The task functions travel with the job, so executors need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _LINES = "path string, membro string, linha_no int, linha string, erro string"
 
 
