@@ -6,13 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trunkline.llm import decontamination, exact_dedup, toxicity
+from trunkline.llm import (
+    decontamination,
+    exact_dedup,
+    substring_dedup,
+    suffix_dedup,
+    toxicity,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
+        suffix_dedup.op5_suffix_dedup,
         exact_dedup.op6_exact_dedup,
         decontamination.op8_decontamination,
+        substring_dedup.op9_substring_dedup,
         toxicity.op10_toxicity,
     ]
     return {f.__name__: f for f in found}
