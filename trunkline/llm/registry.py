@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from trunkline.llm import (
     decontamination,
     exact_dedup,
+    packing,
     substring_dedup,
     suffix_dedup,
     toxicity,
@@ -19,6 +20,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         suffix_dedup.op5_suffix_dedup,
         exact_dedup.op6_exact_dedup,
+        packing.op7_packing,
         decontamination.op8_decontamination,
         substring_dedup.op9_substring_dedup,
         toxicity.op10_toxicity,
