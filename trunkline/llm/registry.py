@@ -12,12 +12,14 @@ from trunkline.llm import (
     packing,
     substring_dedup,
     suffix_dedup,
+    token_files,
     toxicity,
 )
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
+        token_files.op1_token_files,
         suffix_dedup.op5_suffix_dedup,
         exact_dedup.op6_exact_dedup,
         packing.op7_packing,
