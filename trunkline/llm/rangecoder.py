@@ -27,7 +27,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 MAGIC = b"TLR1"
 #: Ids of a block and steps of a lane.
 BLOCK_IDS, LANE_IDS = 1 << 20, 256
-_HEADER = struct.Struct("<4sIIIIII")  # magic, ids, steps, vocabulary, bytes, crc of bytes, crc of ids
+_HEADER = "<4sIIIIII"  # magic, ids, steps, vocabulary, bytes, crc of bytes, crc of ids
 _MASK = np.uint64((1 << 48) - 1)
 _BOTTOM = np.uint64(1 << 24)
 _U16, _U32, _ONE = np.uint64(16), np.uint64(32), np.uint64(1)
@@ -174,13 +174,13 @@ def encode_block(ids: np.ndarray, vocabulary: int) -> bytes:
     used = np.arange(out.shape[1]) < at[:, None]
     body = at.astype("<u2").tobytes() + out[used].astype("<u2").tobytes()
     crc = zlib.crc32(ids.astype("<u4").tobytes())
-    return _HEADER.pack(MAGIC, n, steps, vocabulary, len(body), zlib.crc32(body), crc) + body
+    return struct.pack(_HEADER, MAGIC, n, steps, vocabulary, len(body), zlib.crc32(body), crc) + body
 
 
 def decode_block(data: memoryview) -> tuple[np.ndarray, int]:
     """The ids of the block at the start of ``data``, and the bytes it takes."""
-    magic, n, steps, vocabulary, size, body_crc, ids_crc = _HEADER.unpack_from(data)
-    body = data[_HEADER.size : _HEADER.size + size]
+    magic, n, steps, vocabulary, size, body_crc, ids_crc = struct.unpack_from(_HEADER, data)
+    body = data[struct.calcsize(_HEADER) : struct.calcsize(_HEADER) + size]
     if magic != MAGIC or zlib.crc32(body) != body_crc:
         raise ValueError("damaged block of token ids")
     lanes = -(-n // steps)
@@ -236,7 +236,7 @@ def decode_block(data: memoryview) -> tuple[np.ndarray, int]:
     ids = grid.reshape(-1)[:n]
     if zlib.crc32(ids.astype("<u4").tobytes()) != ids_crc:
         raise ValueError("ids differ from those written")
-    return ids, _HEADER.size + size
+    return ids, struct.calcsize(_HEADER) + size
 
 
 def encode(ids: np.ndarray, vocabulary: int) -> bytes:

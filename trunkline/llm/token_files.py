@@ -32,7 +32,7 @@ _SEGMENTS = (
     "part int, segment bigint, start bigint, n_docs bigint, n_tokens bigint, "
     "first_doc bigint, last_doc bigint, payload binary"
 )
-_HEAD = struct.Struct("<4sQI")  # magic, documents, crc of their ids, marks and sizes
+_HEAD = "<4sQI"  # magic, documents, crc of their ids, marks and sizes
 _MAGIC = b"TLS1"
 
 
@@ -40,7 +40,7 @@ def _payload(ids: np.ndarray, sizes: np.ndarray, doc_ids: np.ndarray, given: np.
     head = doc_ids.astype("<i8").tobytes() + given.astype("u1").tobytes() + sizes.astype("<i8").tobytes()
     head_z = zlib.compress(head, 1)
     return (
-        _HEAD.pack(_MAGIC, len(sizes), zlib.crc32(head))
+        struct.pack(_HEAD, _MAGIC, len(sizes), zlib.crc32(head))
         + struct.pack("<I", len(head_z))
         + head_z
         + rangecoder.encode(ids, VOCABULARY)
@@ -49,9 +49,9 @@ def _payload(ids: np.ndarray, sizes: np.ndarray, doc_ids: np.ndarray, given: np.
 
 def _read(payload: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Token ids, sizes, ids and their marks of a segment."""
-    magic, n, crc = _HEAD.unpack_from(payload)
-    at = _HEAD.size + 4
-    (size,) = struct.unpack_from("<I", payload, _HEAD.size)
+    magic, n, crc = struct.unpack_from(_HEAD, payload)
+    at = struct.calcsize(_HEAD) + 4
+    (size,) = struct.unpack_from("<I", payload, struct.calcsize(_HEAD))
     head = zlib.decompress(payload[at : at + size])
     if magic != _MAGIC or zlib.crc32(head) != crc:
         raise ValueError("damaged segment of token ids")
