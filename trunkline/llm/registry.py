@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from trunkline.llm import (
     decontamination,
     exact_dedup,
+    html_text,
+    licenses,
     packing,
     substring_dedup,
     suffix_dedup,
@@ -20,6 +22,8 @@ from trunkline.llm import (
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         token_files.op1_token_files,
+        licenses.op2_license_scan,
+        html_text.op4_html_text,
         suffix_dedup.op5_suffix_dedup,
         exact_dedup.op6_exact_dedup,
         packing.op7_packing,
@@ -31,4 +35,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_exact_dedup": exact_dedup.OP6_SQL}
+    return {"op2_license_scan": licenses.OP2_SQL, "op6_exact_dedup": exact_dedup.OP6_SQL}
