@@ -10,6 +10,7 @@ from trunkline.llm import (
     decontamination,
     exact_dedup,
     html_text,
+    jaccard_join,
     licenses,
     packing,
     substring_dedup,
@@ -23,6 +24,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         token_files.op1_token_files,
         licenses.op2_license_scan,
+        jaccard_join.op3_jaccard_join,
         html_text.op4_html_text,
         suffix_dedup.op5_suffix_dedup,
         exact_dedup.op6_exact_dedup,
