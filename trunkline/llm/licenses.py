@@ -82,7 +82,7 @@ def sentences(text: Column) -> Column:
     """
     cut = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[.!?:;]+(\s+|$)", "\n")
     plain = F.regexp_replace(cut, r"[^a-z0-9\n]+", " ")
-    return F.transform(F.split(plain, "\n"), F.trim)
+    return F.transform(F.split(plain, "\n"), lambda s: F.trim(s))
 
 
 def known_sentences(text: Column) -> Column:
