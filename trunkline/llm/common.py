@@ -30,6 +30,30 @@ def sized(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFr
     return F.broadcast(df) if df.count() * row_bytes <= limit else df
 
 
+#: Words of 64 bits in a bitmap of keys; a broadcast of it has at most so many rows.
+BITMAP_WORDS = 1 << 20
+
+
+def in_bitmap(df: DataFrame, key: str, keys: DataFrame) -> DataFrame:
+    """``df`` with a column ``listed``: false only if its ``key`` is not among ``keys``.
+
+    A bitmap of bounded size tells most rows that need no join apart from those that may.
+    """
+    place = F.xxhash64(F.col(key))
+    word = F.pmod(place, F.lit(BITMAP_WORDS))
+    bit = F.shiftrightunsigned(place, 58).cast("int")
+    bits = stored(
+        keys.select(word.alias("_word"), F.expr("1L").alias("one"), bit.alias("bit"))
+        .groupBy("_word")
+        .agg(F.expr("bit_or(shiftleft(one, bit))").alias("_bits")),
+        "bitmap",
+    )
+    test = F.shiftrightunsigned("_bits", 0).bitwiseAND(F.expr("shiftleft(1L, _bit)")) != 0
+    marked = df.withColumn("_word", word).withColumn("_bit", bit)
+    marked = marked.join(F.broadcast(bits), "_word", "left")
+    return marked.withColumn("listed", F.coalesce(test, F.lit(False))).select(*df.columns, "listed")
+
+
 def without(documents: DataFrame, dropped: DataFrame) -> DataFrame:
     """The documents whose ``doc_id`` is not among the dropped ids (a column ``doc_id``)."""
     ids = sized(stored(dropped.select("doc_id").distinct(), "dropped"), 16)

@@ -70,7 +70,7 @@ NEAR, SIBLING = 0.5, 0.9
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|"
     r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^'\">]|\"[^\"]*+\"|'[^']*+')*+)>|"
-    r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>",
+    r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|</?[a-zA-Z][^<>]*+\Z",
     re.S,
 )
 _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")

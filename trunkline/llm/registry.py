@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
 from trunkline.llm import (
@@ -33,8 +34,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         substring_dedup.op9_substring_dedup,
         toxicity.op10_toxicity,
     ]
-    return {f.__name__: f for f in found}
+    return {f.__name__: f for f in found} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
+    """Statements by query; the pipeline and what hashes, codes or learns has none."""
     return {"op2_license_scan": licenses.OP2_SQL, "op6_exact_dedup": exact_dedup.OP6_SQL}

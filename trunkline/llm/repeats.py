@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trunkline.llm import text as tx
-from trunkline.llm.common import scan_parts, sized, stored
+from trunkline.llm.common import in_bitmap, scan_parts, stored
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -275,8 +275,8 @@ def keyed(documents: DataFrame) -> DataFrame:
 def with_ranges(documents: DataFrame, found: DataFrame, how: str) -> DataFrame:
     """The keyed documents with their ranges of window starts, as one array a document.
 
-    The ranges of a document are at most its windows. They are broadcast up to a measured
-    size, else both sides shuffle.
+    The ranges of a document are at most its windows. Only texts that a bitmap of the keys
+    with ranges lets through are shuffled for the join.
     """
     by_row = stored(
         found.groupBy("doc_id", "text_hash").agg(
@@ -284,20 +284,28 @@ def with_ranges(documents: DataFrame, found: DataFrame, how: str) -> DataFrame:
         ),
         "ranges",
     )
-    n, starts = by_row.agg(F.count("*"), F.sum(F.size("ranges"))).first()
-    row_bytes = 64 + 24 * (starts or 0) // max(1, n)
-    right = sized(by_row, row_bytes).select(
-        F.col("doc_id").alias("id"), F.col("text_hash").alias("th"), "ranges"
-    )
-    same = documents["doc_id"].eqNullSafe(F.col("id")) & (documents["text_hash"] == F.col("th"))
-    return documents.join(right, same, how).select("doc_id", "text", "text_hash", "ranges")
+    listed = in_bitmap(documents, "text_hash", by_row.select("text_hash"))
+    right = by_row.select(F.col("doc_id").alias("id"), F.col("text_hash").alias("th"), "ranges")
+    left = listed.where("listed").drop("listed")
+    same = left["doc_id"].eqNullSafe(F.col("id")) & (left["text_hash"] == F.col("th"))
+    joined = left.join(right, same, how).select("doc_id", "text", "text_hash", "ranges")
+    if how == "inner":
+        return joined
+    none = F.lit(None).cast(by_row.schema["ranges"].dataType)
+    others = listed.where("not listed").select("doc_id", "text", "text_hash", none.alias("ranges"))
+    return joined.unionByName(others)
+
+
+def settled(found: DataFrame, purpose: str) -> DataFrame:
+    """The closing comparison as a table of ranges and their states."""
+    return stored(compared(found).select("doc_id", "text_hash", "first", "last", "state"), purpose)
 
 
 def refine(documents: DataFrame, found: DataFrame, windows: Windows, width: int) -> DataFrame:
     """The next round: the open cells of ``found`` in cells of ``width``, compared."""
     still_open = found.where(F.col("state") == OPEN)
     rows = with_ranges(documents, still_open, "inner")
-    return stored(compared(rows.mapInArrow(cell_scan(windows, width, True), CELLS)), "cells")
+    return settled(rows.mapInArrow(cell_scan(windows, width, True), CELLS), "cells")
 
 
 def repeated(rounds: list[DataFrame]) -> DataFrame:

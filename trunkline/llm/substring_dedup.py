@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from trunkline.llm import repeats
 from trunkline.llm import text as tx
-from trunkline.llm.common import stored, table
+from trunkline.llm.common import table
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -82,7 +82,7 @@ def remove_repeats(documents: DataFrame, factor_words: int = FACTOR_WORDS) -> Da
     windows = repeats.Windows("word", factor_words, min(ANCHOR_WORDS, factor_words))
     rows = repeats.keyed(documents)
     phrases = rows.mapInArrow(repeats.cell_scan(windows, windows.grams, False), repeats.CELLS)
-    factors = stored(repeats.compared(phrases), "factors")
+    factors = repeats.settled(phrases, "factors")
     ends = repeats.refine(rows, factors, windows, 1)
     found = repeats.repeated([factors, ends])
     schema = "doc_id bigint, n_words bigint, n_removed bigint, n_spans bigint, kept string"

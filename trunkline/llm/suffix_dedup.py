@@ -54,7 +54,7 @@ class Family:
         rest = None
         for array in self.levels.values():
             rest = array if rest is None else rest.unionByName(array)
-        return [*self.matches, stored(repeats.compared(rest), "array")]
+        return [*self.matches, repeats.settled(rest, "array")]
 
 
 def _cut(length: int):
