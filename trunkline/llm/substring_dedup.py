@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from trunkline.llm import repeats
 from trunkline.llm import text as tx
 from trunkline.llm.common import table
+from trunkline.llm.repeats import covered
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -39,7 +40,7 @@ def _cut(length: int):
     def one(piece: pa.RecordBatch) -> pa.RecordBatch:
         data, offsets = tx.utf8(piece.column(1))
         first, last, of = tx.words(data, offsets, tx.separators("white"))
-        gone = repeats.covered(piece.column(3), of, length)
+        gone = covered(piece.column(3), of, length)
         removed = np.diff(np.append(0, np.cumsum(gone))[of])
         begin = gone & np.append(True, ~gone[:-1]) if len(gone) else gone
         if len(gone):

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from trunkline.llm import repeats
 from trunkline.llm import text as tx
 from trunkline.llm.common import stored, table
+from trunkline.llm.repeats import covered
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -64,7 +65,7 @@ def _cut(length: int):
         for batch in batches:
             for piece in tx.pieces(batch):
                 data, offsets = tx.utf8(piece.column(1))
-                gone = repeats.covered(piece.column(3), offsets, length)
+                gone = covered(piece.column(3), offsets, length)
                 begin = gone & np.append(True, ~gone[:-1]) if len(gone) else gone
                 if len(gone):
                     starts = offsets[:-1][np.diff(offsets) > 0]

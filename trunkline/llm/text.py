@@ -7,8 +7,8 @@ numpy, so no Python object is made per word. A batch is cut into pieces of whole
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
-from functools import lru_cache
+import types
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -51,25 +51,33 @@ def pieces(batch: pa.RecordBatch, limit: int = PIECE_BYTES) -> Iterator[pa.Recor
         first = last
 
 
-@lru_cache(maxsize=8)
-def _powers(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd base and of its inverse modulo 2**64."""
-    out = []
-    for b in (base, pow(base, -1, 1 << 64)):
-        steps = np.full(size, b, np.uint64)
-        steps[0] = 1
-        out.append(np.cumprod(steps, dtype=np.uint64))
-    return out[0], out[1]
+def kept(name: str, make: Callable):
+    """A value that the worker makes once and keeps from task to task."""
+    values = sys.modules.setdefault("_kept_in_worker", types.ModuleType("kept")).__dict__
+    if name not in values:
+        values[name] = make()
+    return values[name]
 
 
 def powers(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """The same, in tables of sizes that double, so that few are kept."""
-    return _powers(base, 1 << max(16, (size + 1).bit_length()))
+    """At least ``size`` powers of an odd base and of its inverse modulo 2**64."""
+    tables = kept("powers", dict)
+    if base not in tables or len(tables[base][0]) < size:
+        length = -(-size // (1 << 19)) << 19
+        out = []
+        for b in (base, pow(base, -1, 1 << 64)):
+            steps = np.full(length, b, np.uint64)
+            steps[0] = 1
+            out.append(np.cumprod(steps, dtype=np.uint64))
+        tables[base] = (out[0], out[1])
+    return tables[base]
 
 
-@lru_cache(maxsize=1)
 def _byte_values() -> np.ndarray:
-    return np.random.default_rng(20).integers(0, 1 << 64, 256, dtype=np.uint64) | np.uint64(1)
+    def make():
+        return np.random.default_rng(20).integers(0, 1 << 64, 256, dtype=np.uint64) | np.uint64(1)
+
+    return kept("byte values", make)
 
 
 def mix(h: np.ndarray) -> np.ndarray:

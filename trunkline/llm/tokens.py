@@ -11,9 +11,7 @@ from __future__ import annotations
 
 import os
 import sys
-import types
 import unicodedata
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +27,11 @@ TABLE_BITS, TABLE_IDS = 22, 16_000_000
 _LETTER, _NUMBER, _SPACE, _MARK, _UNKNOWN = 1, 2, 3, 4, 5
 
 
-@lru_cache(maxsize=1)
 def _classes() -> np.ndarray:
+    return tx.kept("classes", _make_classes)
+
+
+def _make_classes() -> np.ndarray:
     """Class of every code point below 0x500; the rest is unknown."""
     out = np.full(0x800, _UNKNOWN, np.uint8)
     for code in range(0x500):
@@ -207,10 +208,7 @@ class Vocabulary:
 
 def vocabulary(path: str) -> Vocabulary:
     """The worker's own vocabulary of a file, kept from task to task."""
-    kept = sys.modules.setdefault("trunkline_vocabularies", types.ModuleType("kept"))
-    if path not in kept.__dict__:
-        kept.__dict__[path] = Vocabulary(path)
-    return kept.__dict__[path]
+    return tx.kept(f"vocabulary {path}", lambda: Vocabulary(path))
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
