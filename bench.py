@@ -36,6 +36,7 @@ HEADLINE = [
     "carrier_change",
     "enrich_cdr",
     "load_portability",
+    "load_numbering",
 ]
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from trunkline.plans.loads import Warehouse, load_numbering, load_portability
 from trunkline.sources import discovery, numbering, portability, preview
-from trunkline.sources.tables import read_history, write_result
+from trunkline.sources.tables import write_result
 from trunkline.streaming import load_portability_stream
 
 HEADER = (
@@ -18,8 +18,8 @@ HEADER = (
 )
 
 
-def line(bp=7266080, tn=2139838686, rec="0123", rname="TIM SA", don="0121",
-         dname="EMBRATEL", day="11/06/2010 00:00:00", status="1", flag="Nao"):
+def line(bp=5001007, tn=4733120954, rec="0377", rname="Araucária Tel", don="0388",
+         dname="Litoral Fixa", day="11/06/2010 00:00:00", status="1", flag="Nao"):
     return f"1;{bp};{tn};{rec};{rname};{don};{dname};{day};{status};Ativo;{flag}"
 
 
@@ -53,7 +53,7 @@ def test_scan_and_type(spark, tmp_path):
             line(bp=7, flag="Talvez"),
             line(bp=8, status=""),
             line(bp=9) + ";extra",
-            "1;10;2139838686",
+            "1;10;4733120954",
             "x" + line(bp=11)[1:],
             ";" + line(bp=12)[2:],
         ],
@@ -63,16 +63,16 @@ def test_scan_and_type(spark, tmp_path):
     typed = portability.type_portability(portability.scan_portability(spark, str(tmp_path)))
     reasons = {r.numero_bp: r.motivo for r in typed.collect()}
     assert reasons == {
-        7266080: None, 2: None, None: "numero_bp", 4: "tn_inicial", 5: "data_agendamento",
+        5001007: None, 2: None, None: "numero_bp", 4: "tn_inicial", 5: "data_agendamento",
         6: "data_agendamento", 7: "ind_portar_origem", 8: "cod_status",
         9: "numero de campos", 10: "numero de campos", 11: "tipo_registro", 12: None,
         13: None,
     }
     good = {r.numero_bp: r for r in portability.accepted(typed).collect()}
-    assert set(good) == {7266080, 2, 12, 13}
+    assert set(good) == {5001007, 2, 12, 13}
     assert portability.rejected(typed).count() == 9
-    first = good[7266080]
-    assert (first.cod_receptora, first.cod_doadora, first.ind_portar_origem) == (123, 121, 0)
+    first = good[5001007]
+    assert (first.cod_receptora, first.cod_doadora, first.ind_portar_origem) == (377, 388, 0)
     assert first.data_agendamento == datetime(2010, 6, 11)
     assert first.nome_arquivo == "r1.csv.gz" and good[13].nome_arquivo == "r2.csv.gz"
     second = good[2]
@@ -107,19 +107,21 @@ def test_missing_and_empty(spark, tmp_path):
 # --- numbering plan -----------------------------------------------------------------
 
 STFC = (
-    "# Nome;CNPJ;UF;CN;Prefixo;Faixa Inicial;Faixa Final;CNL;Localidade;Area;Sigla;Cod;Status\n"
-    "101telecom;31063800000185;SP;11;5201;0000;0999;11000;São Paulo;São Paulo;SPO;3827;1\n"
+    "# a;b;c;d;e;f;g;h;i;j;k;l;m\n"
+    "Serra Fixa;10000000000101;SC;11;5201;0000;0999;47001;São Bento;São Bento;SBS;4701;1\n"
     "\n"
-    "Sem CNL;04238297000189;SP;11;4922;1000;1999;;Itu;Itu;ITU;3537;1;sobra\n"
+    "Sem CNL;10000000000202;SC;11;4922;1000;1999;;Itá;Itá;ITA;4702;1;;\n"
+    "Sobra;10000000000203;SC;11;4923;1000;1999;;Itá;Itá;ITA;4702;1;sobra\n"
+    "CNL ruim;10000000000204;SC;11;4924;1000;1999;x;Itá;Itá;ITA;4702;1\n"
 )
 SMP = (
-    "# Nome;CNPJ;CN;Prefixo;Faixa Inicial;Faixa Final;Status\n"
-    "1NCE;45061943000162;11;91932;0000;9999;1\n"
-    "Curta;45061943000163;11;91933\n"
+    "# a;b;c;d;e;f;g\n"
+    "Móvel Um;10000000000303;11;91932;0000;9999;1\n"
+    "Curta;10000000000304;11;91933\n"
 )
-SME = "# h\nClaro NXT;66970229000167;11;7801;0000;0999;1\n"
-CNG = "# h\nAGERA;01009876000161;8005917204;1\n"
-SUP = "# h\nPolícia;00394494000136;190;;SP;Todos;1;São Paulo;PM;1;1\n"
+SME = "# h\nRádio Sul;10000000000405;11;7801;0000;0999;1\n"
+CNG = "# h\nGratuita;10000000000506;8005917204;1\n"
+SUP = "# h\nPolícia;10000000000607;190;;SC;Todos;1;Itá;PM;1;1\nSem código;x;191;;SC;Todos;1;Itá;PM;1;1\n"
 
 
 @pytest.fixture
@@ -136,15 +138,21 @@ def plan_folder(tmp_path):
 
 def test_stage_numbering(spark, plan_folder):
     archives = numbering.scan_archives(spark, str(plan_folder))
-    rows = {r.nome_prestadora: r for r in numbering.stage_fixed_and_mobile(archives).collect()}
-    assert set(rows) == {"101telecom", "Sem CNL", "1NCE", "Curta", "Claro NXT"}
-    assert rows["101telecom"].nome_localidade == "São Paulo"
+    staged = numbering.fixed_and_mobile(
+        numbering.stage_numbering(archives, "STFC"), numbering.stage_numbering(archives, "SMP_SME")
+    )
+    rows = {r.nome_prestadora: r for r in staged.collect()}
+    assert {n: r.motivo for n, r in rows.items()} == {
+        "Serra Fixa": None, "Sem CNL": None, "Sobra": "numero de campos",
+        "CNL ruim": "codigo_cnl", "Móvel Um": None, "Curta": "numero de campos", "Rádio Sul": None,
+    }
+    assert rows["Serra Fixa"].nome_localidade == "São Bento"
     assert rows["Sem CNL"].codigo_cnl is None and rows["Sem CNL"].status == "1"
     assert rows["Curta"].faixa_inicial is None
     assert {r.servico for r in rows.values()} == {"STFC", "SMP_SME"}
-    assert rows["Claro NXT"].nome_arquivo == "Sme.zip"
-    assert numbering.stage_numbering(archives, "SUP").first().nome_prestadora == "Polícia"
-    assert [r[0] for r in numbering.unknown_files(archives).collect()] == ["outro.zip"]
+    assert rows["Rádio Sul"].nome_arquivo == "Sme.zip"
+    utility = {r.nome_prestadora: r.motivo for r in numbering.stage_numbering(archives, "SUP").collect()}
+    assert utility == {"Polícia": None, "Sem código": "cnpj_prestadora"}
     cng_only = numbering.scan_archives(spark, str(plan_folder), "CNG")
     assert cng_only.count() == 1
 
@@ -163,7 +171,34 @@ def test_damaged_archive_is_reported(spark, plan_folder, tmp_path):
     assert report["SMP_ruim.zip"].erro.startswith("BadZipFile")
     assert report["STFC_crc.zip"].erro.startswith("BadZipFile")
     assert report["outro.zip"].erro == "tipo desconhecido"
-    assert report["smp.zip"].status == "success" and report["smp.zip"].linhas == 2
+    assert tuple(report["smp.zip"])[1:] == (2, 1, 1, "numero de campos", "error")
+    assert tuple(report["SUP.zip"])[1:] == (2, 1, 1, "cnpj_prestadora", "error")
+    assert tuple(report["Sme.zip"])[1:] == (1, 1, 0, None, "success")
+
+
+def test_all_files_of_an_archive_are_read(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "SMP.zip", "w") as z:
+        z.writestr("dados/", "")
+        z.writestr("dados/a.csv", "h\nA;1;11;91932;0000;9999;1\n")
+        z.writestr("dados/b.csv", "h\nB;2;11;91933;0000;9999;1\nC;3;11;91934;0000;9999;1\n")
+    staged = numbering.stage_numbering(numbering.scan_archives(spark, str(tmp_path)), "SMP_SME")
+    assert {r.nome_prestadora for r in staged.collect()} == {"A", "B", "C"}
+
+
+def test_damaged_report_does_not_stop_the_others(spark, tmp_path):
+    reports = tmp_path / "pip"
+    write_report(reports / "bom.csv.gz", [line(bp=i) for i in range(50)])
+    whole = gzip.compress("\n".join([HEADER] + [line(bp=i, tn=11900000000 + i) for i in range(999)]).encode())
+    (reports / "cortado.csv.gz").write_bytes(whole[: len(whole) // 2])
+    (reports / "vazio.csv.gz").write_bytes(b"")
+    warehouse = Warehouse(spark, str(tmp_path / "wh"))
+    rows = load_portability(warehouse, str(reports)).report.collect()
+    report = {r.nome_arquivo: tuple(r)[1:] for r in rows}
+    assert report["bom.csv.gz"] == (50, 50, 0, None, "success")
+    assert report["vazio.csv.gz"] == (0, 0, 0, None, "success")
+    read, loaded, rejected, why, status = report["cortado.csv.gz"]
+    assert (read, loaded, rejected, status) == (0, 0, 0, "error") and "Exception" in why
+    assert warehouse.history.count() == 1
 
 
 def test_other_file_types_are_not_read(spark, plan_folder):
@@ -200,9 +235,13 @@ def test_load_and_query(spark, tmp_path, plan_folder):
     warehouse = Warehouse(spark, str(tmp_path / "wh"))
     plan = load_numbering(warehouse, str(plan_folder))
     status = {r.nome_arquivo: (r.status, r.linhas) for r in plan.report.collect()}
-    assert status["outro.zip"] == ("error", 0) and status["STFC_2024.zip"] == ("success", 2)
-    assert warehouse.read("numeracao").count() == 6
-    assert warehouse.read("numeracao_rejeitada").count() == 0
+    assert status["outro.zip"] == ("error", 0) and status["STFC_2024.zip"] == ("error", 2)
+    assert warehouse.read("numeracao").count() == 5
+    rejected = warehouse.read("numeracao_rejeitada").collect()
+    assert {(r.nome_arquivo, r.motivo) for r in rejected} == {
+        ("STFC_2024.zip", "numero de campos"), ("STFC_2024.zip", "codigo_cnl"),
+        ("smp.zip", "numero de campos"),
+    }
 
     load = load_portability(warehouse, str(reports))
     report = {r.nome_arquivo: tuple(r)[1:] for r in load.report.collect()}
@@ -221,28 +260,39 @@ def test_load_and_query(spark, tmp_path, plan_folder):
 
     numbers = [11919320001, "1152010001", 8005917204, 190, 11919320001, 11919350000]
     assert ask(numbers, "2015-06-30") == {
-        11919320001: ("TIM SA", 1, 1),
+        11919320001: ("Araucária Tel", 1, 1),
         1152010001: ("Novíssima", 1, 1),
-        8005917204: ("AGERA", 0, 1),
+        8005917204: ("Gratuita", 0, 1),
         190: (None, 0, 0),
         11919350000: (None, 0, 0),
     }
-    assert ask([11919320001], "01/01/2010") == {11919320001: ("1NCE", 0, 1)}
+    assert ask([11919320001], "01/01/2010") == {11919320001: ("Móvel Um", 0, 1)}
     assert ask([11919320001], date(2020, 1, 10)) == {
         11919320001: ("NÃO IDENTIFICADO", 1, 1)
     }
     with pytest.raises(TypeError):
         warehouse.query_numbers_carriers(11919320001)
-    with pytest.raises(ValueError):
-        warehouse.query_numbers_carriers([])
+    for wrong in ([], [11919320001, "abc"], [None]):
+        with pytest.raises(ValueError):
+            warehouse.query_numbers_carriers(wrong)
+    mixed = spark.createDataFrame([("11919320001",), ("abc",), (None,), ("abc",)], "n string")
+    rows = warehouse.query_numbers_carriers(mixed, "01/01/2010").collect()
+    assert sorted(map(tuple, rows), key=str) == [
+        (11919320001, "Móvel Um", 0, 1), (None, None, 0, 0), (None, None, 0, 0)
+    ]
+    few = warehouse.query_numbers_carriers([11919320001], "2015-06-30")
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    scan = next(x for x in plan.splitlines() if "PartitionFilters" in x and "cn_bucket" in x)
+    assert "cn_11" in scan.split("PartitionFilters")[1]
+    assert "LeftSemi" in plan
 
     names = dict(warehouse.read("prestadoras").collect())
-    assert names[394494000136] == "Polícia" and names[777] == "Nova"
+    assert names[10000000000607] == "Polícia" and names[777] == "Nova"
     before = warehouse.history.count()
     load_portability(warehouse, str(reports))
     assert warehouse.history.count() == before == 3
     later = tmp_path / "later"
-    write_report(later / "a.csv.gz", [line(bp=9, tn=1152010001, rec="0123")])
+    write_report(later / "a.csv.gz", [line(bp=9, tn=1152010001, rec="0377")])
     load_portability(warehouse, str(later), drop_staging=True)
     assert not warehouse.has("stg_portabilidade")
     assert warehouse.history.where("tn_inicial = 1152010001").first().numero_bp == 9
@@ -262,21 +312,25 @@ def test_load_without_good_lines(spark, tmp_path):
 
 def test_stream_equals_batch_loads(spark, tmp_path):
     inbox = tmp_path / "in"
-    history = str(tmp_path / "history")
+    warehouse = Warehouse(spark, str(tmp_path / "wh"))
     arrivals = [
         {"b.csv.gz": [line(bp=1), line(bp=2, tn=11900000001)], "a.csv.gz": [line(bp=3)]},
         {"0.csv.gz": [line(bp=4), line(bp=5, tn=85900000001, flag="?")]},
     ]
-    expected = [{2139838686: 1, 11900000001: 2}, {2139838686: 4, 11900000001: 2}]
+    expected = [{4733120954: 1, 11900000001: 2}, {4733120954: 4, 11900000001: 2}]
     for files, want in zip(arrivals, expected):
         for name, lines in files.items():
             write_report(inbox / name, lines)
         for _ in range(2):  # a second run finds nothing new
-            load_portability_stream(
-                spark, str(inbox), history, str(tmp_path / "ckpt")
-            ).awaitTermination()
-        got = {r.tn_inicial: r.numero_bp for r in read_history(spark, history).collect()}
+            load_portability_stream(warehouse, str(inbox), str(tmp_path / "ckpt")).awaitTermination()
+        got = {r.tn_inicial: r.numero_bp for r in warehouse.history.collect()}
         assert got == want
+    names = dict(warehouse.read("prestadoras").collect())
+    assert names[377] == "Araucária Tel" and names[388] == "Litoral Fixa"
+    bad = warehouse.read("portabilidade_rejeitada").collect()
+    assert [(r.numero_bp, r.motivo, r.lote) for r in bad] == [(5, "ind_portar_origem", 1)]
+    report = {r.nome_arquivo: (r.linhas, r.rejeitadas) for r in warehouse.read("relatorio_portabilidade").collect()}
+    assert report == {"a.csv.gz": (1, 0), "b.csv.gz": (2, 0), "0.csv.gz": (1, 1)}
 
 
 # --- looking at files ---------------------------------------------------------------
@@ -317,7 +371,22 @@ def test_header_check(spark, mixed_folder):
     files = discovery.list_files(spark, str(mixed_folder), "*.csv*")
     wanted = ["timestamp", "origem", "destino", "duracao"]
     got = {r[0]: (r[1], r[2]) for r in preview.header_check(files, wanted).collect()}
-    assert got == {"a.csv": ("", True), "b.csv.gz": ("destino,duracao", False)}
+    every = ",".join(wanted)
+    assert got == {"a.csv": ("", True), "b.csv.gz": ("destino,duracao", False), "e.csv": (every, False)}
+
+
+def test_header_check_of_a_file_that_cannot_be_read(spark, tmp_path):
+    (tmp_path / "x.csv.gz").write_bytes(b"no gzip")
+    files = discovery.list_files(spark, str(tmp_path))
+    row = preview.header_check(files, ["a"]).first()
+    assert not row.valido and row.erro.startswith("BadGzipFile")
+
+
+def test_preview_of_a_long_line(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("é" * 200_000 + "\nsegunda\n")
+    rows = preview.preview_files(discovery.list_files(spark, str(tmp_path)), 3).collect()
+    assert [(r.linha_no, len(r.linha) <= preview.LINE_BYTES) for r in rows] == [(1, True), (2, True)]
+    assert rows[1].linha == "segunda" and set(rows[0].linha) == {"é"}
 
 
 def test_inventory(spark, mixed_folder):
@@ -329,8 +398,9 @@ def test_inventory(spark, mixed_folder):
         "b.csv.gz": ("b.csv.gz", ".gz", "gzip"),
         "c.zip": ("c.zip", ".zip", None),
         "d.log": ("sub/d.log", ".log", "texto"),
+        "e.csv": ("e.csv", ".csv", "texto"),
     }
-    assert all(r.tamanho > 0 for r in rows)
+    assert {r.nome for r in rows if not r.tamanho} == {"e.csv"}
 
 
 def test_encoding_probe(spark, mixed_folder):

@@ -16,6 +16,7 @@ from trunkline.operators import (
     upsert_history,
 )
 from trunkline.schemas import STAGED_PORTABILITY
+from trunkline.sources import tables
 from trunkline.sources.tables import merge_history, read_history
 
 
@@ -27,7 +28,7 @@ def _staged_rows(seed, files, n=2000):
         hot = i % 3 == 0
         tn = 11900000001 if hot else rng.choice([11, 21, 85, 10]) * 10**9 + rng.randint(0, 200)
         day = datetime(2010, 1, 1) + timedelta(
-            days=0 if hot else rng.randint(0, 5), hours=rng.randint(0, 23)
+            days=0 if hot else 12 * rng.randint(0, 5), hours=rng.randint(0, 23)
         )
         rows.append(
             (1, rng.randint(1, 50), tn, rng.choice([None, 101, 102]), "R",
@@ -102,31 +103,57 @@ def test_history_table(spark, tmp_path):
         merge_history(spark, dedup_portability(_frame(spark, rows)), path)
     expected = {**_brute_dedup(old), **_brute_dedup(new)}
     assert _as_dict(read_history(spark, path)) == expected
-    buckets = {p.name for p in (tmp_path / "history").iterdir() if p.is_dir()}
-    assert buckets == {
-        "cn_bucket=cn_11", "cn_bucket=cn_21_40", "cn_bucket=cn_71_99", "cn_bucket=cn_default"
-    }
+    parts = {f.split("/", 1)[1] for f in tables._current(spark, path)}
+    months = {(r.cn_bucket, r.mes) for r in read_history(spark, path).collect()}
+    assert parts == {f"cn_bucket={b}/mes={m}" for b, m in months}
+    assert {b for b, _ in months} == {"cn_11", "cn_21_40", "cn_71_99", "cn_default"}
     merge_history(spark, dedup_portability(_frame(spark, old)), path, rebuild=True)
     assert _as_dict(read_history(spark, path)) == _brute_dedup(old)
+    assert len([p for p in (tmp_path / "history").iterdir() if p.name.startswith("versao=")]) == 1
 
 
-def test_only_touched_buckets_are_rewritten(spark, tmp_path):
-    path = tmp_path / "history"
+def test_only_touched_months_are_rewritten(spark, tmp_path):
+    path = str(tmp_path / "history")
     rows = _staged_rows(1, ["a.csv.gz"])
-    merge_history(spark, dedup_portability(_frame(spark, rows)), str(path))
+    merge_history(spark, dedup_portability(_frame(spark, rows)), path)
+    before = set(tables._current(spark, path))
+    day = next(r[7] for r in rows if r[2] // 10**9 == 11)
+    batch = [
+        r for r in _staged_rows(2, ["b.csv.gz"])
+        if r[2] // 10**9 == 11 and (r[7].year, r[7].month) == (day.year, day.month)
+    ]
+    assert batch
+    merge_history(spark, dedup_portability(_frame(spark, batch)), path)
+    after = set(tables._current(spark, path))
+    name = f"cn_bucket=cn_11/mes={day:%Y-%m}"
+    assert {f.split("/", 1)[1] for f in after - before} == {name}
+    assert {f.split("/", 1)[1] for f in before - after} <= {name}
+    expected = {**_brute_dedup(rows), **_brute_dedup(batch)}
+    assert _as_dict(read_history(spark, path)) == expected
+    merge_history(spark, dedup_portability(_frame(spark, [])), path)
+    assert _as_dict(read_history(spark, path)) == expected
 
-    def files(bucket):
-        return {p.name for p in (path / f"cn_bucket={bucket}").iterdir()}
 
-    before = {b: files(b) for b in ("cn_11", "cn_71_99")}
-    batch = [r for r in _staged_rows(2, ["b.csv.gz"]) if r[2] // 10**9 == 11]
-    merge_history(spark, dedup_portability(_frame(spark, batch)), str(path))
-    assert files("cn_71_99") == before["cn_71_99"]
-    assert not files("cn_11") & before["cn_11"]
-    expected = {**_brute_dedup(rows), **_brute_dedup(batch)}
-    assert _as_dict(read_history(spark, str(path))) == expected
-    merge_history(spark, dedup_portability(_frame(spark, [])), str(path))
-    assert _as_dict(read_history(spark, str(path))) == expected
+def test_a_failed_write_leaves_the_old_tables(spark, tmp_path, monkeypatch):
+    history, names = str(tmp_path / "history"), str(tmp_path / "names")
+    rows = _staged_rows(1, ["a.csv.gz"])
+    merge_history(spark, dedup_portability(_frame(spark, rows)), history)
+    tables.replace_table(spark.range(3), names)
+
+    def fail(*_):
+        raise OSError("no space")
+
+    monkeypatch.setattr(tables, "_switch", fail)
+    batch = dedup_portability(_frame(spark, _staged_rows(2, ["b.csv.gz"])))
+    with pytest.raises(OSError):
+        merge_history(spark, batch, history)
+    with pytest.raises(OSError):
+        tables.replace_table(tables.read_versioned(spark, names).where("id > 0"), names)
+    broken = spark.range(3).select(F.raise_error(F.lit("x")).cast("bigint").alias("id"))
+    with pytest.raises(Exception):
+        tables.replace_table(broken, names)
+    assert _as_dict(read_history(spark, history)) == _brute_dedup(rows)
+    assert tables.read_versioned(spark, names).count() == 3
 
 
 def test_carrier_names(spark):

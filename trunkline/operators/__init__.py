@@ -1,6 +1,6 @@
 """DataFrame operators."""
 
-from trunkline.operators.calls import normalize_calls, read_calls
+from trunkline.operators.calls import normalize_calls
 from trunkline.operators.carriers import (
     carriers_from_numbering,
     carriers_from_portability,
@@ -45,7 +45,6 @@ __all__ = [
     "numbers_to_query",
     "ported_carrier",
     "portability_rate",
-    "read_calls",
     "rejected_ranges",
     "resolve_carriers",
     "resolve_carriers_at",

@@ -10,12 +10,16 @@ from trunkline.schemas import NUMBERING_PLAN
 _NO_LOCALITY = -1
 
 
+_PROVENANCE = ("nome_arquivo", "motivo")
+
+
 def _typed(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     return df.select(
         *[
             columns[f.name].try_cast(f.dataType).alias(f.name)
             for f in NUMBERING_PLAN.fields
-        ]
+        ],
+        *[c for c in _PROVENANCE if c in df.columns],
     )
 
 
@@ -64,9 +68,15 @@ def _complete() -> Column:
 
 def consolidate_plan(fixed_and_mobile: DataFrame, non_geographic: DataFrame) -> DataFrame:
     """Ranges of fixed, mobile and non-geographic numbers; every column is required."""
-    return _all_ranges(fixed_and_mobile, non_geographic).where(_complete())
+    ranges = _all_ranges(fixed_and_mobile, non_geographic)
+    return ranges.where(_complete()).select(NUMBERING_PLAN.fieldNames())
 
 
 def rejected_ranges(fixed_and_mobile: DataFrame, non_geographic: DataFrame) -> DataFrame:
-    """Ranges that ``consolidate_plan`` leaves out because a value does not parse."""
-    return _all_ranges(fixed_and_mobile, non_geographic).where(~_complete())
+    """Ranges that the plan leaves out, as far as their values parse.
+
+    Rows with a column ``motivo`` have been rejected before, and all of them are given back
+    with file and reason; of other rows those count that are not complete.
+    """
+    ranges = _all_ranges(fixed_and_mobile, non_geographic)
+    return ranges if "motivo" in ranges.columns else ranges.where(~_complete())

@@ -6,17 +6,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def load_report(rows: DataFrame, reason: Column) -> DataFrame:
+def load_report(rows: DataFrame, reason: Column, fault: Column | None = None) -> DataFrame:
     """Rows read, loaded and rejected per source file, with the file's status.
 
     ``reason`` says why a row is rejected and is NULL for a good row; ``erro`` names one
-    of the reasons of the file.
+    of the reasons of the file, its ``fault`` before others.
     """
+    named = F.max(reason) if fault is None else F.coalesce(F.max(fault), F.max(reason))
     report = rows.groupBy("nome_arquivo").agg(
         F.count(F.lit(1)).alias("linhas_lidas"),
         F.count_if(reason.isNull()).alias("linhas"),
         F.count_if(reason.isNotNull()).alias("rejeitadas"),
-        F.max(reason).alias("erro"),
+        named.alias("erro"),
     )
     status = F.when(F.col("rejeitadas") == 0, "success").otherwise("error")
     return report.withColumn("status", status)

@@ -10,8 +10,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trunkline.functions.keys import parse_reference_date, query_keys
-from trunkline.operators.sizing import BROADCAST_LIMIT, broadcast_if_small
+from trunkline.functions.keys import cn_bucket, parse_reference_date, query_keys
+from trunkline.operators.sizing import (
+    BROADCAST_LIMIT,
+    broadcast_if_small,
+    measured_bytes,
+)
 
 RefDate = date | str | None
 
@@ -60,6 +64,12 @@ def numbers_to_query(numbers: DataFrame, *columns: str) -> DataFrame:
     )
 
 
+def unknown_numbers(numbers: DataFrame, column: str) -> DataFrame:
+    """Distinct values of a column that name no terminal, NULL among them."""
+    nu, _, _ = query_keys(column)
+    return numbers.where(nu.isNull()).select(F.col(column).cast("string").alias("texto")).distinct()
+
+
 def _ranked_plan(plan: DataFrame) -> DataFrame:
     """Distinct ranges with the rank that decides between overlapping ones.
 
@@ -75,34 +85,72 @@ def _ranked_plan(plan: DataFrame) -> DataFrame:
     return distinct.withColumn("ordem", rank.cast("decimal(38,0)"))
 
 
+def _points(plan: DataFrame) -> DataFrame:
+    """Ranges of one number, one carrier each: by the tie rule they beat any wider range."""
+    return (
+        plan.where("faixa_inicial = faixa_final")
+        .groupBy("cn", "prefixo", F.col("faixa_inicial").alias("nu_terminal"))
+        .agg(F.min("cod_prestadora").alias("_ponto"))
+    )
+
+
 def assigned_carrier(
     numbers: DataFrame, plan: DataFrame, broadcast_limit: int = BROADCAST_LIMIT
 ) -> DataFrame:
     """Distinct ``numbers`` with ``cod_prestadora`` of the numbering plan, or NULL.
 
-    Equal area code and prefix make this a hash join with a residual range test. A
-    plan of checked size is broadcast, and the numbers keep their partitioning, so
-    the aggregate needs no shuffle. A larger plan is shuffled on the prefix, of
-    which each has at most ten thousand distinct numbers; numbers without a prefix
-    match nothing and are spread over many keys.
+    Ranges of one number, as all non-geographic codes are, meet the numbers in an equi-join
+    on the number itself. For wider ranges, equal area code and prefix make a hash join
+    with a residual range test. A plan of checked size is broadcast, and the numbers keep
+    their partitioning, so the aggregate needs no shuffle. A larger plan is shuffled on
+    the prefix, of which each has at most ten thousand distinct numbers; numbers without
+    a prefix match nothing and are spread over many keys.
     """
-    ranges = broadcast_if_small(_ranked_plan(plan), broadcast_limit, plan).alias("p")
-    n = numbers.withColumn(
-        "chave_prefixo",
-        F.when(F.col("cn") >= 0, F.col("prefixo")).otherwise(
-            (-1 - F.pmod("nu_terminal", F.lit(_SPREAD))).cast("int")
-        ),
-    ).alias("n")
+    small = measured_bytes(plan) <= broadcast_limit
+    points, wide = _points(plan), _ranked_plan(plan.where("faixa_inicial < faixa_final"))
+    if small:
+        points, wide = F.broadcast(points), F.broadcast(wide)
+    ranges = wide.alias("p")
+    n = (
+        numbers.join(points, ["cn", "prefixo", "nu_terminal"], "left")
+        .withColumn(
+            "chave_prefixo",
+            F.when(F.col("cn") >= 0, F.col("prefixo")).otherwise(
+                (-1 - F.pmod("nu_terminal", F.lit(_SPREAD))).cast("int")
+            ),
+        )
+        .alias("n")
+    )
     inside = (
         (F.col("n.cn") == F.col("p.cn"))
         & (F.col("n.chave_prefixo") == F.col("p.prefixo"))
         & (F.col("p.faixa_inicial") <= F.col("n.nu_terminal"))
         & (F.col("p.faixa_final") >= F.col("n.nu_terminal"))
     )
+    carrier = F.coalesce(
+        F.max("n._ponto"), F.max_by("p.cod_prestadora", "p.ordem")
+    )
     return (
         n.join(ranges, inside, "left")
         .groupBy("n.nu_terminal", "n.cn", "n.prefixo")
-        .agg(F.max_by("p.cod_prestadora", "p.ordem").alias("cod_prestadora"))
+        .agg(carrier.alias("cod_prestadora"))
+    )
+
+
+#: Rows of numbers up to which the history is cut down to them before it is aggregated.
+FEW_NUMBERS = 100_000
+
+
+def history_of(history: DataFrame, numbers: DataFrame) -> DataFrame:
+    """The rows of a stored history that few distinct numbers can need.
+
+    Their area codes choose the partitions that are read, and the numbers themselves, of
+    which at most ``FEW_NUMBERS`` are given, are broadcast into a semi join.
+    """
+    buckets = numbers.select(cn_bucket("cn")).distinct().collect()  # one row a range
+    wanted = numbers.select(F.col("nu_terminal").alias("tn_inicial"))
+    return history.where(F.col("cn_bucket").isin([r[0] for r in buckets])).join(
+        F.broadcast(wanted), "tn_inicial", "left_semi"
     )
 
 
@@ -175,6 +223,8 @@ def resolve_carriers_at(
     """
     at = {f"_p{s}": parse_reference_date(d) for s, d in dates.items()}
     keyed = numbers_to_query(numbers, *columns)
+    if "cn_bucket" in history.columns and numbers.limit(FEW_NUMBERS + 1).count() <= FEW_NUMBERS:
+        history = history_of(history, keyed)
     assigned = assigned_carrier(keyed, plan, broadcast_limit)
     result = ported_carrier(assigned, history, at)
     names = broadcast_if_small(carriers, broadcast_limit)
@@ -268,10 +318,11 @@ def _join_answers(calls: DataFrame, answers: DataFrame, keys: list[str]) -> Data
     A remainder of the number joins the key for the physical plan only: the answers are
     partitioned by number alone, so the longer key gives both sides an exchange of
     their own, and with that the adaptive skew join can split the calls of a hot number
-    over many tasks.
+    over many tasks. Calls without a number match nothing; a running number spreads them.
     """
     rest = F.col("_nu") % 97
-    joined = calls.withColumn("_resto", rest).join(
+    spread = F.coalesce(rest, F.monotonically_increasing_id() % 9973)
+    joined = calls.withColumn("_resto", spread).join(
         answers.withColumn("_resto", rest), [*keys, "_resto"], "left"
     )
     return joined.drop(*keys, "_resto")

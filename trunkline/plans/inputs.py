@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from trunkline.functions.keys import MISSING_MARKS
 from trunkline.session import shared_folder
+from trunkline.sources.tables import merge_history, read_history
 
 
 def mobile(prefix: str, last: str) -> str:
@@ -257,20 +258,28 @@ def land(
 ) -> DataFrame:
     """A derived input as the parquet table that a user would have, written once a session.
 
-    Queries then start at a scan, as they do in use, with its pushdown and pruning. An
-    input of fewer splits than the cluster has cores is spread over all of them.
+    Queries then start at a scan, as they do in use, with its pushdown and pruning. The
+    rows are spread over all cores.
     """
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _landed:
         path = shared_folder(spark, name)
-        df = build(spark, sf_dir)
-        cores = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < cores:
-            df = df.repartition(cores)
-        df.write.parquet(path)
+        build(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism).write.parquet(path)
         _landed[key] = path
     return spark.read.parquet(_landed[key])
 
 
+def land_history(
+    spark: SparkSession, sf_dir: str, build: Callable[[SparkSession, str], DataFrame]
+) -> DataFrame:
+    """The history as the merge of the loads stores it, written once a session."""
+    key = (spark.sparkContext.applicationId, sf_dir, "historico")
+    if key not in _landed:
+        path = shared_folder(spark, "historico")
+        merge_history(spark, build(spark, sf_dir), path)
+        _landed[key] = path
+    return read_history(spark, _landed[key])
+
+
 def landed(spark: SparkSession, sf_dir: str, name: str, sql: str) -> DataFrame:
     return land(spark, sf_dir, name, lambda s, d: derive(s, d, sql))

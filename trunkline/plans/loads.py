@@ -18,28 +18,35 @@ from trunkline.operators.carriers import (
 from trunkline.operators.history import dedup_portability
 from trunkline.operators.plan import consolidate_plan, rejected_ranges
 from trunkline.operators.quality import load_report, load_totals
-from trunkline.operators.resolve import RefDate, resolve_carriers
+from trunkline.operators.resolve import RefDate, resolve_carriers, unknown_numbers
 from trunkline.schemas import NUMBERING_FILES
 from trunkline.sources.discovery import base_name, file_type, list_files
 from trunkline.sources.numbering import (
     ARCHIVE_PATTERN,
+    accepted_rows,
     fixed_and_mobile,
     readable,
+    rejected_rows,
     scan_archives,
     stage_numbering,
 )
 from trunkline.sources.portability import (
+    FILE_SCHEMA,
     REPORT_PATTERN,
     accepted,
+    damaged_reports,
     scan_portability,
+    scan_reports,
     type_portability,
 )
 from trunkline.sources.tables import (
     drop_table,
+    has_versions,
     materialize,
-    materialized,
     merge_history,
     read_history,
+    read_versioned,
+    replace_table,
     table_exists,
     write_table,
 )
@@ -67,6 +74,8 @@ class Warehouse:
         return f"{self.root.rstrip('/')}/{table}"
 
     def read(self, table: str) -> DataFrame:
+        if has_versions(self.spark, self.path(table)):
+            return read_versioned(self.spark, self.path(table))
         return self.spark.read.parquet(self.path(table))
 
     def has(self, table: str) -> bool:
@@ -82,7 +91,9 @@ class Warehouse:
         """Carrier of each number from the stored tables, as ``resolve_carriers`` gives it.
 
         ``numbers`` is a list or other iterable of numbers or texts, or a DataFrame
-        whose first column holds them.
+        whose first column holds them. A list with text that is no number raises; in a
+        DataFrame each different such text, and NULL, gives a row without number and
+        name, neither ported nor assigned.
         """
         if not isinstance(numbers, DataFrame):
             if isinstance(numbers, (str, bytes)) or not isinstance(numbers, Iterable):
@@ -91,7 +102,10 @@ class Warehouse:
             if not rows:
                 raise ValueError("numbers cannot be empty")
             numbers = self.spark.createDataFrame(rows, "nu_terminal string")
-        return resolve_carriers(
+            unknown = unknown_numbers(numbers, "nu_terminal").first()
+            if unknown is not None:
+                raise ValueError(f"not a number: {unknown[0]!r}")
+        answer = resolve_carriers(
             numbers,
             self.history,
             self.read("numeracao"),
@@ -99,6 +113,9 @@ class Warehouse:
             reference_date,
             (numbers.columns[0],),
         )
+        none = [F.lit(None).cast(answer.schema[c].dataType) for c in answer.columns[:2]]
+        no_answer = unknown_numbers(numbers, numbers.columns[0]).select(*none, F.lit(0), F.lit(0))
+        return answer.union(no_answer)
 
 
 def update_carriers(warehouse: Warehouse) -> None:
@@ -111,21 +128,67 @@ def update_carriers(warehouse: Warehouse) -> None:
         if warehouse.has(table):
             found.append(carriers_from_numbering(readable(warehouse.read(table))))
     old = warehouse.read("prestadoras") if warehouse.has("prestadoras") else None
-    with materialized(upsert_carriers(old, found), "prestadoras") as names:
-        write_table(names, warehouse.path("prestadoras"))
+    replace_table(upsert_carriers(old, found), warehouse.path("prestadoras"))
 
 
-def _with_empty_files(report: DataFrame, files: DataFrame) -> DataFrame:
-    """The report with a line for every file, also those without rows."""
-    names = files.select(base_name(F.col("path")).alias("nome_arquivo")).distinct()
+def apply_reports(warehouse: Warehouse, staged: DataFrame, rebuild: bool = False) -> None:
+    """What follows on staging, for batch loads and streams: history, then names."""
+    merge_history(
+        warehouse.spark,
+        dedup_portability(accepted(staged)),
+        warehouse.path("portabilidade_historico"),
+        rebuild,
+    )
+    update_carriers(warehouse)
+
+
+def _stage_reports(
+    spark: SparkSession, path: str, files: DataFrame, stage: str, encoding: str
+) -> dict[str, str]:
+    """Write the staging table; the files that cannot be read, by path, with the reason.
+
+    Only after a failure are the files tried one by one, and the good ones staged.
+    """
+    try:
+        write_table(type_portability(scan_portability(spark, path, encoding)), stage)
+        return {}
+    except Exception:
+        # One short path a file, as the file system listed them.
+        paths = [r.path for r in files.select("path").collect()]
+        damaged = damaged_reports(spark, paths)
+        if not damaged:
+            raise
+        good = [p for p in paths if p not in damaged]
+        rows = scan_reports(spark, good, encoding) if good else _no_lines(spark)
+        write_table(type_portability(rows), stage)
+        return damaged
+
+
+def _no_lines(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], FILE_SCHEMA).withColumn(
+        "nome_arquivo", F.lit(None).cast("string")
+    )
+
+
+def _with_empty_files(
+    report: DataFrame, files: DataFrame, damaged: dict[str, str] | None = None
+) -> DataFrame:
+    """The report with a line for every file, also those without rows or not readable."""
+    spark = files.sparkSession
+    why = spark.createDataFrame(list((damaged or {}).items()), "path string, _motivo string")
+    names = files.join(why, "path", "left").groupBy(
+        base_name(F.col("path")).alias("nome_arquivo")
+    ).agg(F.max("_motivo").alias("_motivo"))
     return names.join(report, "nome_arquivo", "left").select(
         "nome_arquivo",
         *[
             F.coalesce(c, F.lit(0)).alias(c)
             for c in ("linhas_lidas", "linhas", "rejeitadas")
         ],
-        "erro",
-        F.coalesce("status", F.lit("success")).alias("status"),
+        F.coalesce("_motivo", "erro").alias("erro"),
+        F.when(F.col("_motivo").isNotNull(), "error")
+        .otherwise(F.coalesce("status", F.lit("success")))
+        .alias("status"),
     )
 
 
@@ -140,7 +203,8 @@ def load_portability(
 
     Staging holds the lines of this load, rejected ones with their reason. Within one
     load the greatest file name wins; between loads the later load wins. A folder
-    without reports changes nothing.
+    without reports changes nothing. A file that cannot be read is reported as an error,
+    and nothing of it is loaded.
     """
     start = time.monotonic()
     spark = warehouse.spark
@@ -148,17 +212,11 @@ def load_portability(
     if files.isEmpty():
         return _result(load_report(_no_rows(spark), F.lit(None).cast("string")), start)
     stage = warehouse.path("stg_portabilidade")
-    write_table(type_portability(scan_portability(spark, path, encoding)), stage)
+    damaged = _stage_reports(spark, path, files, stage, encoding)
     staged = spark.read.parquet(stage)
     report = load_report(staged, F.col("motivo"))
-    result = _result(_with_empty_files(report, files), start)
-    merge_history(
-        spark,
-        dedup_portability(accepted(staged)),
-        warehouse.path("portabilidade_historico"),
-        rebuild,
-    )
-    update_carriers(warehouse)
+    result = _result(_with_empty_files(report, files, damaged), start)
+    apply_reports(warehouse, staged, rebuild)
     if drop_staging:
         drop_table(spark, stage)
     return replace(result, seconds=time.monotonic() - start)
@@ -169,8 +227,8 @@ def load_numbering(
 ) -> LoadResult:
     """Load numbering-plan archives into the plan and the carrier names.
 
-    The plan is replaced; ranges with a value that does not parse go to
-    ``numeracao_rejeitada`` instead. Public-utility files are staged and name
+    The plan is replaced; rejected rows go to ``numeracao_rejeitada`` instead, with file and
+    reason, and count in the report. Public-utility files are staged and name
     carriers, but are no part of the plan. A file that cannot be read, or whose type is
     unknown, is reported as an error. A folder without archives changes nothing.
     """
@@ -190,15 +248,22 @@ def load_numbering(
     }
     for table, staged in staging.items():
         write_table(staged, warehouse.path(table))
-    ranges = [readable(warehouse.read(t)) for t in ("stg_numeracao", "stg_cng")]
-    write_table(consolidate_plan(*ranges), warehouse.path("numeracao"))
-    write_table(rejected_ranges(*ranges), warehouse.path("numeracao_rejeitada"))
+    ranges = [warehouse.read(t) for t in ("stg_numeracao", "stg_cng")]
+    write_table(consolidate_plan(*map(accepted_rows, ranges)), warehouse.path("numeracao"))
+    write_table(
+        rejected_ranges(*map(rejected_rows, ranges)), warehouse.path("numeracao_rejeitada")
+    )
     update_carriers(warehouse)
     lines = reduce(
         DataFrame.unionByName,
-        [warehouse.read(t).select("nome_arquivo", "erro") for t in staging],
+        [
+            warehouse.read(t).select(
+                "nome_arquivo", "erro", F.coalesce("erro", "motivo").alias("motivo")
+            )
+            for t in staging
+        ],
     )
-    report = _with_empty_files(load_report(lines, F.col("erro")), files)
+    report = _with_empty_files(load_report(lines, F.col("motivo"), F.col("erro")), files)
     known = file_type(F.col("nome_arquivo")).isNotNull()
     report = report.withColumns(
         {

@@ -187,6 +187,8 @@ _BUCKET = (
     "when cn between 71 and 99 then 'cn_71_99' else 'cn_default' end"
 )
 
+_MONTH = "strftime(data_agendamento, '%Y-%m')"
+
 # --- plan and names -------------------------------------------------------------
 
 _PLAN = [
@@ -207,6 +209,34 @@ _PLAN = [
     ),
 ]
 
+#: Rows of the numbering archives, with file and reason.
+_NUMBERING = [
+    *_PLAN,
+    ("ss", inputs.STAGED_SUP),
+    (
+        "arquivos",
+        """select nome_prestadora, cnpj_prestadora,
+          concat(case servico when 'STFC' then 'STFC_' else 'SMP_' end, cn, '.zip') nome_arquivo,
+          case when cnpj_prestadora is null then 'cnpj_prestadora' end motivo,
+          cn, prefixo, faixa_inicial, faixa_final,
+          case when servico='STFC' then codigo_cnl end codigo_cnl, servico,
+          cast(null as varchar) codigo_nao_geografico, cast(null as varchar) numero_sup
+        from sn
+        union all
+        select nome_prestadora, cnpj_prestadora,
+          concat('CNG_', cast(codigo_nao_geografico as bigint)%3, '.zip'),
+          case when cnpj_prestadora is null then 'cnpj_prestadora' end,
+          null, null, null, null, null, null, codigo_nao_geografico, null
+        from sc
+        union all
+        select nome_prestadora, cnpj_prestadora,
+          concat('SUP_', cast(numero_sup as bigint)%3, '.zip'),
+          case when cnpj_prestadora is null then 'cnpj_prestadora' end,
+          null, null, null, null, null, null, null, numero_sup
+        from ss""",
+    ),
+]
+
 _UNKNOWN = "select cast(-1 as bigint) cod_prestadora, 'NÃO IDENTIFICADO' nome_prestadora"
 
 
@@ -305,11 +335,64 @@ def oracle_sql() -> dict[str, str]:
     sql: dict[str, str] = {}
 
     # Scans and decoding.
-    sql["scan_portability"] = _with(*_TYPED) + f"select {_TYPED_COLUMNS} from judged"
-    sql["scan_numbering"] = (
-        _with(*_PLAN)
-        + "select nome_prestadora, cnpj_prestadora, cn, prefixo, faixa_inicial, "
-        "faixa_final, codigo_cnl, servico from sn"
+    sql["scan_portability"] = (
+        _with(*_TYPED) + f"select {_TYPED_COLUMNS}, nome_arquivo from judged"
+    )
+    sql["scan_numbering"] = _with(*_NUMBERING) + (
+        "select nome_prestadora, cnpj_prestadora, nome_arquivo, motivo, cn, prefixo, "
+        "faixa_inicial, faixa_final, codigo_cnl, servico, codigo_nao_geografico, numero_sup "
+        "from arquivos"
+    )
+    sql["load_numbering"] = _with(*_PLAN) + "select * from plano"
+    sql["load_numbering_report"] = _with(*_NUMBERING) + (
+        "select nome_arquivo, count(*) linhas_lidas, "
+        "count(*) filter (where motivo is null) linhas, "
+        "count(motivo) rejeitadas, max(motivo) erro, "
+        "case when count(motivo)=0 then 'success' else 'error' end status "
+        "from arquivos group by nome_arquivo "
+        "union all select 'SMP_ruim.zip', 1, 0, 1, "
+        "'BadZipFile: File is not a zip file', 'error' "
+        "union all select 'PLANO_x.zip', 0, 0, 0, 'tipo desconhecido', 'error'"
+    )
+    sql["query_numbers_carriers"] = _with(
+        *_TYPED,
+        ("staged", "select * from good"),
+        ("hist", _dedup("staged")),
+        *_PLAN,
+        *_CARRIERS,
+        *_NTQ,
+        *_resolved("ntq", REFERENCE_DATE),
+    ) + (
+        "select * from resolvido union all "
+        "select null, null, 0, 0 from (values (1), (2), (3)) texto(n)"
+    )
+    line = (
+        "concat(call_id, ',', case when numero_a='' then '\"\"' else coalesce(numero_a,'') end, "
+        "',', case when numero_b='' then '\"\"' else coalesce(numero_b,'') end)"
+    )
+    name = "concat('chamadas_', call_id%4, '.csv.gz')"
+    sql["preview_files"] = _with(("d", inputs.DIALLED_CALLS)) + (
+        f"select nome_arquivo, cast(null as varchar) membro, cast(n+1 as int) linha_no, linha, "
+        f"cast(null as varchar) erro from (select {name} nome_arquivo, trim({line}) linha, "
+        "row_number() over (partition by call_id%4 order by call_id, numero_a nulls first, "
+        "numero_b nulls first) n from d) where n<=4 "
+        f"union all select distinct {name}, null, 1, 'timestamp,origem,destino', null from d"
+    )
+    sql["header_check"] = _with(("d", inputs.DIALLED_CALLS)) + (
+        f"select distinct {name} nome_arquivo, 'duracao' faltando, false valido, "
+        "cast(null as varchar) erro from d"
+    )
+    sql["file_inventory"] = _with(("d", inputs.DIALLED_CALLS)) + (
+        f"select distinct {name} nome, {name} caminho, '.gz' extensao, 'gzip' formato, "
+        "true com_conteudo from d "
+        "union all select 'vazio.log', 'sub/vazio.log', '.log', 'texto', false"
+    )
+    sql["encoding_probe"] = (
+        "select concat('utf8_', lang, '.csv') nome_arquivo, 'utf8' as \"encoding\" "
+        "from documents group by lang union all "
+        "select concat('latin1_', lang, '.csv'), case when "
+        "bool_or(regexp_matches(text, '[\\x{80}-\\x{ff}]')) then 'latin1' else 'utf8' end "
+        "from documents group by lang"
     )
     sql["file_type_dispatch"] = (
         _with(("nomes", inputs.FILE_NAMES))
@@ -432,14 +515,30 @@ def oracle_sql() -> dict[str, str]:
     )
     sql["dedup_portability"] = _with(*_HIST) + "select * from hist"
     sql["upsert_history"] = _with(*_BATCHES) + "select * from merged"
-    sql["history_table"] = _with(*_BATCHES) + f"select *, {_BUCKET} cn_bucket from merged"
-    sql["rebuild_history"] = _with(*_BATCHES) + f"select *, {_BUCKET} cn_bucket from h1"
-    sql["load_portability"] = _with(
-        *_TYPED,
-        ("one_file", "select * replace ('x' as nome_arquivo) from good"),
-        ("h", _dedup("one_file")),
-    ) + f"select {_HIST_COLUMNS} from h"
+    sql["history_table"] = _with(*_BATCHES) + f"select *, {_BUCKET} cn_bucket, {_MONTH} mes from merged"
+    sql["rebuild_history"] = _with(*_BATCHES) + f"select *, {_BUCKET} cn_bucket, {_MONTH} mes from h1"
+    sql["load_portability"] = (
+        _with(*_TYPED, ("h", _dedup("good"))) + f"select {_HIST_COLUMNS}, nome_arquivo from h"
+    )
     sql["incremental_load"] = sql["load_portability"]
+    sides = ("receptora", "doadora")
+    arrivals = [
+        (f"chegada{i}", f"select * from good where year(data_agendamento) {years}")
+        for i, years in enumerate(("< 1999", ">= 1999"))
+    ]
+    names = [
+        (f"nomes{i}", _names([(f"chegada{i}", f"cod_{s}", f"nome_{s}") for s in sides]))
+        for i in (0, 1)
+    ]
+    sql["incremental_carriers"] = _with(*_TYPED, *arrivals, *names) + (
+        "select * from nomes1 union all select * from nomes0 "
+        "where cod_prestadora not in (select cod_prestadora from nomes1)"
+    )
+    sql["incremental_rejected"] = _with(*_TYPED) + (
+        f"select {_TYPED_COLUMNS}, nome_arquivo, "
+        "cast(case when coalesce(year(data_agendamento),2010)<1999 then 0 else 1 end as int) lote "
+        "from judged where motivo is not null"
+    )
 
     # Carrier queries.
     sql["range_join_plan"] = (

@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,9 +11,9 @@ from trunkline.functions import keys
 from trunkline.functions import normalize as norm
 from trunkline.operators import calls as call_records
 from trunkline.operators import carriers, history, plan, quality, resolve
-from trunkline.plans import inputs, loads
+from trunkline.plans import files, inputs, loads
 from trunkline.plans.oracle import EARLIER_DATE, REFERENCE_DATE
-from trunkline.schemas import PORTABILITY_FILE
+from trunkline.schemas import NUMBERING_FILES
 from trunkline.session import shared_folder
 from trunkline.sources import discovery, numbering, portability, preview, tables
 from trunkline.streaming.incremental import load_portability_stream
@@ -74,7 +73,7 @@ def dialled_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def history_table_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored history, as the loader leaves it."""
-    return inputs.land(spark, sf_dir, "historico", dedup_portability)
+    return inputs.land_history(spark, sf_dir, dedup_portability)
 
 
 def plan_table_of(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,73 +109,79 @@ def normalized_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- sources --------------------------------------------------------------------
 
 
-def _write_reports(lines: DataFrame, folder: str, mode: str = "error") -> None:
-    """Report files; one number stays in one file, as file names decide between rows."""
-    (
-        lines.select(PORTABILITY_FILE.fieldNames())
-        .repartition("tn_inicial")
-        .write.mode(mode)
-        .options(sep=";", header=True, compression="gzip", emptyValue="")
-        .csv(folder)
-    )
-
-
 @query
 def scan_portability(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Report files written by Spark, read back by position and typed."""
+    """Report files with their names, read back by position and typed."""
     folder = shared_folder(spark, "reports")
-    _write_reports(portability_lines(spark, sf_dir), folder)
-    lines = portability.scan_portability(spark, folder)
-    return portability.type_portability(lines).drop("nome_arquivo")
+    files.write_reports(portability_lines(spark, sf_dir), folder)
+    return portability.type_portability(portability.scan_portability(spark, folder))
 
 
-def _archives(staged_rows: DataFrame, kind: str, columns: list[str]) -> DataFrame:
-    """ZIP archives as ``(path, content)``, one per batch of rows."""
+def _archives(spark: SparkSession, sf_dir: str) -> str:
+    """Archives of all four types, one that is damaged and one of unknown type."""
+    folder = shared_folder(spark, "planos")
+    rows = staged_numbering(spark, sf_dir)
+    sets = [
+        (rows.where("servico = 'STFC'"), "STFC", F.col("cn")),
+        (rows.where("servico = 'SMP_SME'"), "SMP_SME", F.col("cn")),
+        (staged_cng(spark, sf_dir), "CNG", F.col("codigo_nao_geografico").cast("bigint") % 3),
+        (staged_sup(spark, sf_dir), "SUP", F.col("numero_sup").cast("bigint") % 3),
+    ]
+    for some, kind, part in sets:
+        name = F.concat(F.lit(f"{kind.split('_')[0]}_"), part, F.lit(".zip"))
+        damaged = {"SMP_SME": "SMP_ruim.zip", "SUP": "PLANO_x.zip"}.get(kind)
+        files.write_archives(some, kind, name, folder, damaged)
+    return folder
+
+
+@query
+def scan_numbering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives of all four types in one folder, found, dealt by type and unpacked."""
+    folder = _archives(spark, sf_dir)
+    common = ["nome_prestadora", "cnpj_prestadora", "nome_arquivo", "motivo"]
+    numbered = ["cn", "prefixo", "faixa_inicial", "faixa_final", "codigo_cnl", "servico"]
+    staged_rows = {
+        kind: numbering.readable(
+            numbering.stage_numbering(numbering.scan_archives(spark, folder, kind), kind)
+        )
+        for kind in NUMBERING_FILES
+    }
+    ranges = numbering.fixed_and_mobile(staged_rows["STFC"], staged_rows["SMP_SME"])
+    return (
+        ranges.select(*common, *numbered)
+        .unionByName(
+            staged_rows["CNG"].select(*common, "codigo_nao_geografico"), allowMissingColumns=True
+        )
+        .unionByName(staged_rows["SUP"].select(*common, "numero_sup"), allowMissingColumns=True)
+    )
+
 
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import io
-        import zipfile
+def _loaded_plan(spark: SparkSession, sf_dir: str) -> tuple[loads.Warehouse, loads.LoadResult]:
+    warehouse = loads.Warehouse(spark, shared_folder(spark, "warehouse"))
+    return warehouse, loads.load_numbering(warehouse, _archives(spark, sf_dir))
 
-        for i, batch in enumerate(batches):
-            buffer = io.BytesIO()
-            with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
-                text = batch.to_csv(sep=";", index=False, header=["x"] * len(columns))
-                archive.writestr("dados.csv", text.encode("latin-1"))
-            yield pd.DataFrame(
-                {"path": [f"file:/planos/{kind}_{i}.zip"], "content": [buffer.getvalue()]}
-            )
 
-    return staged_rows.select(columns).mapInPandas(pack, "path string, content binary")
+@query
+def load_numbering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives to the plan, the whole load."""
+    return _loaded_plan(spark, sf_dir)[0].read("numeracao")
 
 
 @query
-def scan_numbering(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fixed and mobile archives packed by Spark tasks, unpacked and staged again."""
-    rows = staged_numbering(spark, sf_dir)
-    fixed_rows = rows.where("servico = 'STFC'").withColumns(
-        {
-            c: F.lit(None).cast("string")
-            for c in numbering.NUMBERING_FILES["STFC"].fieldNames()
-            if c not in rows.columns
-        }
-    )
-    mobile_rows = rows.where("servico = 'SMP_SME'").withColumn("status", F.lit("1"))
-    schemas = numbering.NUMBERING_FILES
-    fixed_files = _archives(fixed_rows, "STFC", schemas["STFC"].fieldNames())
-    mobile_files = _archives(mobile_rows, "SMP", schemas["SMP_SME"].fieldNames())
-    return numbering.fixed_and_mobile(
-        numbering.stage_numbering(fixed_files, "STFC"),
-        numbering.stage_numbering(mobile_files, "SMP_SME"),
-    ).select(
-        "nome_prestadora",
-        "cnpj_prestadora",
-        "cn",
-        "prefixo",
-        "faixa_inicial",
-        "faixa_final",
-        "codigo_cnl",
-        "servico",
-    )
+def load_numbering_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _loaded_plan(spark, sf_dir)[1].report
+
+
+@query
+def query_numbers_carriers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files to tables to an answer, with text among the numbers that is none."""
+    warehouse, _ = _loaded_plan(spark, sf_dir)
+    folder = shared_folder(spark, "reports")
+    files.write_reports(portability_lines(spark, sf_dir), folder)
+    loads.load_portability(warehouse, folder)
+    asked = numbers(spark, sf_dir)
+    junk = spark.createDataFrame([("abc",), ("+5511x",), (None,), ("abc",)], asked.schema)
+    return warehouse.query_numbers_carriers(asked.unionByName(junk), REFERENCE_DATE)
 
 
 @query
@@ -210,40 +215,40 @@ def rejected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _call_files(spark: SparkSession, sf_dir: str) -> str:
-    """Calls written by Spark as gzip CSV with a header."""
     folder = shared_folder(spark, "calls")
-    dialled_calls(spark, sf_dir).select(
-        F.col("call_id").alias("timestamp"),
-        F.col("numero_a").alias("origem"),
-        F.col("numero_b").alias("destino"),
-    ).write.csv(folder, header=True, compression="gzip")
+    files.write_calls(dialled_calls(spark, sf_dir), folder)
     return folder
 
 
 @query
 def preview_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = discovery.list_files(spark, _call_files(spark, sf_dir), "*.csv.gz")
-    return preview.preview_files(files, 5)
+    listed = discovery.list_files(spark, _call_files(spark, sf_dir), "*.csv.gz")
+    return preview.preview_files(listed, 5)
 
 
 @query
 def header_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = discovery.list_files(spark, _call_files(spark, sf_dir), "*.csv.gz")
-    return preview.header_check(files, ["timestamp", "origem", "destino", "duracao"])
+    listed = discovery.list_files(spark, _call_files(spark, sf_dir), "*.csv.gz")
+    return preview.header_check(listed, ["timestamp", "origem", "destino", "duracao"])
 
 
 @query
 def file_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The call files and an empty one; sizes depend on the compression."""
     folder = _call_files(spark, sf_dir)
-    return discovery.file_inventory(discovery.list_files(spark, folder), folder)
+    files.write_empty(spark, f"{folder}/sub/vazio.log")
+    found = discovery.file_inventory(discovery.list_files(spark, folder), folder)
+    return found.select(
+        "nome", "caminho", "extensao", "formato", (F.col("tamanho") > 0).alias("com_conteudo")
+    )
 
 
 @query
 def encoding_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark, "texts")
-    texts = spark.read.parquet(f"{sf_dir}/documents.parquet").select("text")
-    texts.write.csv(f"{folder}/utf8")
-    texts.write.csv(f"{folder}/latin1", encoding="ISO-8859-1")
+    texts = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    files.write_texts(texts, folder, "UTF-8", "utf8")
+    files.write_texts(texts, folder, "ISO-8859-1", "latin1")
     return preview.encoding_probe(spark, folder, "*.csv")
 
 
@@ -435,25 +440,41 @@ def rebuild_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 def load_portability(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files to history table, the whole load."""
     folder = shared_folder(spark, "reports")
-    _write_reports(portability_lines(spark, sf_dir), folder)
+    files.write_reports(portability_lines(spark, sf_dir), folder)
     warehouse = loads.Warehouse(spark, shared_folder(spark, "warehouse"))
     loads.load_portability(warehouse, folder)
-    return warehouse.history.drop("nome_arquivo", "cn_bucket")
+    return warehouse.history.drop("cn_bucket", "mes")
 
 
-@query
-def incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two arrivals of files, each merged by one run of the stream."""
+def _streamed(spark: SparkSession, sf_dir: str) -> loads.Warehouse:
+    """Two arrivals of files, each loaded by one run of the stream."""
     root = shared_folder(spark, "stream")
+    warehouse = loads.Warehouse(spark, f"{root}/warehouse")
     lines = portability_lines(spark, sf_dir)
     order = F.col("data_agendamento").substr(7, 4)
-    for arrival in (order < "1999", order >= "1999"):
-        _write_reports(lines.where(arrival), f"{root}/in", mode="append")
+    for i, arrival in enumerate((order < "1999", order >= "1999")):
+        files.write_reports(lines.where(arrival), f"{root}/in/{i}")
         load_portability_stream(
-            spark, f"{root}/in", f"{root}/history", f"{root}/checkpoint"
+            warehouse, f"{root}/in", f"{root}/checkpoint"
         ).awaitTermination()
-    merged = tables.read_history(spark, f"{root}/history")
-    return merged.drop("nome_arquivo", "cn_bucket")
+    return warehouse
+
+
+@query
+def incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _streamed(spark, sf_dir).history.drop("cn_bucket", "mes")
+
+
+@query
+def incremental_carriers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Carrier names after two arrivals."""
+    return _streamed(spark, sf_dir).read("prestadoras")
+
+
+@query
+def incremental_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected lines of both arrivals, with the arrival's number."""
+    return _streamed(spark, sf_dir).read("portabilidade_rejeitada")
 
 
 # --- carrier queries ------------------------------------------------------------

@@ -75,10 +75,3 @@ NUMBERING_PLAN = T.StructType(
         T.StructField("cod_prestadora", T.LongType()),
     ]
 )
-
-CARRIERS = T.StructType(
-    [
-        T.StructField("cod_prestadora", T.LongType()),
-        T.StructField("nome_prestadora", T.StringType()),
-    ]
-)

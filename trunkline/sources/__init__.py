@@ -1,11 +1,7 @@
 """Files in, tables out."""
 
 from trunkline.sources.discovery import file_inventory, file_type, list_files
-from trunkline.sources.numbering import (
-    scan_archives,
-    stage_fixed_and_mobile,
-    stage_numbering,
-)
+from trunkline.sources.numbering import scan_archives, stage_numbering
 from trunkline.sources.portability import (
     accepted,
     rejected,
@@ -28,7 +24,6 @@ __all__ = [
     "rejected",
     "scan_archives",
     "scan_portability",
-    "stage_fixed_and_mobile",
     "stage_numbering",
     "type_portability",
     "write_result",

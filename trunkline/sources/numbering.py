@@ -1,4 +1,4 @@
-"""Numbering-plan files: one ``;`` Latin-1 file per ZIP archive, all text."""
+"""Numbering-plan files: ``;`` Latin-1 files in ZIP archives, all text."""
 
 from __future__ import annotations
 
@@ -11,7 +11,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trunkline.functions.keys import decode_missing
@@ -28,13 +28,16 @@ _BATCH = 20_000
 
 
 def _records(content: bytes, encoding: str) -> Iterator[list[str]]:
-    """Records of the archive's only file, without its header and without blank lines."""
+    """Records of all files in the archive, without their headers and without blank lines."""
     with zipfile.ZipFile(io.BytesIO(content)) as archive:
-        with archive.open(archive.namelist()[0]) as member:
-            lines = io.TextIOWrapper(member, encoding=encoding, newline="")
-            rows = (r for r in csv.reader(lines, delimiter=";") if r)
-            next(rows, None)
-            yield from rows
+        for info in archive.infolist():
+            if info.is_dir():
+                continue
+            with archive.open(info) as member:
+                lines = io.TextIOWrapper(member, encoding=encoding, newline="")
+                rows = (r for r in csv.reader(lines, delimiter=";") if r)
+                next(rows, None)
+                yield from rows
 
 
 def unzip_records(archives: DataFrame, encoding: str = "latin-1") -> DataFrame:
@@ -84,21 +87,47 @@ def scan_archives(
 
 
 def stage_numbering(archives: DataFrame, kind: str) -> DataFrame:
-    """Text columns of one file type, by position, with ``nome_arquivo`` and ``erro``.
+    """Text columns of one file type, by position, with ``nome_arquivo``, ``erro``, ``motivo``.
 
-    Missing marks become NULL, missing trailing fields too, and surplus fields are
-    cut off. Fixed and mobile rows carry their service in ``servico``. A row with
-    ``erro`` stands for an unreadable archive and has no values.
+    Missing marks become NULL. Fixed and mobile rows carry their service in ``servico``.
+    A row with ``erro`` stands for an unreadable archive and has no values. ``motivo`` says
+    why a row is rejected: too few fields, more fields with content than the type has, or
+    the first required column that does not parse.
     """
     of_kind = archives.where(file_type(base_name(F.col("path"))) == kind)
-    records = unzip_records(of_kind)
+    names = NUMBERING_FILES[kind].fieldNames()
     columns = [
         decode_missing(F.try_element_at("campos", F.lit(i + 1))).alias(name)
-        for i, name in enumerate(NUMBERING_FILES[kind].fieldNames())
+        for i, name in enumerate(names)
     ]
+    surplus = F.slice("campos", len(names) + 1, F.greatest(F.size("campos"), F.lit(1)))
+    width = (F.size("campos") < len(names)) | F.exists(surplus, lambda c: F.trim(c) != "")
+    rows = unzip_records(of_kind).select(
+        *columns, "nome_arquivo", "erro", F.coalesce(width, F.lit(False)).alias("_largura")
+    )
     if kind in ("STFC", "SMP_SME"):
-        columns.append(F.lit(kind).alias("servico"))
-    return records.select(*columns, "nome_arquivo", "erro")
+        rows = rows.withColumn("servico", F.lit(kind))
+    reason = F.when(F.col("erro").isNotNull(), F.lit(None).cast("string")).when(
+        F.col("_largura"), "numero de campos"
+    )
+    for name, value in _required(kind).items():
+        reason = reason.when(value.isNull(), name)
+    return rows.withColumn("motivo", reason).drop("_largura")
+
+
+def _required(kind: str) -> dict[str, Column]:
+    """Typed values that a row of the type must have, by column."""
+    code = {"cnpj_prestadora": F.col("cnpj_prestadora").try_cast("bigint")}
+    if kind == "SUP":
+        return code
+    if kind == "CNG":
+        number = F.col("codigo_nao_geografico")
+        return code | {"codigo_nao_geografico": number.try_cast("bigint")}
+    out = code | {c: F.col(c).try_cast("int") for c in ("cn", "prefixo")}
+    out |= {c: F.col(c).try_cast("bigint") for c in ("faixa_inicial", "faixa_final")}
+    if kind == "STFC":
+        out["codigo_cnl"] = F.coalesce("codigo_cnl", F.lit("0")).try_cast("int")
+    return out
 
 
 def fixed_and_mobile(fixed: DataFrame, mobile: DataFrame) -> DataFrame:
@@ -106,18 +135,14 @@ def fixed_and_mobile(fixed: DataFrame, mobile: DataFrame) -> DataFrame:
     return fixed.unionByName(mobile, allowMissingColumns=True)
 
 
-def stage_fixed_and_mobile(archives: DataFrame) -> DataFrame:
-    """Fixed, mobile and trunked files among the archives, staged in one table."""
-    return fixed_and_mobile(
-        stage_numbering(archives, "STFC"), stage_numbering(archives, "SMP_SME")
-    )
-
-
 def readable(staged: DataFrame) -> DataFrame:
+    """Rows of the archives that could be read, rejected ones included."""
     return staged.where(F.col("erro").isNull()).drop("erro")
 
 
-def unknown_files(archives: DataFrame) -> DataFrame:
-    """Names of archives whose type the name does not tell."""
-    name = base_name(F.col("path"))
-    return archives.where(file_type(name).isNull()).select(name.alias("nome_arquivo"))
+def accepted_rows(staged: DataFrame) -> DataFrame:
+    return readable(staged).where(F.col("motivo").isNull()).drop("motivo")
+
+
+def rejected_rows(staged: DataFrame) -> DataFrame:
+    return readable(staged).where(F.col("motivo").isNotNull())

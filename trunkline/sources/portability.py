@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -53,6 +56,28 @@ def scan_portability(
     return with_file_name(reader.csv(path))
 
 
+def scan_reports(spark: SparkSession, paths: list[str], encoding: str = "UTF-8") -> DataFrame:
+    """The same for files given by their paths."""
+    reader = spark.read.schema(FILE_SCHEMA).options(**CSV_OPTIONS, encoding=encoding)
+    return with_file_name(reader.csv(paths))
+
+
+def damaged_reports(spark: SparkSession, paths: list[str]) -> dict[str, str]:
+    """Why files cannot be read to their ends, by path. Each is a job of its own."""
+
+    def reason(path: str) -> str | None:
+        try:
+            spark.read.text(path).write.format("noop").mode("overwrite").save()
+        except Exception as error:  # reported per file
+            causes = re.findall(r"(?:java|org)\.[\w.]*(?:Exception|Error): [^\n]*", str(error))
+            return (causes[-1] if causes else str(error).splitlines()[0])[:300]
+        return None
+
+    with ThreadPoolExecutor(8) as pool:
+        found = zip(paths, pool.map(reason, paths), strict=True)
+        return {path: why for path, why in found if why}
+
+
 def with_file_name(lines: DataFrame) -> DataFrame:
     return lines.select("*", F.col("_metadata.file_name").alias("nome_arquivo"))
 

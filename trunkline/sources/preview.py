@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+import codecs
 import gzip
 import io
-import itertools
 import sys
 import zipfile
 from collections.abc import Iterator, Sequence
@@ -24,6 +24,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 _LINES = "path string, membro string, linha_no int, linha string, erro string"
 
 
+#: Bytes of a line that a preview shows.
+LINE_BYTES = 64 * 1024
+
+
 def _open(path: str) -> pa.NativeFile:
     """A seekable file from a task; the folder must be on a file system Arrow knows."""
     if path.startswith("file:"):
@@ -35,6 +39,18 @@ def _open(path: str) -> pa.NativeFile:
     return fs.open_input_file(inner)
 
 
+def _numbered(stream, n: int, encoding: str) -> Iterator[tuple[int, str]]:
+    """First lines with their numbers; of a longer line the first ``LINE_BYTES``."""
+    for i in range(1, n + 1):
+        line = stream.readline(LINE_BYTES)
+        if not line:
+            return
+        text = codecs.getincrementaldecoder(encoding)()
+        yield i, text.decode(line, final=line.endswith(b"\n")).strip()
+        while line and not line.endswith(b"\n") and i < n:
+            line = stream.readline(LINE_BYTES)
+
+
 def _first_lines(path: str, n: int, encoding: str) -> Iterator[tuple]:
     """First lines of a text, gzip or ZIP file; only the head of the file is read."""
     member = None
@@ -42,19 +58,17 @@ def _first_lines(path: str, n: int, encoding: str) -> Iterator[tuple]:
         with _open(path) as raw:
             if path.endswith(".zip"):
                 with zipfile.ZipFile(raw) as archive:
-                    names = archive.namelist()
+                    names = [i.filename for i in archive.infolist() if not i.is_dir()]
                     if not names:
                         return
                     member = names[0]
                     with archive.open(member) as stream:
-                        lines = itertools.islice(stream, n)
-                        for i, line in enumerate(lines, 1):
-                            yield path, member, i, line.decode(encoding).strip(), None
+                        for i, line in _numbered(stream, n, encoding):
+                            yield path, member, i, line, None
                 return
             stream = gzip.GzipFile(fileobj=raw) if path.endswith(".gz") else raw
-            text = io.TextIOWrapper(io.BufferedReader(stream), encoding=encoding)
-            for i, line in enumerate(itertools.islice(text, n), 1):
-                yield path, member, i, line.strip(), None
+            for i, line in _numbered(io.BufferedReader(stream), n, encoding):
+                yield path, member, i, line, None
     except Exception as error:  # a file that cannot be read is a row of the report
         yield path, member, None, None, f"{type(error).__name__}: {error}"
 
@@ -62,8 +76,8 @@ def _first_lines(path: str, n: int, encoding: str) -> Iterator[tuple]:
 def preview_files(files: DataFrame, nrows: int = 5, encoding: str = "utf8") -> DataFrame:
     """First ``nrows`` lines of every listed file, one row per line.
 
-    Of a ZIP archive the first member is shown. A file that cannot be read gives one
-    row with ``erro``.
+    Of a ZIP archive the first file is shown, of a long line the first ``LINE_BYTES``
+    bytes. A file that cannot be read gives one row with ``erro``, an empty file none.
     """
     columns = [c.split()[0] for c in _LINES.split(", ")]
 
@@ -88,8 +102,13 @@ def preview_files(files: DataFrame, nrows: int = 5, encoding: str = "utf8") -> D
 def header_check(
     files: DataFrame, expected: Sequence[str], sep: str = ",", encoding: str = "utf8"
 ) -> DataFrame:
-    """Expected header names that the first line of each file lacks."""
+    """Expected header names that the first line of each file lacks.
+
+    An empty file lacks all of them. A file that cannot be read has ``erro``.
+    """
     first = preview_files(files, 1, encoding)
+    named = files.select(base_name(F.col("path")).alias("nome_arquivo")).distinct()
+    first = named.join(first, "nome_arquivo", "left")
     found = F.transform(
         F.split(F.coalesce("linha", F.lit("")), f"\\Q{sep}\\E"), lambda h: F.trim(h)
     )
@@ -99,6 +118,7 @@ def header_check(
         "nome_arquivo",
         F.array_join(missing, sep).alias("faltando"),
         (F.size(missing) == 0).alias("valido"),
+        "erro",
     )
 
 

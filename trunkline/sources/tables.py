@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -32,18 +33,21 @@ def materialize(df: DataFrame, purpose: str) -> DataFrame:
 
 @contextmanager
 def materialized(df: DataFrame, purpose: str) -> Iterator[DataFrame]:
-    """The same for the length of a block; the table is removed afterwards."""
+    """The same for the length of a block; the table is removed afterwards.
+
+    It holds a copy of rows that can be derived again, so it goes even after a failure.
+    """
     spark = df.sparkSession
     path = shared_folder(spark, purpose)
-    df.write.parquet(path)
     try:
+        df.write.parquet(path)
         yield spark.read.parquet(path)
     finally:
         drop_table(spark, path)
 
 
 def write_table(df: DataFrame, path: str) -> None:
-    """Replace a table. Used for staging, the plan and the carrier names."""
+    """Replace a table that can be derived again from its files: staging and the plan."""
     df.write.mode("overwrite").parquet(path)
 
 
@@ -60,27 +64,125 @@ def write_result(df: DataFrame, path: str, fmt: str = "csv") -> None:
     (writer.option("header", True) if fmt == "csv" else writer).save(path)
 
 
-def _write_history(rows: DataFrame, path: str, dynamic: bool) -> None:
-    """Partitioned write; a rebalance splits a large bucket over many tasks and files."""
+# --- replaceable tables ---------------------------------------------------------
+#
+# New files go to a version folder of their own. A small list of the folders that count
+# is then replaced by one rename, and only then are old folders removed. A failure
+# at any point leaves the table as it was, or as it was to become.
+
+_CURRENT = "_atual"
+
+
+def _file_system(spark: SparkSession, path: str):
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    return hadoop_path.getFileSystem(conf), hadoop_path
+
+
+def _current(spark: SparkSession, path: str) -> list[str]:
+    """Folders below ``path`` that make up the table; none if there is no table."""
+    fs, listed = _file_system(spark, f"{path}/{_CURRENT}")
+    if not fs.exists(listed):
+        return []
+    stream = fs.open(listed)
+    try:
+        text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return text.split()
+
+
+def _switch(spark: SparkSession, path: str, folders: list[str]) -> None:
+    """Make the folders the table, in one step."""
+    jvm = spark._jvm
+    fs, new = _file_system(spark, f"{path}/{_CURRENT}-{uuid.uuid4().hex}")
+    stream = fs.create(new)
+    stream.write("\n".join(folders).encode())
+    stream.close()
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(new.toUri(), conf)
+    rename = jvm.org.apache.hadoop.fs.Options.Rename
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    context.rename(
+        context.makeQualified(new),
+        context.makeQualified(jvm.org.apache.hadoop.fs.Path(f"{path}/{_CURRENT}")),
+        options,
+    )
+
+
+def _drop_folders(spark: SparkSession, path: str, folders: list[str]) -> None:
+    """Remove folders that no longer count, and versions of which nothing counts."""
+    used = {f.split("/", 1)[0] for f in _current(spark, path)}
+    versions = {f.split("/", 1)[0] for f in folders} - used
+    for folder in [*versions, *(f for f in folders if f.split("/", 1)[0] in used)]:
+        drop_table(spark, f"{path}/{folder}")
+
+
+def _new_version() -> str:
+    return f"versao={uuid.uuid4().hex}"
+
+
+def has_versions(spark: SparkSession, path: str) -> bool:
+    return bool(_current(spark, path))
+
+
+def replace_table(df: DataFrame, path: str) -> None:
+    """Replace a versioned table by ``df``, which may be derived from it."""
+    spark = df.sparkSession
+    old, new = _current(spark, path), _new_version()
+    df.write.parquet(f"{path}/{new}")
+    _switch(spark, path, [new])
+    _drop_folders(spark, path, old)
+
+
+def read_versioned(spark: SparkSession, path: str) -> DataFrame:
+    """The current version of a table that ``replace_table`` wrote."""
+    return spark.read.parquet(f"{path}/{_current(spark, path)[0]}")
+
+
+# --- history --------------------------------------------------------------------
+
+
+def _write_history(rows: DataFrame, path: str) -> None:
+    """Partitioned write; a rebalance splits a large partition over many tasks and files.
+
+    Files are in order of numbers, so that a lookup skips most row groups.
+    """
+    keys = ["cn_bucket", "mes"]
     (
-        rows.hint("rebalance", "cn_bucket")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
-        .partitionBy("cn_bucket")
+        rows.hint("rebalance", *keys)
+        .sortWithinPartitions(*keys, "tn_inicial")
+        .write.partitionBy(*keys)
         .parquet(path)
     )
 
 
 def _bucketed(rows: DataFrame) -> DataFrame:
-    return rows.select(*HISTORY.fieldNames(), cn_bucket("cn").alias("cn_bucket"))
+    return rows.select(
+        *HISTORY.fieldNames(),
+        cn_bucket("cn").alias("cn_bucket"),
+        F.date_format("data_agendamento", "yyyy-MM").alias("mes"),
+    )
+
+
+def _read_parts(spark: SparkSession, path: str, folders: list[str]) -> DataFrame:
+    text = T.StringType()
+    keys = [T.StructField(c, text) for c in ("versao", "cn_bucket", "mes")]
+    if not folders:
+        rows = _bucketed(spark.createDataFrame([], HISTORY))
+    else:
+        rows = (
+            spark.read.schema(T.StructType([*HISTORY.fields, *keys]))
+            .option("basePath", path)
+            .parquet(*[f"{path}/{f}" for f in folders])
+        )
+    return rows.select(*HISTORY.fieldNames(), "cn_bucket", "mes")
 
 
 def read_history(spark: SparkSession, path: str) -> DataFrame:
-    """The history with its partition column ``cn_bucket``; empty if there is none yet."""
-    if not table_exists(spark, path):
-        return _bucketed(spark.createDataFrame([], HISTORY))
-    schema = T.StructType([*HISTORY.fields, T.StructField("cn_bucket", T.StringType())])
-    return spark.read.schema(schema).parquet(path)
+    """The history with its partition columns ``cn_bucket`` and ``mes``."""
+    return _read_parts(spark, path, _current(spark, path))
 
 
 def merge_history(
@@ -88,18 +190,27 @@ def merge_history(
 ) -> None:
     """Upsert a deduplicated batch into the history table, or replace the table by it.
 
-    Only the area-code buckets the batch touches are read and rewritten. The batch is
-    written once to the shared folder, as three steps use it. New files go to a staging
-    folder next to the table and replace the old ones when the job commits; until then
-    a lost executor can read the old partitions again.
+    Only the partitions (area-code range and month) that the batch touches are read and
+    rewritten; the key holds the day, so no other can hold a key of the batch. The batch is
+    written once to the shared folder, as three steps use it.
     """
-    if rebuild or not table_exists(spark, path):
-        _write_history(_bucketed(batch), path, dynamic=False)
-        return
+    old = [] if rebuild else _current(spark, path)
+    replaced = _current(spark, path) if rebuild else []
     with materialized(_bucketed(batch), "batch") as fresh:
-        # At most one value per area-code range.
-        touched = [r[0] for r in fresh.select("cn_bucket").distinct().collect()]
+        # At most one row per area-code range and month.
+        touched = {
+            f"cn_bucket={r[0]}/mes={r[1]}"
+            for r in fresh.select("cn_bucket", "mes").distinct().collect()
+        }
+        if not touched and not rebuild:
+            return
+        kept = [f for f in old if f.split("/", 1)[1] not in touched]
+        stale = [f for f in old if f.split("/", 1)[1] in touched]
+        merged = fresh
+        if stale:
+            merged = _bucketed(upsert_history(_read_parts(spark, path, stale), fresh))
+        new = _new_version()
         if touched:
-            current = read_history(spark, path).where(F.col("cn_bucket").isin(touched))
-            merged = upsert_history(current, fresh)
-            _write_history(_bucketed(merged), path, dynamic=True)
+            _write_history(merged, f"{path}/{new}")
+        _switch(spark, path, kept + [f"{new}/{t}" for t in sorted(touched)])
+    _drop_folders(spark, path, stale + replaced)

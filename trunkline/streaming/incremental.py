@@ -3,18 +3,20 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from trunkline.operators.history import dedup_portability
+from trunkline.operators.quality import load_report
+from trunkline.plans.loads import Warehouse, apply_reports
 from trunkline.sources.portability import (
     CSV_OPTIONS,
     FILE_SCHEMA,
     REPORT_PATTERN,
-    accepted,
+    rejected,
     type_portability,
     with_file_name,
 )
-from trunkline.sources.tables import merge_history
+from trunkline.sources.tables import write_table
 
 
 def read_portability_stream(
@@ -32,22 +34,33 @@ def read_portability_stream(
 
 
 def load_portability_stream(
-    spark: SparkSession, folder: str, history: str, checkpoint: str
+    warehouse: Warehouse, folder: str, checkpoint: str
 ) -> StreamingQuery:
-    """Merge every report that is new since the last run into the history, then stop.
+    """Load every report that is new since the last run, as a batch load does, then stop.
 
     All files of one arrival form one micro-batch: inside a batch the greatest file
     name wins, between batches the later batch, so the batch boundaries are part of
-    the result and files per trigger are not limited. The merge is idempotent, so a
-    batch that is replayed after a failure changes nothing.
+    the result and files per trigger are not limited. History and names are updated,
+    ``relatorio_portabilidade`` gets the batch's report and
+    ``portabilidade_rejeitada`` its rejected lines, both under ``lote``. Every step is
+    idempotent, so a batch that is replayed after a failure changes nothing.
     """
 
-    def merge(batch: DataFrame, _batch_id: int) -> None:
-        merge_history(batch.sparkSession, dedup_portability(accepted(batch)), history)
+    def load(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        stage = warehouse.path("stg_portabilidade")
+        write_table(batch, stage)
+        staged = spark.read.parquet(stage)
+        for table, rows in (
+            ("relatorio_portabilidade", load_report(staged, F.col("motivo"))),
+            ("portabilidade_rejeitada", rejected(staged)),
+        ):
+            write_table(rows, f"{warehouse.path(table)}/lote={batch_id}")
+        apply_reports(warehouse, staged)
 
     return (
-        read_portability_stream(spark, folder)
-        .writeStream.foreachBatch(merge)
+        read_portability_stream(warehouse.spark, folder)
+        .writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
