@@ -160,7 +160,7 @@ def cell_scan(windows: Windows, width: int, ranged: bool):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, rows = [], 0
         for batch in batches:
-            for piece in tx.pieces(batch, 1 << 20):
+            for piece in tx.pieces(batch):
                 found = one(piece)
                 if len(found[1]):
                     parts.append(found)
@@ -185,15 +185,16 @@ def cell_scan(windows: Windows, width: int, ranged: bool):
 
 
 def covered(ranges: pa.Array, of: np.ndarray, length: int) -> np.ndarray:
-    """A mark for each unit in a window; ``ranges``: for each text first and last starts."""
+    """A mark for each unit in a window; ``ranges``: for each text the packed ranges of starts."""
     flat = ranges.flatten()
     counts = ranges.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
     base = np.repeat(of[:-1], counts)
     size = int(of[-1])
     if not len(flat):
         return np.zeros(size, bool)
-    first = flat.field(0).to_numpy(zero_copy_only=False) + base
-    end = flat.field(1).to_numpy(zero_copy_only=False) + base + length
+    packed = flat.to_numpy(zero_copy_only=False)
+    first = (packed >> 24) + base
+    end = first + (packed & _LOW) + length
     change = np.bincount(first, minlength=size + 1) - np.bincount(end, minlength=size + 1)
     return np.cumsum(change[:size]) > 0
 
@@ -280,7 +281,8 @@ def with_ranges(documents: DataFrame, found: DataFrame, how: str) -> DataFrame:
     """
     by_row = stored(
         found.groupBy("doc_id", "text_hash").agg(
-            F.array_sort(F.collect_list(F.struct("first", "last"))).alias("ranges")
+            # First start and number of further ones in one number; cells are no wider.
+            F.collect_list(F.shiftleft("first", 24) + F.col("last") - F.col("first")).alias("ranges")
         ),
         "ranges",
     )

@@ -18,7 +18,8 @@ from pyspark import cloudpickle
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 WHITE = tuple(range(9, 14)) + (32,)
-PIECE_BYTES = 2 << 20
+#: Bytes of text worked on at once; the arrays for it fit a core's cache.
+PIECE_BYTES = 1 << 19
 _BYTE_BASE = 0x9E3779B97F4A7C15 | 1
 _WORD_BASE = 0xC2B2AE3D27D4EB4F | 1
 
