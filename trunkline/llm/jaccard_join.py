@@ -9,8 +9,9 @@ below it stand in the lists as well, so that no link across it is lost.
 
 Sets that share a key are candidates. Sets of one key are not paired at once: first each is
 compared with one centre of its list, then, of the sets that are not yet in one component,
-all pairs that a parity sketch does not rule out. Both comparisons are exact. Documents of
-equal sets are one set throughout.
+all pairs. A parity sketch rules most other pairs out before their shingles are fetched:
+each bit in which two sketches differ proves a shingle that one set has alone. What is
+left is compared shingle by shingle. Documents of equal sets are one set throughout.
 """
 
 from __future__ import annotations
@@ -38,7 +39,8 @@ FREQUENT, MOST_FREQUENT = 32, 1_000_000
 COUNTED, REPORTED = 4_000_000, 4
 #: The largest set that may be enumerated; the cost picks a boundary up to here.
 ENUMERATED = 64
-SKETCH_WORDS = 8
+#: Bits of a sketch: at least so many, and at least two a shingle, as a power of two.
+SKETCH_BITS = 2048
 
 
 def shingles(piece: pa.RecordBatch, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -53,8 +55,9 @@ def shingles(piece: pa.RecordBatch, size: int = SHINGLE) -> tuple[np.ndarray, np
     length = np.minimum(size, n[doc])
     found = tx.word_hash(tx.word_sums(hashes), first, first + length)
     found = tx.mix(found + length.astype(np.uint64))
-    order = np.lexsort((found, doc))
-    found, doc = found[order], doc[order]
+    ends = np.cumsum(counts)
+    for a, b in zip((ends - counts).tolist(), ends.tolist(), strict=True):
+        found[a:b].sort()
     keep = np.ones(len(found), bool)
     keep[1:] = (found[1:] != found[:-1]) | (doc[1:] != doc[:-1])
     found, doc = found[keep], doc[keep]
@@ -119,7 +122,18 @@ def _prefix_size(n: np.ndarray, shared: int) -> np.ndarray:
 def _key_task(frequent: np.ndarray, boundary: int, largest: int | None = None):
     """Task function: keys of every different set of the task, up to a size if given."""
     by_value = np.argsort(frequent)
-    values, places = frequent[by_value], by_value.astype(np.uint64)
+    values = frequent[by_value]
+
+    def find_frequent(found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which shingles are frequent, and the places of those in the order."""
+        begins = np.zeros(1 << 24, bool)
+        begins[values >> np.uint64(40)] = True
+        maybe = np.flatnonzero(begins[found >> np.uint64(40)])
+        at = np.searchsorted(values, found[maybe])
+        hit = values[np.minimum(at, len(values) - 1)] == found[maybe]
+        often = np.zeros(len(found), bool)
+        often[maybe[hit]] = True
+        return often, by_value[at[hit]]
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -149,16 +163,23 @@ def _key_task(frequent: np.ndarray, boundary: int, largest: int | None = None):
         found, doc = found[keep], doc[keep]
         if not len(found):
             return
-        # Rare shingles first, in order of their hashes, then frequent ones by frequency.
-        order_key = found >> np.uint64(1)
-        if len(values):
-            at = np.minimum(np.searchsorted(values, found), len(values) - 1)
-            often = values[at] == found
-            order_key = np.where(often, places[at] | np.uint64(1 << 63), order_key)
-        order = np.lexsort((order_key, doc))
-        found, doc = found[order], doc[order]
+        # Rare shingles first, in order of their hashes as they stand, then frequent ones by
+        # frequency.
         begin = np.searchsorted(doc, np.arange(len(n)))
         nth = np.arange(len(doc)) - begin[doc]
+        if len(values):
+            often, places = find_frequent(found)
+            at = np.flatnonzero(often)
+            at = at[np.lexsort((places, doc[at]))]
+            last = doc[at]
+            rare = np.bincount(doc[~often], minlength=len(n))
+            before = np.append(0, np.cumsum(~often))
+            nth = before[:-1] - before[begin[doc]]
+            nth[at] = rare[last] + np.arange(len(at)) - np.searchsorted(last, last)
+            ordered = np.empty_like(found)
+            ordered[begin[doc] + nth] = found
+            found = ordered
+            nth = np.arange(len(doc)) - begin[doc]
         # Large sets, and small ones that a large set may reach: single shingles.
         single = (nth < _prefix_size(n, 1)[doc]) & ((n[doc] > boundary) | (4 * n[doc] >= 3 * (boundary + 1)))
         yield rows(found[single], doc[single], ids, n)
@@ -261,30 +282,100 @@ def _scan_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([pa.array([x], t) for x, t in zip(row, types, strict=True)], names=names)
 
 
-def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every set with its shingles and a sketch: the parity of its shingles in each bit."""
+def _sketch_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every set's size and sketch: the parity of its shingles in each bit.
+
+    The halves of a sketch, bit by bit, make the sketch of half the bits.
+    """
     for batch in batches:
         for piece in tx.pieces(batch):
             found, ranges = shingles(piece)
-            ids, n = set_ids(found, ranges), np.diff(ranges)
+            n = np.diff(ranges)
             doc = np.repeat(np.arange(len(n)), n)
-            bit = (tx.mix(found) >> np.uint64(55)).astype(np.int64)
-            odd = np.bincount(doc * 512 + bit, minlength=512 * len(n)).astype(np.uint8) & 1
-            sketch = np.packbits(odd.reshape(len(n), 512), axis=1, bitorder="little").view(np.int64)
+            wanted = np.maximum(2 * n, SKETCH_BITS)
+            bits = np.int64(1) << np.ceil(np.log2(wanted)).astype(np.int64)
+            begin = np.append(0, np.cumsum(bits))
+            bit = (tx.mix(found) & (bits[doc] - 1).astype(np.uint64)).astype(np.int64)
+            odd = np.bincount(begin[doc] + bit, minlength=int(begin[-1])).astype(np.uint8) & 1
+            sketch = np.packbits(odd, bitorder="little").view(np.int64)
             yield pa.record_batch(
                 [
-                    pa.array(ids),
+                    pa.array(set_ids(found, ranges)),
                     pa.array(n.astype(np.int32)),
+                    pa.ListArray.from_arrays(
+                        pa.array((begin // 64).astype(np.int32)), pa.array(sketch)
+                    ),
+                ],
+                names=["set_id", "n", "sketch"],
+            )
+
+
+def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every set with its shingles."""
+    for batch in batches:
+        for piece in tx.pieces(batch):
+            found, ranges = shingles(piece)
+            yield pa.record_batch(
+                [
+                    pa.array(set_ids(found, ranges)),
+                    pa.array(np.diff(ranges).astype(np.int32)),
                     pa.ListArray.from_arrays(pa.array(ranges.astype(np.int32)), pa.array(found.view(np.int64))),
-                    *[pa.array(np.ascontiguousarray(sketch[:, i])) for i in range(SKETCH_WORDS)],
                 ],
-                names=["set_id", "n", "shingles", *[f"s{i}" for i in range(SKETCH_WORDS)]],
+                names=["set_id", "n", "shingles"],
             )
 
 
-_SETS = "set_id bigint, n int, shingles array<bigint>, " + ", ".join(
-    f"s{i} bigint" for i in range(SKETCH_WORDS)
-)
+_SKETCHES = "set_id bigint, n int, sketch array<bigint>"
+_SETS = "set_id bigint, n int, shingles array<bigint>"
+
+
+def _of_sets(documents: DataFrame, described: DataFrame, ids: DataFrame, task, schema: str) -> DataFrame:
+    """A task's rows for the sets ``set_id``, from the document of least id for each.
+
+    Documents that share that id give rows of their own, which repeat or match nothing.
+    """
+    wanted = described.join(sized(stored(ids.select("set_id").distinct(), "ids"), 16), "set_id", "left_semi")
+    chosen = wanted.groupBy("set_id").agg(F.min("doc_id").alias("id")).select("id").distinct()
+    chosen = stored(chosen, "chosen")
+    texts = documents.join(sized(chosen, 16), F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
+    return stored(texts.mapInArrow(task, schema), "sets")
+
+
+def _folded(sketch: str, other: str) -> Column:
+    """A sketch in half its bits, if the other one has no more."""
+    half = F.size(other)
+    return F.when(
+        F.size(sketch) > half,
+        F.zip_with(
+            F.slice(sketch, F.lit(1), half),
+            F.slice(sketch, half + 1, half),
+            lambda x, y: x.bitwiseXOR(y),
+        ),
+    ).otherwise(F.col(sketch))
+
+
+def _possible(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """The pairs ``(a, b)`` that sizes and sketches do not rule out.
+
+    Sizes go first, with the sketches' sizes at most one doubling apart.
+    """
+    sizes = sketches.select("set_id", "n")
+    sized_pairs = pairs
+    for side in "ab":
+        marked = sized(sizes, 24).select(F.col("set_id").alias(side), F.col("n").alias(f"n{side}"))
+        sized_pairs = sized_pairs.join(marked, side)
+    near = (4 * F.col("na") >= 3 * F.col("nb")) & (4 * F.col("nb") >= 3 * F.col("na"))
+    left = stored(sized_pairs.where(near).distinct(), "near")
+    for side in "ab":
+        marked = sketches.select(F.col("set_id").alias(side), F.col("sketch").alias(f"s{side}"))
+        left = left.join(marked, side)
+    differ = F.aggregate(
+        F.zip_with(_folded("sa", "sb"), _folded("sb", "sa"), lambda x, y: F.bit_count(x.bitwiseXOR(y))),
+        F.lit(0),
+        lambda n, x: n + x,
+    )
+    left = left.where(7 * differ <= F.col("na") + F.col("nb"))
+    return stored(left.drop("na", "nb", "sa", "sb").distinct(), "possible")
 
 
 def _linked(common: Column, a: Column, b: Column) -> Column:
@@ -305,31 +396,34 @@ def components(links: DataFrame) -> DataFrame:
     """``(set_id, root)`` of all sets in links ``(a, b)``; the root is the least of them.
 
     Alternating stars: each set links its larger, then its smaller neighbours to the least
-    one, until nothing changes. Every step is a table in the shared folder.
+    one, until nothing changes. Every round is a table in the shared folder.
     """
-    edges = stored(
-        links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(),
-        "edges",
-    )
-    state = None
+    edges = links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+    edges, state = stored(edges.distinct(), "edges"), None
     while True:
+        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        if now == state or not now[0]:
+            return edges.select(F.col("u").alias("set_id"), F.col("v").alias("root"))
+        state = now
         both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = stored(
-            both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(),
-            "stars",
-        )
+        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = large.distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(
             F.explode(F.array(F.struct("v", "m"), F.struct(F.col("u").alias("v"), "m"))).alias("e")
         )
         small = small.select(F.col("e.v").alias("u"), F.col("e.m").alias("v"))
         edges = stored(small.where("u > v").distinct(), "edges")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == state:
-            break
-        state = now
-    return edges.select(F.col("u").alias("set_id"), F.col("v").alias("root"))
+
+
+def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """The components after more links, which are first taken to the old roots."""
+    ends = _with_roots(_with_roots(links, roots, "a", "ra"), roots, "b", "rb")
+    more = components(ends.select(F.col("ra").alias("a"), F.col("rb").alias("b")))
+    old = _with_roots(roots.select("set_id", F.col("root").alias("old")), more, "old", "root")
+    new = more.join(sized(roots, 16), "set_id", "left_anti")
+    return stored(old.select("set_id", "root").unionByName(new), "roots")
 
 
 def _with_roots(df: DataFrame, roots: DataFrame, column: str, alias: str) -> DataFrame:
@@ -339,8 +433,8 @@ def _with_roots(df: DataFrame, roots: DataFrame, column: str, alias: str) -> Dat
     return joined.withColumn(alias, F.coalesce("_root", column)).drop("_set", "_root")
 
 
-def _links(documents: DataFrame, described: DataFrame) -> DataFrame:
-    """All links between different sets that components need, as ``(a, b)``."""
+def _roots(documents: DataFrame, described: DataFrame) -> DataFrame:
+    """``(set_id, root)`` of all sets that link with others."""
     frequent = frequent_shingles(documents)
     boundary = boundary_by_cost(documents, described, frequent)
     keys = documents.mapInArrow(_key_task(frequent, boundary), _KEYS)
@@ -350,30 +444,18 @@ def _links(documents: DataFrame, described: DataFrame) -> DataFrame:
         .mapInArrow(_scan_lists, "key bigint, set_id bigint, n int, centre bigint"),
         "lists",
     )
-    # One document of each set that stands in a list gives its shingles.
-    members = lists.select("set_id").distinct()
-    chosen = stored(
-        described.join(sized(stored(members, "members"), 16), "set_id", "left_semi")
-        .groupBy("set_id").agg(F.min("doc_id").alias("id")).select("id").distinct(),
-        "chosen",
-    )
-    texts = documents.join(sized(chosen, 16), F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
-    sets = stored(texts.mapInArrow(_set_rows, _SETS).dropDuplicates(["set_id"]), "sets")
-
-    # Each set with the centre that it shares most keys with.
-    stars = stored(
-        lists.where("set_id <> centre").groupBy("set_id", "centre").agg(F.count("*").alias("votes")),
-        "stars",
-    )
-    first = stored(stars.groupBy("set_id").agg(F.max_by("centre", "votes").alias("b")), "pairs")
-    links = _verified(first.select(F.col("set_id").alias("a"), "b"), sets)
-    roots = components(links)
-
-    # Its other centres, as far as they are in other components.
-    apart = _with_roots(_with_roots(stars, roots, "set_id", "ra"), roots, "centre", "rb").where("ra <> rb")
-    second = stored(apart.select(F.col("set_id").alias("a"), F.col("centre").alias("b")), "pairs")
-    links = stored(links.unionByName(_verified(second, sets)), "links")
-    roots = components(links)
+    # Each set with its centres, as far as they may link.
+    stars = lists.where("set_id <> centre").groupBy("set_id", "centre").agg(F.count("*").alias("votes"))
+    stars = stars.select(F.col("set_id").alias("a"), F.col("centre").alias("b"), "votes")
+    sketches = _of_sets(documents, described, lists, _sketch_rows, _SKETCHES)
+    stars = _possible(stars, sketches)
+    sets = _of_sets(documents, described, _ends(stars), _set_rows, _SETS)
+
+    # First the centre that a set shares most keys with, then others in other components.
+    first = stored(stars.groupBy("a").agg(F.max_by("b", "votes").alias("b")), "pairs")
+    roots = components(_verified(first, sets))
+    apart = _with_roots(_with_roots(stars, roots, "a", "ra"), roots, "b", "rb").where("ra <> rb")
+    roots = _joined(roots, _verified(stored(apart.select("a", "b"), "pairs"), sets))
 
     # All that is left: sets of one key in different components.
     placed = stored(_with_roots(lists.select("key", "set_id", "n"), roots, "set_id", "root"), "placed")
@@ -381,22 +463,21 @@ def _links(documents: DataFrame, described: DataFrame) -> DataFrame:
         placed.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key"),
         "mixed",
     )
-    sketch = [f"s{i}" for i in range(SKETCH_WORDS)]
-    rows = placed.join(sized(mixed, 16), "key", "left_semi").join(
-        sets.select("set_id", *sketch), "set_id"
-    )
-    rows = stored(rows, "rows")
-    a = rows.select("key", F.col("set_id").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"), *[F.col(s).alias(f"a{s}") for s in sketch])
-    b = rows.select(F.col("key").alias("key_b"), F.col("set_id").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"), *[F.col(s).alias(f"b{s}") for s in sketch])
-    # Every bit in which the sketches differ is a shingle that one set has alone.
-    differ = sum((F.bit_count(F.col(f"a{s}").bitwiseXOR(F.col(f"b{s}"))) for s in sketch), F.lit(0))
-    possible = (
+    rows = stored(placed.join(sized(mixed, 16), "key", "left_semi"), "rows")
+    left = rows.select("key", F.col("set_id").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
+    right = rows.select(F.col("key").alias("key_b"), F.col("set_id").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
+    apart = (
         (F.col("key") == F.col("key_b")) & (F.col("ra") < F.col("rb"))
         & (4 * F.col("na") >= 3 * F.col("nb")) & (4 * F.col("nb") >= 3 * F.col("na"))
-        & (7 * differ <= F.col("na") + F.col("nb"))
     )
-    third = stored(a.join(b, possible).select("a", "b").distinct(), "pairs")
-    return links.unionByName(_verified(third, sets))
+    pairs = stored(left.join(right, apart).select("a", "b").distinct(), "pairs")
+    pairs = _possible(pairs, sketches)
+    sets = _of_sets(documents, described, _ends(pairs), _set_rows, _SETS)
+    return _joined(roots, _verified(pairs, sets))
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("set_id")).unionByName(pairs.select(F.col("b").alias("set_id")))
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
@@ -411,7 +492,7 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     documents = documents.select("doc_id", "text")
     schema = "doc_id bigint, n_shingles bigint, set_id bigint"
     described = stored(documents.mapInArrow(_describe, schema), "described")
-    roots = components(_links(documents, described))
+    roots = _roots(documents, described)
     rows = _with_roots(described, roots, "set_id", "root")
     filled = rows.where("n_shingles > 0")
     named = stored(
