@@ -36,7 +36,9 @@ SHINGLE = 5
 #: Both only order shingles: any order finds the same links.
 FREQUENT, MOST_FREQUENT = 32, 1_000_000
 #: Shingles counted at once in a task, and the count from which a task reports one.
-COUNTED, REPORTED = 4_000_000, 4
+COUNTED, REPORTED = 2_000_000, 4
+#: Sets that a task remembers, so as to send copies once.
+REMEMBERED = 200_000
 #: The largest set that may be enumerated; the cost picks a boundary up to here.
 ENUMERATED = 64
 #: Bits of a sketch: at least so many, and at least two a shingle, as a power of two.
@@ -148,7 +150,7 @@ def _key_task(frequent: np.ndarray, boundary: int, largest: int | None = None):
         _, first = np.unique(ids, return_index=True)
         new = np.zeros(len(ids), bool)
         new[[i for i in first if int(ids[i]) not in seen]] = True
-        if len(seen) > 1_000_000:
+        if len(seen) > REMEMBERED:
             seen.clear()
         seen.update(ids[new].tolist())
         return new

@@ -23,7 +23,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 TOKENIZER = "byte_bpe_50k.json"
 #: Bits of the worker's piece table, and the ids it holds, before it starts afresh.
-TABLE_BITS, TABLE_IDS = 22, 16_000_000
+TABLE_BITS, TABLE_IDS = 21, 8_000_000
 _LETTER, _NUMBER, _SPACE, _MARK, _UNKNOWN = 1, 2, 3, 4, 5
 
 
