@@ -26,7 +26,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 MAGIC = b"TLR1"
 #: Ids of a block and steps of a lane.
-BLOCK_IDS, LANE_IDS = 1 << 20, 256
+BLOCK_IDS, LANE_IDS = 1 << 20, 128
 _HEADER = "<4sIIIIII"  # magic, ids, steps, vocabulary, bytes, crc of bytes, crc of ids
 _MASK = np.uint64((1 << 48) - 1)
 _BOTTOM = np.uint64(1 << 24)
