@@ -117,6 +117,85 @@ def test_licenses(spark, edge, empty):
     assert "Exchange" not in plan and "Python" not in plan
 
 
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License."""
+GPL_WRAPPED = """This program is free software{} you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation{} either version {} of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details."""
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM."""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission."""
+ISC = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies."""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/."""
+PUBLISHED = [
+    (APACHE, "Apache-2.0"),
+    (GPL_WRAPPED.format(":", ",", 3), "GPL-3.0-or-later"),
+    (GPL_WRAPPED.format(";", ";", 2), "GPL-2.0-or-later"),
+    (MIT, "MIT"),
+    (BSD, "BSD-2-Clause,BSD-3-Clause"),
+    (ISC, "ISC"),
+    (MPL, "MPL-2.0"),
+]
+LEADERS = ["", " * ", "# ", "// ", "-- ", ";; ", "dnl ", "REM ", "C     ", "  "]
+
+
+def test_published_licenses(spark):
+    data = [
+        (leader + text.replace("\n", end + leader), name)
+        for text, name in PUBLISHED for leader in LEADERS for end in ("\n", "\r\n")
+    ]
+    data.append(("Licensed under the Apache License, Version 2.0\n(the \"License\");", "Apache-2.0"))
+    # A sentence of other words around a known one is none.
+    data.append((APACHE.replace("You may obtain", "Perhaps you may obtain"), ""))
+    data.append((MPL.replace("This Source", "Not this Source"), ""))
+    rows = [(i, text) for i, (text, _) in enumerate(data)]
+    found = licenses.license_scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {r.doc_id: ",".join(r.licenses) for r in found} == {i: name for i, (_, name) in enumerate(data)}
+
+
 def test_license_statement_on_notices(spark):
     con = duckdb.connect()
     con.execute("create table documents(doc_id bigint, text varchar)")

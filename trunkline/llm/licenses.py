@@ -1,7 +1,8 @@
 """Licence recognition by sentences and rules, in native functions.
 
-A text is cut into sentences, which are normalised and mapped to the identifiers of known
-licence sentences. The identifiers of a document, in order, are then matched against rules:
+A text is cut into normalised fragments at line feeds and sentence ends. A run of fragments
+that makes a known licence sentence gives its identifier, so notices may be wrapped and stand
+in comments. The identifiers of a document, in order, are then matched against rules:
 ordered lists of sentences that together state a licence. Other sentences may stand between.
 Sentences and rules are small fixed tables and travel inside the plan, so the scan needs no
 join and no shuffle, and a document's size is its only bound.
@@ -75,22 +76,46 @@ RULES = [
 ]
 
 
-def sentences(text: Column) -> Column:
-    """Normalised sentences in order: lower case, letters and digits, single spaces.
+#: Known sentences over line feeds too, the longer ones first; a look-ahead, so hits may overlap.
+_KNOWN = "\n(?=({})\n)".format(
+    "|".join(s.replace(" ", "[ \n]") for s in sorted(SENTENCES.values(), key=len, reverse=True))
+)
 
-    A sentence ends at a line feed, or at ``. ! ? : ;`` before white space or the end.
+
+def fragments(text: Column) -> Column:
+    """The text in lower case, letters and digits, single spaces, a line feed at each cut.
+
+    A cut is a line feed, or ``. ! ? : ;`` before white space or the end; runs of cuts are
+    one, and the text starts and ends with one. Words that lead comment lines are left out;
+    other comment leaders hold no letter or digit.
     """
-    cut = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[.!?:;]+(\s+|$)", "\n")
+    lower = F.lower(F.coalesce(text, F.lit("")))
+    bare = F.regexp_replace(lower, r"(?m)^(c|[^a-z0-9\n]*(dnl|rem))(?=[ \t])", " ")
+    cut = F.regexp_replace(bare, r"[.!?:;]+(\s+|$)", "\n")
     plain = F.regexp_replace(cut, r"[^a-z0-9\n]+", " ")
-    return F.transform(F.split(plain, "\n"), lambda s: F.trim(s))
+    return F.regexp_replace(F.concat(F.lit("\n"), plain, F.lit("\n")), r" ?\n[ \n]*", "\n")
 
 
 def known_sentences(text: Column) -> Column:
-    """Identifiers of the known sentences, in order."""
+    """Identifiers of the known sentences, in order of their starts, the shorter one first.
+
+    A known sentence starts after a cut and ends before one. Cuts inside do not count, so
+    hard-wrapped lines are one sentence, as are the parts around a ``;``, an abbreviation
+    or an address on a line of its own.
+    """
     pairs = [F.lit(x) for name, sentence in SENTENCES.items() for x in (sentence, name)]
     known = F.create_map(*pairs)
-    found = F.transform(sentences(text), lambda s: known[s])
-    return F.filter(found, lambda name: name.isNotNull())
+    hits = F.regexp_extract_all(fragments(text), F.lit(_KNOWN), F.lit(1))
+
+    def names(hit: Column) -> Column:
+        """The hit and the known sentences that it starts with."""
+        parts = F.split(hit, "\n")
+        return F.transform(
+            F.sequence(F.lit(1), F.size(parts)),
+            lambda n: known[F.array_join(F.slice(parts, F.lit(1), n), " ")],
+        )
+
+    return F.filter(F.flatten(F.transform(hits, names)), lambda name: name.isNotNull())
 
 
 def _matched(found: Column, rule: list[str]) -> Column:
@@ -161,4 +186,5 @@ from documents left join hits using (doc_id) left join stated using (doc_id)
 """
 
 
+#: Takes each fragment alone, so it agrees on texts whose known sentences hold no cut.
 OP2_SQL = _sql()
