@@ -48,6 +48,62 @@ def test_pages(spark):
     assert html_text.extract_text(df.limit(0)).count() == 0
 
 
+STORY = (
+    "<h1>Title</h1><p>The first paragraph of the story is a sentence.</p>{}"
+    "<p>The last paragraph of the story is a sentence too.</p>"
+)
+STORY_TEXT = "Title The first paragraph of the story is a sentence.{} The last paragraph of the story is a sentence too."
+
+
+@pytest.mark.parametrize(
+    "wrapper",
+    [
+        "<div class='content-sidebar-wrap'>", "<div class='has-sidebar'>", "<div class='no-sidebar'>",
+        "<div class='page layout-no-sidebar menu-open'>", "<form id='aspnetForm' method=post>",
+        "<form><div class='nav-wrapper'>", "<div id='header'>", "<div class=sidebar>",
+        "<div id='social'><div class='search'>", "<div id='comments-wrap'>", "<div class='widget-area'><fieldset>", "<header>",
+    ],
+)
+@pytest.mark.parametrize("inner", ["article", "main", "div"])
+def test_wrappers_keep_the_article(wrapper, inner):
+    if "comments" in wrapper and inner == "div":
+        return
+    page = (
+        "<body><nav><a href='/'>Home</a></nav>{}<{}>{}</{}><div class='ad'>Buy now.</div>"
+        "<aside>Other stories</aside><footer>Imprint</footer></body>"
+    )
+    assert html_text.main_text(page.format(wrapper, inner, STORY.format(""), inner))[0] == STORY_TEXT.format("")
+
+
+@pytest.mark.parametrize(
+    "slug",
+    "discussion related-work privacy legal notice search social print comments cookies-and-law".split(),
+)
+def test_slugs_in_an_article_keep_their_text(slug):
+    for part in (
+        f"<section id='{slug}'><h2>Heading</h2><p>Short text.</p></section>",
+        f"<h2 id='{slug}'>Heading</h2><p>Short text.</p>",
+        f"<div class='section' id='{slug}'><h2 id='{slug}'>Heading</h2><p>Short text.</p></div>",
+    ):
+        page = f"<article>{STORY.format(part)}</article>"
+        assert html_text.main_text(page)[0] == STORY_TEXT.format(" Heading Short text.")
+
+
+def test_parts_of_an_article():
+    text = "Words of others that go on for quite a while, so that they look like prose of the page."
+    for part in (
+        f"<div class='comments'><p>{text}</p><p>{text}</p></div>", f"<div class='ad-slot'><p>{text}</p></div>",
+        f"<section class='related-posts'><p>{text}</p></section>", f"<div class=share-buttons>{text}</div>",
+        f"<div id='comments'><article><p>{text}</p></article></div>", f"<aside><article><p>{text}</p></article></aside>",
+        f"<div hidden><article><p>{text}</p></article></div>", "<div class=sidebar><article><p>Teaser.</p></article></div>",
+    ):
+        assert html_text.main_text(f"<article>{STORY.format(part)}</article>")[0] == STORY_TEXT.format("")
+    for part in (f"<div class=privacy><p>{text}</p></div>", f"<div id=legal>{text}</div>"):
+        assert html_text.main_text(f"<article>{STORY.format(part)}</article>")[0] == STORY_TEXT.format(" " + text)
+    head = "<header class='entry-header'><h2>Heading</h2></header>"
+    assert html_text.main_text(f"<article>{head}{STORY.format('')}</article>")[0] == "Heading " + STORY_TEXT.format("")
+
+
 def test_long_page():
     source = "<article>" + "<p>Word after word.</p>" * 20_000 + "</article>" + "<" * 5_000
     text, kept, blocks = html_text.main_text(source)

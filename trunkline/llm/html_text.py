@@ -1,9 +1,10 @@
 """Main text of web pages by a minimum cut between content and boilerplate.
 
 A page is read into blocks, its runs of text between block-level tags. A linear classifier
-over a block's tags, names, links and length gives its cost on either side: the capacity
-from the content terminal or to the boilerplate terminal. Neighbours on the page and blocks
-of one parent are tied by smoothness edges. The cut of least capacity labels all blocks.
+over a block's tags, names, links and length, and over the names around it, gives its cost on
+either side: the capacity from the content terminal or to the boilerplate terminal. Neighbours
+on the page and blocks of one parent are tied by smoothness edges. The cut of least capacity
+labels all blocks.
 A block whose terminal capacity is no less than all its ties together keeps that side in a
 minimum cut, so such blocks are settled first and the flow runs on the rest.
 """
@@ -45,24 +46,42 @@ DROPPED_TAGS = frozenset(
     "nav footer header aside form menu button select option optgroup fieldset legend dialog "
     "label head title".split()
 )
+#: Of these, tags that may stand around a whole page, and no boilerplate in an article.
+WRAPPER_TAGS = frozenset("form fieldset label header".split())
 ROLES = frozenset("navigation banner contentinfo complementary search menu menubar dialog alert form".split())
-#: Names of classes and ids, cut into words, that say what a part of a page is.
-BOILERPLATE_NAMES = frozenset(
-    "ad ads advert adverts advertisement advertising adsense banner banners sponsor sponsored "
-    "promo promotion nav navbar navigation menu menus breadcrumb breadcrumbs sidebar side footer "
-    "foot header masthead topbar toolbar cookie cookies consent gdpr notice notices alert popup "
-    "modal overlay newsletter subscribe subscription signup login register search comment comments "
-    "comentarios kommentare reply replies respond disqus discussion share sharing social follow "
-    "related recommended trending popular widget widgets pagination pager copyright legal "
-    "disclaimer privacy skip print".split()
+#: Words of classes and ids that say what a part of a page is: parts that hold articles or
+#: prose of others, parts that do so at the edge of a page, and parts of the layout.
+FOREIGN_NAMES = frozenset(
+    "ad ads advert adverts advertisement adsense sponsored promo cookie cookies gdpr newsletter "
+    "subscribe comment comments comentarios kommentare replies respond disqus share sharing".split()
+)
+EDGE_NAMES = frozenset("sidebar footer widget widgets popup modal overlay".split())
+LAYOUT_NAMES = frozenset(
+    "banner banners nav navbar menu menus breadcrumb breadcrumbs header masthead topbar toolbar "
+    "pagination pager".split()
+)
+#: Words that are headings of prose as well.
+WEAK_NAMES = frozenset(
+    "advertising sponsor promotion navigation side foot consent notice notices alert subscription "
+    "signup login register search reply discussion social follow related recommended trending "
+    "popular copyright legal disclaimer privacy skip print".split()
+)
+#: Words that make a weak one a part of a page, and those that may stand beside any.
+THINGS = frozenset("articles bar box buttons form icons items link links list media posts stories us".split())
+BESIDE = THINGS | frozenset(
+    "area block bottom container global inner item left line outer page primary "
+    "right secondary section site slot top unit wrap wrapper".split()
 )
 CONTENT_NAMES = frozenset(
     "article content contents entry main post story text body prose".split()
 )
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+_BOILERPLATE = FOREIGN_NAMES | EDGE_NAMES | LAYOUT_NAMES | WEAK_NAMES
+_WHOLE = _BOILERPLATE | BESIDE
 
 #: Classifier weights, in units of cost.
-BIAS, IN_CONTENT, PARAGRAPH, HEADING, SENTENCE, LONG, LINKS, NAMED, DROPPED, HIDDEN = (
-    -1.0, 3.0, 1.5, 0.5, 0.8, 1.5, -4.0, -12.0, -12.0, -20.0,
+BIAS, IN_CONTENT, PARAGRAPH, HEADING, SENTENCE, LONG, LINKS, WEAK, NAMED, DROPPED, HIDDEN = (
+    -1.0, 3.0, 1.5, 0.5, 0.8, 1.5, -4.0, -3.0, -6.0, -12.0, -20.0,
 )
 #: Capacities of the ties: neighbours on the page, and neighbours among a parent's blocks.
 NEAR, SIBLING = 0.5, 0.9
@@ -79,10 +98,26 @@ _NAME = re.compile(r"[a-z]+")
 
 @dataclass
 class Element:
+    """``hidden``, ``foreign``, ``edge`` and ``wrapper`` are costs by what ends them.
+
+    Nothing ends the first. ``main``, or an article with most of the page's text, ends the
+    others, any article the last. On an element with most of the text the last two do not
+    count. Text in links is left out here.
+    """
+
     tag: str
     parent: int
-    dropped: float = 0.0
+    hidden: float = 0.0
+    foreign: float = 0.0
+    edge: float = 0.0
+    wrapper: float = 0.0
     content: bool = False
+    article: bool = False
+    starts: str = ""
+
+    @property
+    def dropped(self) -> float:
+        return min(self.hidden, self.foreign, self.edge, self.wrapper)
 
 
 @dataclass
@@ -93,43 +128,74 @@ class Block:
     edges: dict[int, float] = field(default_factory=dict)
 
 
-def _names(value: str) -> set[str]:
-    """Words of class names and ids, camel case included."""
-    spaced = re.sub(r"([a-z])([A-Z])", r"\1 \2", value)
-    return set(_NAME.findall(spaced.lower()))
+def _tokens(value: str) -> list[list[str]]:
+    """The words of each class name or id, camel case included."""
+    spaced = re.sub(r"([a-z])([A-Z])", r"\1-\2", value)
+    return [_NAME.findall(re.sub(r"\d+x\d+", "", t).lower()) for t in spaced.split()]
+
 
+def _named(element: Element, value: str) -> None:
+    """Costs and content of an element by one of its attributes of names.
 
-def _element(tag: str, attributes: str, parent: int, outer: Element | None) -> Element:
-    dropped = outer.dropped if outer else 0.0
-    content = outer.content if outer else False
+    A name counts as a whole: one word of a longer name says nothing, but for those that
+    stand beside parts of a page.
+    """
+    tokens = [set(t) for t in _tokens(value) if t]
+    flat = set().union(*tokens)
+    post = {"article"} in tokens or {"entry"} in tokens or {"post"} in tokens
+    for words in tokens:
+        if not words <= _WHOLE or post and not words & FOREIGN_NAMES:
+            continue
+        if element.article:
+            words = words - {"header", "masthead"}
+        if words & FOREIGN_NAMES:
+            element.foreign = min(element.foreign, NAMED)
+        elif words & EDGE_NAMES:
+            element.edge = min(element.edge, NAMED)
+        elif words & LAYOUT_NAMES or words & WEAK_NAMES and words & THINGS:
+            element.wrapper = min(element.wrapper, NAMED)
+        elif words & WEAK_NAMES:
+            element.wrapper = min(element.wrapper, WEAK)
+    if flat & CONTENT_NAMES and not element.dropped and (post or not flat & _BOILERPLATE):
+        element.content = True
+
+
+def _element(tag: str, attributes: str, parent: int, article: bool) -> Element:
+    """An element with its own costs, those around it left out."""
+    element = Element(tag, parent, article=article)
     if tag in DROPPED_TAGS:
-        dropped = min(dropped, DROPPED)
+        if tag not in WRAPPER_TAGS:
+            element.foreign = DROPPED
+        elif tag != "header" or not article:
+            element.wrapper = DROPPED
     if tag in ("article", "main"):
-        content = True
+        element.starts = tag
     if attributes.strip(" /"):
         lowered = attributes.lower()
         if re.search(r"(^|\s)hidden(\s|=|/|$)", lowered):
-            dropped = min(dropped, HIDDEN)
-        for name, a, b, c in _ATTRIBUTE.findall(attributes):
-            name, value = name.lower(), a or b or c
-            if name in ("class", "id") and tag not in ("html", "body"):
-                words = _names(value)
-                if words & BOILERPLATE_NAMES and not (
-                    tag in ("article", "main") or words & {"article", "entry", "post"} and not words & {"comment", "comments", "related"}
-                ):
-                    dropped = min(dropped, NAMED)
-                elif words & CONTENT_NAMES:
-                    content = True
+            element.hidden = HIDDEN
+        found = [(name.lower(), a or b or c) for name, a, b, c in _ATTRIBUTE.findall(attributes)]
+        section = tag == "section" or any(n == "class" and "section" in v.split() for n, v in found)
+        for name, value in found:
+            if name in ("class", "id"):
+                slug = name == "id" and (tag in HEADINGS or section and article)
+                if tag not in ("html", "body", "article", "main") and not slug:
+                    _named(element, value)
             elif name == "role":
-                if value.lower() in ROLES:
-                    dropped = min(dropped, NAMED)
-                elif value.lower() in ("main", "article"):
-                    content = True
+                role = value.lower()
+                if role == "form":
+                    element.wrapper = DROPPED
+                elif role in ROLES and not (role == "banner" and article):
+                    element.foreign = DROPPED
+                elif role in ("main", "article"):
+                    element.starts = role
             elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value.lower()):
-                dropped = min(dropped, HIDDEN)
+                element.hidden = HIDDEN
             elif name == "aria-hidden" and value.lower() == "true":
-                dropped = min(dropped, HIDDEN)
-    return Element(tag, parent, dropped, content)
+                element.hidden = HIDDEN
+    if element.starts in ("article", "main"):
+        element.article = element.content = True
+    return element
 
 
 class Page:
@@ -142,7 +208,12 @@ class Page:
         self._parts: list[str] = []
         self._linked = 0
         self._links = 0
+        self._read_blocks: list[tuple[str, int, int]] = []
         self._read(source)
+        self._inherit()
+        for text, linked, at in self._read_blocks:
+            place = self._place(at)
+            self.blocks.append(Block(text, self._container(place), self._cost(text, linked, at, place)))
 
     def _read(self, source: str) -> None:
         at, end = 0, len(source)
@@ -195,7 +266,7 @@ class Page:
         if tag in VOID_TAGS:
             return
         parent = self.stack[-1]
-        self.elements.append(_element(tag, attributes, parent, self.elements[parent]))
+        self.elements.append(_element(tag, attributes, parent, self.elements[parent].article))
         self.stack.append(len(self.elements) - 1)
         self._links += tag == "a"
 
@@ -221,27 +292,51 @@ class Page:
         linked, self._parts, self._linked = self._linked, [], 0
         if not text:
             return
-        place = self.stack[-1]
-        while self.elements[place].tag not in BLOCK_TAGS and place:
-            place = self.elements[place].parent
-        self.blocks.append(Block(text, self._container(place), self._cost(text, linked)))
+        self._read_blocks.append((text, linked, self.stack[-1]))
+
+    def _place(self, at: int) -> int:
+        """The block-level element around an element, or itself."""
+        while self.elements[at].tag not in BLOCK_TAGS and at:
+            at = self.elements[at].parent
+        return at
+
+    def _inherit(self) -> None:
+        """Costs and content pass on to descendants, up to what ends them."""
+        free, linked = [0] * len(self.elements), [0] * len(self.elements)
+        for text, links, at in self._read_blocks:
+            free[at] += max(0, len(text) - links)
+            linked[at] += min(len(text), links)
+        for i in range(len(self.elements) - 1, 0, -1):
+            free[self.elements[i].parent] += free[i]
+            linked[self.elements[i].parent] += linked[i]
+        for i, element in enumerate(self.elements[1:], 1):
+            most = free[i] > linked[i] and 2 * free[i] > free[0]
+            if most:
+                element.edge = element.wrapper = 0.0
+            named = element.dropped < WEAK
+            outer = self.elements[element.parent]
+            element.hidden = min(element.hidden, outer.hidden)
+            element.content = element.content or outer.content and not named
+            if element.starts == "main" or element.starts == "article" and most:
+                continue
+            element.foreign = min(element.foreign, outer.foreign)
+            element.edge = min(element.edge, outer.edge)
+            if element.starts != "article":
+                element.wrapper = min(element.wrapper, outer.wrapper)
 
     def _container(self, place: int) -> int:
         """The element that holds the block's own one, so paragraphs are siblings."""
         return max(0, self.elements[place].parent)
 
-    def _cost(self, text: str, linked: int) -> float:
-        element = self.elements[self.stack[-1]]
+    def _cost(self, text: str, linked: int, at: int, place: int) -> float:
+        element = self.elements[at]
         cost = BIAS + element.dropped
         if element.content:
             cost += IN_CONTENT
-        place = self.stack[-1]
-        while self.elements[place].tag not in BLOCK_TAGS and place:
-            place = self.elements[place].parent
         tag = self.elements[place].tag
         if tag in ("p", "pre", "blockquote", "td"):
             cost += PARAGRAPH
-        elif tag in ("h1", "h2", "h3", "h4", "h5", "h6", "figcaption"):
+        elif tag in HEADINGS or tag == "figcaption":
             cost += HEADING
         n = len(text)
         cost += LONG * min(1.0, n / 200) + SENTENCE * (text[-1] in ".!?:;\"”…")
