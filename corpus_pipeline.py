@@ -1,7 +1,7 @@
 """Cleaning a corpus in stages; each stage works on all that its predecessor kept.
 
 An id names a document: a stage drops documents by their ids, and rows without an id are
-never dropped. All stages but the last return the columns of the documents given, in their
+never dropped; but decontamination judges each row by its text, whatever its id. All stages but the last return the columns of the documents given, in their
 order, other columns included. Empty tables pass through all stages.
 """
 
@@ -33,7 +33,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a window of a benchmark item go."""
+    """Windows of benchmark items are cut out; documents with many of them go."""
     return decontamination_stage(spark, docs, sf_dir)
 
 

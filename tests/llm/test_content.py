@@ -304,6 +304,71 @@ def test_contamination_of_empty_tables(spark, edge, edge_rows, empty, items):
     assert decontamination.contamination(empty, some).count() == 0
 
 
+def clean_words(text, items, window=10):
+    """The words that stay when windows are cut until none is left, and how many go."""
+    left = brute.ALNUM_WORD.findall(brute.lower(text))
+    windows = set()
+    for _, item in items:
+        w = brute.ALNUM_WORD.findall(brute.lower(item))
+        size = min(window, len(w))
+        windows |= {tuple(w[i : i + size]) for i in range(len(w) - size + 1) if w}
+    total = len(left)
+    while True:
+        hit = set()
+        for size in {len(w) for w in windows}:
+            for i in range(len(left) - size + 1):
+                if tuple(left[i : i + size]) in windows:
+                    hit.update(range(i, i + size))
+        if not hit:
+            return left, total - len(left), total
+        left = [w for i, w in enumerate(left) if i not in hit]
+
+
+@pytest.mark.parametrize("words", [10**6, 60])
+@pytest.mark.parametrize("coverage", [0.04, 0.5])
+def test_cut_contamination(spark, words, coverage):
+    item = " ".join(f"q{i}" for i in range(15))
+    items = [(1, item), (2, "short item"), (3, None), (4, " ".join(f"z{i}" for i in range(200)))]
+    clean = [f"Wörd{i}," for i in range(1000)]
+    q = item.split()
+    texts = [
+        (1, " ".join(clean[:500] + q + clean[500:]) + ".\n"),
+        (1, " ".join(clean)),
+        (2, " ".join(clean[:10] + q)),
+        (None, " ".join(clean[:10] + q)),
+        (None, "Other text, " + " ".join(clean[:200]) + "; Short\nITEM. End"),
+        (3, "short item"),
+        (4, None),
+        (5, ""),
+        # Cutting the inner item makes an outer one.
+        (6, " ".join(clean[:500] + q[:7] + ["short", "item"] + q[7:] + clean[500:])),
+        (7, " ".join(q[:9] + clean[:100] + q[9:])),
+        (8, " ".join(clean[:300] + [f"z{i}" for i in range(150, 165)] + clean[300:])),
+    ]
+    texts += texts[:1] + texts[2:3]
+    df = spark.createDataFrame([(d, t, "x") for d, t in texts], "doc_id bigint, text string, spans string")
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    found = decontamination.cut_contamination(df, benchmark, coverage=coverage, automaton_words=words)
+    assert found.columns == df.columns
+    expected = []
+    for doc, text in texts:
+        left, n_cut, total = clean_words(text, items)
+        if n_cut <= coverage * total:
+            expected.append((doc, " ".join(left)))
+    rows = [(r.doc_id, r.text) for r in found.collect()]
+    got = [(d, " ".join(brute.ALNUM_WORD.findall(brute.lower(t)))) for d, t in rows]
+    assert brute.same_rows(got, expected)
+    assert {(1, " ".join(clean) + ".\n"), (1, " ".join(clean)), (4, None), (5, ""), (8, " ".join(clean))} <= set(rows)
+    assert any(d == 6 for d, _ in rows)
+
+
+def test_cut_contamination_of_empty_tables(spark, edge, empty, items):
+    none = spark.createDataFrame([], "item_id bigint, text string")
+    assert decontamination.cut_contamination(edge, none).count() == edge.count()
+    some = spark.createDataFrame(items, "item_id bigint, text string")
+    assert decontamination.cut_contamination(empty, some).count() == 0
+
+
 def test_contamination_sample(spark, sample, sf_dir):
     df, docs = sample
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")

@@ -4,6 +4,8 @@ The automaton accepts every sequence of words that stands in some item. Training
 are streamed through it with the length of the longest match that ends at each word; a
 match of a window's length marks its words. Words that no item has reset the match, so
 stretches of known words that are too short for any window are passed over at once.
+Marked words are cut out of their texts; only a row with more of them than a stated part of
+its words goes as a whole.
 """
 
 from __future__ import annotations
@@ -14,11 +16,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trunkline.llm import text as tx
-from trunkline.llm.common import stored, table, without
+from trunkline.llm.common import sized, stored, table
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -26,6 +28,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 WINDOW = 10
 #: Words of items that one automaton holds; more items make more automata, one scan each.
 AUTOMATON_WORDS = 1_000_000
+#: The part of a row's words that may be cut out; a row with more marked words is dropped.
+COVERAGE = 0.04
+#: Characters that are in no word, as in ``text.separators("alnum")`` with A-Z in lower case.
+_BETWEEN = r"\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F"
 SPANS = "doc_id bigint, n_words bigint, spans array<struct<first:bigint,last:bigint>>, items array<bigint>"
 
 
@@ -291,10 +297,84 @@ def span_words(spans: str = "spans"):
     return F.aggregate(spans, F.lit(0).cast("bigint"), lambda n, s: n + s["last"] - s["first"])
 
 
+def without_spans(text: Column, spans: Column) -> Column:
+    """The text without the words of the spans and the characters after each of them."""
+    words = F.regexp_extract_all(text, F.lit(f"[^{_BETWEEN}]+[{_BETWEEN}]*"), F.lit(0))
+    kept = F.filter(
+        words,
+        lambda _, i: ~F.exists(spans, lambda s: (s["first"] <= i) & (i < s["last"])),
+    )
+    return F.concat(F.regexp_extract(text, rf"\A[{_BETWEEN}]*", 0), F.array_join(kept, ""))
+
+
+def cut_contamination(
+    documents: DataFrame,
+    benchmark: DataFrame,
+    window: int = WINDOW,
+    coverage: float = COVERAGE,
+    automaton_words: int = AUTOMATON_WORDS,
+) -> DataFrame:
+    """``documents`` with the words of ``contamination`` cut out of their ``text``.
+
+    A row with more than ``coverage`` of its words cut is dropped. Words that form a window
+    only once others are gone are cut too, so no text that stays holds one. Each row is
+    judged by its text alone, whatever its id; equal texts fare alike, by 64-bit hashes.
+    Returns the columns given; only ``text`` differs, and only where it is cut.
+    """
+    texts = documents.select(F.xxhash64("text").alias("_key"), "text")
+
+    def marked(rows: DataFrame) -> DataFrame:
+        named = rows.select(F.col("_key").alias("doc_id"), "text")
+        found = contamination(named, benchmark, window, automaton_words)
+        found = found.where(F.size("spans") > 0).dropDuplicates(["doc_id"])
+        return found.select(
+            F.col("doc_id").alias("_key"), "n_words", span_words().alias("n_cut"), "spans"
+        )
+
+    def judged(found: DataFrame) -> DataFrame:
+        over = F.col("n_cut") > F.lit(coverage) * F.col("n_words")
+        return stored(found.withColumn("_over", over), "cuts")
+
+    cuts = judged(marked(texts).withColumn("_rounds", F.array("spans")).drop("spans"))
+    done, open_ = [cuts.where("_over")], cuts.where("not _over")
+    # Only rows that were cut are read again, until none of them has a window.
+    rest = texts.join(sized(open_.select("_key"), 16), "_key", "left_semi").dropDuplicates(["_key"])
+    rest = stored(rest, "rest")
+    while not open_.isEmpty():
+        rest = rest.join(open_.select("_key", "_rounds"), "_key")
+        last = F.element_at("_rounds", -1)
+        rest = stored(rest.select("_key", without_spans(F.col("text"), last).alias("text")), "rest")
+        more = stored(marked(rest).select("_key", F.col("n_cut").alias("n"), "spans"), "more")
+        done.append(open_.join(more, "_key", "left_anti"))
+        again = open_.join(more, "_key").select(
+            "_key", "n_words", (F.col("n_cut") + F.col("n")).alias("n_cut"),
+            F.concat("_rounds", F.array("spans")).alias("_rounds"),
+        )
+        again = judged(again)
+        done.append(again.where("_over"))
+        open_ = again.where("not _over")
+    settled = done[0].select("_key", "_over", "_rounds")
+    for part in done[1:]:
+        settled = settled.unionByName(part.select("_key", "_over", "_rounds"))
+    rows = documents.withColumn("_key", F.xxhash64("text")).join(
+        sized(stored(settled, "settled"), 128), "_key", "left"
+    )
+    cut = F.aggregate("_rounds", F.col("text"), without_spans)
+    return rows.where(~F.coalesce("_over", F.lit(False))).select(
+        *[F.coalesce(cut, "text").alias(c) if c == "text" else F.col(c) for c in documents.columns]
+    )
+
+
 def decontamination_stage(spark: SparkSession, documents: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that hold no window of a benchmark item."""
-    found = contamination(documents, table(spark, sf_dir, "benchmark"))
-    return without(documents, found.where(F.size("spans") > 0))
+    """The documents without the windows of benchmark items; those with many of them go.
+
+    ``n_chars``, where a row has it, follows its text.
+    """
+    clean = cut_contamination(documents, table(spark, sf_dir, "benchmark"))
+    if "n_chars" not in documents.columns:
+        return clean
+    length = F.when(F.col("n_chars").isNotNull(), F.length("text"))
+    return clean.withColumn("n_chars", length.cast(documents.schema["n_chars"].dataType))
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
