@@ -16,9 +16,7 @@ from trunkline.session import shared_folder
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    found = Tokenizer.from_file(tokens.tokenizer_path())
-    found.encode_special_tokens = True
-    return found
+    return Tokenizer.from_file(tokens.tokenizer_path())
 
 
 @pytest.fixture(scope="module")
@@ -35,7 +33,8 @@ ALPHABET = [
 def test_ids_equal_the_library(words, tokenizer):
     rng = random.Random(3)
     texts = ["".join(rng.choice(ALPHABET) for _ in range(rng.randint(0, 14))) for _ in range(5000)]
-    texts += ["", None, "a" * 5000, " " * 5000]
+    texts += ["", None, "a" * 5000, " " * 5000, "<|endoftext|>", "x<|endoftext|><|endoftext|> y"]
+    texts += ["cut <|endo", "ftext|> here"]  # no token: two texts
     ids, ranges = words.encode(pa.array(texts))
     for i, text in enumerate(texts):
         assert ids[ranges[i] : ranges[i + 1]].tolist() == tokenizer.encode(text or "", add_special_tokens=False).ids
@@ -52,6 +51,13 @@ def test_ids_of_any_text(texts):
         assert ids[ranges[i] : ranges[i + 1]].tolist() == expected
 
 
+def test_special_tokens_are_as_the_library_has_them(words):
+    """The string of a special token is that token, in a text of other words too."""
+    ids, ranges = words.encode(pa.array(["a <|endoftext|> b", "a b"]))
+    assert 50256 in ids[: ranges[1]] and ranges[1] < 8
+    assert 50256 not in ids[ranges[1] :]
+
+
 def test_a_full_table_starts_afresh(monkeypatch, tokenizer):
     monkeypatch.setattr(tokens, "TABLE_BITS", 8)
     small = tokens.Vocabulary(tokens.tokenizer_path())

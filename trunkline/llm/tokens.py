@@ -3,8 +3,9 @@
 The byte-level tokenizer splits a text into pieces (words with their space, numbers, marks,
 white space) and merges inside a piece only. Pieces are found here for a whole batch at
 once; each different piece is encoded once by the tokenizers library and kept by its hash
-in the worker. A text with characters outside the scripts whose classes are listed here is
-encoded by the library as it is. Both give the ids of ``encode``.
+in the worker. A text with characters outside the scripts whose classes are listed here, or
+with the string of a special token, is encoded by the library as it is. Both give the ids
+of ``encode``: a special token's string is that token, as the library has it by default.
 """
 
 from __future__ import annotations
@@ -44,10 +45,8 @@ def _make_classes() -> np.ndarray:
     return out
 
 
-def split(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A mark for each byte that begins a piece, and for each text whether it has bytes of
-    unknown class (its marks mean nothing then)."""
-    n = len(data)
+def byte_kinds(data: np.ndarray) -> np.ndarray:
+    """The class of the character that each byte belongs to."""
     kinds = _classes()
     kind = kinds[data]  # right for ASCII
     lead = np.flatnonzero(data >= 0x80)
@@ -62,6 +61,14 @@ def split(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
         three = three[(data[three + 1] == 0x80) & (data[three + 2] >= 0x90) & (data[three + 2] <= 0xA7)]
         for i in range(3):
             kind[three + i] = _MARK
+    return kind
+
+
+def split(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A mark for each byte that begins a piece, and for each text whether it has bytes of
+    unknown class (its marks mean nothing then)."""
+    n = len(data)
+    kind = byte_kinds(data)
     unknown = np.append(0, np.cumsum(kind == _UNKNOWN))[offsets]
     border = np.zeros(n + 1, bool)
     border[offsets] = True
@@ -100,7 +107,8 @@ class Vocabulary:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.special = [t.content.encode() for t in added]
         self.clear()
 
     def clear(self) -> None:
@@ -143,10 +151,23 @@ class Vocabulary:
             self.at[slot[won]], self.n[slot[won]] = at[left[won]], n[left[won]]
             left = left[~won]
 
+    def _with_special(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """For each text whether the string of a special token stands in it."""
+        found = np.zeros(len(offsets) - 1, bool)
+        raw = data.tobytes()
+        for token in self.special:
+            at = raw.find(token)
+            while at >= 0:
+                text = int(np.searchsorted(offsets, at, "right")) - 1
+                found[text] |= at + len(token) <= offsets[text + 1]
+                at = raw.find(token, at + 1)
+        return found
+
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts and each text's range of them; null counts as empty."""
         data, offsets = tx.utf8(column)
         begin, odd = split(data, offsets)
+        odd |= self._with_special(data, offsets)
         first = np.flatnonzero(begin)
         last = np.append(first[1:], len(data))
         of = np.searchsorted(first, offsets)
