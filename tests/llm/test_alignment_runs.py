@@ -1,0 +1,344 @@
+"""Best-fit packing, alignment of tokenizers and periodic runs against plain answers."""
+
+import hashlib
+import random
+import zlib
+from collections import Counter
+from fractions import Fraction
+
+import brute
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from sentencepiece import SentencePieceProcessor
+from tokenizers import Tokenizer
+
+from trunkline.llm import alignment, best_fit, periodic_runs, tokens
+from trunkline.llm import text as tx
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    return Tokenizer.from_file(tokens.tokenizer_path())
+
+
+# --- best fit ---------------------------------------------------------------------
+
+
+def plain_best_fit(lengths, size, limit):
+    """Bins as a list of free spaces, searched one by one; ties go to the bin used last."""
+    bins, out, used = {}, [], 0
+    for n, length in enumerate(lengths):
+        fits = [(free, -last, b) for b, (free, last) in bins.items() if free >= length]
+        if fits:
+            free, _, b = min(fits)
+        else:
+            if len(bins) == limit and length < size:
+                del bins[min((free, -last, x) for x, (free, last) in bins.items())[2]]
+            free, b, used = size, used, used + 1
+        out.append((b, size - free))
+        bins.pop(b, None)
+        if free > length:
+            bins[b] = (free - length, n)
+    return out
+
+
+@given(st.lists(st.integers(1, 32), max_size=200), st.integers(1, 6))
+@settings(max_examples=200, deadline=None)
+def test_bins_equal_a_plain_search(lengths, limit):
+    bins = best_fit.OpenBins(32, limit)
+    assert [bins.place(n) for n in lengths] == plain_best_fit(lengths, 32, limit)
+    assert bins.open <= limit
+
+
+def check_best_fit(found, rows, tokenizer, size):
+    expected = Counter()
+    for doc, text in rows:
+        ids = brute.encode(tokenizer, text, 2)
+        rest = len(ids) - (-(-len(ids) // size) - 1) * size
+        starts = [0, *range(rest, len(ids), size)] if len(ids) > size else [0]
+        for k, (a, b) in enumerate(zip(starts, [*starts[1:], len(ids)], strict=True)):
+            expected[(doc, k, a, b - a, brute.crc(ids[a:b]))] += 1
+    assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in found) == expected
+    sequences = {}
+    for r in found:
+        sequences.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for places in sequences.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += length
+        assert at <= size
+    return len(sequences)
+
+
+@pytest.mark.parametrize(("size", "limit"), [(1024, 1024), (16, 2)])
+def test_best_fit(edge, edge_rows, tokenizer, size, limit):
+    found = best_fit.pack_best_fit(edge, size=size, open_bins=limit, with_ids=True).collect()
+    check_best_fit(found, edge_rows, tokenizer, size)
+    for r in found:
+        assert brute.crc(np.frombuffer(r.ids, "<u4")) == r.ids_crc32
+
+
+def test_best_fit_sample(sample, tokenizer):
+    df, docs = sample
+    found = best_fit.pack_best_fit(df.coalesce(1)).collect()
+    n = check_best_fit(found, docs, tokenizer, 1024)
+    assert sum(r.length for r in found) / (1024 * n) > 0.85
+
+
+def test_best_fit_of_nothing(empty):
+    assert best_fit.pack_best_fit(empty).count() == 0
+
+
+# --- alignment --------------------------------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def pair():
+    a = Tokenizer.from_file(tokens.tokenizer_path())
+    a.encode_special_tokens = True
+    return a, SentencePieceProcessor(model_file=tokens.tokenizer_path(alignment.PIECES))
+
+
+def plain_alignment(text, pair):
+    """Ids of whole texts and groups by the tokens' bytes alone."""
+    if not text:
+        return [], [], []
+    a, b = pair
+    letters = alignment.byte_alphabet()
+    a_ids = a.encode(" " + text, add_special_tokens=False).ids
+    b_ids = b.encode(text)
+    a_parts = [bytes(letters[c] for c in a.id_to_token(i)) for i in a_ids]
+    names = [b.id_to_piece(i) for i in b_ids]
+    b_parts = [
+        bytes([int(x[3:5], 16)]) if b.is_byte(i) else x.replace("▁", " ").encode()
+        for i, x in zip(b_ids, names, strict=True)
+    ]
+    raw = (" " + text).encode()
+    if b"".join(a_parts) != raw or b"".join(b_parts) != raw:
+        return [], [], []
+    a_ends = np.cumsum([len(x) for x in a_parts]).tolist()
+    b_ends = np.cumsum([len(x) for x in b_parts]).tolist()
+    groups, i, j = [], 0, 0
+    a_place, b_place = ({e: k + 1 for k, e in enumerate(ends)} for ends in (a_ends, b_ends))
+    for end in sorted(set(a_ends) & set(b_ends)):
+        x, y = a_place[end], b_place[end]
+        groups.append((a_ids[i:x], b_ids[j:y]))
+        i, j = x, y
+    return a_ids, b_ids, groups
+
+
+def alignment_rows(rows, pair):
+    found = [(doc, *plain_alignment(text, pair)) for doc, text in rows]
+    counts = Counter((x[-1], y[-1]) for *_, groups in found for x, y in groups)
+    most = Counter()
+    for (_, b), n in counts.items():
+        most[b] = max(most[b], n)
+    out = []
+    for doc, a_ids, b_ids, groups in found:
+        n = [counts[x[-1], y[-1]] for x, y in groups]
+        best = sum(k == most[y[-1]] for k, (_, y) in zip(n, groups, strict=True))
+        text = ";".join(f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y in groups)
+        digest = hashlib.sha256(text.encode()).hexdigest() if text else ""
+        out.append((doc, len(a_ids), len(b_ids), len(groups), len(n), best, sum(n), digest))
+    return out
+
+
+ALIGNED = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+
+
+@pytest.mark.parametrize("kept", [400_000, 20])
+def test_alignment(spark, edge, edge_rows, pair, monkeypatch, kept):
+    monkeypatch.setattr(alignment, "KEPT_SEGMENTS", kept)
+    monkeypatch.setattr(alignment, "table", lambda *_: edge)
+    found = alignment.op12_token_alignment(spark, "").select(ALIGNED).collect()
+    assert brute.same_rows(found, alignment_rows(edge_rows, pair))
+
+
+def test_alignment_sample(spark, sample, pair):
+    _, docs = sample
+    found = alignment.op12_token_alignment(spark, "/root/testdata/sf0.001").select(ALIGNED).collect()
+    assert brute.same_rows(found, alignment_rows(docs, pair))
+
+
+def test_alignment_of_nothing(spark, empty, monkeypatch):
+    monkeypatch.setattr(alignment, "table", lambda *_: empty)
+    assert alignment.op12_token_alignment(spark, "").count() == 0
+
+
+def test_alignment_of_odd_texts(pair):
+    """Spans and decoded bytes of segments give what bytes of whole texts give."""
+    rng = random.Random(5)
+    letters = [
+        "a", "The", " ", "  ", "\n", "'s", "1", "é", "ß", "—", "\t", "\xa0", "中", "文字", "😀", "🇧🇷",
+        "<|endoftext|>", "<s>", "<0x41>", "▁", "\x00", "²", "Ж", "ͱ", "́", ".", "http://x.y/z",
+    ]
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(1, 12))) for _ in range(3000)]
+    aligner = alignment.Aligner(tokens.tokenizer_path(), tokens.tokenizer_path(alignment.PIECES))
+    assert aligner.separable
+    for text in texts:
+        data = np.frombuffer((" " + text).encode(), np.uint8)
+        first, last, _ = alignment.segments(data, np.array([0, len(data)]), True)
+        raw = data.tobytes()
+        found = list(aligner.align([raw[x:y].decode() for x, y in zip(first, last, strict=True)]))
+        a_ids, b_ids, groups = plain_alignment(text, pair)
+        if None in found:
+            assert not a_ids, text
+            continue
+        expected = ";".join(f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y in groups)
+        assert ";".join(s.groups for s in found) == expected, text
+        assert sum(s.a for s in found) == len(a_ids) and sum(s.b for s in found) == len(b_ids)
+
+
+# --- periodic runs ----------------------------------------------------------------
+
+
+def plain_runs(words):
+    """(start, length, period) of all runs, from every period in turn."""
+    n, found = len(words), {}
+    for q in range(1, n // 4 + 1):
+        i = 0
+        while i < n - q:
+            if words[i] != words[i + q]:
+                i += 1
+                continue
+            j = i
+            while j < n - q and words[j] == words[j + q]:
+                j += 1
+            if j + q - i >= max(6, 4 * q):
+                found.setdefault((i, j + q - i), q)  # the smallest period comes first
+            i = j
+    return sorted((s, m, q) for (s, m), q in found.items())
+
+
+def collapsed(words, runs):
+    gone = {i for s, m, q in runs for i in range(s + q, s + m)}
+    return " ".join(w for i, w in enumerate(words) if i not in gone)
+
+
+def planted_words(doc, text):
+    words = brute.WHITE_WORD.findall(text or "")
+    h = zlib.crc32(str(doc).encode()) if doc is not None else 1
+    g, n = h // 10, len(words)
+    if h % 10 == 0 and n:
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        words = words[:a] + [words[a + (i - a) % p] for i in range(a, n)]
+    return words
+
+
+def run_rows(rows):
+    out = []
+    for doc, text in rows:
+        words = planted_words(doc, text)
+        runs = plain_runs(words)
+        best = max(runs, key=lambda r: (Fraction(r[1], r[2]), -r[0], -r[2]), default=None)
+        lines = "".join(f"{s},{m},{q}\n" for s, m, q in runs)
+        top = (*best, 1000 * best[1] // best[2]) if best else (None,) * 4
+        digests = [hashlib.sha256(x.encode()).hexdigest() for x in (lines, collapsed(words, runs))]
+        out.append((doc, len(runs), *top, *digests))
+    return out
+
+
+def random_words(rng):
+    """Words with nested and neighbouring repetitions."""
+    out = []
+    for _ in range(rng.randint(1, 6)):
+        unit = [rng.choice("abcd") for _ in range(rng.choice([1, 2, 3, 5, 8, 13, 21, 34]))]
+        if rng.random() < 0.4:
+            unit = unit * rng.randint(2, 5) + [rng.choice("xyz")]
+        out += unit * rng.randint(1, 7) + unit[: rng.randint(0, len(unit))]
+    return out
+
+
+def check_runs(texts):
+    sizes = [len(t) for t in texts]
+    ids = np.array([hash(w) % 10**6 for t in texts for w in t], np.int64)
+    of = np.append(0, np.cumsum(sizes)).astype(np.int64)
+    first, end, period = periodic_runs.find_runs(ids, of)
+    got = [[] for _ in texts]
+    for s, e, q in zip(first.tolist(), end.tolist(), period.tolist(), strict=True):
+        home = int(np.searchsorted(of, s, "right")) - 1
+        got[home].append((s - int(of[home]), e - s, q))
+    for words, found in zip(texts, got, strict=True):
+        assert found == plain_runs(words)
+
+
+def test_runs_equal_a_plain_search():
+    for seed in range(150):
+        rng = random.Random(seed)
+        check_runs([random_words(rng) for _ in range(rng.randint(1, 5))] + [[]])
+
+
+@given(st.lists(st.lists(st.sampled_from("ab"), max_size=60), max_size=6))
+@settings(max_examples=300, deadline=None)
+def test_runs_of_few_words(texts):
+    check_runs(texts)
+
+
+def test_long_periods():
+    rng = random.Random(1)
+    for q in (4, 7, 8, 63, 64, 65, 200, 511, 512):
+        unit = [str(rng.randint(0, 10**6)) for _ in range(q)]
+        check_runs([["x"] + unit * 4 + ["y"], unit * 3 + unit[:-1], (unit * 5)[: 4 * q + 1]])
+
+
+def test_synchronising_sets_are_sparse_and_consistent():
+    rng = np.random.default_rng(3)
+    ids = rng.integers(0, 50, 20_000)
+    ids[5000:9000] = ids[1000:5000]  # equal contexts
+    ids[12_000:15_000] = 7  # one highly periodic region
+    sums = tx.word_sums(tx.mix(ids.astype(np.uint64) + np.uint64(1)))
+    ends = np.full(len(ids), len(ids))
+    for scale in (4, 16, 64):
+        periodic = np.zeros(len(ids), bool)
+        periodic[12_000 : 15_000 - scale + 1] = True
+        places = periodic_runs.synchronising_set(sums, ends, scale, periodic)
+        assert len(places) < 4 * len(ids) / scale
+        chosen = set(places.tolist())
+        for i in range(1000, 5000 - 2 * scale):
+            assert (i in chosen) == (i + 4000 in chosen)
+        assert not chosen & set(range(12_000, 15_000 - 2 * scale))
+
+
+RUNS = ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"]
+
+
+def repeated_rows(edge_rows):
+    rng = random.Random(9)
+    return [r for r in edge_rows if len(r[1] or "") < 60_000] + [
+        (1000 + i, " \n".join(random_words(rng))) for i in range(120)
+    ]
+
+
+def test_periodic_runs(spark, edge, edge_rows, monkeypatch):
+    rows = repeated_rows(edge_rows)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    monkeypatch.setattr(periodic_runs, "table", lambda *_: df)
+    found = periodic_runs.op13_periodic_runs(spark, "").select(RUNS).collect()
+    assert brute.same_rows(found, run_rows(rows))
+    monkeypatch.setattr(periodic_runs, "table", lambda *_: edge)
+    assert periodic_runs.op13_periodic_runs(spark, "").count() == len(edge_rows)
+
+
+def test_periodic_runs_sample(spark, sample):
+    _, docs = sample
+    found = periodic_runs.op13_periodic_runs(spark, "/root/testdata/sf0.001").select(RUNS).collect()
+    short = [d for d in docs if len(d[1] or "") < 30_000]
+    ids = {d for d, _ in short}
+    assert brute.same_rows([r for r in found if r.doc_id in ids], run_rows(short))
+    assert len(found) == len(docs)
+
+
+def test_collapsed_text(spark):
+    df = spark.createDataFrame([(1, "x a b\ta b a  b a b a y"), (2, None), (3, " ")], "doc_id int, text string")
+    df = df.withColumn("doc_id", df.doc_id.cast("bigint")).withColumn("runs", df.text)
+    rows = {r.doc_id: r for r in periodic_runs.periodic_runs(df).collect()}
+    assert rows[1].collapsed == "x a b y" and [tuple(r) for r in rows[1].runs] == [(1, 9, 2)]
+    assert rows[2].collapsed == "" and rows[3].n_words == 0 and rows[3].runs == []
+
+
+def test_periodic_runs_of_nothing(empty):
+    assert periodic_runs.periodic_runs(empty).count() == 0

@@ -8,12 +8,15 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
 from trunkline.llm import (
+    alignment,
+    best_fit,
     decontamination,
     exact_dedup,
     html_text,
     jaccard_join,
     licenses,
     packing,
+    periodic_runs,
     substring_dedup,
     suffix_dedup,
     token_files,
@@ -33,6 +36,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         decontamination.op8_decontamination,
         substring_dedup.op9_substring_dedup,
         toxicity.op10_toxicity,
+        best_fit.op11_best_fit_packing,
+        alignment.op12_token_alignment,
+        periodic_runs.op13_periodic_runs,
     ]
     return {f.__name__: f for f in found} | {"pipeline": corpus_pipeline.run}
 
