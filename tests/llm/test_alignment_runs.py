@@ -149,9 +149,10 @@ def alignment_rows(rows, pair):
 ALIGNED = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
 
 
-@pytest.mark.parametrize("kept", [400_000, 20])
-def test_alignment(spark, edge, edge_rows, pair, monkeypatch, kept):
-    monkeypatch.setattr(alignment, "KEPT_SEGMENTS", kept)
+@pytest.mark.parametrize(("kept", "at_once"), [(96 << 20, 200_000), (500, 7)])
+def test_alignment(spark, edge, edge_rows, pair, monkeypatch, kept, at_once):
+    monkeypatch.setattr(alignment, "KEPT_BYTES", kept)
+    monkeypatch.setattr(alignment, "LOOKED_UP", at_once)
     monkeypatch.setattr(alignment, "table", lambda *_: edge)
     found = alignment.op12_token_alignment(spark, "").select(ALIGNED).collect()
     assert brute.same_rows(found, alignment_rows(edge_rows, pair))
@@ -182,14 +183,30 @@ def test_alignment_of_odd_texts(pair):
         data = np.frombuffer((" " + text).encode(), np.uint8)
         first, last, _ = alignment.segments(data, np.array([0, len(data)]), True)
         raw = data.tobytes()
-        found = list(aligner.align([raw[x:y].decode() for x, y in zip(first, last, strict=True)]))
+        found = aligner.align([raw[x:y].decode() for x, y in zip(first, last, strict=True)])
         a_ids, b_ids, groups = plain_alignment(text, pair)
-        if None in found:
+        if not found.counts[:, 2].all():
             assert not a_ids, text
             continue
-        expected = ";".join(f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y in groups)
-        assert ";".join(s.groups for s in found) == expected, text
-        assert sum(s.a for s in found) == len(a_ids) and sum(s.b for s in found) == len(b_ids)
+        expected = "".join(f"{','.join(map(str, x))}|{','.join(map(str, y))};" for x, y in groups)
+        assert found.text.tobytes().decode() == expected, text
+        assert found.counts.sum(axis=0).tolist() == [len(a_ids), len(b_ids), len(groups)]
+        assert found.links.tolist() == [x[-1] * alignment.B_IDS + y[-1] for x, y in groups]
+
+
+def test_segments_of_one_batch(pair):
+    """Many segments at once, with some that B does not give back among them."""
+    rng = random.Random(6)
+    letters = ["a", "The", "é", "中", "😀", "▁", "\n", ".", "Ж", "²", "\x00"]
+    aligner = alignment.Aligner(tokens.tokenizer_path(), tokens.tokenizer_path(alignment.PIECES))
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(1, 9))) for _ in range(500)]
+    found = aligner.align([" " + t for t in texts])
+    expected = [plain_alignment(t, pair) for t in texts]
+    assert [g > 0 for g in found.counts[:, 2]] == [bool(g) for *_, g in expected]
+    groups = [g for *_, found in expected for g in found]
+    assert found.links.tolist() == [x[-1] * alignment.B_IDS + y[-1] for x, y in groups]
+    joined = "".join(f"{','.join(map(str, x))}|{','.join(map(str, y))};" for x, y in groups)
+    assert found.text.tobytes().decode() == joined
 
 
 # --- periodic runs ----------------------------------------------------------------

@@ -19,6 +19,7 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +36,12 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 PIECES = "piece_bpe_32k.model"
 #: Ids of B in a pair's code ``a * B_IDS + b``; codes of both vocabularies fit 32 bits.
 B_IDS = 32_000
-#: Segments and bytes of them that a worker keeps before it starts afresh.
-KEPT_SEGMENTS, KEPT_BYTES = 400_000, 32 << 20
+#: Bits of a worker's table of segments, which it fills to a quarter, and the bytes that it
+#: keeps, before it starts afresh.
+TABLE_BITS, KEPT_BYTES = 21, 96 << 20
+#: Segments that the libraries get at once, and that are looked up at once; another quarter of
+#: the table takes those.
+ALIGNED_AT_ONCE, LOOKED_UP = 4_000, 200_000
 #: Links that a task counts at once.
 COUNTED = 4_000_000
 _ALIGNED = (
@@ -53,53 +58,80 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-class Segment:
-    """Alignment of one segment: token counts, groups as text, codes of the linked pairs."""
+def clean(begin: np.ndarray, end: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Whether a token's span is as long as its bytes: it stands for whole characters."""
+    return end - begin == sizes
 
-    __slots__ = ("a", "b", "groups", "links")
 
-    def __init__(self, a: int, b: int, groups: str, links: list[int]) -> None:
-        self.a, self.b, self.groups, self.links = a, b, groups, links
+def common_ends(
+    size: int, a_ends: np.ndarray, a_clean: np.ndarray, a_sizes: np.ndarray,
+    b_ends: np.ndarray, b_clean: np.ndarray, b_sizes: np.ndarray, borders: np.ndarray,
+) -> np.ndarray:
+    """Byte ends that tokens of A and B have in common, of ``size`` bytes that both cover.
+
+    Ends of clean tokens are those of the spans and give coarse cuts; ``borders``, the ends
+    of segments, are cuts too. Where a token between two of them is not clean, ends come
+    from the decoded bytes.
+    """
 
+    def marked(ends: np.ndarray) -> np.ndarray:
+        mark = np.zeros(size + 1, bool)
+        mark[ends] = True
+        return mark
 
-def clean_ends(spans: list[tuple[int, int]], parts: list[bytes]) -> list[int]:
-    """End of each token by its span, or -1 for a token that is no run of whole characters."""
-    return [
-        end if end - begin == len(part) else -1
-        for (begin, end), part in zip(spans, parts, strict=True)
-    ]
+    cut = marked(a_ends[a_clean]) & marked(b_ends[b_clean])
+    cut[borders] = True
+    a_decoded, b_decoded = np.cumsum(a_sizes), np.cumsum(b_sizes)
+    coarse = np.flatnonzero(cut)
+    fine = np.zeros(len(coarse), bool)  # stretches, by their end, with tokens that are not clean
+    for decoded, whole in ((a_decoded, a_clean), (b_decoded, b_clean)):
+        fine[np.searchsorted(coarse, decoded[~whole])] = True
+    if fine.any():
+        both = np.flatnonzero(marked(a_decoded) & marked(b_decoded))
+        cut[both[fine[np.searchsorted(coarse, both)]]] = True
+    return np.flatnonzero(cut)
 
 
-def common_ends(
-    a_spans: list[tuple[int, int]], a_parts: list[bytes],
-    b_spans: list[tuple[int, int]], b_parts: list[bytes],
-) -> list[tuple[int, int]]:
-    """Numbers of the last tokens of A and B in each group; both cover the same bytes."""
-    a_ends, b_ends = clean_ends(a_spans, a_parts), clean_ends(b_spans, b_parts)
-    place = {end: j for j, end in enumerate(b_ends) if end >= 0}
-    coarse = [(i, place[end]) for i, end in enumerate(a_ends) if end >= 0 and end in place]
-    last = (len(a_parts) - 1, len(b_parts) - 1)
-    if not coarse or coarse[-1] != last:
-        coarse.append(last)
-    if -1 not in a_ends and -1 not in b_ends:
-        return coarse
-    out, before = [], (-1, -1)
-    for cut in coarse:
-        a_block, b_block = slice(before[0] + 1, cut[0] + 1), slice(before[1] + 1, cut[1] + 1)
-        if -1 in a_ends[a_block] or -1 in b_ends[b_block]:
-            at, ends = 0, {}
-            for j in range(b_block.start, b_block.stop):
-                at += len(b_parts[j])
-                ends[at] = j
-            at = 0
-            for i in range(a_block.start, a_block.stop):
-                at += len(a_parts[i])
-                if at in ends:
-                    out.append((i, ends[at]))
-        else:
-            out.append(cut)
-        before = cut
-    return out
+class Bytes:
+    """Byte strings by number, in one array."""
+
+    def __init__(self, parts: list[bytes]) -> None:
+        self.sizes = np.array([len(p) for p in parts], np.int64)
+        self.base = np.cumsum(self.sizes) - self.sizes
+        self.data = np.frombuffer(b"".join(parts), np.uint8)
+
+    def joined(self, which: np.ndarray) -> np.ndarray:
+        return gathered(self.data, self.base[which], self.sizes[which])
+
+
+def gathered(values: np.ndarray, base: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Consecutive ranges of an array, one after the other."""
+    ends = np.cumsum(sizes)
+    total = int(ends[-1]) if len(ends) else 0
+    return values[np.repeat(base - (ends - sizes), sizes) + np.arange(total)]
+
+
+class Growing:
+    """An array that grows at its end."""
+
+    def __init__(self, kind: type) -> None:
+        self.values, self.used = np.zeros(1 << 16, kind), 0
+
+    def append(self, more: np.ndarray) -> int:
+        """Where the appended values begin."""
+        begin, self.used = self.used, self.used + len(more)
+        while self.used > len(self.values):
+            self.values = np.concatenate([self.values, np.zeros_like(self.values)])
+        self.values[begin : self.used] = more
+        return begin
+
+
+class Aligned:
+    """Alignments of some segments: for each the numbers of tokens of A and B and of groups
+    (no groups: a tokenizer changes its bytes), the linked pairs and the groups as text."""
+
+    def __init__(self, counts: np.ndarray, links: np.ndarray, text: np.ndarray, text_sizes: np.ndarray):
+        self.counts, self.links, self.text, self.text_sizes = counts, links, text, text_sizes
 
 
 class Aligner:
@@ -114,78 +146,158 @@ class Aligner:
         self.a.encode_special_tokens = True  # their strings are ordinary text here
         self.b = SentencePieceProcessor(model_file=b_path)
         letters = byte_alphabet()
-        self.a_bytes = [b""] * (max(self.a.get_vocab().values()) + 1)
+        a_parts = [b""] * (max(self.a.get_vocab().values()) + 1)
         for token, i in self.a.get_vocab().items():
-            self.a_bytes[i] = bytes(letters[c] for c in token if c in letters)
+            a_parts[i] = bytes(letters[c] for c in token if c in letters)
         names = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
-        self.b_bytes = [
+        b_parts = [
             bytes([int(name[3:5], 16)]) if self.b.is_byte(i) else name.replace(_SPACE_MARK, " ").encode()
             for i, name in enumerate(names)
         ]
+        self.a_bytes, self.b_bytes = Bytes(a_parts), Bytes(b_parts)
+        self.digits = Bytes([b"%d " % i for i in range(max(len(a_parts), len(b_parts)))])
         #: Whether no token of B goes on with a space after something else.
         self.separable = not any(
-            x != 32 and y == 32 for t in self.b_bytes for x, y in zip(t, t[1:], strict=False)
+            x != 32 and y == 32 for t in b_parts for x, y in zip(t, t[1:], strict=False)
         )
         self.clear()
 
     def clear(self) -> None:
-        self.place: dict[int, int] = {}
-        self.kept = 0
-        self.groups: list[str | None] = []
-        self.counts: list[tuple[int, int, int]] = []
-        self.links: list[np.ndarray] = []
-
-    def align(self, segments: list[str]) -> Iterator[Segment | None]:
-        """Each segment, which begins with a space; None if a tokenizer changes its bytes."""
+        size = 1 << TABLE_BITS
+        self.key, self.place = np.zeros(size, np.uint64), np.zeros(size, np.int64)
+        self.entries = 0
+        self.counts, self.base = Growing(np.int64), Growing(np.int64)
+        self.links, self.text = Growing(np.int32), Growing(np.uint8)
+
+    def align(self, segments: list[str]) -> Aligned:
+        """The segments, each of which begins with a space, and has more."""
+        data = np.frombuffer("".join(segments).encode(), np.uint8)
         a_found = self.a.encode_batch(segments, add_special_tokens=False)
         b_found = self.b.encode([s[1:] for s in segments], return_type="proto", num_threads=1)
-        for segment, a, b in zip(segments, a_found, b_found, strict=True):
-            yield self._align(segment, a, b)
-
-    def _align(self, segment: str, a, b) -> Segment | None:
-        raw = segment.encode()
-        a_ids, pieces = a.ids, b.pieces
-        b_ids = [p.id for p in pieces]
-        a_parts = [self.a_bytes[i] for i in a_ids]
-        b_parts = [self.b_bytes[i] for i in b_ids]
-        if b"".join(a_parts) != raw or b"".join(b_parts) != raw:
-            return None
-        a_spans = a.offsets
-        if len(raw) != len(segment):
-            at = np.append(0, np.cumsum([len(c.encode()) for c in segment])).tolist()
-            a_spans = [(at[x], at[y]) for x, y in a_spans]
-        # B's spans do not count the space that it adds.
-        b_spans = [(p.begin + 1, p.end + 1) for p in pieces]
-        if b_spans:
-            b_spans[0] = (0, b_spans[0][1])
-        ends = common_ends(a_spans, a_parts, b_spans, b_parts)
-        links, groups, i, j = [], [], 0, 0
-        for x, y in ends:
-            left = ",".join(map(str, a_ids[i : x + 1]))
-            groups.append(f"{left}|{','.join(map(str, b_ids[j : y + 1]))}")
-            links.append(a_ids[x] * B_IDS + b_ids[y])
-            i, j = x + 1, y + 1
-        return Segment(len(a_ids), len(b_ids), ";".join(groups), links)
+        n = len(segments)
+        letters = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
+        letter = np.append(0, np.cumsum([len(s) for s in segments]))
+        base = letters[letter]
+
+        def flat(lists) -> np.ndarray:
+            return np.fromiter(chain.from_iterable(lists), np.int64)
+
+        a_ids, a_n = flat(e.ids for e in a_found), np.array([len(e.ids) for e in a_found], np.int64)
+        spans = flat(chain.from_iterable(e.offsets for e in a_found)).reshape(-1, 2)
+        spans = letters[spans + letter[np.repeat(np.arange(n), a_n)][:, None]]
+        pieces = [p.pieces for p in b_found]
+        b_n = np.array([len(p) for p in pieces], np.int64)
+        found = flat((x.id, x.begin, x.end) for p in pieces for x in p).reshape(-1, 3)
+        b_ids, b_of = found[:, 0], np.repeat(np.arange(n), b_n)
+        # B's spans do not count the space that it adds; its first token has it.
+        b_begin, b_end = (found[:, k] + base[b_of] + 1 for k in (1, 2))
+        b_first = np.cumsum(b_n)[b_n > 0] - b_n[b_n > 0]
+        b_begin[b_first] = base[b_of[b_first]]
+
+        # Segments whose bytes both give back; the others have no tokens.
+        a_of = np.repeat(np.arange(n), a_n)
+        good = self._same(data, base, self.a_bytes, a_ids, a_of)
+        good &= self._same(data, base, self.b_bytes, b_ids, b_of)
+        if not good.all():
+            a_kept, b_kept = good[a_of], good[b_of]
+            moved = base - np.append(0, np.cumsum(np.where(good, 0, np.diff(base))))
+            shift = (base - moved)[:-1]
+            a_ids, spans, a_of = a_ids[a_kept], spans[a_kept], a_of[a_kept]
+            b_ids, b_begin, b_end, b_of = b_ids[b_kept], b_begin[b_kept], b_end[b_kept], b_of[b_kept]
+            spans = spans - shift[a_of][:, None]
+            b_begin, b_end = b_begin - shift[b_of], b_end - shift[b_of]
+            base = moved
+        counts = np.zeros((n, 3), np.int64)
+        counts[:, 0] = np.bincount(a_of, minlength=n)
+        counts[:, 1] = np.bincount(b_of, minlength=n)
+        if not len(a_ids):
+            return Aligned(counts, np.zeros(0, np.int32), np.zeros(0, np.uint8), counts[:, 2].copy())
+        a_sizes, b_sizes = self.a_bytes.sizes[a_ids], self.b_bytes.sizes[b_ids]
+        ends = common_ends(
+            int(base[-1]),
+            spans[:, 1], clean(spans[:, 0], spans[:, 1], a_sizes), a_sizes,
+            b_end, clean(b_begin, b_end, b_sizes), b_sizes, base[1:][good],
+        )
+        # Last tokens of the groups.
+        a_last = np.searchsorted(np.cumsum(a_sizes), ends)
+        b_last = np.searchsorted(np.cumsum(b_sizes), ends)
+        home = a_of[a_last]
+        counts[:, 2] = np.bincount(home, minlength=n)
+        links = (a_ids[a_last] * B_IDS + b_ids[b_last]).astype(np.int32)
+        text, sizes = self._text(a_ids, a_last, b_ids, b_last, home, n)
+        return Aligned(counts, links, text, sizes)
+
+    def _same(self, data, base, parts: Bytes, ids, of) -> np.ndarray:
+        """For each segment whether its tokens' bytes are its own."""
+        n = len(base) - 1
+        got = np.bincount(of, parts.sizes[ids], n).astype(np.int64)
+        same = got == np.diff(base)
+        use = same[of]
+        mine = gathered(data, base[:-1][same], np.diff(base)[same])
+        other = mine != parts.joined(ids[use])
+        if other.any():
+            which = np.repeat(np.flatnonzero(same), np.diff(base)[same])
+            same[which[other]] = False
+        return same
+
+    def _text(self, a_ids, a_last, b_ids, b_last, home, n) -> tuple[np.ndarray, np.ndarray]:
+        """``a1,a2|b1;a3|b2,b3`` of all segments, one after the other, and each one's size."""
+        a_group = np.searchsorted(a_last, np.arange(len(a_ids)))
+        b_group = np.searchsorted(b_last, np.arange(len(b_ids)))
+        # Of each group the tokens of A stand before those of B.
+        order = np.argsort(np.append(2 * a_group, 2 * b_group + 1), kind="stable")
+        ids = np.append(a_ids, b_ids)[order]
+        mark = np.full(len(ids), ord(","), np.uint8)
+        place = np.empty(len(ids), np.int64)
+        place[order] = np.arange(len(ids))
+        mark[place[a_last]] = ord("|")
+        mark[place[len(a_ids) + b_last]] = ord(";")
+        text, sizes = self.digits.joined(ids), self.digits.sizes[ids]
+        ends = np.cumsum(sizes)
+        text[ends - 1] = mark
+        of = np.append(home[a_group], home[b_group])[order]
+        return text, np.bincount(of, sizes, n).astype(np.int64)
+
+    def _find(self, h: np.ndarray) -> np.ndarray:
+        """Slot of each hash, or the free one where it belongs."""
+        slot = (h >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+        left = np.flatnonzero((self.key[slot] != h) & (self.key[slot] != 0))
+        while len(left):
+            slot[left] = (slot[left] + 1) & (len(self.key) - 1)
+            key = self.key[slot[left]]
+            left = left[(key != h[left]) & (key != 0)]
+        return slot
+
+    def _keep(self, h: np.ndarray, found: Aligned) -> None:
+        rows = np.column_stack([found.counts, found.text_sizes])
+        links, text = self.links.append(found.links), self.text.append(found.text)
+        base = np.column_stack([
+            links + np.cumsum(rows[:, 2]) - rows[:, 2], text + np.cumsum(rows[:, 3]) - rows[:, 3]
+        ])
+        self.counts.append(rows.ravel())
+        self.base.append(base.ravel())
+        left = np.arange(len(h))
+        while len(left):
+            slot = self._find(h[left])
+            self.key[slot] = h[left]
+            won = self.key[slot] == h[left]
+            self.place[slot[won]] = self.entries + left[won]
+            left = left[~won]
+        self.entries += len(h)
 
     def places(self, raw: bytes, h: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
         """Numbers of the kept segments of a piece, in order; new ones are aligned."""
-        if len(self.place) > KEPT_SEGMENTS or self.kept > KEPT_BYTES:
+        if self.entries > len(self.key) // 4 or self.text.used + self.links.used > KEPT_BYTES:
             self.clear()
-        unique, where, inverse = np.unique(h, return_index=True, return_inverse=True)
-        keys = unique.tolist()
-        missing = [k for k, key in enumerate(keys) if key not in self.place]
-        if missing:
-            at = where[missing]
-            texts = [raw[x:y].decode() for x, y in zip(first[at], last[at], strict=True)]
-            self.kept += int((last[at] - first[at]).sum())
-            for k, found in zip(missing, self.align(texts), strict=True):
-                self.place[keys[k]] = len(self.groups)
-                if found is None:
-                    found = Segment(0, 0, None, [])
-                self.groups.append(found.groups)
-                self.counts.append((found.a, found.b, len(found.links)))
-                self.links.append(np.array(found.links, np.int32))
-        return np.array([self.place[key] for key in keys], np.int64)[inverse]
+        missing = np.flatnonzero(self.key[self._find(h)] != h)
+        if len(missing):
+            new, where = np.unique(h[missing], return_index=True)
+            where = missing[where]
+            for i in range(0, len(new), ALIGNED_AT_ONCE):
+                at = where[i : i + ALIGNED_AT_ONCE]
+                texts = [raw[x:y].decode() for x, y in zip(first[at], last[at], strict=True)]
+                self._keep(new[i : i + ALIGNED_AT_ONCE], self.align(texts))
+        return self.place[self._find(h)]
 
 
 def segments(
@@ -217,31 +329,39 @@ def _align(a_path: str, b_path: str):
     def one(aligner: Aligner, piece: pa.RecordBatch) -> pa.RecordBatch:
         data, offsets = tx.utf8(piece.column(1))
         first, last, of = segments(data, offsets, aligner.separable)
-        h = tx.byte_hash(tx.byte_sums(data), first, last)
-        place = aligner.places(data.tobytes(), h, first, last)
-        names = [aligner.groups[k] for k in place.tolist()]
-        groups, whole = [], np.ones(len(of) - 1, bool)
-        for d, (x, y) in enumerate(zip(of[:-1].tolist(), of[1:].tolist(), strict=True)):
-            some = names[x:y]
-            whole[d] = None not in some
-            groups.append(";".join(some) if whole[d] else "")
-        used, inverse = np.unique(place, return_inverse=True)
-        counts = np.array([aligner.counts[k] for k in used.tolist()], np.int64).reshape(-1, 3)
-        counts = counts[inverse]
-        counts[np.repeat(~whole, np.diff(of))] = 0
-        sums = np.vstack([np.zeros((1, 3), np.int64), np.cumsum(counts, axis=0)])[of]
-        parts = [aligner.links[k] for k in used.tolist()]
-        flat = np.concatenate(parts) if parts else np.zeros(0, np.int32)
-        sizes = np.array([len(p) for p in parts], np.int64)
-        base = (np.cumsum(sizes) - sizes)[inverse]
-        n = counts[:, 2]
-        links = flat[np.repeat(base - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+        h = tx.byte_hash(tx.byte_sums(data), first, last) | np.uint64(1)
+        raw, parts = data.tobytes(), []
+        for i in range(0, len(h), LOOKED_UP):
+            some = slice(i, i + LOOKED_UP)
+            place = aligner.places(raw, h[some], first[some], last[some])
+            rows = aligner.counts.values.reshape(-1, 4)[place]
+            base = aligner.base.values.reshape(-1, 2)[place]
+            parts.append((
+                rows,
+                gathered(aligner.links.values, base[:, 0], rows[:, 2]),
+                gathered(aligner.text.values, base[:, 1], rows[:, 3]),
+            ))
+        rows = np.concatenate([p[0] for p in parts]) if parts else np.zeros((0, 4), np.int64)
+        links = np.concatenate([p[1] for p in parts]) if parts else np.zeros(0, np.int32)
+        text = np.concatenate([p[2] for p in parts]) if parts else np.zeros(0, np.uint8)
+        bad = rows[:, 2] == 0
+        if bad.any():
+            # A text with such a segment has no tokens at all.
+            gone = np.repeat(np.add.reduceat(np.append(bad, False), of[:-1]) * (np.diff(of) > 0) > 0, np.diff(of))
+            links, text = links[~np.repeat(gone, rows[:, 2])], text[~np.repeat(gone, rows[:, 3])]
+            rows = np.where(gone[:, None], 0, rows)
+        sums = np.vstack([np.zeros((1, 4), np.int64), np.cumsum(rows, axis=0)])[of]
         per_text = np.diff(sums, axis=0)
+        # Every group ends with a mark; the last one of a text has none.
+        ends = sums[1:, 3][per_text[:, 3] > 0]
+        kept = np.ones(len(text), bool)
+        kept[ends - 1] = False
+        text_ends = np.append(0, np.cumsum(per_text[:, 3] - (per_text[:, 3] > 0)))
         return pa.record_batch(
             [
                 piece.column(0),
                 *[pa.array(np.ascontiguousarray(per_text[:, k])) for k in range(3)],
-                pa.array(groups, pa.string()),
+                tx.binary(text[kept], text_ends).cast(pa.string()),
                 tx.binary(links.astype("<i4"), sums[:, 2]),
             ],
             names=[f.split()[0] for f in _ALIGNED.split(", ")],
@@ -346,7 +466,9 @@ def link_counts(aligned: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    aligned = stored(align_tokens(table(spark, sf_dir, "documents")), "aligned")
     digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
-    digests = aligned.select("doc_id", "n_a", "n_b", "n_groups", "links", digest.alias("groups_sha256"))
-    return link_counts(digests, pair_counts(aligned))
+    aligned = align_tokens(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_a", "n_b", "n_groups", "links", digest.alias("groups_sha256")
+    )
+    aligned = stored(aligned, "aligned")  # counted first, then given the counts
+    return link_counts(aligned, pair_counts(aligned))
