@@ -37,6 +37,7 @@ HEADLINE = [
     "enrich_cdr",
     "load_portability",
     "load_numbering",
+    "query_numbers_carriers",
 ]
 
 

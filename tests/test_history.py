@@ -1,23 +1,35 @@
 """Deduplication, upsert and the partitioned history table."""
 
 import random
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
+from trunkline.functions.keys import cn_bucket
 from trunkline.operators import (
+    asof_per_call,
+    carrier_changes,
     carriers_from_numbering,
     carriers_from_portability,
     consolidate_plan,
     dedup_portability,
+    numbers_to_query,
+    plan_segments,
+    ported_carrier,
     rejected_ranges,
     upsert_carriers,
     upsert_history,
 )
+from trunkline.operators.segments import segments_of
 from trunkline.schemas import STAGED_PORTABILITY
-from trunkline.sources import tables
-from trunkline.sources.tables import merge_history, read_history
+from trunkline.sources import history_store, tables
+from trunkline.sources.history_store import (
+    compact_history,
+    merge_history,
+    read_history,
+    read_manifest,
+)
 
 
 def _staged_rows(seed, files, n=2000):
@@ -95,6 +107,31 @@ def test_upsert_later_batch_wins_and_is_idempotent(spark):
     assert _as_dict(upsert_history(merged, h1)) == expected
 
 
+def _with_ends(expected):
+    """The expected rows with the day of each number's next porting."""
+    days = {}
+    for number, day in expected:
+        days.setdefault(number, []).append(day)
+    ends = {}
+    for number, found in days.items():
+        found.sort()
+        ends |= {(number, d): e for d, e in zip(found, [*found[1:], None], strict=True)}
+    return ends
+
+
+def _check(spark, path, expected):
+    df = read_history(spark, path)
+    assert _as_dict(df) == expected
+    ends = {(r.tn_inicial, r.data_agendamento): r.valido_ate for r in df.collect()}
+    assert ends == _with_ends(expected)
+    wrong = df.where(~F.col("cn_bucket").eqNullSafe(cn_bucket("cn")))
+    assert wrong.isEmpty()
+
+
+def _files(path):
+    return {str(f): f.stat().st_mtime_ns for f in path.rglob("part-*")}
+
+
 def test_history_table(spark, tmp_path):
     path = str(tmp_path / "history")
     assert read_history(spark, path).count() == 0
@@ -102,36 +139,132 @@ def test_history_table(spark, tmp_path):
     for rows in (old, new, new):
         merge_history(spark, dedup_portability(_frame(spark, rows)), path)
     expected = {**_brute_dedup(old), **_brute_dedup(new)}
-    assert _as_dict(read_history(spark, path)) == expected
-    parts = {f.split("/", 1)[1] for f in tables._current(spark, path)}
-    months = {(r.cn_bucket, r.mes) for r in read_history(spark, path).collect()}
-    assert parts == {f"cn_bucket={b}/mes={m}" for b, m in months}
-    assert {b for b, _ in months} == {"cn_11", "cn_21_40", "cn_71_99", "cn_default"}
+    _check(spark, path, expected)
+    found = {r.cn_bucket for r in read_history(spark, path).collect()}
+    assert found == {"cn_11", "cn_21_40", "cn_71_99", "cn_default"}
     merge_history(spark, dedup_portability(_frame(spark, old)), path, rebuild=True)
-    assert _as_dict(read_history(spark, path)) == _brute_dedup(old)
-    assert len([p for p in (tmp_path / "history").iterdir() if p.name.startswith("versao=")]) == 1
+    _check(spark, path, _brute_dedup(old))
+    # The state before stays for readers that have opened it; older ones are gone.
+    assert len(list((tmp_path / "history").glob("versao=*"))) == 2
 
 
-def test_only_touched_months_are_rewritten(spark, tmp_path):
+def test_small_batches_add_small_versions(spark, tmp_path):
     path = str(tmp_path / "history")
     rows = _staged_rows(1, ["a.csv.gz"])
     merge_history(spark, dedup_portability(_frame(spark, rows)), path)
-    before = set(tables._current(spark, path))
-    day = next(r[7] for r in rows if r[2] // 10**9 == 11)
-    batch = [
-        r for r in _staged_rows(2, ["b.csv.gz"])
-        if r[2] // 10**9 == 11 and (r[7].year, r[7].month) == (day.year, day.month)
-    ]
-    assert batch
+    base = read_manifest(spark, path)
+    before = _files(tmp_path / "history")
+    batch = _staged_rows(2, ["b.csv.gz"])[:40]
     merge_history(spark, dedup_portability(_frame(spark, batch)), path)
-    after = set(tables._current(spark, path))
-    name = f"cn_bucket=cn_11/mes={day:%Y-%m}"
-    assert {f.split("/", 1)[1] for f in after - before} == {name}
-    assert {f.split("/", 1)[1] for f in before - after} <= {name}
+    added = read_manifest(spark, path)
+    assert added.versions[:-1] == base.versions and added.buckets == base.buckets
+    # The batch's rows and the rows before them, whose intervals end now.
+    assert 0 < added.rows[added.versions[-1]] <= 2 * len(_brute_dedup(batch))
+    now = _files(tmp_path / "history")
+    assert before.items() <= now.items()
+    assert len(now) - len(before) <= len(batch) * 2
     expected = {**_brute_dedup(rows), **_brute_dedup(batch)}
-    assert _as_dict(read_history(spark, path)) == expected
-    merge_history(spark, dedup_portability(_frame(spark, [])), path)
-    assert _as_dict(read_history(spark, path)) == expected
+    _check(spark, path, expected)
+    for again in (batch, []):  # nothing new: nothing added
+        merge_history(spark, dedup_portability(_frame(spark, again)), path)
+        assert read_manifest(spark, path) == added
+
+
+def test_versions_are_compacted(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(history_store, "MOST_VERSIONS", 3)
+    monkeypatch.setattr(history_store, "ROWS_PER_BUCKET", 50)
+    path = str(tmp_path / "history")
+    expected, versions = {}, []
+    for i in range(5):
+        rows = _staged_rows(i, [f"{i}.csv.gz"])[: None if i == 0 else 15]
+        merge_history(spark, dedup_portability(_frame(spark, rows)), path)
+        expected |= _brute_dedup(rows)
+        _check(spark, path, expected)
+        versions.append(len(read_manifest(spark, path).rows))
+    assert versions == [1, 2, 3, 1, 2]
+    opened = read_history(spark, path)
+    compact_history(spark, path)
+    manifest = read_manifest(spark, path)
+    assert list(manifest.rows.values()) == [len(expected)] and len(manifest.replaced) == 2
+    assert _as_dict(opened) == expected  # a reader of the state before goes on
+    _check(spark, path, expected)
+
+
+def test_the_history_is_not_shuffled(spark, tmp_path, conf):
+    """Lookups, as-of joins and changes read the buckets as they lie, one version or two."""
+    conf(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+        spark__sql__shuffle__partitions="5",
+    )
+    path = str(tmp_path / "history")
+    merge_history(spark, dedup_portability(_frame(spark, _staged_rows(1, ["a.csv.gz"]))), path)
+    calls = spark.range(500).select(
+        "id", (F.col("id") % 90 + 11900000000).alias("n"), F.lit(date(2012, 1, 1)).alias("d")
+    )
+    for _ in range(2):
+        rows = read_history(spark, path)
+        numbers = numbers_to_query(calls, "n")
+        day = {"c": date(2012, 1, 1)}
+        both = day | {"e": date(2010, 1, 1)}
+        for df in (
+            ported_carrier(numbers, rows, day),
+            ported_carrier(numbers, rows, both),
+            asof_per_call(calls, rows, "n", "d"),
+            carrier_changes(rows, date(2000, 1, 1), date(2020, 1, 1)),
+        ):
+            df.collect()
+            text = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+            for line in _below_exchanges(text):
+                assert "historico_" not in line and "tn_inicial" not in line, text
+        asof = asof_per_call(calls, rows, "n", "d")._jdf.queryExecution().executedPlan().toString()
+        assert "Window" not in asof and "Union" not in asof
+        batch = _staged_rows(2, ["b.csv.gz"])[:10]
+        merge_history(spark, dedup_portability(_frame(spark, batch)), path)
+
+
+def _below_exchanges(text):
+    """Lines of scans whose rows are exchanged before they are joined."""
+    lines, out = text.splitlines(), []
+    for i, line in enumerate(lines):
+        if "FileScan parquet" not in line:
+            continue
+        depth = len(line) - len(line.lstrip(" :+-*|"))
+        for above in reversed(lines[:i]):
+            own = len(above) - len(above.lstrip(" :+-*|"))
+            if own < depth:
+                depth = own
+                if "Join" in above:
+                    break
+                if "Exchange hashpartitioning" in above:
+                    out.append(line)
+                    break
+    return out
+
+
+def test_carrier_changes(spark, tmp_path):
+    """Over the whole stored history, and of newly merged numbers only."""
+    path = str(tmp_path / "history")
+    rows = _staged_rows(1, ["a.csv.gz"])
+    merge_history(spark, dedup_portability(_frame(spark, rows)), path)
+    batch = _staged_rows(2, ["b.csv.gz"])[:60]
+    merge_history(spark, dedup_portability(_frame(spark, batch)), path)
+    merged = {**_brute_dedup(rows), **_brute_dedup(batch)}
+    days = sorted(d for _, d in merged)
+    first, last = days[len(days) // 4], days[len(days) // 2]
+    expected, before = set(), {}
+    for (number, day), row in sorted(merged.items()):
+        earlier = before.get(number, (row[2],))[0]
+        before[number] = (row[1],)
+        if first <= day <= last and earlier != row[1]:
+            expected.add((number, day, earlier, row[1]))
+    history = read_history(spark, path)
+    got = {tuple(r) for r in carrier_changes(history, first, last).collect()}
+    assert got == expected and expected
+    arrived = dedup_portability(_frame(spark, batch))
+    some = {tuple(r) for r in carrier_changes(history, first, last, arrived).collect()}
+    assert some == {r for r in expected if r[0] in {n for n, _ in _brute_dedup(batch)}}
+    assert carrier_changes(history.limit(0), first, last).isEmpty()
 
 
 def test_a_failed_write_leaves_the_old_tables(spark, tmp_path, monkeypatch):
@@ -143,7 +276,8 @@ def test_a_failed_write_leaves_the_old_tables(spark, tmp_path, monkeypatch):
     def fail(*_):
         raise OSError("no space")
 
-    monkeypatch.setattr(tables, "_switch", fail)
+    monkeypatch.setattr(tables, "switch_current", fail)
+    monkeypatch.setattr(history_store, "switch_current", fail)
     batch = dedup_portability(_frame(spark, _staged_rows(2, ["b.csv.gz"])))
     with pytest.raises(OSError):
         merge_history(spark, batch, history)
@@ -225,6 +359,43 @@ def test_plan_consolidation(spark):
     assert rejected_ranges(stfc, cng).count() == 2
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_segments_against_brute_force(spark, seed):
+    """Every number of a prefix lies in the segment of the range that counts for it."""
+    rng = random.Random(seed)
+    plan = []
+    for cn, prefix in ((11, 9000), (11, 9001), (21, 9000), (80, 1)):
+        for _ in range(rng.randint(1, 40)):
+            a, b = rng.randint(0, 120), rng.randint(0, 120)
+            if rng.random() < 0.3:
+                b = a
+            elif rng.random() < 0.9:  # the others end before they start
+                a, b = min(a, b), max(a, b)
+            plan.append((cn, prefix, a, b, -1, rng.randint(1, 4)))
+    plan += plan[:5]
+    df = spark.createDataFrame(
+        plan,
+        "cn int, prefixo int, faixa_inicial bigint, faixa_final bigint, codigo_cnl int, "
+        "cod_prestadora bigint",
+    ).repartition(3)
+    found = {}
+    rows = plan_segments(df).collect()
+    for r in rows:
+        for x in range(r.faixa_inicial, r.faixa_final + 1):
+            assert (r.cn, r.prefixo, x) not in found
+            found[r.cn, r.prefixo, x] = r.cod_prestadora
+    expected = {}
+    for cn, prefix, a, b, _, code in plan:
+        for x in range(a, b + 1):
+            rank = (-a, b, code)
+            key = (cn, prefix, x)
+            expected[key] = min(expected.get(key, rank), rank)
+    assert found == {k: v[2] for k, v in expected.items()}
+    assert plan_segments(df.limit(0)).isEmpty()
+    segments = plan_segments(df)
+    assert segments_of(segments) is segments
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_tie_order_is_total(spark, seed):
     """The same rows in any order and partitioning give the same winner."""

@@ -16,11 +16,14 @@ from trunkline.functions.keys import (
 from trunkline.operators import (
     asof_per_call,
     carrier_change,
+    dedup_portability,
     enrich_calls,
     numbers_to_query,
+    plan_segments,
     resolve_carriers,
 )
 from trunkline.operators.sizing import broadcast_if_small, measured_bytes
+from trunkline.sources import merge_history, read_history
 
 START = date(2010, 1, 1)
 REF = date(2010, 6, 30)
@@ -273,14 +276,53 @@ def test_hot_number_is_split_by_the_adaptive_join(spark, conf):
         assert "skew=true" in executed, executed[:3000]
 
 
-def test_hash_aggregates_carry_the_lookup(spark, frames):
-    """No sort-based aggregation and no window stands in the carrier query."""
+def test_hash_aggregates_carry_the_lookup(spark, frames, tmp_path):
+    """No sort-based aggregation and no window stands in the carrier query, and nothing is
+    aggregated after the join with the plan's segments."""
     calls, history, plan, names = frames
-    df = resolve_carriers(calls, history, plan, names, REF, ("origem", "destino"))
+    plan_segments(plan).write.parquet(str(tmp_path / "s"))
+    segments = spark.read.parquet(str(tmp_path / "s"))
+    df = resolve_carriers(calls, history, segments, names, REF, ("origem", "destino"))
     text = df._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in text and "Window" not in text
-    assert text.count("Exchange hashpartitioning") == 3  # numbers, plan, history
-    assert text.count("BroadcastHashJoin") >= 2
+    assert text.count("Exchange hashpartitioning") == 2  # numbers, history
+    assert text.count("HashAggregate") == 4  # two each
+    assert text.count("BroadcastHashJoin") >= 3
+
+
+def test_ranges_and_segments_give_the_same(spark, frames):
+    calls, history, plan, names = frames
+    given = [
+        {tuple(r) for r in resolve_carriers(
+            calls, history, p, names, REF, ("origem", "destino")).collect()}
+        for p in (plan, plan_segments(plan))
+    ]
+    assert given[0] == given[1] and given[0]
+
+
+def test_few_numbers_read_their_ranges_only(spark, frames, tmp_path):
+    """Dynamic partition pruning on the area-code range, without a job beforehand."""
+    _, history, plan, names = frames
+    rows = dedup_portability(
+        history.where("cod_receptora > 0").select(
+            F.lit(1).alias("numero_bp"), "tn_inicial", "cod_receptora",
+            F.lit(None).cast("int").alias("cod_doadora"), F.lit(1).alias("cod_status"),
+            F.lit(0).alias("ind_portar_origem"), F.lit("f").alias("nome_arquivo"),
+            F.col("data_agendamento").cast("timestamp_ntz").alias("data_agendamento"),
+        )
+    )
+    merge_history(spark, rows, str(tmp_path / "h"))
+    stored = read_history(spark, str(tmp_path / "h"))
+    given = spark.createDataFrame([(11900000001,), (11900010002,)], "nu_terminal bigint")
+    given.write.parquet(str(tmp_path / "n"))
+    numbers = spark.read.parquet(str(tmp_path / "n"))  # a table has a size that Spark knows
+    df = resolve_carriers(numbers, stored, plan, names, REF)
+    assert "dynamicpruning" in _final_plan(df)
+    listed = resolve_carriers(given, stored, plan, names, REF, few_numbers=True)
+    assert "dynamicpruning" in _final_plan(listed)
+    assert "LeftSemi" not in _final_plan(resolve_carriers(given, stored, plan, names, REF))
+    plain = resolve_carriers(numbers, history.where("cod_receptora > 0"), plan, names, REF)
+    assert {tuple(r) for r in df.collect()} == {tuple(r) for r in plain.collect()}
 
 
 def test_numbers_are_resolved_once_for_both_sides(spark, frames, conf):

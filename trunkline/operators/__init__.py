@@ -26,12 +26,15 @@ from trunkline.operators.resolve import (
     resolve_carriers,
     resolve_carriers_at,
 )
+from trunkline.operators.segments import plan_segments
+from trunkline.operators.validity import carrier_changes, with_validity
 
 __all__ = [
     "asof_per_call",
     "assigned_carrier",
     "both_valid",
     "carrier_change",
+    "carrier_changes",
     "carrier_counts",
     "carriers_from_numbering",
     "carriers_from_portability",
@@ -43,6 +46,7 @@ __all__ = [
     "load_totals",
     "normalize_calls",
     "numbers_to_query",
+    "plan_segments",
     "ported_carrier",
     "portability_rate",
     "rejected_ranges",
@@ -50,4 +54,5 @@ __all__ = [
     "resolve_carriers_at",
     "upsert_carriers",
     "upsert_history",
+    "with_validity",
 ]

@@ -4,18 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from datetime import date
-from decimal import Decimal
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trunkline.functions.keys import cn_bucket, parse_reference_date, query_keys
+from trunkline.operators.segments import segments_of
 from trunkline.operators.sizing import (
     BROADCAST_LIMIT,
     broadcast_if_small,
     measured_bytes,
 )
+from trunkline.operators.validity import VALID_TO, in_force, with_validity
 
 RefDate = date | str | None
 
@@ -70,47 +72,31 @@ def unknown_numbers(numbers: DataFrame, column: str) -> DataFrame:
     return numbers.where(nu.isNull()).select(F.col(column).cast("string").alias("texto")).distinct()
 
 
-def _ranked_plan(plan: DataFrame) -> DataFrame:
-    """Distinct ranges with the rank that decides between overlapping ones.
-
-    The range with the greatest start counts, then the smallest end, then the
-    smallest carrier code. Start and end share one exact decimal, which a hash
-    aggregate can compare.
-    """
-    distinct = plan.groupBy("cn", "prefixo", "faixa_inicial", "faixa_final").agg(
-        F.min("cod_prestadora").alias("cod_prestadora")
-    )
-    start = F.col("faixa_inicial").cast("decimal(19,0)")
-    rank = start * F.lit(Decimal(10**19)) - F.col("faixa_final")
-    return distinct.withColumn("ordem", rank.cast("decimal(38,0)"))
-
-
-def _points(plan: DataFrame) -> DataFrame:
-    """Ranges of one number, one carrier each: by the tie rule they beat any wider range."""
-    return (
-        plan.where("faixa_inicial = faixa_final")
-        .groupBy("cn", "prefixo", F.col("faixa_inicial").alias("nu_terminal"))
-        .agg(F.min("cod_prestadora").alias("_ponto"))
-    )
-
-
 def assigned_carrier(
     numbers: DataFrame, plan: DataFrame, broadcast_limit: int = BROADCAST_LIMIT
 ) -> DataFrame:
     """Distinct ``numbers`` with ``cod_prestadora`` of the numbering plan, or NULL.
 
-    Ranges of one number, as all non-geographic codes are, meet the numbers in an equi-join
-    on the number itself. For wider ranges, equal area code and prefix make a hash join
-    with a residual range test. A plan of checked size is broadcast, and the numbers keep
-    their partitioning, so the aggregate needs no shuffle. A larger plan is shuffled on
-    the prefix, of which each has at most ten thousand distinct numbers; numbers without
-    a prefix match nothing and are spread over many keys.
+    ``plan`` holds ranges, or the segments that ``plan_segments`` makes of them; a number
+    lies in one segment at most, so nothing is aggregated after the join. Segments of one
+    number, as all non-geographic codes are, meet the numbers in an equi-join on the number
+    itself. For wider ones, equal area code and prefix make a hash join with a residual range
+    test. Segments of checked size are broadcast, and the numbers keep their partitioning. A
+    larger plan is shuffled on the prefix, of which each has at most ten thousand distinct
+    numbers; numbers without a prefix match nothing and are spread over many keys.
     """
-    small = measured_bytes(plan) <= broadcast_limit
-    points, wide = _points(plan), _ranked_plan(plan.where("faixa_inicial < faixa_final"))
-    if small:
+    segments = segments_of(plan)
+    # Cutting n ranges at their ends gives fewer than 2 n segments.
+    times = 1 if segments is plan else 2
+    points = segments.where("faixa_inicial = faixa_final").select(
+        "cn",
+        "prefixo",
+        F.col("faixa_inicial").alias("nu_terminal"),
+        F.col("cod_prestadora").alias("_ponto"),
+    )
+    wide = segments.where("faixa_inicial < faixa_final")
+    if times * measured_bytes(plan) <= broadcast_limit:
         points, wide = F.broadcast(points), F.broadcast(wide)
-    ranges = wide.alias("p")
     n = (
         numbers.join(points, ["cn", "prefixo", "nu_terminal"], "left")
         .withColumn(
@@ -121,46 +107,64 @@ def assigned_carrier(
         )
         .alias("n")
     )
+    p = wide.alias("p")
     inside = (
         (F.col("n.cn") == F.col("p.cn"))
         & (F.col("n.chave_prefixo") == F.col("p.prefixo"))
         & (F.col("p.faixa_inicial") <= F.col("n.nu_terminal"))
         & (F.col("p.faixa_final") >= F.col("n.nu_terminal"))
     )
-    carrier = F.coalesce(
-        F.max("n._ponto"), F.max_by("p.cod_prestadora", "p.ordem")
-    )
-    return (
-        n.join(ranges, inside, "left")
-        .groupBy("n.nu_terminal", "n.cn", "n.prefixo")
-        .agg(carrier.alias("cod_prestadora"))
+    return n.join(p, inside, "left").select(
+        "n.nu_terminal",
+        "n.cn",
+        "n.prefixo",
+        F.coalesce("n._ponto", "p.cod_prestadora").alias("cod_prestadora"),
     )
 
 
-#: Rows of numbers up to which the history is cut down to them before it is aggregated.
-FEW_NUMBERS = 100_000
-
-
-def history_of(history: DataFrame, numbers: DataFrame) -> DataFrame:
-    """The rows of a stored history that few distinct numbers can need.
+def history_of(
+    history: DataFrame, numbers: DataFrame, few_numbers: bool | None = None
+) -> DataFrame:
+    """A stored history without most rows that few numbers cannot need.
 
-    Their area codes choose the partitions that are read, and the numbers themselves, of
-    which at most ``FEW_NUMBERS`` are given, are broadcast into a semi join.
+    A semi join on area-code range and number cuts the history down, and dynamic partition
+    pruning keeps the other ranges from being read. ``few_numbers`` says that the numbers may
+    be broadcast, as a caller knows who has them in a list; otherwise Spark decides, and where
+    it estimates them above its own limit for broadcasts, the history stays as it is.
     """
-    buckets = numbers.select(cn_bucket("cn")).distinct().collect()  # one row a range
-    wanted = numbers.select(F.col("nu_terminal").alias("tn_inicial"))
-    return history.where(F.col("cn_bucket").isin([r[0] for r in buckets])).join(
-        F.broadcast(wanted), "tn_inicial", "left_semi"
+    if "cn_bucket" not in history.columns or few_numbers is False:
+        return history
+    if few_numbers is None:
+        spark = history.sparkSession
+        limit = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+        estimate = numbers._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        if int(str(estimate)) > limit:
+            return history
+    # Numbers without an area code have no history. Pruning wants a plain comparison.
+    wanted = numbers.where((F.col("nu_terminal") > 0) & (F.col("cn") >= 0)).select(
+        F.col("nu_terminal").alias("tn_inicial"), cn_bucket("cn").alias("cn_bucket")
     )
+    wanted = F.broadcast(wanted) if few_numbers else wanted
+    return history.join(wanted, ["cn_bucket", "tn_inicial"], "left_semi")
 
 
 def last_ported(history: DataFrame, dates: Mapping[str, date]) -> DataFrame:
     """Receiving carrier of every number at each date: one row per number.
 
-    One pass over the history serves all dates, and each task keeps one row per
-    number before the shuffle.
+    A history with intervals has one row of a number at a date, found by a filter; several
+    dates share one pass. Without them the latest row up to the date is an aggregate, and
+    each task keeps one row per number before the shuffle.
     """
     day = F.col("data_agendamento")
+    if VALID_TO in history.columns:
+        counts = {name: in_force(F.lit(d)) for name, d in dates.items()}
+        some = reduce(Column.__or__, counts.values())
+        rows = history.where((day <= F.lit(max(dates.values()))) & some)
+        if len(dates) == 1:
+            return rows.select("tn_inicial", F.col("cod_receptora").alias(*counts))
+        return rows.groupBy("tn_inicial").agg(
+            *[F.max(F.when(c, F.col("cod_receptora"))).alias(name) for name, c in counts.items()]
+        )
     return (
         history.where(day <= F.lit(max(dates.values())))
         .groupBy("tn_inicial")
@@ -214,6 +218,7 @@ def resolve_carriers_at(
     dates: Mapping[str, RefDate],
     columns: tuple[str, ...] = ("nu_terminal",),
     broadcast_limit: int = BROADCAST_LIMIT,
+    few_numbers: bool | None = None,
 ) -> DataFrame:
     """Carrier of every distinct number at several named dates.
 
@@ -223,8 +228,7 @@ def resolve_carriers_at(
     """
     at = {f"_p{s}": parse_reference_date(d) for s, d in dates.items()}
     keyed = numbers_to_query(numbers, *columns)
-    if "cn_bucket" in history.columns and numbers.limit(FEW_NUMBERS + 1).count() <= FEW_NUMBERS:
-        history = history_of(history, keyed)
+    history = history_of(history, keyed, few_numbers)
     assigned = assigned_carrier(keyed, plan, broadcast_limit)
     result = ported_carrier(assigned, history, at)
     names = broadcast_if_small(carriers, broadcast_limit)
@@ -249,15 +253,16 @@ def resolve_carriers(
     reference_date: RefDate = None,
     columns: tuple[str, ...] = ("nu_terminal",),
     broadcast_limit: int = BROADCAST_LIMIT,
+    few_numbers: bool | None = None,
 ) -> DataFrame:
     """Carrier of every distinct number at one date (today by default).
 
     The receiving carrier of the last porting up to the date counts, else the
     carrier of the numbering plan. Columns: ``nu_terminal``, ``nome_prestadora``,
-    ``ind_portado`` and ``ind_designado`` (0/1).
+    ``ind_portado`` and ``ind_designado`` (0/1). ``few_numbers``: see ``history_of``.
     """
     return resolve_carriers_at(
-        numbers, history, plan, carriers, {"": reference_date}, columns, broadcast_limit
+        numbers, history, plan, carriers, {"": reference_date}, columns, broadcast_limit, few_numbers
     )
 
 
@@ -334,9 +339,8 @@ def asof_per_call(
     """Calls with ``cod_receptora`` of their number on their own day, or NULL.
 
     The calls are first reduced to distinct (number, day) pairs, so that a hot number
-    weighs at most one row per calendar day. Pairs and history are then merged in
-    one ordered pass per number, which is linear in both, and the answer joins back
-    on number and day.
+    weighs at most one row per calendar day. Pairs meet the intervals of their number in an
+    equi-join; one of them at most holds the day. The answer joins back on number and day.
     """
     keyed = calls.withColumns(
         {"_nu": F.col(number).try_cast("bigint"), "_dia": F.col(day).cast("date")}
@@ -345,23 +349,12 @@ def asof_per_call(
         keyed.select("_nu", "_dia")
         .where(F.col("_nu").isNotNull() & F.col("_dia").isNotNull())
         .distinct()
-        .select("_nu", "_dia", F.lit(1).alias("_e_chamada"), F.lit(None).alias("_porte"))
-    )
-    ported = history.select(
-        F.col("tn_inicial").alias("_nu"),
-        F.col("data_agendamento").alias("_dia"),
-        F.lit(0).alias("_e_chamada"),
-        F.struct("cod_receptora").alias("_porte"),
     )
-    so_far = (
-        Window.partitionBy("_nu")
-        .orderBy("_dia", "_e_chamada")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    intervals = with_validity(history).select(
+        "tn_inicial", "data_agendamento", VALID_TO, "cod_receptora"
     )
-    answered = (
-        ported.unionByName(pairs)
-        .withColumn("_ultimo", F.last("_porte", ignorenulls=True).over(so_far))
-        .where((F.col("_e_chamada") == 1) & F.col("_ultimo").isNotNull())
-        .select("_nu", "_dia", F.col("_ultimo.cod_receptora").alias("cod_receptora"))
+    of_number = F.col("_nu") == F.col("tn_inicial")
+    answered = pairs.join(intervals, of_number & in_force(F.col("_dia"))).select(
+        "_nu", "_dia", "cod_receptora"
     )
     return _join_answers(keyed, answered, ["_nu", "_dia"])

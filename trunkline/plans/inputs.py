@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from trunkline.functions.keys import MISSING_MARKS
 from trunkline.session import shared_folder
-from trunkline.sources.tables import merge_history, read_history
+from trunkline.sources.history_store import merge_history, read_history
 
 
 def mobile(prefix: str, last: str) -> str:
@@ -46,7 +46,8 @@ _BR_DATE = (
     "lpad(cast(l_linenumber as string),2,'0'),':00:00')"
 )
 
-#: Report lines, all text, with missing, malformed and unknown values.
+#: Report lines, all text, with missing, malformed and unknown values. The files that they
+#: name hold so many orders each, so there are more files where there are more lines.
 PORTABILITY_LINES = f"""
 select '1' tipo_registro,
   case when l_orderkey%211=0 then '' else cast(l_orderkey*10+l_linenumber as string) end numero_bp,
@@ -59,7 +60,8 @@ select '1' tipo_registro,
   cast(1+l_linenumber%3 as string) cod_status,
   'Ativo' status,
   case when l_orderkey%401=0 then 'Talvez' when l_returnflag='R' then 'Sim' else 'Nao' end ind_portar_origem,
-  concat('relatorio_',l_returnflag,l_linestatus,'.csv.gz') nome_arquivo
+  concat('relatorio_',l_returnflag,l_linestatus,'_',
+    lpad(cast(cast(floor(l_orderkey/100000) as bigint) as string),6,'0'),'.csv.gz') nome_arquivo
 from lineitem"""
 
 #: Staged porting requests, typed.

@@ -19,8 +19,10 @@ from trunkline.operators.history import dedup_portability
 from trunkline.operators.plan import consolidate_plan, rejected_ranges
 from trunkline.operators.quality import load_report, load_totals
 from trunkline.operators.resolve import RefDate, resolve_carriers, unknown_numbers
+from trunkline.operators.segments import plan_segments
 from trunkline.schemas import NUMBERING_FILES
 from trunkline.sources.discovery import base_name, file_type, list_files
+from trunkline.sources.history_store import merge_history, read_history
 from trunkline.sources.numbering import (
     ARCHIVE_PATTERN,
     accepted_rows,
@@ -43,8 +45,6 @@ from trunkline.sources.tables import (
     drop_table,
     has_versions,
     materialize,
-    merge_history,
-    read_history,
     read_versioned,
     replace_table,
     table_exists,
@@ -52,6 +52,10 @@ from trunkline.sources.tables import (
 )
 
 
+#: Numbers of a list up to which they are broadcast to cut the history down.
+BROADCAST_NUMBERS = 1_000_000
+
+
 @dataclass(frozen=True)
 class LoadResult:
     """Report per file of a load, and how long the load took."""
@@ -95,12 +99,14 @@ class Warehouse:
         DataFrame each different such text, and NULL, gives a row without number and
         name, neither ported nor assigned.
         """
+        few = None
         if not isinstance(numbers, DataFrame):
             if isinstance(numbers, (str, bytes)) or not isinstance(numbers, Iterable):
                 raise TypeError("numbers must be a list, an iterable or a DataFrame")
             rows = [(str(n),) for n in numbers]
             if not rows:
                 raise ValueError("numbers cannot be empty")
+            few = len(rows) <= BROADCAST_NUMBERS
             numbers = self.spark.createDataFrame(rows, "nu_terminal string")
             unknown = unknown_numbers(numbers, "nu_terminal").first()
             if unknown is not None:
@@ -108,10 +114,11 @@ class Warehouse:
         answer = resolve_carriers(
             numbers,
             self.history,
-            self.read("numeracao"),
+            self.read("numeracao_segmentos"),
             self.read("prestadoras"),
             reference_date,
             (numbers.columns[0],),
+            few_numbers=few,
         )
         none = [F.lit(None).cast(answer.schema[c].dataType) for c in answer.columns[:2]]
         no_answer = unknown_numbers(numbers, numbers.columns[0]).select(*none, F.lit(0), F.lit(0))
@@ -227,7 +234,7 @@ def load_numbering(
 ) -> LoadResult:
     """Load numbering-plan archives into the plan and the carrier names.
 
-    The plan is replaced; rejected rows go to ``numeracao_rejeitada`` instead, with file and
+    The plan and its segments are replaced; rejected rows go to ``numeracao_rejeitada`` instead, with file and
     reason, and count in the report. Public-utility files are staged and name
     carriers, but are no part of the plan. A file that cannot be read, or whose type is
     unknown, is reported as an error. A folder without archives changes nothing.
@@ -250,6 +257,7 @@ def load_numbering(
         write_table(staged, warehouse.path(table))
     ranges = [warehouse.read(t) for t in ("stg_numeracao", "stg_cng")]
     write_table(consolidate_plan(*map(accepted_rows, ranges)), warehouse.path("numeracao"))
+    write_table(plan_segments(warehouse.read("numeracao")), warehouse.path("numeracao_segmentos"))
     write_table(
         rejected_ranges(*map(rejected_rows, ranges)), warehouse.path("numeracao_rejeitada")
     )

@@ -187,7 +187,7 @@ _BUCKET = (
     "when cn between 71 and 99 then 'cn_71_99' else 'cn_default' end"
 )
 
-_MONTH = "strftime(data_agendamento, '%Y-%m')"
+_NEXT_DAY = "lead(data_agendamento) over (partition by tn_inicial order by data_agendamento)"
 
 # --- plan and names -------------------------------------------------------------
 
@@ -293,6 +293,25 @@ _ASSIGNED = """select nu_terminal, cn, prefixo, cod_prestadora from (
   from {source} q left join plano p on p.cn=q.cn and p.prefixo=q.prefixo
     and p.faixa_inicial<=q.nu_terminal and p.faixa_final>=q.nu_terminal) where rn=1"""
 
+# Stretches between all ends of a prefix's ranges, each with the range that counts there;
+# neighbours with the same range are one segment.
+_SEGMENTS = """select cn, prefixo, min(lo) faixa_inicial, max(hi) faixa_final,
+  any_value(cod_prestadora) cod_prestadora
+from (select *, sum(case when junto then 0 else 1 end)
+    over (partition by cn, prefixo order by lo) trecho
+  from (select *, coalesce(lag(hi) over w + 1 = lo and lag(faixa_inicial) over w = faixa_inicial
+      and lag(faixa_final) over w = faixa_final, false) junto
+    from (select c.cn, c.prefixo, lo, hi, faixa_inicial, faixa_final, cod_prestadora,
+        row_number() over (partition by c.cn, c.prefixo, lo
+          order by faixa_inicial desc, faixa_final, cod_prestadora) rn
+      from (select cn, prefixo, x lo, lead(x) over (partition by cn, prefixo order by x) - 1 hi
+        from (select cn, prefixo, faixa_inicial x from plano union
+          select cn, prefixo, faixa_final + 1 from plano)) c
+      join plano p on p.cn = c.cn and p.prefixo = c.prefixo
+        and p.faixa_inicial <= c.lo and p.faixa_final >= c.hi) where rn = 1
+    window w as (partition by cn, prefixo order by lo)))
+group by cn, prefixo, trecho"""
+
 _PORTED = """select q.nu_terminal, h.cod_receptora from {source} q left join (
   select cn, tn_inicial, cod_receptora, row_number() over (
     partition by cn, tn_inicial order by data_agendamento desc) rn
@@ -515,8 +534,9 @@ def oracle_sql() -> dict[str, str]:
     )
     sql["dedup_portability"] = _with(*_HIST) + "select * from hist"
     sql["upsert_history"] = _with(*_BATCHES) + "select * from merged"
-    sql["history_table"] = _with(*_BATCHES) + f"select *, {_BUCKET} cn_bucket, {_MONTH} mes from merged"
-    sql["rebuild_history"] = _with(*_BATCHES) + f"select *, {_BUCKET} cn_bucket, {_MONTH} mes from h1"
+    stored = f"select *, {_BUCKET} cn_bucket, {_NEXT_DAY} valido_ate from "
+    sql["history_table"] = _with(*_BATCHES) + stored + "merged"
+    sql["rebuild_history"] = _with(*_BATCHES) + stored + "h1"
     sql["load_portability"] = (
         _with(*_TYPED, ("h", _dedup("good"))) + f"select {_HIST_COLUMNS}, nome_arquivo from h"
     )
@@ -544,6 +564,14 @@ def oracle_sql() -> dict[str, str]:
     sql["range_join_plan"] = (
         _with(*_PLAN, *_NTQ) + _ASSIGNED.format(source="ntq")
     )
+    sql["plan_segments"] = _with(*_PLAN) + _SEGMENTS
+    sql["carrier_changes"] = _with(*_HIST) + (
+        "select tn_inicial, data_agendamento, cod_anterior, cod_receptora from ("
+        "select *, lag(cod_receptora, 1, cod_doadora) over "
+        "(partition by tn_inicial order by data_agendamento) cod_anterior from hist) "
+        f"where data_agendamento between date '{EARLIER_DATE}' and date '{REFERENCE_DATE}' "
+        "and cod_anterior is distinct from cod_receptora"
+    )
     sql["asof_single_date"] = (
         _with(*_HIST, *_NTQ)
         + "select q.nu_terminal, (select cod_receptora from hist h where h.cn=q.cn "

@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 from trunkline.functions import keys
 from trunkline.functions import normalize as norm
 from trunkline.operators import calls as call_records
-from trunkline.operators import carriers, history, plan, quality, resolve
+from trunkline.operators import carriers, history, plan, quality, resolve, segments, validity
 from trunkline.plans import files, inputs, loads
 from trunkline.plans.oracle import EARLIER_DATE, REFERENCE_DATE
 from trunkline.schemas import NUMBERING_FILES
 from trunkline.session import shared_folder
-from trunkline.sources import discovery, numbering, portability, preview, tables
+from trunkline.sources import discovery, history_store, numbering, portability, preview, tables
 from trunkline.streaming.incremental import load_portability_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,8 +77,8 @@ def history_table_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def plan_table_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stored numbering plan."""
-    return inputs.land(spark, sf_dir, "numeracao", consolidate_plan)
+    """The stored segments of the numbering plan."""
+    return inputs.land(spark, sf_dir, "segmentos", plan_segments)
 
 
 def carriers_table_of(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -377,6 +377,12 @@ def consolidate_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def plan_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Disjoint segments of the plan, each with its carrier."""
+    return segments.plan_segments(consolidate_plan(spark, sf_dir))
+
+
 @query
 def carriers_from_portability(spark: SparkSession, sf_dir: str) -> DataFrame:
     return carriers.carriers_from_portability(staged(spark, sf_dir))
@@ -422,8 +428,8 @@ def history_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two arrivals merged into the partitioned table on disk."""
     path = shared_folder(spark, "history")
     for batch in _two_batches(spark, sf_dir):
-        tables.merge_history(spark, batch, path)
-    return tables.read_history(spark, path)
+        history_store.merge_history(spark, batch, path)
+    return history_store.read_history(spark, path)
 
 
 @query
@@ -431,9 +437,9 @@ def rebuild_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The second arrival replaces the table that the first one made."""
     path = shared_folder(spark, "history")
     first, second = _two_batches(spark, sf_dir)
-    tables.merge_history(spark, first, path)
-    tables.merge_history(spark, second, path, rebuild=True)
-    return tables.read_history(spark, path)
+    history_store.merge_history(spark, first, path)
+    history_store.merge_history(spark, second, path, rebuild=True)
+    return history_store.read_history(spark, path)
 
 
 @query
@@ -443,7 +449,7 @@ def load_portability(spark: SparkSession, sf_dir: str) -> DataFrame:
     files.write_reports(portability_lines(spark, sf_dir), folder)
     warehouse = loads.Warehouse(spark, shared_folder(spark, "warehouse"))
     loads.load_portability(warehouse, folder)
-    return warehouse.history.drop("cn_bucket", "mes")
+    return warehouse.history.drop("cn_bucket", "valido_ate")
 
 
 def _streamed(spark: SparkSession, sf_dir: str) -> loads.Warehouse:
@@ -462,7 +468,7 @@ def _streamed(spark: SparkSession, sf_dir: str) -> loads.Warehouse:
 
 @query
 def incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _streamed(spark, sf_dir).history.drop("cn_bucket", "mes")
+    return _streamed(spark, sf_dir).history.drop("cn_bucket", "valido_ate")
 
 
 @query
@@ -541,6 +547,13 @@ def carrier_change(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def carrier_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes of carrier between two dates over the whole history, without a list of numbers."""
+    first, last = (keys.parse_reference_date(d) for d in (EARLIER_DATE, REFERENCE_DATE))
+    return validity.carrier_changes(history_table_of(spark, sf_dir), first, last)
+
+
 @query
 def distinct_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     keyed = resolve.numbers_to_query(calls(spark, sf_dir), "origem", "destino")

@@ -1,6 +1,7 @@
 """Files in, tables out."""
 
 from trunkline.sources.discovery import file_inventory, file_type, list_files
+from trunkline.sources.history_store import compact_history, merge_history, read_history
 from trunkline.sources.numbering import scan_archives, stage_numbering
 from trunkline.sources.portability import (
     accepted,
@@ -9,10 +10,11 @@ from trunkline.sources.portability import (
     type_portability,
 )
 from trunkline.sources.preview import encoding_probe, header_check, preview_files
-from trunkline.sources.tables import merge_history, read_history, write_result
+from trunkline.sources.tables import write_result
 
 __all__ = [
     "accepted",
+    "compact_history",
     "encoding_probe",
     "file_inventory",
     "file_type",

@@ -1,4 +1,4 @@
-"""Parquet tables of the warehouse: writing, resetting and the history upsert."""
+"""Parquet tables of the warehouse: writing, replacing and removing them."""
 
 from __future__ import annotations
 
@@ -7,12 +7,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from trunkline.functions.keys import cn_bucket
-from trunkline.operators.history import upsert_history
-from trunkline.schemas import HISTORY
 from trunkline.session import shared_folder
 from trunkline.sources.discovery import path_is_folder
 
@@ -66,7 +61,7 @@ def write_result(df: DataFrame, path: str, fmt: str = "csv") -> None:
 
 # --- replaceable tables ---------------------------------------------------------
 #
-# New files go to a version folder of their own. A small list of the folders that count
+# New files go to a version folder of their own. A small text that says which folders count
 # is then replaced by one rename, and only then are old folders removed. A failure
 # at any point leaves the table as it was, or as it was to become.
 
@@ -79,25 +74,24 @@ def _file_system(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(conf), hadoop_path
 
 
-def _current(spark: SparkSession, path: str) -> list[str]:
-    """Folders below ``path`` that make up the table; none if there is no table."""
+def read_current(spark: SparkSession, path: str) -> str:
+    """What ``switch_current`` wrote last for the table; empty if there is no table."""
     fs, listed = _file_system(spark, f"{path}/{_CURRENT}")
     if not fs.exists(listed):
-        return []
+        return ""
     stream = fs.open(listed)
     try:
-        text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
     finally:
         stream.close()
-    return text.split()
 
 
-def _switch(spark: SparkSession, path: str, folders: list[str]) -> None:
-    """Make the folders the table, in one step."""
+def switch_current(spark: SparkSession, path: str, text: str) -> None:
+    """Let the text say what the table is, in one step."""
     jvm = spark._jvm
     fs, new = _file_system(spark, f"{path}/{_CURRENT}-{uuid.uuid4().hex}")
     stream = fs.create(new)
-    stream.write("\n".join(folders).encode())
+    stream.write(text.encode())
     stream.close()
     conf = spark._jsparkSession.sessionState().newHadoopConf()
     context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(new.toUri(), conf)
@@ -111,106 +105,23 @@ def _switch(spark: SparkSession, path: str, folders: list[str]) -> None:
     )
 
 
-def _drop_folders(spark: SparkSession, path: str, folders: list[str]) -> None:
-    """Remove folders that no longer count, and versions of which nothing counts."""
-    used = {f.split("/", 1)[0] for f in _current(spark, path)}
-    versions = {f.split("/", 1)[0] for f in folders} - used
-    for folder in [*versions, *(f for f in folders if f.split("/", 1)[0] in used)]:
-        drop_table(spark, f"{path}/{folder}")
-
-
-def _new_version() -> str:
-    return f"versao={uuid.uuid4().hex}"
-
-
 def has_versions(spark: SparkSession, path: str) -> bool:
-    return bool(_current(spark, path))
+    return bool(read_current(spark, path))
 
 
 def replace_table(df: DataFrame, path: str) -> None:
-    """Replace a versioned table by ``df``, which may be derived from it."""
+    """Replace a versioned table by ``df``, which may be derived from it.
+
+    The version before stays for running readers until the next replacement.
+    """
     spark = df.sparkSession
-    old, new = _current(spark, path), _new_version()
+    old, new = read_current(spark, path).split(), f"versao={uuid.uuid4().hex}"
     df.write.parquet(f"{path}/{new}")
-    _switch(spark, path, [new])
-    _drop_folders(spark, path, old)
+    switch_current(spark, path, "\n".join([new, *old[:1]]))
+    for folder in old[1:]:
+        drop_table(spark, f"{path}/{folder}")
 
 
 def read_versioned(spark: SparkSession, path: str) -> DataFrame:
     """The current version of a table that ``replace_table`` wrote."""
-    return spark.read.parquet(f"{path}/{_current(spark, path)[0]}")
-
-
-# --- history --------------------------------------------------------------------
-
-
-def _write_history(rows: DataFrame, path: str) -> None:
-    """Partitioned write; a rebalance splits a large partition over many tasks and files.
-
-    Files are in order of numbers, so that a lookup skips most row groups.
-    """
-    keys = ["cn_bucket", "mes"]
-    (
-        rows.hint("rebalance", *keys)
-        .sortWithinPartitions(*keys, "tn_inicial")
-        .write.partitionBy(*keys)
-        .parquet(path)
-    )
-
-
-def _bucketed(rows: DataFrame) -> DataFrame:
-    return rows.select(
-        *HISTORY.fieldNames(),
-        cn_bucket("cn").alias("cn_bucket"),
-        F.date_format("data_agendamento", "yyyy-MM").alias("mes"),
-    )
-
-
-def _read_parts(spark: SparkSession, path: str, folders: list[str]) -> DataFrame:
-    text = T.StringType()
-    keys = [T.StructField(c, text) for c in ("versao", "cn_bucket", "mes")]
-    if not folders:
-        rows = _bucketed(spark.createDataFrame([], HISTORY))
-    else:
-        rows = (
-            spark.read.schema(T.StructType([*HISTORY.fields, *keys]))
-            .option("basePath", path)
-            .parquet(*[f"{path}/{f}" for f in folders])
-        )
-    return rows.select(*HISTORY.fieldNames(), "cn_bucket", "mes")
-
-
-def read_history(spark: SparkSession, path: str) -> DataFrame:
-    """The history with its partition columns ``cn_bucket`` and ``mes``."""
-    return _read_parts(spark, path, _current(spark, path))
-
-
-def merge_history(
-    spark: SparkSession, batch: DataFrame, path: str, rebuild: bool = False
-) -> None:
-    """Upsert a deduplicated batch into the history table, or replace the table by it.
-
-    Only the partitions (area-code range and month) that the batch touches are read and
-    rewritten; the key holds the day, so no other can hold a key of the batch. The batch is
-    written once to the shared folder, as three steps use it.
-    """
-    old = [] if rebuild else _current(spark, path)
-    replaced = _current(spark, path) if rebuild else []
-    with materialized(_bucketed(batch), "batch") as fresh:
-        # At most one row per area-code range and month.
-        touched = {
-            f"cn_bucket={r[0]}/mes={r[1]}"
-            for r in fresh.select("cn_bucket", "mes").distinct().collect()
-        }
-        if not touched and not rebuild:
-            return
-        kept = [f for f in old if f.split("/", 1)[1] not in touched]
-        stale = [f for f in old if f.split("/", 1)[1] in touched]
-        merged = fresh
-        if stale:
-            merged = _bucketed(upsert_history(_read_parts(spark, path, stale), fresh))
-        new = _new_version()
-        if touched:
-            _write_history(merged, f"{path}/{new}")
-        _switch(spark, path, kept + [f"{new}/{t}" for t in sorted(touched)])
-    _drop_folders(spark, path, stale + replaced)
+    return spark.read.parquet(f"{path}/{read_current(spark, path).split()[0]}")
