@@ -75,11 +75,13 @@ def write_texts(documents: DataFrame, folder: str, encoding: str, prefix: str) -
     )
 
 
-def write_empty(spark: SparkSession, path: str) -> None:
-    """A file of zero bytes."""
+def write_bytes(spark: SparkSession, path: str, content: bytes = b"") -> None:
+    """A small file of some bytes, or of none."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     conf = spark._jsparkSession.sessionState().newHadoopConf()
-    hadoop_path.getFileSystem(conf).create(hadoop_path).close()
+    stream = hadoop_path.getFileSystem(conf).create(hadoop_path)
+    stream.write(content)
+    stream.close()
 
 
 def _pack(kind: str, columns: list[str], folder: str, damaged: str | None):

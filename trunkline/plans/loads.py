@@ -149,26 +149,50 @@ def apply_reports(warehouse: Warehouse, staged: DataFrame, rebuild: bool = False
     update_carriers(warehouse)
 
 
+def _unreadable(error: Exception) -> bool:
+    """Whether a job failed because a file could not be read."""
+    return "FAILED_READ_FILE" in str(error)
+
+
 def _stage_reports(
     spark: SparkSession, path: str, files: DataFrame, stage: str, encoding: str
 ) -> dict[str, str]:
     """Write the staging table; the files that cannot be read, by path, with the reason.
 
-    Only after a failure are the files tried one by one, and the good ones staged.
+    Only after such a failure are the files tried one by one, and the good ones staged.
     """
     try:
         write_table(type_portability(scan_portability(spark, path, encoding)), stage)
         return {}
-    except Exception:
+    except Exception as error:
+        if not _unreadable(error):
+            raise
         # One short path a file, as the file system listed them.
         paths = [r.path for r in files.select("path").collect()]
-        damaged = damaged_reports(spark, paths)
-        if not damaged:
+        return _stage_good_files(spark, paths, stage, encoding)
+
+
+def stage_files(
+    spark: SparkSession, paths: list[str], stage: str, encoding: str
+) -> dict[str, str]:
+    """The same for files given by their paths."""
+    try:
+        write_table(type_portability(scan_reports(spark, paths, encoding)), stage)
+        return {}
+    except Exception as error:
+        if not _unreadable(error):
             raise
-        good = [p for p in paths if p not in damaged]
-        rows = scan_reports(spark, good, encoding) if good else _no_lines(spark)
-        write_table(type_portability(rows), stage)
-        return damaged
+        return _stage_good_files(spark, paths, stage, encoding)
+
+
+def _stage_good_files(
+    spark: SparkSession, paths: list[str], stage: str, encoding: str
+) -> dict[str, str]:
+    damaged = damaged_reports(spark, paths)
+    good = [p for p in paths if p not in damaged]
+    rows = scan_reports(spark, good, encoding) if good else _no_lines(spark)
+    write_table(type_portability(rows), stage)
+    return damaged
 
 
 def _no_lines(spark: SparkSession) -> DataFrame:
@@ -177,7 +201,7 @@ def _no_lines(spark: SparkSession) -> DataFrame:
     )
 
 
-def _with_empty_files(
+def with_all_files(
     report: DataFrame, files: DataFrame, damaged: dict[str, str] | None = None
 ) -> DataFrame:
     """The report with a line for every file, also those without rows or not readable."""
@@ -222,7 +246,7 @@ def load_portability(
     damaged = _stage_reports(spark, path, files, stage, encoding)
     staged = spark.read.parquet(stage)
     report = load_report(staged, F.col("motivo"))
-    result = _result(_with_empty_files(report, files, damaged), start)
+    result = _result(with_all_files(report, files, damaged), start)
     apply_reports(warehouse, staged, rebuild)
     if drop_staging:
         drop_table(spark, stage)
@@ -271,7 +295,7 @@ def load_numbering(
             for t in staging
         ],
     )
-    report = _with_empty_files(load_report(lines, F.col("motivo"), F.col("erro")), files)
+    report = with_all_files(load_report(lines, F.col("motivo"), F.col("erro")), files)
     known = file_type(F.col("nome_arquivo")).isNotNull()
     report = report.withColumns(
         {

@@ -560,6 +560,12 @@ def oracle_sql() -> dict[str, str]:
         "from judged where motivo is not null"
     )
 
+    sql["incremental_files"] = _with(*_TYPED) + (
+        "select distinct nome_arquivo, "
+        "cast(case when coalesce(year(data_agendamento),2010)<1999 then 0 else 1 end as int) lote, "
+        "'carregado' estado from judged union all select 'ruim.csv.gz', 1, 'quarentena'"
+    )
+
     # Carrier queries.
     sql["range_join_plan"] = (
         _with(*_PLAN, *_NTQ) + _ASSIGNED.format(source="ntq")
@@ -631,4 +637,5 @@ def oracle_sql() -> dict[str, str]:
         "left join resolvido o on o.nu_terminal=c.origem "
         "left join resolvido d on d.nu_terminal=c.destino"
     )
+    sql["enrich_cdr_stream"] = sql["enrich_cdr"]
     return sql

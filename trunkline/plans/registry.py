@@ -16,7 +16,7 @@ from trunkline.plans.oracle import EARLIER_DATE, REFERENCE_DATE
 from trunkline.schemas import NUMBERING_FILES
 from trunkline.session import shared_folder
 from trunkline.sources import discovery, history_store, numbering, portability, preview, tables
-from trunkline.streaming.incremental import load_portability_stream
+from trunkline.streaming import enrich_calls_stream, load_portability_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -236,7 +236,7 @@ def header_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 def file_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The call files and an empty one; sizes depend on the compression."""
     folder = _call_files(spark, sf_dir)
-    files.write_empty(spark, f"{folder}/sub/vazio.log")
+    files.write_bytes(spark, f"{folder}/sub/vazio.log")
     found = discovery.file_inventory(discovery.list_files(spark, folder), folder)
     return found.select(
         "nome", "caminho", "extensao", "formato", (F.col("tamanho") > 0).alias("com_conteudo")
@@ -453,13 +453,16 @@ def load_portability(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _streamed(spark: SparkSession, sf_dir: str) -> loads.Warehouse:
-    """Two arrivals of files, each loaded by one run of the stream."""
+    """Two arrivals of files, each loaded by one run of the stream; the second one has a
+    damaged file among them."""
     root = shared_folder(spark, "stream")
     warehouse = loads.Warehouse(spark, f"{root}/warehouse")
     lines = portability_lines(spark, sf_dir)
     order = F.col("data_agendamento").substr(7, 4)
     for i, arrival in enumerate((order < "1999", order >= "1999")):
         files.write_reports(lines.where(arrival), f"{root}/in/{i}")
+        if i:
+            files.write_bytes(spark, f"{root}/in/{i}/ruim.csv.gz", b"no gzip file")
         load_portability_stream(
             warehouse, f"{root}/in", f"{root}/checkpoint"
         ).awaitTermination()
@@ -483,6 +486,15 @@ def incremental_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _streamed(spark, sf_dir).read("portabilidade_rejeitada")
 
 
+@query
+def incremental_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger of files after two arrivals, with the damaged one in quarantine."""
+    ledger = _streamed(spark, sf_dir).read("arquivos_portabilidade")
+    return ledger.select(
+        discovery.base_name(F.col("caminho")).alias("nome_arquivo"), "lote", "estado"
+    )
+
+
 # --- carrier queries ------------------------------------------------------------
 
 
@@ -569,3 +581,24 @@ def enrich_cdr(spark: SparkSession, sf_dir: str) -> DataFrame:
         "destino",
         REFERENCE_DATE,
     )
+
+
+@query
+def enrich_cdr_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two arrivals of calls, each enriched by one run of the stream."""
+    root = shared_folder(spark, "chamadas")
+    warehouse = loads.Warehouse(spark, f"{root}/warehouse")
+    history_store.merge_history(
+        spark, dedup_portability(spark, sf_dir), warehouse.path("portabilidade_historico")
+    )
+    tables.write_table(plan_table_of(spark, sf_dir), warehouse.path("numeracao_segmentos"))
+    tables.replace_table(carriers_table_of(spark, sf_dir), warehouse.path("prestadoras"))
+    rows = calls(spark, sf_dir)
+    for i in (0, 1):
+        rows.where(F.col("call_id") % 2 == i).write.mode("append").parquet(f"{root}/in")
+        arriving = spark.readStream.schema(rows.schema).parquet(f"{root}/in")
+        enrich_calls_stream(
+            warehouse, arriving, "origem", "destino", f"{root}/out", f"{root}/checkpoint",
+            REFERENCE_DATE,
+        ).awaitTermination()
+    return spark.read.parquet(f"{root}/out").drop("lote")

@@ -24,7 +24,13 @@ from trunkline.functions.keys import cn_bucket
 from trunkline.operators.history import upsert_history
 from trunkline.operators.validity import VALID_FROM, VALID_TO, with_validity
 from trunkline.schemas import HISTORY
-from trunkline.sources.tables import drop_table, materialized, read_current, switch_current
+from trunkline.sources.tables import (
+    drop_table,
+    materialized,
+    read_current,
+    switch_current,
+    table_exists,
+)
 
 #: Rows for which one bucket is kept, and the least number of buckets.
 ROWS_PER_BUCKET, LEAST_BUCKETS = 2_000_000, 8
@@ -127,9 +133,19 @@ def _read(spark: SparkSession, path: str, manifest: Manifest | None) -> DataFram
     return rows.select(*_COLUMNS, "cn_bucket")
 
 
-def read_history(spark: SparkSession, path: str) -> DataFrame:
-    """The history with ``valido_ate`` and its partition column ``cn_bucket``."""
-    return _read(spark, path, read_manifest(spark, path))
+def is_complete(spark: SparkSession, path: str, manifest: Manifest) -> bool:
+    """Whether all versions of an earlier state are still there."""
+    return all(table_exists(spark, f"{path}/versao={v}") for v in manifest.versions)
+
+
+def read_history(
+    spark: SparkSession, path: str, manifest: Manifest | None = None
+) -> DataFrame:
+    """The history with ``valido_ate`` and its partition column ``cn_bucket``.
+
+    ``manifest``: an earlier state of the table instead of the current one.
+    """
+    return _read(spark, path, manifest or read_manifest(spark, path))
 
 
 def compact_history(spark: SparkSession, path: str) -> None:
