@@ -1,11 +1,16 @@
 """Pages, licences, benchmark items and toxicity."""
 
+import math
+import re
+
 import brute
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from trunkline.llm import decontamination, html_text, licenses, toxicity
+from trunkline.llm import text as tx
 
 PAGES = {
     "plain": ("<html><head><title>T</title></head><body><p>First block.</p><p>Second &amp; last.</p></body></html>",
@@ -435,3 +440,92 @@ def test_toxicity_ignores_held_out_labels(spark):
     a = {r.doc_id: r.score for r in toxicity.toxicity(df, labels).collect()}
     b = {r.doc_id: r.score for r in toxicity.toxicity(df, flipped).collect()}
     assert a == b
+
+
+def plain_score(model, text):
+    """Score and worst sentence of one text, word by word."""
+    def features(word):
+        data = np.frombuffer(word, np.uint8)
+        sums = tx.byte_sums(data)
+        def h(n):
+            return tx.byte_hash(sums, np.array([0]), np.array([n]))
+        out = [h(len(data))[0]]
+        for size in toxicity._BEGINNINGS:
+            out.append(tx.mix(h(min(size, len(data))) + np.uint64(size))[0])
+        return [int(x) >> (64 - toxicity.FEATURE_BITS) for x in out]
+
+    sentences = [brute.ALNUM_WORD.findall(s) for s in re.split(r"[\n!.?]", brute.lower(text))]
+    sentences = [s for s in sentences if s] or [[]]
+    weight = model.weight.astype(np.float32)
+    z = [
+        model.bias + sum(float(weight[f]) for w in s for f in features(w.encode())) for s in sentences
+    ]
+    score = 1 - math.prod(1 / (1 + math.exp(x)) for x in z)
+    return score, z
+
+
+def test_toxicity_scores_against_brute_force(spark, edge, edge_rows):
+    df, _ = made(spark, 600)
+    model = toxicity.fit_toxicity(df, df.select("doc_id", "toxic"))
+    assert model.weight.any()
+    some = [r for r in edge_rows if r[0] is not None and len(r[1] or "") < 5000]
+    some += [(5000, "Bad zork here. Fine!\nfine? grunk zork"), (5001, "...!?"), (5002, "ok\n\nok")]
+    named = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(some)], "doc_id bigint, text string")
+    for r in toxicity.score_toxicity(named, model).collect():
+        score, z = plain_score(model, some[r.doc_id][1])
+        assert abs(r.score - score) < 1e-4
+        assert z[r.worst_sentence] >= max(z) - 1e-4
+        assert abs(r.worst_score - 1 / (1 + math.exp(-max(z)))) < 1e-4
+
+
+@pytest.mark.parametrize("words", [10**6, 6000])
+def test_toxicity_sample_does_not_depend_on_the_order(spark, words):
+    df, rows = made(spark, 400)
+    labels = df.select("doc_id", "toxic")
+    orders = [df.repartition(7), df.coalesce(1).orderBy(F.desc("doc_id")), df.repartition(2, "text")]
+    models = [toxicity.fit_toxicity(d, labels, words=words) for d in orders]
+    assert models[0].weight.any()
+    for m in models[1:]:
+        assert (m.weight == models[0].weight).all() and m.bias == models[0].bias
+    # Repeated ids do not get past the bound of rows.
+    copies = df.unionByName(df.withColumn("text", F.concat("text", F.lit(" again"))))
+    toxicity.fit_toxicity(copies, labels, rows=50)
+
+
+def test_toxic_rows_go_whatever_their_ids(spark, tmp_path):
+    df, rows = made(spark, 600)
+    df.select("doc_id", "toxic").write.parquet(str(tmp_path / "labels.parquet"))
+    bad = next(t for _, t, x in rows if x)
+    good = next(t for _, t, x in rows if not x)
+    extra = spark.createDataFrame([(None, bad), (9000, bad), (9000, good)], "doc_id bigint, text string")
+    docs = df.select("doc_id", "text").unionByName(extra)
+    left = toxicity.toxicity_stage(spark, docs, str(tmp_path))
+    found = [(r.doc_id, r.text) for r in left.where("doc_id is null or doc_id = 9000").collect()]
+    assert found == [(9000, good)]
+    spark.createDataFrame([], "doc_id bigint, toxic int").write.parquet(str(tmp_path / "n" / "labels.parquet"))
+    assert toxicity.toxicity_stage(spark, docs, str(tmp_path / "n")).count() == docs.count()
+
+
+@pytest.mark.parametrize("words", [5, 10**6])
+def test_rows_that_share_an_id_are_judged_apart(spark, words):
+    """Repeated and null ids, and an item whose id is -1, in one automaton and in several."""
+    texts = {k: " ".join(f"{k}{i}" for i in range(15)) for k in "abc"}
+    docs = [(1, texts["a"]), (1, texts["c"]), (None, texts["a"]), (None, texts["c"]), (2, texts["b"]),
+            (2, texts["b"]), (3, None), (3, "")]
+    items = [(-1, " ".join(texts["a"].split()[:12])), (None, texts["b"]), (7, texts["b"])]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3)
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    found = decontamination.contamination(df, benchmark, automaton_words=words).collect()
+    got = sorted(
+        ((r.doc_id, r.n_words, [tuple(s) for s in r.spans], list(r.items)) for r in found), key=str
+    )
+    expected = sorted(
+        [(1, 15, [(0, 12)], [-1]), (1, 15, [], []), (None, 15, [(0, 12)], [-1]), (None, 15, [], []),
+         (2, 15, [(0, 15)], [7]), (2, 15, [(0, 15)], [7]), (3, 0, [], []), (3, 0, [], [])],
+        key=str,
+    )
+    assert got == expected
+    kept = decontamination.cut_contamination(df, benchmark, automaton_words=words).collect()
+    assert sorted(((r.doc_id, r.text) for r in kept), key=str) == sorted(
+        [(1, texts["c"]), (None, texts["c"]), (3, None), (3, "")], key=str
+    )

@@ -32,7 +32,12 @@ AUTOMATON_WORDS = 1_000_000
 COVERAGE = 0.04
 #: Characters that are in no word, as in ``text.separators("alnum")`` with A-Z in lower case.
 _BETWEEN = r"\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F"
-SPANS = "doc_id bigint, n_words bigint, spans array<struct<first:bigint,last:bigint>>, items array<bigint>"
+SPANS = (
+    "doc_id bigint, n_words bigint, spans array<struct<first:bigint,last:bigint>>, "
+    "items array<bigint>, text_hash bigint"
+)
+#: Stands for an item without an id; no id is as large.
+_NO_ID = 1 << 63
 
 
 class Automaton:
@@ -166,6 +171,7 @@ def _scanner(known: np.ndarray, automaton: Automaton):
             ("n_words", pa.int64()),
             ("spans", pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))),
             ("items", pa.list_(pa.int64())),
+            ("text_hash", pa.int64()),
         ]
     )
 
@@ -201,7 +207,8 @@ def _scanner(known: np.ndarray, automaton: Automaton):
                 piece.column(0),
                 pa.array(np.diff(of)),
                 pa.array([[{"first": a, "last": b} for a, b in merged(s)] for s in spans], schema[2].type),
-                pa.array([sorted(i) for i in items], schema[3].type),
+                pa.array([sorted(i - {_NO_ID}) for i in items], schema[3].type),
+                piece.column(2),
             ],
             schema=schema,
         )
@@ -238,10 +245,10 @@ def contamination(
     rows or no hits. Other columns are not read. At most ``automaton_words`` words of
     items are on the driver and in a task at once; a larger set takes several scans.
     """
-    documents = documents.select("doc_id", "text")
+    documents = documents.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     parts = []
     for shard in _shards(benchmark, automaton_words):
-        built = automaton_of([(-1 if i is None else i, t) for i, t in shard], window)
+        built = automaton_of([(_NO_ID if i is None else i, t) for i, t in shard], window)
         if built:
             parts.append(documents.mapInArrow(_scanner(*built), SPANS))
     if not parts:
@@ -250,12 +257,16 @@ def contamination(
         parts.append(documents.mapInArrow(_scanner(*none), SPANS))
     found = parts[0]
     if len(parts) > 1:
-        found = _together(documents, parts)
-    return found.withColumn("items", F.filter("items", lambda i: i != -1))
+        found = _together(parts)
+    return found.drop("text_hash")
 
 
-def _together(documents: DataFrame, parts: list[DataFrame]) -> DataFrame:
-    """Results of several automata, one row a document; equal rows agree in all parts."""
+def _together(parts: list[DataFrame]) -> DataFrame:
+    """Results of several automata, one row for each row given.
+
+    A row is its id, or none, and its text, by a hash of 64 bits; equal rows agree in all
+    parts, and there are as many of them as in one part.
+    """
     union = stored(parts[0].unionByName(parts[1]) if len(parts) == 2 else _union(parts), "hits")
     merged_spans = F.aggregate(
         F.array_sort(F.flatten(F.collect_set("spans"))),
@@ -275,13 +286,16 @@ def _together(documents: DataFrame, parts: list[DataFrame]) -> DataFrame:
     )
     copies = (F.count("*") / F.lit(len(parts))).cast("int")
     return (
-        union.groupBy("doc_id", "n_words")
+        union.groupBy("doc_id", "text_hash", "n_words")
         .agg(
             merged_spans.alias("spans"),
             F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
             copies.alias("copies"),
         )
-        .select("doc_id", "n_words", "spans", "items", F.explode(F.sequence(F.lit(1), "copies")))
+        .select(
+            "doc_id", "n_words", "spans", "items", "text_hash",
+            F.explode(F.sequence(F.lit(1), "copies")),
+        )
         .drop("col")
     )
 
