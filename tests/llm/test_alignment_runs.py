@@ -164,6 +164,17 @@ def test_alignment_sample(spark, sample, pair):
     assert brute.same_rows(found, alignment_rows(docs, pair))
 
 
+def test_groups_as_text(spark, pair):
+    texts = ["two words", "", None, "caf\u00e9 \u4e2d x", "a\u2581b"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    for r in alignment.align_tokens(df).collect():
+        _, _, groups = plain_alignment(texts[r.doc_id], pair)
+        expected = ";".join(f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y in groups)
+        assert r.groups == expected and (expected != "") == (r.doc_id in (0, 3))
+        links = [x[-1] * alignment.B_IDS + y[-1] for x, y in groups]
+        assert np.frombuffer(r.links, "<i4").tolist() == links
+
+
 def test_alignment_of_nothing(spark, empty, monkeypatch):
     monkeypatch.setattr(alignment, "table", lambda *_: empty)
     assert alignment.op12_token_alignment(spark, "").count() == 0

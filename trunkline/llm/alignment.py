@@ -19,6 +19,7 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Iterator
+from hashlib import sha256
 from itertools import chain
 
 import numpy as np
@@ -41,9 +42,11 @@ B_IDS = 32_000
 TABLE_BITS, KEPT_BYTES = 21, 96 << 20
 #: Segments that the libraries get at once, and that are looked up at once; another quarter of
 #: the table takes those.
-ALIGNED_AT_ONCE, LOOKED_UP = 4_000, 200_000
+ALIGNED_AT_ONCE, LOOKED_UP = 2_000, 20_000
+#: Bytes of texts that are aligned together; their groups take several times as much.
+PIECE_BYTES = 1 << 18
 #: Links that a task counts at once.
-COUNTED = 4_000_000
+COUNTED = 1_000_000
 _ALIGNED = (
     "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, groups string, links binary"
 )
@@ -164,9 +167,9 @@ class Aligner:
 
     def clear(self) -> None:
         size = 1 << TABLE_BITS
-        self.key, self.place = np.zeros(size, np.uint64), np.zeros(size, np.int64)
+        self.key, self.place = np.zeros(size, np.uint64), np.zeros(size, np.int32)
         self.entries = 0
-        self.counts, self.base = Growing(np.int64), Growing(np.int64)
+        self.counts, self.base = Growing(np.int32), Growing(np.int32)
         self.links, self.text = Growing(np.int32), Growing(np.uint8)
 
     def align(self, segments: list[str]) -> Aligned:
@@ -319,11 +322,11 @@ def segments(
     return first, np.append(first[1:], len(data)), np.searchsorted(first, offsets)
 
 
-def _align(a_path: str, b_path: str):
+def _align(a_path: str, b_path: str, digest: bool):
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = tx.kept(f"aligner {a_path} {b_path}", lambda: Aligner(a_path, b_path))
         for batch in batches:
-            for piece in tx.pieces(batch):
+            for piece in tx.pieces(batch, PIECE_BYTES):
                 yield one(aligner, piece)
 
     def one(aligner: Aligner, piece: pa.RecordBatch) -> pa.RecordBatch:
@@ -334,8 +337,8 @@ def _align(a_path: str, b_path: str):
         for i in range(0, len(h), LOOKED_UP):
             some = slice(i, i + LOOKED_UP)
             place = aligner.places(raw, h[some], first[some], last[some])
-            rows = aligner.counts.values.reshape(-1, 4)[place]
-            base = aligner.base.values.reshape(-1, 2)[place]
+            rows = aligner.counts.values.reshape(-1, 4)[place].astype(np.int64)
+            base = aligner.base.values.reshape(-1, 2)[place].astype(np.int64)
             parts.append((
                 rows,
                 gathered(aligner.links.values, base[:, 0], rows[:, 2]),
@@ -357,11 +360,18 @@ def _align(a_path: str, b_path: str):
         kept = np.ones(len(text), bool)
         kept[ends - 1] = False
         text_ends = np.append(0, np.cumsum(per_text[:, 3] - (per_text[:, 3] > 0)))
+        if digest:
+            raw = text[kept].tobytes()
+            ranges = zip(text_ends[:-1].tolist(), text_ends[1:].tolist(), strict=True)
+            parts = (raw[x:y] for x, y in ranges)
+            groups = pa.array([sha256(x).hexdigest() if x else "" for x in parts], pa.string())
+        else:
+            groups = tx.binary(text[kept], text_ends).cast(pa.string())
         return pa.record_batch(
             [
                 piece.column(0),
                 *[pa.array(np.ascontiguousarray(per_text[:, k])) for k in range(3)],
-                tx.binary(text[kept], text_ends).cast(pa.string()),
+                groups,
                 tx.binary(links.astype("<i4"), sums[:, 2]),
             ],
             names=[f.split()[0] for f in _ALIGNED.split(", ")],
@@ -371,19 +381,21 @@ def _align(a_path: str, b_path: str):
 
 
 def align_tokens(
-    documents: DataFrame, a_path: str | None = None, b_path: str | None = None
+    documents: DataFrame, a_path: str | None = None, b_path: str | None = None,
+    digest: bool = False,
 ) -> DataFrame:
     """Groups of tokens that stand for the same bytes, one row for each of ``doc_id, text``.
 
     Returns doc_id, n_a, n_b (tokens), n_groups, groups (``a1,a2|b1;a3|b2,b3``: decimal ids
-    in order) and links (little-endian 32-bit codes ``a * B_IDS + b`` of the tokens of A and B
+    in order; with ``digest`` the lowercase hex sha256 of that, which takes less room) and
+    links (little-endian 32-bit codes ``a * B_IDS + b`` of the tokens of A and B
     that end together, one a group). Texts without tokens have zeros, no groups and no
     links: null and empty ones, and texts whose bytes a tokenizer does not give back. The
     strings of special tokens are ordinary text. Each row is aligned alone, so repeated
     rows, ids and rows without an id are kept. An empty table gives no rows; other columns
     are not read. Nothing is shuffled.
     """
-    task = _align(a_path or tokens.tokenizer_path(), b_path or tokens.tokenizer_path(PIECES))
+    task = _align(a_path or tokens.tokenizer_path(), b_path or tokens.tokenizer_path(PIECES), digest)
     # Null where there is no text: the space alone would be a token.
     spaced = F.when(F.col("text") != "", F.concat(F.lit(" "), F.col("text")))
     return documents.select("doc_id", spaced.alias("text")).mapInArrow(task, _ALIGNED)
@@ -466,9 +478,7 @@ def link_counts(aligned: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
-    aligned = align_tokens(table(spark, sf_dir, "documents")).select(
-        "doc_id", "n_a", "n_b", "n_groups", "links", digest.alias("groups_sha256")
-    )
-    aligned = stored(aligned, "aligned")  # counted first, then given the counts
+    aligned = align_tokens(table(spark, sf_dir, "documents"), digest=True)
+    # Counted first, then given the counts.
+    aligned = stored(aligned.withColumnRenamed("groups", "groups_sha256"), "aligned")
     return link_counts(aligned, pair_counts(aligned))
