@@ -7,11 +7,15 @@ Large sets scan inverted lists: each single shingle of the prefix is a key. The
 where the pairs of the small sets would cost more than the lists that they save; sets just
 below it stand in the lists as well, so that no link across it is lost.
 
-Sets that share a key are candidates. Sets of one key are not paired at once: first each is
-compared with one centre of its list, then, of the sets that are not yet in one component,
-all pairs. A parity sketch rules most other pairs out before their shingles are fetched:
-each bit in which two sketches differ proves a shingle that one set has alone. What is
-left is compared shingle by shingle. Documents of equal sets are one set throughout.
+Sets that share a key are candidates. Sets of one key are not paired at once. First each is
+compared with one centre of its list, then with the set of its list that has most keys in
+common with others: the text that edited copies come from, if it is there. Sets that are not
+in one component after that meet by key, size and place: linked sets of sizes ``a`` and ``b``
+share ``3 (a + b) / 7`` shingles, so their first shared one stands early in both. The more a
+set has of its own, the later its shared shingles stand, and the fewer lists still hold it.
+A parity sketch rules most other pairs out before their shingles are fetched: each bit in
+which two sketches differ proves a shingle that one set has alone. What is left is compared
+shingle by shingle. Documents of equal sets are one set throughout.
 """
 
 from __future__ import annotations
@@ -41,6 +45,8 @@ COUNTED, REPORTED = 2_000_000, 4
 REMEMBERED = 200_000
 #: The largest set that may be enumerated; the cost picks a boundary up to here.
 ENUMERATED = 64
+#: Sizes of one class differ by less than this factor; sets meet those of the classes in reach.
+SIZE_CLASS = 8 / 7
 #: Bits of a sketch: at least so many, and at least two a shingle, as a power of two.
 SKETCH_BITS = 2048
 
@@ -184,7 +190,7 @@ def _key_task(frequent: np.ndarray, boundary: int, largest: int | None = None):
             nth = np.arange(len(doc)) - begin[doc]
         # Large sets, and small ones that a large set may reach: single shingles.
         single = (nth < _prefix_size(n, 1)[doc]) & ((n[doc] > boundary) | (4 * n[doc] >= 3 * (boundary + 1)))
-        yield rows(found[single], doc[single], ids, n)
+        yield rows(found[single], doc[single], nth[single], ids, n)
         small = np.flatnonzero(new & (n <= boundary))
         p = _prefix_size(n, 2)
         for size in np.unique(p[small]):
@@ -193,18 +199,24 @@ def _key_task(frequent: np.ndarray, boundary: int, largest: int | None = None):
             base = begin[which][:, None]
             # The order is the same for all sets, so a pair has one key.
             pair = tx.mix(found[base + i] * np.uint64(0x9E3779B97F4A7C15) + tx.mix(found[base + j]))
-            yield rows(pair.ravel(), np.repeat(which, len(i)), ids, n)
+            # One shared shingle stands before the pair's second one.
+            yield rows(pair.ravel(), np.repeat(which, len(i)), np.tile(j - 1, len(which)), ids, n)
 
-    def rows(key, doc, ids, n) -> pa.RecordBatch:
+    def rows(key, doc, place, ids, n) -> pa.RecordBatch:
         return pa.record_batch(
-            [pa.array(key.view(np.int64)), pa.array(ids[doc]), pa.array(n[doc].astype(np.int32))],
-            names=["key", "set_id", "n"],
+            [
+                pa.array(key.view(np.int64)),
+                pa.array(ids[doc]),
+                pa.array(n[doc].astype(np.int32)),
+                pa.array(place.astype(np.int32)),
+            ],
+            names=["key", "set_id", "n", "place"],
         )
 
     return keys
 
 
-_KEYS = "key bigint, set_id bigint, n int"
+_KEYS = "key bigint, set_id bigint, n int, place int"
 
 
 def boundary_by_cost(documents: DataFrame, described: DataFrame, frequent: np.ndarray) -> int:
@@ -239,18 +251,19 @@ def _scan_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     first set is the centre of the class before, if the sizes allow a link.
     """
     held = None  # the last row, whether one of its key came before, and its class's centre
-    names = ["key", "set_id", "n", "centre"]
+    names = ["key", "set_id", "n", "place", "centre"]
 
     def classes(n: np.ndarray) -> np.ndarray:
         return np.floor(np.log(np.maximum(n, 1)) / np.log(4 / 3) + 1e-9).astype(np.int64)
 
     for batch in batches:
-        key, ids, n = (batch.column(i).to_numpy() for i in range(3))
+        key, ids, n, place = (batch.column(i).to_numpy() for i in range(4))
         if held is not None:
             key, ids, n = np.append(held[0], key), np.append(held[1], ids), np.append(held[2], n)
+            place = np.append(held[7], place)
         same = np.zeros(len(key), bool)
         same[1:] = (key[1:] == key[:-1]) & (ids[1:] == ids[:-1])
-        key, ids, n = key[~same], ids[~same], n[~same]
+        key, ids, n, place = key[~same], ids[~same], n[~same], place[~same]
         if not len(key):
             continue
         kind = classes(n)
@@ -275,12 +288,12 @@ def _scan_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = (goes_on | has_next)[:-1]
         if out.any():
             yield pa.record_batch(
-                [pa.array(x[:-1][out]) for x in (key, ids, n, link)], names=names
+                [pa.array(x[:-1][out]) for x in (key, ids, n, place, link)], names=names
             )
-        held = (key[-1], ids[-1], n[-1], bool(goes_on[-1]), centre[-1], centre_n[-1], link[-1])
+        held = (key[-1], ids[-1], n[-1], bool(goes_on[-1]), centre[-1], centre_n[-1], link[-1], place[-1])
     if held is not None and held[3]:
-        row = (held[0], held[1], held[2], held[6])
-        types = (pa.int64(), pa.int64(), pa.int32(), pa.int64())
+        row = (held[0], held[1], held[2], held[7], held[6])
+        types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64())
         yield pa.record_batch([pa.array([x], t) for x, t in zip(row, types, strict=True)], names=names)
 
 
@@ -443,7 +456,7 @@ def _roots(documents: DataFrame, described: DataFrame) -> DataFrame:
     lists = stored(
         keys.repartition(scan_parts(documents), "key")
         .sortWithinPartitions("key", "n", "set_id")
-        .mapInArrow(_scan_lists, "key bigint, set_id bigint, n int, centre bigint"),
+        .mapInArrow(_scan_lists, f"{_KEYS}, centre bigint"),
         "lists",
     )
     # Each set with its centres, as far as they may link.
@@ -459,25 +472,77 @@ def _roots(documents: DataFrame, described: DataFrame) -> DataFrame:
     apart = _with_roots(_with_roots(stars, roots, "a", "ra"), roots, "b", "rb").where("ra <> rb")
     roots = _joined(roots, _verified(stored(apart.select("a", "b"), "pairs"), sets))
 
+    # Then the set of a list that has most keys in lists, where the list is still mixed.
+    weights = stored(lists.groupBy("set_id").agg(F.count("*").alias("weight")), "weights")
+    rows = _mixed(lists.select("key", "set_id", "n", "place").join(sized(weights, 16), "set_id"), roots)
+    pairs = _possible(_centred(rows), sketches)
+    sets = _of_sets(documents, described, _ends(pairs), _set_rows, _SETS)
+    roots = _joined(roots, _verified(pairs, sets))
+
     # All that is left: sets of one key in different components.
-    placed = stored(_with_roots(lists.select("key", "set_id", "n"), roots, "set_id", "root"), "placed")
-    mixed = stored(
-        placed.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key"),
-        "mixed",
-    )
-    rows = stored(placed.join(sized(mixed, 16), "key", "left_semi"), "rows")
-    left = rows.select("key", F.col("set_id").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
-    right = rows.select(F.col("key").alias("key_b"), F.col("set_id").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
-    apart = (
-        (F.col("key") == F.col("key_b")) & (F.col("ra") < F.col("rb"))
-        & (4 * F.col("na") >= 3 * F.col("nb")) & (4 * F.col("nb") >= 3 * F.col("na"))
-    )
-    pairs = stored(left.join(right, apart).select("a", "b").distinct(), "pairs")
-    pairs = _possible(pairs, sketches)
+    pairs = _possible(_placed_pairs(_mixed(rows.drop("root"), roots)), sketches)
     sets = _of_sets(documents, described, _ends(pairs), _set_rows, _SETS)
     return _joined(roots, _verified(pairs, sets))
 
 
+def _mixed(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """The rows, with their roots, of keys whose sets are in several components."""
+    placed = stored(_with_roots(rows, roots, "set_id", "root"), "placed")
+    spans = placed.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"))
+    mixed = stored(spans.where("x <> y").select("key"), "mixed")
+    return stored(placed.join(sized(mixed, 16), "key", "left_semi"), "rows")
+
+
+def _size_class(n: Column) -> Column:
+    return F.floor(F.log(n) / F.log(F.lit(SIZE_CLASS))).cast("int")
+
+
+def _centred(rows: DataFrame) -> DataFrame:
+    """Pairs ``(a, b)`` of each set and the weightiest one of its key and size class."""
+    classed = rows.withColumn("kind", _size_class(F.col("n")))
+    best = F.max(F.struct("weight", "set_id", "root")).alias("best")
+    centres = stored(classed.groupBy("key", "kind").agg(best), "centres")
+    apart = F.col("root") != F.col("best.root")
+    pairs = classed.join(sized(centres, 48), ["key", "kind"]).where(apart)
+    return stored(pairs.select(F.col("set_id").alias("a"), F.col("best.set_id").alias("b")).distinct(), "pairs")
+
+
+def _shared(a: Column, b: Column) -> Column:
+    """Shingles that linked sets of these sizes share at least."""
+    return F.ceil(3 * (a + b) / 7)
+
+
+def _placed_pairs(rows: DataFrame) -> DataFrame:
+    """Pairs ``(a, b)`` in different components, the smaller one first, whose first shared key
+    may stand where it does.
+
+    A set of ``n`` shingles that shares ``s`` with another has the first of them at place
+    ``n - s`` at most. The smaller set shares at least 6/7 of its own; the larger one looks
+    into each size class that it can link with.
+    """
+    size, place = F.col("n"), F.col("place")
+    small = rows.where(place <= size - _shared(size, size)).select(
+        "key", _size_class(size).alias("kind"),
+        F.col("set_id").alias("a"), F.col("n").alias("na"), F.col("place").alias("pa"), F.col("root").alias("ra"),
+    )
+    least = F.ceil(3 * size / 4)
+    large = rows.withColumn("kind", F.explode(F.sequence(_size_class(least), _size_class(size))))
+    # The least size of a class, or one less, as powers are not exact.
+    reach = F.greatest(least, F.floor(F.pow(F.lit(SIZE_CLASS), F.col("kind"))) - 1)
+    large = large.where(place <= size - _shared(size, reach)).select(
+        F.col("key").alias("key_b"), F.col("kind").alias("kind_b"),
+        F.col("set_id").alias("b"), F.col("n").alias("nb"), F.col("place").alias("pb"), F.col("root").alias("rb"),
+    )
+    shared = _shared(F.col("na"), F.col("nb"))
+    ordered = (F.col("na") < F.col("nb")) | (F.col("na") == F.col("nb")) & (F.col("a") < F.col("b"))
+    meet = (
+        (F.col("key") == F.col("key_b")) & (F.col("kind") == F.col("kind_b"))
+        & ordered & (F.col("ra") != F.col("rb")) & (shared <= F.col("na"))
+        & (F.col("pa") <= F.col("na") - shared) & (F.col("pb") <= F.col("nb") - shared)
+    )
+    return stored(small.join(large, meet).select("a", "b").distinct(), "pairs")
+
+
 def _ends(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("set_id")).unionByName(pairs.select(F.col("b").alias("set_id")))
 
