@@ -94,6 +94,21 @@ def test_slugs_in_an_article_keep_their_text(slug):
         assert html_text.main_text(page)[0] == STORY_TEXT.format(" Heading Short text.")
 
 
+def test_short_page_without_an_article():
+    page = "<body><nav><a href='/'>Home</a></nav>{}<footer>Imprint</footer></body>"
+    blocks = "<div>A short text.</div><div>And one more</div>"
+    assert html_text.main_text(page.format(blocks))[0] == "A short text. And one more"
+    assert html_text.main_text(page.format(""))[0] == ""
+    assert html_text.main_text(page.format("<div class=cookies>We use cookies.</div>"))[0] == ""
+
+
+@pytest.mark.parametrize("name", ["site-notice-v2", "cookie-bar-2024", "cookie-notice-v10", "adSlot-300x250"])
+def test_names_with_versions(name):
+    notice = f"<div class='{name}'>We use cookies on this site to serve you better.</div>"
+    page = f"<body>{notice}<article>{STORY.format('')}</article></body>"
+    assert html_text.main_text(page)[0] == STORY_TEXT.format("")
+
+
 def test_parts_of_an_article():
     text = "Words of others that go on for quite a while, so that they look like prose of the page."
     for part in (

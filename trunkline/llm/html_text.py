@@ -83,6 +83,8 @@ _WHOLE = _BOILERPLATE | BESIDE
 BIAS, IN_CONTENT, PARAGRAPH, HEADING, SENTENCE, LONG, LINKS, WEAK, NAMED, DROPPED, HIDDEN = (
     -1.0, 3.0, 1.5, 0.5, 0.8, 1.5, -4.0, -3.0, -6.0, -12.0, -20.0,
 )
+#: What a page whose blocks all stay below the bias has added to each of them.
+PLAIN = 1.0
 #: Capacities of the ties: neighbours on the page, and neighbours among a parent's blocks.
 NEAR, SIBLING = 0.5, 0.9
 
@@ -94,6 +96,7 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
 _NAME = re.compile(r"[a-z]+")
+_VERSION = re.compile(r"\d+x\d+|(?<![a-z])v\d+(?![a-z\d])")
 
 
 @dataclass
@@ -129,9 +132,9 @@ class Block:
 
 
 def _tokens(value: str) -> list[list[str]]:
-    """The words of each class name or id, camel case included."""
+    """The words of each class name or id, camel case included, sizes and versions left out."""
     spaced = re.sub(r"([a-z])([A-Z])", r"\1-\2", value)
-    return [_NAME.findall(re.sub(r"\d+x\d+", "", t).lower()) for t in spaced.split()]
+    return [_NAME.findall(_VERSION.sub("", t.lower())) for t in spaced.split()]
 
 
 def _named(element: Element, value: str) -> None:
@@ -421,7 +424,13 @@ def _flow(nodes: list[int], cost: list[float], edges: list[dict[int, float]]) ->
 def main_text(source: str) -> tuple[str, int, int]:
     """Text of the blocks on the content side, their number and that of all blocks."""
     blocks = Page(source).tied()
-    keep = minimum_cut([b.cost for b in blocks], [b.edges for b in blocks])
+    costs, edges = [b.cost for b in blocks], [b.edges for b in blocks]
+    keep = minimum_cut(costs, edges)
+    if not any(keep):
+        # Short blocks in plain elements: nothing speaks for them, nor against them. Ties to
+        # blocks that something speaks against say nothing here.
+        plain = [{j: c for j, c in e.items() if min(costs[i], costs[j]) >= BIAS} for i, e in enumerate(edges)]
+        keep = minimum_cut([c + PLAIN for c in costs], plain)
     kept = [b.text for b, k in zip(blocks, keep, strict=True) if k]
     return " ".join(kept), len(kept), len(blocks)
 
