@@ -80,6 +80,8 @@ def set_ids(found: np.ndarray, ranges: np.ndarray) -> np.ndarray:
 
 
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    # Token tables of an earlier job have no use here.
+    tx.forget("vocabulary ", "aligner ")
     for batch in batches:
         for piece in tx.pieces(batch):
             found, ranges = shingles(piece)

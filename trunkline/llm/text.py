@@ -60,6 +60,13 @@ def kept(name: str, make: Callable):
     return values[name]
 
 
+def forget(*beginnings: str) -> None:
+    """Gives up what the worker keeps under names that begin so; it is made again if needed."""
+    values = sys.modules.get("_kept_in_worker")
+    for name in [n for n in vars(values) if n.startswith(beginnings)] if values else ():
+        del values.__dict__[name]
+
+
 def powers(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
     """At least ``size`` powers of an odd base and of its inverse modulo 2**64."""
     tables = kept("powers", dict)
