@@ -1,5 +1,7 @@
 """Exact, near and passage duplicates against brute force."""
 
+import random
+
 import brute
 import pytest
 from pyspark.sql import functions as F
@@ -95,6 +97,30 @@ def test_near_sample(spark, sample):
     assert found == brute.near_duplicates(docs)
 
 
+def edited_copies(n, words=60, seed=5):
+    """Texts that differ from one base in nought to six words of their own."""
+    draw = random.Random(seed)
+    base = [f"w{i}" for i in range(words)]
+    texts = []
+    for i in range(n):
+        text = list(base)
+        for at in draw.sample(range(words), i % 7):
+            text[at] = f"own{i}x{at}"
+        texts.append((i, " ".join(text)))
+    return texts
+
+
+@pytest.mark.parametrize("boundary", [0, 64])
+def test_near_many_edited_copies(spark, monkeypatch, boundary):
+    """Equal to brute force, and the sets of a long list are not paired."""
+    docs, met = edited_copies(140), []
+    placed = jaccard_join._placed_pairs
+    monkeypatch.setattr(jaccard_join, "boundary_by_cost", lambda *_: boundary)
+    monkeypatch.setattr(jaccard_join, "_placed_pairs", lambda rows: met.append(placed(rows)) or met[-1])
+    assert components(spark, docs) == brute.near_duplicates(docs)
+    assert met[0].count() < len(docs) * 10
+
+
 def test_near_null_ids_and_clashing_columns(edge, edge_rows):
     found = jaccard_join.near_duplicates(edge).collect()
     assert len(found) == len(edge_rows)
