@@ -55,6 +55,35 @@ def test_exact_index_files_hold_ranges_of_keys(edge):
     assert all(tuple(a.hi) < tuple(b.lo) for a, b in zip(spans, spans[1:], strict=False))
 
 
+def test_exact_buckets_have_one_owner_each(spark):
+    docs = spark.range(3000).selectExpr("id as doc_id", "cast(id % 2500 as string) as text")
+    _, index, pointers = exact_dedup.build_index(docs, bucket_keys=50)
+    of_bucket = index.withColumn("file", F.input_file_name()).groupBy("bucket").agg(
+        F.countDistinct("file").alias("files"), F.count("*").alias("n_keys"),
+        F.countDistinct("depth").alias("depths"),
+    ).collect()
+    assert len(of_bucket) >= 50
+    assert all((r.files, r.depths) == (1, 1) and r.n_keys <= 50 for r in of_bucket)
+    assert sum(r.n_keys for r in of_bucket) == pointers.agg(F.sum("n_keys")).first()[0] == 2500
+    found = exact_dedup.exact_groups(docs, bucket_keys=50)
+    assert found.where("kept").count() == 2500
+    assert found.where("group_size = 2").count() == 1000
+
+
+def test_exact_chains_hold_each_text_once(spark):
+    texts = spark.createDataFrame(
+        [(0, 7, "a", 1, i) for i in range(500)] + [(0, 7, "b", 2, 900), (0, 8, "c", 1, 901), (0, 8, "c", 3, 902)],
+        "bucket bigint, key bigint, norm string, n_chars bigint, doc_id bigint",
+    )
+    chain = exact_dedup.chains(texts)
+    found = rows(chain.orderBy("key", "norm"), "key", "norm", "group_size", "keep_id", "n_texts")
+    assert found == [(7, "a", 500, 0, 2), (7, "b", 1, 900, 2), (8, "c", 2, 902, 1)]
+    plan = chain._jdf.queryExecution().executedPlan().toString()
+    # Copies are combined before the first exchange; the owner's exchange is by bucket.
+    assert plan.index("rangepartitioning(bucket") < plan.index("hashpartitioning(bucket")
+    assert plan.count("Exchange") == 2 and plan.rindex("partial_count") > plan.index("hashpartitioning(bucket")
+
+
 def test_exact_is_native(edge):
     plan = exact_dedup.exact_groups(edge)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan

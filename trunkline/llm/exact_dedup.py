@@ -1,10 +1,13 @@
 """Exact duplicates over an extendible-hash index on shared files, in native functions.
 
 Keys are 64-bit hashes of the normalised texts. The directory starts at the depth that the
-number of keys asks for and doubles where a bucket holds more keys than its capacity; each
-bucket is a range of keys, and the index files are dealt to owner tasks by key range. Keys
-with several rows go on to a comparison of the bytes: a chain holds the different texts
-of one key, and rows count as equal only if all bytes are.
+number of keys asks for and doubles where a bucket holds more keys than its capacity. A key's
+first bits lead through the directory to its bucket, and the bucket to the task that owns it:
+owners hold whole buckets, ranges of keys that follow each other. The owner's file has an
+entry for each key. Rows whose entry counts several send their texts to the owner of the
+bucket; copies are combined by their bytes on the way. The owner chains the different texts
+of a key, and a row finds its group in its bucket: at the key if the chain has one text,
+else at the text with the same bytes.
 """
 
 from __future__ import annotations
@@ -12,7 +15,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from math import ceil, log2
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trunkline.llm.common import scan_parts, sized, stored, table, without
@@ -73,6 +76,29 @@ def directory(keys: DataFrame, bucket_keys: int = BUCKET_KEYS) -> tuple[DataFram
     return stored(level.select("prefix", depth.alias("depth"), "n_keys"), "directory"), deepest
 
 
+def owned(entries: DataFrame) -> DataFrame:
+    """``entries`` at the tasks that own their ``bucket``; no bucket is split between tasks."""
+    return entries.repartitionByRange(scan_parts(entries), "bucket")
+
+
+def chains(texts: DataFrame) -> DataFrame:
+    """The chain of each key in its bucket: ``bucket, key, norm`` with ``n_texts`` of the key.
+
+    ``texts``: ``bucket, key, norm, n_chars, doc_id``, one row for each copy. Copies are
+    combined by their bytes in each task before any shuffle, so the owner gets a text
+    once, however many copies it has.
+    """
+    combined = texts.groupBy("bucket", "key", "norm").agg(
+        F.count("*").alias("group_size"),
+        F.max(_rank(F.col("n_chars"), F.col("doc_id"))).alias("rank"),
+    )
+    of_key = Window.partitionBy("bucket", "key")
+    return owned(combined).select(
+        "bucket", "key", "norm", "group_size", _id_of(F.col("rank")).alias("keep_id"),
+        F.count("*").over(of_key).alias("n_texts"),
+    )
+
+
 def build_index(
     documents: DataFrame,
     key: Callable[[Column], Column] = F.xxhash64,
@@ -80,8 +106,8 @@ def build_index(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """``(rows, index, directory)`` in the shared folder.
 
-    ``rows``: key, id, code points and digest of every row. ``index``: one entry a key with
-    its number of rows and its bucket, in files of one key range each.
+    ``rows``: key, id and digest of every row. ``index``: one entry a key with its bucket
+    and its number of rows, in files of whole buckets, one file an owner.
     """
     text = F.col("text")
     norm = normalised(text)
@@ -89,7 +115,6 @@ def build_index(
         documents.select("doc_id", text, norm.alias("norm")).select(
             "doc_id",
             key(F.col("norm")).cast("bigint").alias("key"),
-            F.length(F.coalesce(text, F.lit(""))).cast("bigint").alias("n_chars"),
             F.sha2("norm", 256).alias("text_sha256"),
         ),
         "rows",
@@ -100,12 +125,12 @@ def build_index(
     placed = keys.withColumn("prefix", _prefix(F.col("key"), deepest)).join(
         sized(pointers.select("prefix", "depth"), 24), "prefix"
     )
-    bucket = F.expr(f"shiftright(prefix, {deepest} - depth)")
-    # Unsigned order: by prefix first, so that owners get whole ranges of keys.
+    # A bucket is named by the first prefix that points to it: buckets in order of the name
+    # are ranges of keys in unsigned order.
+    bucket = F.expr(f"shiftleft(shiftright(prefix, {deepest} - depth), {deepest} - depth)")
     index = stored(
-        placed.select("prefix", "key", "n_rows", "depth", bucket.alias("bucket"))
-        .repartitionByRange(scan_parts(documents), "prefix", "key")
-        .sortWithinPartitions("prefix", "key"),
+        owned(placed.select(bucket.alias("bucket"), "depth", "prefix", "key", "n_rows"))
+        .sortWithinPartitions("bucket", "prefix", "key"),
         "index",
     )
     return rows, index, pointers
@@ -125,38 +150,31 @@ def exact_groups(
     """
     documents = documents.select("doc_id", "text")
     rows, index, _ = build_index(documents, key, bucket_keys)
-    repeated = stored(index.where("n_rows > 1").select("key"), "repeated")
-    texts = documents.select("doc_id", "text", normalised(F.col("text")).alias("norm"))
+    repeated = stored(index.where("n_rows > 1").select("bucket", "key"), "repeated")
+    norm = normalised(F.col("text"))
+    length = F.length(F.coalesce("text", F.lit(""))).cast("bigint")
+    texts = documents.select("doc_id", norm.alias("norm"), length.alias("n_chars"))
     texts = texts.withColumn("key", key(F.col("norm")).cast("bigint"))
-    texts = texts.join(sized(repeated, 16), "key", "left_semi")
-    length = F.length(F.coalesce("text", F.lit("")))
-    # Comparing bytes: rows meet by key and whole text, combined before the shuffle.
-    groups = stored(
-        texts.groupBy("key", "norm").agg(
-            F.count("*").alias("group_size"),
-            F.max(_rank(length, F.col("doc_id"))).alias("rank"),
-        ),
-        "groups",
-    ).withColumn("keep_id", _id_of(F.col("rank")))
-    chains = stored(
-        groups.groupBy("key").agg(F.count("*").alias("n_texts")).where("n_texts > 1"), "chains"
-    ).select("key")
-    chained = sized(chains, 16)
-    plain = groups.join(chained, "key", "left_anti").select("key", "group_size", "keep_id")
-    single = rows.join(chained, "key", "left_anti").join(
-        sized(stored(plain, "plain"), 40), "key", "left"
+    texts = texts.join(sized(repeated, 24), "key")
+    groups = stored(chains(texts), "chains")
+    alone = groups.where("n_texts = 1").select("key", "group_size", "keep_id")
+    chained = groups.where("n_texts > 1")
+    collisions = sized(stored(chained.select("key").distinct(), "collisions"), 16)
+    # A key's only text: the key is enough.
+    single = rows.join(collisions, "key", "left_anti").join(
+        sized(stored(alone, "alone"), 40), "key", "left"
     )
-    alone = F.col("group_size").isNull()
+    unique = F.col("group_size").isNull()
     single = single.select(
         "doc_id",
-        F.when(alone, F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
+        F.when(unique, F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
         F.coalesce("group_size", F.lit(1)).cast("bigint").alias("group_size"),
         "text_sha256",
     )
-    # Keys that several texts share: each row looks its own text up in the chain.
+    # Several texts of one key: each row looks its own bytes up in the chain.
     collided = (
-        texts.join(chained, "key", "left_semi")
-        .join(groups.select("key", "norm", "group_size", "keep_id"), ["key", "norm"])
+        texts.join(collisions, "key", "left_semi")
+        .join(chained.select("bucket", "key", "norm", "group_size", "keep_id"), ["bucket", "key", "norm"])
         .select("doc_id", "keep_id", "group_size", F.sha2("norm", 256).alias("text_sha256"))
     )
     return single.unionByName(collided).select(
