@@ -1,6 +1,7 @@
 """Exact, near and passage duplicates against brute force."""
 
 import random
+import re
 
 import brute
 import pytest
@@ -185,6 +186,42 @@ def test_substring_sample_full_bitmap(sample, monkeypatch):
     assert brute.same_rows(rows(substring_dedup.remove_repeats(df), *SUBSTRING), brute.substring_rows(docs))
 
 
+def test_factors_copy_their_sources(sample, edge):
+    for docs, size in ((edge, 5), (sample[0], 35)):
+        given = [tuple(r) for r in docs.select("doc_id", "text").collect()]
+        words = {}
+        for doc, text in given:
+            words.setdefault(doc, []).append([w for w in re.split(r"[\x20\x09-\x0D]+", text or "") if w])
+        found = substring_dedup.factors(docs, size).collect()
+        assert found
+        for f in found:
+            assert f.length >= size
+            copies = [w[f.start : f.start + f.length] for w in words[f.doc_id]]
+            sources = [w[f.source_start : f.source_start + f.length] for w in words[f.source_doc_id]]
+            assert any(c == s and len(c) == f.length for c in copies for s in sources)
+
+
+def test_factors_follow_their_source(spark):
+    rng = random.Random(3)
+    a, b, c = ([f"w{rng.randrange(10**6)}" for _ in range(n)] for n in (300, 200, 90))
+    texts = [a, b, a[50:180] + b[20:120], c, c, b[100:134]]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    found = {}
+    for f in substring_dedup.factors(docs).collect():
+        found.setdefault(f.doc_id, []).append((f.start, f.length, f.source_doc_id, f.source_start))
+    assert sorted(found[2]) == [(0, 130, 0, 50), (130, 100, 1, 20)]
+    assert found[0] == [(50, 130, 2, 0)] and found[1] == [(20, 100, 2, 130)]
+    assert found[3] == [(0, 90, 4, 0)] and found[4] == [(0, 90, 3, 0)]
+    assert 5 not in found
+
+
+def test_substring_of_one_row_many_times(spark):
+    text = " ".join(f"v{i}" for i in range(60))
+    docs = spark.range(300).selectExpr("cast(null as bigint) as doc_id", f"'{text}' as text")
+    assert substring_dedup.factors(docs).count() == 1
+    assert rows(substring_dedup.remove_repeats(docs).distinct(), "n_words", "n_removed", "n_spans", "kept") == [(60, 60, 1, "")]
+
+
 def test_suffix_edge(edge, edge_rows):
     found = rows(suffix_dedup.remove_matches(edge), *SUFFIX)
     assert brute.same_rows(found, brute.suffix_rows(edge_rows))

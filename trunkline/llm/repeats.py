@@ -184,17 +184,21 @@ def cell_scan(windows: Windows, width: int, ranged: bool):
     return scan
 
 
+def unpacked(ranges: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First start, number of further ones and text number of each packed range."""
+    counts = ranges.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    packed = ranges.flatten().to_numpy(zero_copy_only=False).astype(np.int64, copy=False)
+    return packed >> 24, packed & _LOW, np.repeat(np.arange(len(ranges)), counts)
+
+
 def covered(ranges: pa.Array, of: np.ndarray, length: int) -> np.ndarray:
     """A mark for each unit in a window; ``ranges``: for each text the packed ranges of starts."""
-    flat = ranges.flatten()
-    counts = ranges.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-    base = np.repeat(of[:-1], counts)
     size = int(of[-1])
-    if not len(flat):
+    first, further, doc = unpacked(ranges)
+    if not len(first):
         return np.zeros(size, bool)
-    packed = flat.to_numpy(zero_copy_only=False)
-    first = (packed >> 24) + base
-    end = first + (packed & _LOW) + length
+    first = first + of[:-1][doc]
+    end = first + further + length
     change = np.bincount(first, minlength=size + 1) - np.bincount(end, minlength=size + 1)
     return np.cumsum(change[:size]) > 0
 
@@ -282,7 +286,8 @@ def with_ranges(documents: DataFrame, found: DataFrame, how: str) -> DataFrame:
     by_row = stored(
         found.groupBy("doc_id", "text_hash").agg(
             # First start and number of further ones in one number; cells are no wider.
-            F.collect_list(F.shiftleft("first", 24) + F.col("last") - F.col("first")).alias("ranges")
+            # Rows that share id and text have equal ranges, which count once.
+            F.collect_set(F.shiftleft("first", 24) + F.col("last") - F.col("first")).alias("ranges")
         ),
         "ranges",
     )
