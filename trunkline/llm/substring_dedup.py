@@ -128,7 +128,11 @@ def _parsed(rows: DataFrame, factor_words: int) -> DataFrame:
     )
     place = _place("doc_id", "text_hash", "first")
     # The index: for each phrase its least place, and the greatest for the least one itself.
-    index = phrases.groupBy("phrase").agg(F.min(place).alias("least"), F.max(place).alias("other"))
+    # A table of its own, so that the join can split a phrase that has very many places.
+    index = stored(
+        phrases.groupBy("phrase").agg(F.min(place).alias("least"), F.max(place).alias("other")),
+        "index",
+    )
     source = F.when(F.col("least").eqNullSafe(place), F.col("other")).otherwise(F.col("least"))
     looked_up = phrases.join(index, "phrase").select(
         "doc_id", "text_hash", "first", "last", source.alias("source")
