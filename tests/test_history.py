@@ -21,7 +21,9 @@ from trunkline.operators import (
     upsert_carriers,
     upsert_history,
 )
+from trunkline.operators import validity
 from trunkline.operators.segments import segments_of
+from trunkline.plans import inputs
 from trunkline.schemas import STAGED_PORTABILITY
 from trunkline.sources import history_store, tables
 from trunkline.sources.history_store import (
@@ -403,3 +405,29 @@ def test_tie_order_is_total(spark, seed):
     random.Random(seed).shuffle(rows)
     df = _frame(spark, rows).repartition(1 + seed * 3)
     assert _as_dict(dedup_portability(df)) == _brute_dedup(rows)
+
+
+def test_intervals_and_buckets_share_one_shuffle(spark, tmp_path, monkeypatch):
+    made = []
+
+    def noted(rows):
+        made.append(validity.with_validity(rows))
+        return made[-1]
+
+    monkeypatch.setattr(history_store, "with_validity", noted)
+    merge_history(spark, dedup_portability(_frame(spark, _staged_rows(1, ["a.csv.gz"]))), str(tmp_path / "h"))
+    plan = made[-1]._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "REPARTITION_BY_NUM" in plan
+
+
+def test_landed_inputs_are_dealt_out_only_while_they_are_small(spark, tmp_path):
+    small, large = str(tmp_path / "small"), str(tmp_path / "large")
+    spark.range(1000).repartition(1).write.parquet(small)
+    spark.range(1000).repartition(8).write.parquet(large)
+    landed = []
+    for path in (small, large):
+        found = inputs.land(spark, path, "ids", lambda s, d: inputs._spread(s.read.parquet(d)))
+        assert sorted(r.id for r in found.collect()) == list(range(1000))
+        plan = inputs._spread(spark.read.parquet(path))._jdf.queryExecution().executedPlan().toString()
+        landed.append("Exchange" in plan)
+    assert landed == [True, False]
