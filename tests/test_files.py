@@ -5,9 +5,11 @@ import zipfile
 from datetime import date, datetime
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from trunkline.operators import enrich_calls
+from trunkline.plans import files
 from trunkline.plans.loads import Warehouse, load_numbering, load_portability
 from trunkline.sources import discovery, numbering, portability, preview
 from trunkline.sources.tables import write_result
@@ -505,3 +507,49 @@ def test_missing_marks_match_the_default_of_pandas():
     from trunkline.functions.keys import MISSING_MARKS
 
     assert set(MISSING_MARKS) == set(STR_NA_VALUES)
+
+
+def test_large_files_are_written_in_parts(spark, tmp_path, conf):
+    """No task takes a whole file, and the parts make up one file in order."""
+    conf(spark__sql__adaptive__coalescePartitions__enabled="false")
+    n = 4000
+    calls = spark.range(n).selectExpr(
+        "id as call_id", "cast(id % 7 as string) as numero_a", "if(id % 3 = 0, null, 'b') as numero_b"
+    )
+    plans = []
+    write = DataFrameWriter.csv
+
+    def noted(self, path, *args, **kwargs):
+        write(self, path, *args, **kwargs)
+        plans.append(len({p.name.split("-")[1] for p in (tmp_path / "calls").glob("_novos/*=chamadas_1*/part-*")}))
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(DataFrameWriter, "csv", noted)
+        files.write_calls(calls, str(tmp_path / "calls"), 2)
+    assert plans[0] > 1
+    assert sorted(p.name for p in (tmp_path / "calls").glob("*.gz")) == ["chamadas_0.csv.gz", "chamadas_1.csv.gz"]
+    for i in (0, 1):
+        found = gzip.open(tmp_path / "calls" / f"chamadas_{i}.csv.gz", "rt").read().splitlines()
+        expected = [f"{k},{k % 7},{'' if k % 3 == 0 else 'b'}" for k in range(i, n, 2)]
+        assert [x.rstrip('"').rstrip(",") for x in found] == [
+            "timestamp,origem,destino", *[x.rstrip(",") for x in expected]
+        ]
+        assert spark.read.csv(str(tmp_path / "calls" / f"chamadas_{i}.csv.gz"), header=True).count() == n / 2
+
+
+def test_copies_of_a_text_are_written_by_several_tasks(spark, tmp_path, conf):
+    conf(spark__sql__adaptive__coalescePartitions__enabled="false")
+    texts = spark.range(4000).selectExpr("id as doc_id", "'avião' as text", "'pt' as lang")
+    sizes = []
+    write = DataFrameWriter.csv
+
+    def noted(self, path, *args, **kwargs):
+        write(self, path, *args, **kwargs)
+        sizes.extend(p.stat().st_size for p in (tmp_path / "texts").glob("_novos/*/part-*"))
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(DataFrameWriter, "csv", noted)
+        files.write_texts(texts, str(tmp_path / "texts"), "ISO-8859-1", "latin1")
+    whole = (tmp_path / "texts" / "latin1_pt.csv").read_bytes()
+    assert whole == "avião,pt\n".encode("latin-1") * 4000
+    assert max(sizes) < 0.6 * len(whole)
