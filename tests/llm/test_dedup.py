@@ -151,6 +151,50 @@ def test_near_many_edited_copies(spark, monkeypatch, boundary):
     assert met[0].count() < len(docs) * 10
 
 
+def long_texts(seed=3):
+    """Long texts of own words in groups that share a passage, and texts cut short and edited."""
+    draw = random.Random(seed)
+    texts = []
+    for i in range(120):
+        passage = [f"p{i % 6}x{k}" for k in range(40)]
+        texts.append([f"own{i}x{k}" for k in range(100)] + passage + [f"own{i}y{k}" for k in range(draw.randrange(40, 90))])
+    for i in range(0, 60, 2):
+        text = list(texts[i])
+        for at in draw.sample(range(len(text)), draw.randrange(1, 7)):
+            text[at] = f"edit{i}x{at}"
+        texts.append(text[: len(text) - draw.randrange(60)])
+        texts.append(texts[i][: draw.choice([-(-3 * (len(texts[i]) - 4) // 4) + 4, 3 * (len(texts[i]) - 4) // 4 + 3])])
+    return [(i, " ".join(t)) for i, t in enumerate(texts)]
+
+
+def test_near_long_sets_with_few_keys_in_common_are_not_paired(spark):
+    """The pairs of lists alone hold every link, few others, and each different list once."""
+    docs = long_texts()
+    df = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3)
+    frequent = jaccard_join.frequent_shingles(df)
+    keys = df.mapInArrow(jaccard_join._key_task(frequent, 0), jaccard_join._KEYS).distinct()
+    shared = keys.groupBy("key").count().where("count > 1").select("key")
+    lists = common.stored(keys.join(shared, "key"), "lists")
+    weights = lists.groupBy("set_id").agg(F.count("*").alias("weight"))
+    none = spark.createDataFrame([], "set_id bigint, root bigint")
+    mixed = jaccard_join._mixed(lists.join(weights, "set_id"), none)
+    of = {}
+    for key, set_id in rows(mixed, "key", "set_id"):
+        of.setdefault(key, []).append(set_id)
+    assert len(of) == len({tuple(sorted(s)) for s in of.values()}) < shared.count()
+    described = df.mapInArrow(jaccard_join._describe, "doc_id bigint, n_shingles bigint, set_id bigint")
+    ids = dict(rows(described, "doc_id", "set_id"))
+    sets = {i: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} for i, w in ((i, t.split()) for i, t in docs)}
+    links = {
+        frozenset((ids[i], ids[j])) for i in sets for j in sets
+        if i < j and ids[i] != ids[j] and 4 * len(sets[i] & sets[j]) >= 3 * len(sets[i] | sets[j])
+    }
+    pairs = {frozenset(p) for p in rows(jaccard_join._placed_pairs(mixed), "a", "b")}
+    assert len(links) > 40 and links <= pairs
+    assert len(pairs) < 5 * len(links)
+    assert components(spark, docs) == brute.near_duplicates(docs)
+
+
 def test_near_null_ids_and_clashing_columns(edge, edge_rows):
     found = jaccard_join.near_duplicates(edge).collect()
     assert len(found) == len(edge_rows)

@@ -13,6 +13,7 @@ common with others: the text that edited copies come from, if it is there. Sets
 in one component after that meet by key, size and place: linked sets of sizes ``a`` and ``b``
 share ``3 (a + b) / 7`` shingles, so their first shared one stands early in both. The more a
 set has of its own, the later its shared shingles stand, and the fewer lists still hold it.
+They share many keys besides, so sets with few keys in lists meet none of about their size.
 A parity sketch rules most other pairs out before their shingles are fetched: each bit in
 which two sketches differ proves a shingle that one set has alone. What is left is compared
 shingle by shingle. Documents of equal sets are one set throughout.
@@ -488,10 +489,18 @@ def _roots(documents: DataFrame, described: DataFrame) -> DataFrame:
 
 
 def _mixed(rows: DataFrame, roots: DataFrame) -> DataFrame:
-    """The rows, with their roots, of keys whose sets are in several components."""
+    """The rows, with their roots, of keys whose sets are in several components.
+
+    Of keys with the same sets the first one in the order of shingles stands for all: it has
+    the earliest places in each set, so the same pairs meet there.
+    """
     placed = stored(_with_roots(rows, roots, "set_id", "root"), "placed")
-    spans = placed.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"))
-    mixed = stored(spans.where("x <> y").select("key"), "mixed")
+    spans = placed.groupBy("key").agg(
+        F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("size"),
+        F.bit_xor(F.xxhash64("set_id")).alias("sets"), F.min(F.struct("set_id", "place")).alias("least"),
+    )
+    first = F.min_by("key", F.struct("least.place", "key")).alias("key")
+    mixed = stored(spans.where("x <> y").groupBy("sets", "size", "least.set_id").agg(first).select("key"), "mixed")
     return stored(placed.join(sized(mixed, 16), "key", "left_semi"), "rows")
 
 
@@ -514,26 +523,38 @@ def _shared(a: Column, b: Column) -> Column:
     return F.ceil(3 * (a + b) / 7)
 
 
+def _shared_keys(small: Column, large: Column) -> Column:
+    """Keys in lists that linked sets of these sizes share at least, the smaller one first.
+
+    All but so many of the shingles that they share stand in the prefixes of both, as the
+    order is the same for both. It holds for sets whose single shingles are keys.
+    """
+    return F.when(small > ENUMERATED, _shared(small, large) - F.ceil(3 * large / 4) + 1).otherwise(1)
+
+
 def _placed_pairs(rows: DataFrame) -> DataFrame:
     """Pairs ``(a, b)`` in different components, the smaller one first, whose first shared key
-    may stand where it does.
+    may stand where it does and which have keys enough in lists.
 
     A set of ``n`` shingles that shares ``s`` with another has the first of them at place
     ``n - s`` at most. The smaller set shares at least 6/7 of its own; the larger one looks
-    into each size class that it can link with.
+    into each size class that it can link with. A set's ``weight`` is the number of its keys
+    in lists: long sets that have a few in common meet in every list of those, but do not link.
     """
     size, place = F.col("n"), F.col("place")
     small = rows.where(place <= size - _shared(size, size)).select(
-        "key", _size_class(size).alias("kind"),
-        F.col("set_id").alias("a"), F.col("n").alias("na"), F.col("place").alias("pa"), F.col("root").alias("ra"),
+        "key", _size_class(size).alias("kind"), F.col("set_id").alias("a"), F.col("n").alias("na"),
+        F.col("place").alias("pa"), F.col("root").alias("ra"), F.col("weight").alias("wa"),
     )
     least = F.ceil(3 * size / 4)
     large = rows.withColumn("kind", F.explode(F.sequence(_size_class(least), _size_class(size))))
     # The least size of a class, or one less, as powers are not exact.
     reach = F.greatest(least, F.floor(F.pow(F.lit(SIZE_CLASS), F.col("kind"))) - 1)
-    large = large.where(place <= size - _shared(size, reach)).select(
-        F.col("key").alias("key_b"), F.col("kind").alias("kind_b"),
-        F.col("set_id").alias("b"), F.col("n").alias("nb"), F.col("place").alias("pb"), F.col("root").alias("rb"),
+    # The larger the smaller set is, the more keys both share.
+    enough = _shared_keys(F.least(reach, size), size) <= F.col("weight")
+    large = large.where((place <= size - _shared(size, reach)) & enough).select(
+        F.col("key").alias("key_b"), F.col("kind").alias("kind_b"), F.col("set_id").alias("b"),
+        F.col("n").alias("nb"), F.col("place").alias("pb"), F.col("root").alias("rb"), F.col("weight").alias("wb"),
     )
     shared = _shared(F.col("na"), F.col("nb"))
     ordered = (F.col("na") < F.col("nb")) | (F.col("na") == F.col("nb")) & (F.col("a") < F.col("b"))
@@ -541,6 +562,7 @@ def _placed_pairs(rows: DataFrame) -> DataFrame:
         (F.col("key") == F.col("key_b")) & (F.col("kind") == F.col("kind_b"))
         & ordered & (F.col("ra") != F.col("rb")) & (shared <= F.col("na"))
         & (F.col("pa") <= F.col("na") - shared) & (F.col("pb") <= F.col("nb") - shared)
+        & (_shared_keys(F.col("na"), F.col("nb")) <= F.least("wa", "wb"))
     )
     return stored(small.join(large, meet).select("a", "b").distinct(), "pairs")
 
