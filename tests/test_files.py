@@ -9,7 +9,7 @@ from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from trunkline.operators import enrich_calls
-from trunkline.plans import files
+from trunkline.plans import files, inputs, registry
 from trunkline.plans.loads import Warehouse, load_numbering, load_portability
 from trunkline.sources import discovery, numbering, portability, preview
 from trunkline.sources.tables import write_result
@@ -553,3 +553,27 @@ def test_copies_of_a_text_are_written_by_several_tasks(spark, tmp_path, conf):
     whole = (tmp_path / "texts" / "latin1_pt.csv").read_bytes()
     assert whole == "avião,pt\n".encode("latin-1") * 4000
     assert max(sizes) < 0.6 * len(whole)
+
+
+def test_report_files_are_written_without_a_table_before_them(spark, tmp_path, monkeypatch):
+    """The lines go from their source into files at gzip's fastest level, and read back whole."""
+    n = 4000
+    items = spark.range(n).selectExpr(
+        "id + 1 as l_orderkey", "cast(1 + id % 5 as int) as l_linenumber", "id % 97 as l_partkey",
+        "id % 41 as l_suppkey", "if(id % 2 = 0, 'R', 'N') as l_returnflag", "'O' as l_linestatus",
+        "timestamp'2001-05-01' + make_dt_interval(cast(id % 900 as int)) as l_shipdate",
+    )
+    items.write.parquet(f"{tmp_path}/lineitem.parquet")
+
+    def no_table(*_):
+        raise AssertionError("a table is written")
+
+    monkeypatch.setattr(inputs, "land", no_table)
+    assert registry.scan_portability(spark, str(tmp_path)).count() == n
+    files.write_reports(registry.report_lines(spark, str(tmp_path)), f"{tmp_path}/in")
+    written = sorted((tmp_path / "in").glob("*.csv.gz"))
+    assert [f.name for f in written] == ["relatorio_NO_000000.csv.gz", "relatorio_RO_000000.csv.gz"]
+    for file in written:
+        content = gzip.decompress(file.read_bytes())
+        assert content.count(b"\n") == n // 2 + 1
+        assert file.stat().st_size > 1.05 * len(gzip.compress(content, 6))
