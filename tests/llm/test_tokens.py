@@ -1,6 +1,7 @@
 """Tokens, the range coder, token files and packing."""
 
 import random
+import zlib
 
 import brute
 import numpy as np
@@ -58,6 +59,17 @@ def test_special_tokens_are_as_the_library_has_them(words):
     assert 50256 not in ids[ranges[1] :]
 
 
+def test_new_pieces_need_no_encoding_each(tokenizer):
+    """Pieces go to the tokenizer's model; only odd texts are encoded by the whole library."""
+    small = tokens.Vocabulary(tokens.tokenizer_path())
+    small.tokenizer = None
+    rng = random.Random(5)
+    texts = ["".join(rng.choice(ALPHABET[:16]) for _ in range(40)) for _ in range(200)]
+    ids, ranges = small.encode(pa.array(texts))
+    for i, text in enumerate(texts):
+        assert ids[ranges[i] : ranges[i + 1]].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def test_a_full_table_starts_afresh(monkeypatch, tokenizer):
     monkeypatch.setattr(tokens, "TABLE_BITS", 8)
     small = tokens.Vocabulary(tokens.tokenizer_path())
@@ -98,6 +110,13 @@ def test_range_coder_learns():
     assert 8 * len(rangecoder.encode(ids, 50_257)) / len(ids) < 3
 
 
+def test_range_coder_keeps_its_format():
+    """The bytes of a block are those that earlier files have."""
+    ids = np.arange(20_000) ** 2 % 1_009 * (np.arange(20_000) % 7) % 5_003
+    data = rangecoder.encode(ids, 50_257)
+    assert (len(data), zlib.crc32(data)) == (17_006, 3_900_310_803)
+
+
 def test_damage_is_seen():
     data = bytearray(rangecoder.encode(np.arange(5000) % 91, 100))
     data[len(data) // 2] ^= 1

@@ -28,93 +28,106 @@ MAGIC = b"TLR1"
 #: Ids of a block and steps of a lane.
 BLOCK_IDS, LANE_IDS = 1 << 20, 128
 _HEADER = "<4sIIIIII"  # magic, ids, steps, vocabulary, bytes, crc of bytes, crc of ids
-_MASK = np.uint64((1 << 48) - 1)
-_BOTTOM = np.uint64(1 << 24)
-_U16, _U32, _ONE = np.uint64(16), np.uint64(32), np.uint64(1)
-_SCALE = 1 << 16
+_MASK, _BOTTOM = (1 << 48) - 1, 1 << 24
+_SCALE_BITS = 16
+_SCALE = 1 << _SCALE_BITS
 _SLOTS = 18
-_LEVELS = 8
+_LEVEL_BITS = 3
+_LEVELS = 1 << _LEVEL_BITS
+#: Change of a confidence by its level after a miss and after a hit.
+_STEP = np.array([0] + [-1] * (_LEVELS - 1) + [1] * (_LEVELS - 1) + [0], np.int32)
 
 
 class Model:
     """Predictions, confidences, frequencies and weights of one block."""
 
     def __init__(self, vocabulary: int) -> None:
-        self.first = np.zeros(vocabulary, np.int64)
-        self.first_level = np.zeros(vocabulary, np.int64)
-        self.second = np.zeros(1 << _SLOTS, np.int64)
-        self.second_level = np.zeros(1 << _SLOTS, np.int64)
-        self.counts = np.ones(vocabulary, np.int64)
+        # An order's prediction and, in the lowest bits, its confidence.
+        self.first = np.zeros(vocabulary, np.int32)
+        self.second = np.zeros(1 << _SLOTS, np.int32)
+        self.counts = np.ones(vocabulary, np.int32)
         # Successes and trials of each order by confidence, order 2 first.
         self.right = np.tile(np.arange(1, _LEVELS + 1, dtype=np.int64), (2, 1))
         self.tried = np.full((2, _LEVELS), _LEVELS + 2, np.int64)
         # Share of order 2 against order 1, by both confidences, in 1/1024.
         self.share = np.full((_LEVELS * _LEVELS, 2), 1024, np.int64)
 
+    def _widths(self) -> tuple[np.ndarray, np.ndarray]:
+        """Widths of both predictions by both confidences, then those of equal predictions."""
+        rate2 = self.right[0] * (_SCALE - 2048) // self.tried[0]
+        rate1 = self.right[1] * (_SCALE - 2048) // self.tried[1]
+        p2, p1 = np.repeat(rate2, _LEVELS), np.tile(rate1, _LEVELS)
+        weight = self.share[:, 0] * 1024 // self.share.sum(axis=1)
+        width2 = np.append(p2 * weight // 1024, np.maximum(p2, p1)) + 1
+        width1 = np.append(p1 * (1024 - weight) // 1024 + 1, np.zeros_like(p1))
+        return width2, width1
+
     def predict(self, before: np.ndarray, last: np.ndarray):
         """Both predictions with their widths out of 2**16, and what the update needs."""
         slot = (before * 40503 + last * 2654435761 >> 5) & ((1 << _SLOTS) - 1)
-        two, one = self.second[slot], self.first[last]
-        level2, level1 = self.second_level[slot], self.first_level[last]
-        rate2 = self.right[0] * (_SCALE - 2048) // self.tried[0]
-        rate1 = self.right[1] * (_SCALE - 2048) // self.tried[1]
-        both = level2 * _LEVELS + level1
-        share = self.share[:, 0] * 1024 // self.share.sum(axis=1)
-        weight = share[both]
-        p2, p1 = rate2[level2], rate1[level1]
-        same = two == one
-        width2 = np.where(same, np.maximum(p2, p1), p2 * weight // 1024) + 1
-        width1 = np.where(same, 0, p1 * (1024 - weight) // 1024 + 1)
-        return two, one, width2, width1, (slot, level2, level1, both)
-
-    def update(self, ids, last, two, one, context) -> None:
-        slot, level2, level1, both = context
-        hit2, hit1 = ids == two, ids == one
-        for order, level, hit in ((0, level2, hit2), (1, level1, hit1)):
-            self.right[order] += np.bincount(level[hit], minlength=_LEVELS)
-            self.tried[order] += np.bincount(level, minlength=_LEVELS)
-        apart = two != one
-        for order, hit in ((0, hit2), (1, hit1)):
-            self.share[:, order] += 16 * np.bincount(both[hit & apart], minlength=_LEVELS**2)
-        for table, levels, at, level, guess, hit in (
-            (self.second, self.second_level, slot, level2, two, hit2),
-            (self.first, self.first_level, last, level1, one, hit1),
+        packed2, packed1 = self.second[slot], self.first[last]
+        two, one = packed2 >> _LEVEL_BITS, packed1 >> _LEVEL_BITS
+        level2, level1 = packed2 & (_LEVELS - 1), packed1 & (_LEVELS - 1)
+        case = (level2 << _LEVEL_BITS) + level1
+        case = np.where(two == one, case + _LEVELS * _LEVELS, case).astype(np.int64)
+        width2, width1 = (widths.take(case) for widths in self._widths())
+        return two, one, width2, width1, (slot, packed2, packed1, level2, level1, case)
+
+    def update(self, ids, last, hit2, hit1, context) -> None:
+        """``hit2`` and ``hit1`` say which lanes' ids are the predictions of the orders."""
+        slot, packed2, packed1, level2, level1, case = context
+        hits2, hits1 = hit2.astype(np.int32), hit1.astype(np.int32)
+        # Lanes by hit of order 1, hit of order 2, equal predictions and both confidences.
+        seen = np.bincount(case + (hits2 << 7) + (hits1 << 8), minlength=512)
+        seen = seen.reshape(2, 2, 2, _LEVELS, _LEVELS)
+        self.tried[0] += seen.sum(axis=(0, 1, 2, 4))
+        self.tried[1] += seen.sum(axis=(0, 1, 2, 3))
+        self.right[0] += seen[:, 1].sum(axis=(0, 1, 3))
+        self.right[1] += seen[1].sum(axis=(0, 1, 2))
+        self.share[:, 0] += 16 * seen[:, 1, 0].sum(axis=0).ravel()
+        self.share[:, 1] += 16 * seen[1, :, 0].sum(axis=0).ravel()
+        for table, at, packed, level, hit in (
+            (self.second, slot, packed2, level2, hits2),
+            (self.first, last, packed1, level1, hits1),
         ):
-            # Lanes that write to one place: the last of them counts, in both directions.
-            table[at] = np.where(hit | (level > 0), guess, ids)
-            levels[at] = np.where(hit, np.minimum(level + 1, _LEVELS - 1), np.maximum(level - 1, 0))
-        self.counts += 15 * np.bincount(ids, minlength=len(self.counts))
+            state = (hit << _LEVEL_BITS) + level
+            # A miss without confidence makes the id the prediction. Lanes that write to one
+            # place: the last of them counts, in both directions.
+            table[at] = np.where(state == 0, ids << _LEVEL_BITS, packed + _STEP.take(state))
+        np.add.at(self.counts, ids, np.int32(15))
 
 
 class _Lanes:
     """The intervals of all lanes."""
 
     def __init__(self, lanes: int) -> None:
-        self.low = np.zeros(lanes, np.uint64)
-        self.range = np.full(lanes, _MASK, np.uint64)
+        self.low = np.zeros(lanes, np.int64)
+        self.range = np.full(lanes, _MASK, np.int64)
 
-    def narrow(self, lanes, start, width, total) -> None:
-        step = self.range[lanes] // total
+    def narrow(self, lanes, step, start, width) -> None:
+        """The part of each lane's interval from ``start``, in steps."""
         self.low[lanes] += step * start
         self.range[lanes] = step * width
 
-    def settle(self, lanes: np.ndarray):
+    def settle(self, lanes: np.ndarray | slice):
         """Lanes that move 16 bits, again and again until all intervals are wide enough."""
+        low, size = self.low[lanes], self.range[lanes]
+        if isinstance(lanes, slice):
+            lanes = np.arange(len(self.low))[lanes]
         while len(lanes):
-            low, size = self.low[lanes], self.range[lanes]
-            ready = ((low ^ (low + size - _ONE)) >> _U32) == 0
-            small = ~ready & (size < _BOTTOM)
-            if small.any():
-                cut = lanes[small]
-                self.range[cut] = _BOTTOM - (self.low[cut] & (_BOTTOM - _ONE))
-                ready |= small
-            lanes = lanes[ready]
-            if not len(lanes):
+            apart = (low ^ (low + size - 1)) >> 32
+            small = np.flatnonzero((size < _BOTTOM) & (apart != 0))
+            if len(small):
+                size[small] = _BOTTOM - (low[small] & (_BOTTOM - 1))
+                apart[small] = 0
+            ready = np.flatnonzero(apart == 0)
+            if not len(ready):
                 return
+            lanes, low, size = lanes[ready], low[ready], size[ready]
             # An interval cut short lies in one cell of 2**24, so its top 16 bits agree.
-            yield lanes
-            self.low[lanes] = (self.low[lanes] << _U16) & _MASK
-            self.range[lanes] <<= _U16
+            yield lanes, low
+            low, size = (low << 16) & _MASK, size << 16
+            self.low[lanes], self.range[lanes] = low, size
 
 
 def _shape(n: int) -> tuple[int, int]:
@@ -128,48 +141,46 @@ def encode_block(ids: np.ndarray, vocabulary: int) -> bytes:
     lanes, steps = _shape(n)
     grid = np.zeros((lanes, steps), np.int64)
     grid.reshape(-1)[:n] = ids
+    columns = np.ascontiguousarray(grid.T)
     model, state = Model(vocabulary), _Lanes(lanes)
     before, last = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
     out = np.zeros((lanes, steps + 16), np.uint16)
     at = np.zeros(lanes, np.int64)
     everyone = np.arange(lanes)
 
-    def settle(which: np.ndarray) -> None:
+    def settle(which: np.ndarray | slice) -> None:
         nonlocal out
-        for ready in state.settle(which):
-            if at[ready].max() + 4 >= out.shape[1]:
+        for ready, low in state.settle(which):
+            place = at[ready]
+            if place.max() + 4 >= out.shape[1]:
                 out = np.concatenate([out, np.zeros_like(out)], axis=1)
-            out[ready, at[ready]] = (state.low[ready] >> _U32).astype(np.uint16)
-            at[ready] += 1
+            out[ready, place] = low >> 32
+            at[ready] = place + 1
 
     for t in range(steps):
-        active = everyone if (lanes - 1) * steps + t < n else everyone[:-1]
-        x, b, a = grid[active, t], before[active], last[active]
+        # All lanes, or all but the last one, which may be shorter.
+        active = slice(lanes if (lanes - 1) * steps + t < n else lanes - 1)
+        x, b, a = columns[t][active], before[active], last[active]
         two, one, width2, width1, context = model.predict(b, a)
-        hit2 = x == two
-        hit1 = ~hit2 & (x == one)
+        hit2, hit1 = x == two, x == one
         rest = width2 + width1
         start = np.where(hit2, 0, np.where(hit1, width2, rest))
         width = np.where(hit2, width2, np.where(hit1, width1, _SCALE - rest))
-        state.narrow(active, start.astype(np.uint64), width.astype(np.uint64), np.uint64(_SCALE))
+        state.narrow(active, state.range[active] >> _SCALE_BITS, start, width)
         settle(active)
-        other = np.flatnonzero(~hit2 & ~hit1)
+        other = np.flatnonzero(~(hit2 | hit1))
         if len(other):
-            ends = np.cumsum(model.counts)
+            ends = np.cumsum(model.counts, dtype=np.int32)
             y = x[other]
-            state.narrow(
-                active[other],
-                (ends[y] - model.counts[y]).astype(np.uint64),
-                model.counts[y].astype(np.uint64),
-                np.uint64(ends[-1]),
-            )
-            settle(active[other])
-        model.update(x, a, two, one, context)
-        before[active], last[active] = a, x
+            counts = model.counts[y]
+            state.narrow(other, state.range[other] // int(ends[-1]), ends[y] - counts, counts)
+            settle(other)
+        model.update(x, a, hit2, hit1, context)
+        before, last = last, columns[t]
     if at.max(initial=0) + 4 >= out.shape[1]:
         out = np.concatenate([out, np.zeros((lanes, 4), np.uint16)], axis=1)
     for shift in (32, 16, 0):
-        out[everyone, at] = ((state.low >> np.uint64(shift)) & np.uint64(0xFFFF)).astype(np.uint16)
+        out[everyone, at] = (state.low >> shift) & 0xFFFF
         at += 1
     used = np.arange(out.shape[1]) < at[:, None]
     body = at.astype("<u2").tobytes() + out[used].astype("<u2").tobytes()
@@ -177,6 +188,14 @@ def encode_block(ids: np.ndarray, vocabulary: int) -> bytes:
     return struct.pack(_HEADER, MAGIC, n, steps, vocabulary, len(body), zlib.crc32(body), crc) + body
 
 
+def _found(ends: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """The id whose counts hold each value; values in order are found much faster."""
+    order = np.sort((values << 32) | np.arange(len(values)))
+    out = np.empty(len(values), np.int64)
+    out[order & 0xFFFFFFFF] = np.searchsorted(ends, (order >> 32).astype(ends.dtype), "right")
+    return out
+
+
 def decode_block(data: memoryview) -> tuple[np.ndarray, int]:
     """The ids of the block at the start of ``data``, and the bytes it takes."""
     magic, n, steps, vocabulary, size, body_crc, ids_crc = struct.unpack_from(_HEADER, data)
@@ -185,54 +204,53 @@ def decode_block(data: memoryview) -> tuple[np.ndarray, int]:
         raise ValueError("damaged block of token ids")
     lanes = -(-n // steps)
     words = np.frombuffer(body, "<u2", lanes).astype(np.int64)
-    stream = np.frombuffer(body, "<u2", offset=2 * lanes).astype(np.uint64)
+    stream = np.frombuffer(body, "<u2", offset=2 * lanes).astype(np.int64)
     at = np.cumsum(words) - words
-    code = np.zeros(lanes, np.uint64)
+    code = np.zeros(lanes, np.int64)
     for _ in range(3):
-        code = (code << _U16) | stream[at]
+        code = (code << 16) | stream[at]
         at += 1
     model, state = Model(vocabulary), _Lanes(lanes)
     before, last = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
-    grid = np.zeros((lanes, steps), np.int64)
-    everyone = np.arange(lanes)
+    columns = np.zeros((steps, lanes), np.int64)
 
-    def settle(which: np.ndarray) -> None:
-        for ready in state.settle(which):
-            code[ready] = ((code[ready] << _U16) & _MASK) | stream[at[ready]]
-            at[ready] += 1
+    def settle(which: np.ndarray | slice) -> None:
+        for ready, _ in state.settle(which):
+            place = at[ready]
+            code[ready] = ((code[ready] << 16) & _MASK) | stream[place]
+            at[ready] = place + 1
 
-    def value(which: np.ndarray, total: int) -> np.ndarray:
-        step = state.range[which] // np.uint64(total)
-        return np.minimum((code[which] - state.low[which]) // step, np.uint64(total - 1)).astype(np.int64)
+    def value(which: np.ndarray | slice, step: np.ndarray, total: int) -> np.ndarray:
+        # Below 2**48 the quotient of floats has the right whole part.
+        return np.minimum(((code[which] - state.low[which]) / step).astype(np.int64), total - 1)
 
     for t in range(steps):
-        active = everyone if (lanes - 1) * steps + t < n else everyone[:-1]
+        active = slice(lanes if (lanes - 1) * steps + t < n else lanes - 1)
         b, a = before[active], last[active]
         two, one, width2, width1, context = model.predict(b, a)
-        got = value(active, _SCALE)
+        step = state.range[active] >> _SCALE_BITS
+        got = value(active, step, _SCALE)
         rest = width2 + width1
-        hit2 = got < width2
-        hit1 = ~hit2 & (got < rest)
-        x = np.where(hit2, two, one)
-        start = np.where(hit2, 0, np.where(hit1, width2, rest))
-        width = np.where(hit2, width2, np.where(hit1, width1, _SCALE - rest))
-        state.narrow(active, start.astype(np.uint64), width.astype(np.uint64), np.uint64(_SCALE))
+        in2, known = got < width2, got < rest
+        x = columns[t][active]
+        x[:] = np.where(in2, two, one)
+        start = np.where(in2, 0, np.where(known, width2, rest))
+        width = np.where(in2, width2, np.where(known, width1, _SCALE - rest))
+        state.narrow(active, step, start, width)
         settle(active)
-        other = np.flatnonzero(~hit2 & ~hit1)
+        other = np.flatnonzero(~known)
         if len(other):
-            ends = np.cumsum(model.counts)
-            y = np.searchsorted(ends, value(active[other], int(ends[-1])), "right")
+            ends = np.cumsum(model.counts, dtype=np.int32)
+            total = int(ends[-1])
+            step = state.range[other] // total
+            y = _found(ends, value(other, step, total))
+            counts = model.counts[y]
+            state.narrow(other, step, ends[y] - counts, counts)
+            settle(other)
             x[other] = y
-            state.narrow(
-                active[other],
-                (ends[y] - model.counts[y]).astype(np.uint64),
-                model.counts[y].astype(np.uint64),
-                np.uint64(ends[-1]),
-            )
-            settle(active[other])
-        model.update(x, a, two, one, context)
-        before[active], last[active] = a, x
-        grid[active, t] = x
+        model.update(x, a, x == two, x == one, context)
+        before, last = last, columns[t]
+    grid = np.ascontiguousarray(columns.T)
     ids = grid.reshape(-1)[:n]
     if zlib.crc32(ids.astype("<u4").tobytes()) != ids_crc:
         raise ValueError("ids differ from those written")

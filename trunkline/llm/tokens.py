@@ -2,8 +2,8 @@
 
 The byte-level tokenizer splits a text into pieces (words with their space, numbers, marks,
 white space) and merges inside a piece only. Pieces are found here for a whole batch at
-once; each different piece is encoded once by the tokenizers library and kept by its hash
-in the worker. A text with characters outside the scripts whose classes are listed here, or
+once; each different piece is encoded once by the model of the tokenizers library, which
+takes a piece in the letters that stand for its bytes, and kept by its hash in the worker. A text with characters outside the scripts whose classes are listed here, or
 with the string of a special token, is encoded by the library as it is. Both give the ids
 of ``encode``: a special token's string is that token, as the library has it by default.
 """
@@ -13,6 +13,7 @@ from __future__ import annotations
 import os
 import sys
 import unicodedata
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +46,13 @@ def _make_classes() -> np.ndarray:
     return out
 
 
+def _letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary."""
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = [byte for byte in range(256) if byte not in plain]
+    return {byte: chr(byte) for byte in plain} | {byte: chr(256 + i) for i, byte in enumerate(others)}
+
+
 def byte_kinds(data: np.ndarray) -> np.ndarray:
     """The class of the character that each byte belongs to."""
     kinds = _classes()
@@ -109,6 +117,7 @@ class Vocabulary:
         self.tokenizer = Tokenizer.from_file(path)
         added = self.tokenizer.get_added_tokens_decoder().values()
         self.special = [t.content.encode() for t in added]
+        self.model, self.letters = self.tokenizer.model, _letters()
         self.clear()
 
     def clear(self) -> None:
@@ -131,15 +140,24 @@ class Vocabulary:
             left = left[(key != h[left]) & (key != 0)]
         return slot
 
-    def _insert(self, h: np.ndarray, texts: list[str]) -> None:
-        encoded = [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    def _encoded(self, raw: bytes, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of pieces, one after another, and how many each has."""
+        parts = [raw[a:b] for a, b in zip(first.tolist(), last.tolist(), strict=True)]
+        letters = b"".join(parts).decode("latin-1").translate(self.letters)
+        ends = np.cumsum(last - first)
+        tokenize = self.model.tokenize
+        encoded = [
+            [token.id for token in tokenize(letters[a:b])]
+            for a, b in zip((ends - (last - first)).tolist(), ends.tolist(), strict=True)
+        ]
         n = np.fromiter(map(len, encoded), np.int64, len(encoded))
-        total = int(n.sum())
+        return np.fromiter(chain.from_iterable(encoded), np.uint16, int(n.sum())), n
+
+    def _insert(self, h: np.ndarray, ids: np.ndarray, n: np.ndarray) -> None:
+        total = len(ids)
         while self.used + total > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        self.ids[self.used : self.used + total] = np.fromiter(
-            (i for ids in encoded for i in ids), np.uint16, total
-        )
+        self.ids[self.used : self.used + total] = ids
         at = self.used + np.append(0, np.cumsum(n[:-1]))
         self.used += total
         self.entries += len(h)
@@ -185,12 +203,10 @@ class Vocabulary:
         if len(missing):
             new, where = np.unique(h[missing], return_index=True)
             where = missing[where]
-            raw = data.tobytes()
+            raw = memoryview(data)
             if self.entries + len(new) > len(self.key) * 3 // 4:
                 return self._beyond(raw, h, first, last, of)
-            self._insert(
-                new, [raw[a:b].decode() for a, b in zip(first[where], last[where], strict=True)]
-            )
+            self._insert(new, *self._encoded(raw, first[where], last[where]))
             slot = self._find(h)
         n = self.n[slot].astype(np.int64)
         ends = np.append(0, np.cumsum(n))
@@ -200,10 +216,7 @@ class Vocabulary:
     def _beyond(self, raw, h, first, last, of):
         """A batch with more different pieces than the table takes: they are encoded for it alone."""
         _, where, inverse = np.unique(h, return_index=True, return_inverse=True)
-        texts = [raw[a:b].decode() for a, b in zip(first[where], last[where], strict=True)]
-        encoded = [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-        size = np.fromiter(map(len, encoded), np.int64, len(encoded))
-        flat = np.fromiter((i for ids in encoded for i in ids), np.uint16, int(size.sum()))
+        flat, size = self._encoded(raw, first[where], last[where])
         at, n = (np.cumsum(size) - size)[inverse], size[inverse]
         ends = np.append(0, np.cumsum(n))
         return flat[np.repeat(at - ends[:-1], n) + np.arange(ends[-1])], ends[of]
