@@ -195,6 +195,30 @@ def test_near_long_sets_with_few_keys_in_common_are_not_paired(spark):
     assert components(spark, docs) == brute.near_duplicates(docs)
 
 
+def test_near_sets_meet_once_for_many_keys(spark):
+    """Every pair that has a key at fit places in common meets, hardly any of them again."""
+    draw = random.Random(8)
+    sets = {}
+    for i in range(60):
+        n = draw.randrange(90, 110)
+        keys = sorted(draw.sample(range(60), draw.randrange(40, 60)))
+        places = sorted(draw.sample(range(n), len(keys)))
+        sets[i] = (n, dict(zip(keys, places, strict=True)))
+    listed = [(k, i, n, p, i, 100) for i, (n, keys) in sets.items() for k, p in keys.items()]
+    schema = "key bigint, set_id bigint, n int, place int, root bigint, weight bigint"
+    expected = set()
+    for i, (na, of_a) in sets.items():
+        for j, (nb, of_b) in sets.items():
+            shared = -(-3 * (na + nb) // 7)
+            if (na, i) < (nb, j) and shared <= na and any(
+                of_a[k] <= na - shared and of_b[k] <= nb - shared for k in of_a.keys() & of_b.keys()
+            ):
+                expected.add((i, j))
+    met = rows(jaccard_join._meetings(spark.createDataFrame(listed, schema).repartition(4)), "a", "b")
+    assert expected and set(met) == expected
+    assert len(met) < 1.2 * len(expected)
+
+
 def test_near_null_ids_and_clashing_columns(edge, edge_rows):
     found = jaccard_join.near_duplicates(edge).collect()
     assert len(found) == len(edge_rows)

@@ -13,7 +13,8 @@ common with others: the text that edited copies come from, if it is there. Sets
 in one component after that meet by key, size and place: linked sets of sizes ``a`` and ``b``
 share ``3 (a + b) / 7`` shingles, so their first shared one stands early in both. The more a
 set has of its own, the later its shared shingles stand, and the fewer lists still hold it.
-They share many keys besides, so sets with few keys in lists meet none of about their size.
+They share many keys besides, so sets with few keys in lists meet none of about their size,
+and sets do not meet again at a key if they have one of those just before it in common too.
 A parity sketch rules most other pairs out before their shingles are fetched: each bit in
 which two sketches differ proves a shingle that one set has alone. What is left is compared
 shingle by shingle. Documents of equal sets are one set throughout.
@@ -27,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trunkline.llm import text as tx
@@ -48,6 +49,8 @@ REMEMBERED = 200_000
 ENUMERATED = 64
 #: Sizes of one class differ by less than this factor; sets meet those of the classes in reach.
 SIZE_CLASS = 8 / 7
+#: Earlier keys of a set that stand beside each of its keys, so that two sets meet once.
+EARLIER = 4
 #: Bits of a sketch: at least so many, and at least two a shingle, as a power of two.
 SKETCH_BITS = 2048
 
@@ -532,19 +535,25 @@ def _shared_keys(small: Column, large: Column) -> Column:
     return F.when(small > ENUMERATED, _shared(small, large) - F.ceil(3 * large / 4) + 1).otherwise(1)
 
 
-def _placed_pairs(rows: DataFrame) -> DataFrame:
+def _meetings(rows: DataFrame) -> DataFrame:
     """Pairs ``(a, b)`` in different components, the smaller one first, whose first shared key
-    may stand where it does and which have keys enough in lists.
+    may stand where it does and which have keys enough in lists; some pairs more than once.
 
     A set of ``n`` shingles that shares ``s`` with another has the first of them at place
     ``n - s`` at most. The smaller set shares at least 6/7 of its own; the larger one looks
     into each size class that it can link with. A set's ``weight`` is the number of its keys
     in lists: long sets that have a few in common meet in every list of those, but do not link.
+
+    A pair that also has one of the keys just before in common stands in that key's list, at
+    earlier places in both sets, so it is left out; at its first shared key it never is.
     """
+    before = Window.partitionBy("set_id").orderBy("place", "key").rowsBetween(-EARLIER, -1)
+    rows = rows.withColumn("earlier", F.collect_list("key").over(before))
     size, place = F.col("n"), F.col("place")
     small = rows.where(place <= size - _shared(size, size)).select(
         "key", _size_class(size).alias("kind"), F.col("set_id").alias("a"), F.col("n").alias("na"),
         F.col("place").alias("pa"), F.col("root").alias("ra"), F.col("weight").alias("wa"),
+        F.col("earlier").alias("ea"),
     )
     least = F.ceil(3 * size / 4)
     large = rows.withColumn("kind", F.explode(F.sequence(_size_class(least), _size_class(size))))
@@ -555,6 +564,7 @@ def _placed_pairs(rows: DataFrame) -> DataFrame:
     large = large.where((place <= size - _shared(size, reach)) & enough).select(
         F.col("key").alias("key_b"), F.col("kind").alias("kind_b"), F.col("set_id").alias("b"),
         F.col("n").alias("nb"), F.col("place").alias("pb"), F.col("root").alias("rb"), F.col("weight").alias("wb"),
+        F.col("earlier").alias("eb"),
     )
     shared = _shared(F.col("na"), F.col("nb"))
     ordered = (F.col("na") < F.col("nb")) | (F.col("na") == F.col("nb")) & (F.col("a") < F.col("b"))
@@ -563,8 +573,13 @@ def _placed_pairs(rows: DataFrame) -> DataFrame:
         & ordered & (F.col("ra") != F.col("rb")) & (shared <= F.col("na"))
         & (F.col("pa") <= F.col("na") - shared) & (F.col("pb") <= F.col("nb") - shared)
         & (_shared_keys(F.col("na"), F.col("nb")) <= F.least("wa", "wb"))
+        & ~F.arrays_overlap("ea", "eb")
     )
-    return stored(small.join(large, meet).select("a", "b").distinct(), "pairs")
+    return small.join(large, meet).select("a", "b")
+
+
+def _placed_pairs(rows: DataFrame) -> DataFrame:
+    return stored(_meetings(rows).distinct(), "pairs")
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
