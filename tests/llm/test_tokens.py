@@ -70,6 +70,17 @@ def test_new_pieces_need_no_encoding_each(tokenizer):
         assert ids[ranges[i] : ranges[i + 1]].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_a_worker_gives_freed_memory_back(monkeypatch):
+    """Once after each batch, when a vocabulary has been read, and with what it forgets."""
+    given = []
+    monkeypatch.setattr(tokens.tx, "give_back", lambda: given.append(1))
+    texts = pa.record_batch([pa.array([1, 2]), pa.array(["a b", None])], names=["doc_id", "text"])
+    assert len(list(tokens.tx.pieces(texts, 1))) == 2 and len(given) == 1
+    tokens.Vocabulary(tokens.tokenizer_path())
+    tokens.tx.forget("none of this name ")
+    assert len(given) == 3
+
+
 def test_a_full_table_starts_afresh(monkeypatch, tokenizer):
     monkeypatch.setattr(tokens, "TABLE_BITS", 8)
     small = tokens.Vocabulary(tokens.tokenizer_path())

@@ -40,6 +40,7 @@ def crc(ids: np.ndarray) -> int:
 
 def _cut(path: str, size: int, end: int, with_ids: bool):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tx.forget("aligner ")
         words = tokens.vocabulary(path)
         part = TaskContext.get().partitionId()
         ranks = np.zeros(size + 1, np.int64)

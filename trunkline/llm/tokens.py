@@ -119,6 +119,8 @@ class Vocabulary:
         self.special = [t.content.encode() for t in added]
         self.model, self.letters = self.tokenizer.model, _letters()
         self.clear()
+        # Reading the file takes several times what is kept of it.
+        tx.give_back()
 
     def clear(self) -> None:
         size = 1 << TABLE_BITS
