@@ -9,7 +9,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, models, pre_tokenizers
 
 from trunkline.llm import packing, rangecoder, token_files, tokens
 from trunkline.session import shared_folder
@@ -70,6 +70,43 @@ def test_new_pieces_need_no_encoding_each(tokenizer):
         assert ids[ranges[i] : ranges[i + 1]].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+class Counted:
+    """A tokenizer that tells how many texts each call of it has."""
+
+    def __init__(self, inner):
+        self.inner, self.calls = inner, []
+
+    def encode_batch_fast(self, texts, **options):
+        self.calls.append(len(texts))
+        return self.inner.encode_batch_fast(texts, **options)
+
+
+def test_new_pieces_of_a_batch_go_to_the_library_together(tokenizer):
+    """In one text, however many they are; known pieces do not go there again."""
+    small = tokens.Vocabulary(tokens.tokenizer_path())
+    small.pieces = counted = Counted(getattr(small, "pieces", None))
+    rng = random.Random(6)
+    texts = ["".join(rng.choice(ALPHABET[:16]) for _ in range(60)) for _ in range(100)]
+    texts += [" \n\n x\n", "\n", "".join(map(chr, range(28))), "été'll ça"]
+    for _ in range(2):
+        ids, ranges = small.encode(pa.array(texts))
+        for i, text in enumerate(texts):
+            assert ids[ranges[i] : ranges[i + 1]].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert counted.calls == [1]
+
+
+def test_a_vocabulary_without_some_bytes(tmp_path):
+    """What the library leaves out is left out, and every text keeps its own ids."""
+    model = models.BPE({"a": 0, "b": 1, "ab": 2, "Ġ": 3}, [("a", "b")])
+    some = Tokenizer(model)
+    some.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False)
+    some.save(str(tmp_path / "some.json"))
+    texts = ["ab ab", "xyz", "cab abba\nb", "", None, "c", "b a"]
+    ids, ranges = tokens.Vocabulary(str(tmp_path / "some.json")).encode(pa.array(texts))
+    for i, text in enumerate(texts):
+        assert ids[ranges[i] : ranges[i + 1]].tolist() == some.encode(text or "", add_special_tokens=False).ids
+
+
 def test_a_worker_gives_freed_memory_back(monkeypatch):
     """Once after each batch, when a vocabulary has been read, and with what it forgets."""
     given = []

@@ -34,8 +34,22 @@ _SCALE = 1 << _SCALE_BITS
 _SLOTS = 18
 _LEVEL_BITS = 3
 _LEVELS = 1 << _LEVEL_BITS
-#: Change of a confidence by its level after a miss and after a hit.
-_STEP = np.array([0] + [-1] * (_LEVELS - 1) + [1] * (_LEVELS - 1) + [0], np.int32)
+#: What a lane saw in a step, as one number: the confidence of order 1, that of order 2, whether
+#: their predictions are equal, and whether the id is that of order 2 and of order 1.
+_EQUAL, _HIT2, _HIT1 = _LEVELS * _LEVELS, 2 * _LEVELS * _LEVELS, 4 * _LEVELS * _LEVELS
+_CASES = 2 * _HIT1
+
+
+def _changes(level: np.ndarray, hit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Change of an order's confidence by case, and all bits set where the id becomes its
+    prediction: after a miss without confidence."""
+    change = np.where(hit, np.minimum(level + 1, _LEVELS - 1), np.maximum(level - 1, 0)) - level
+    return change.astype(np.int32), -(~hit & (level == 0)).astype(np.int32)
+
+
+_ALL = np.arange(_CASES)
+_CHANGES2 = _changes(_ALL >> _LEVEL_BITS & (_LEVELS - 1), _ALL & _HIT2 > 0)
+_CHANGES1 = _changes(_ALL & (_LEVELS - 1), _ALL & _HIT1 > 0)
 
 
 class Model:
@@ -46,55 +60,69 @@ class Model:
         self.first = np.zeros(vocabulary, np.int32)
         self.second = np.zeros(1 << _SLOTS, np.int32)
         self.counts = np.ones(vocabulary, np.int32)
+        self.ends = np.empty(vocabulary, np.int32)
         # Successes and trials of each order by confidence, order 2 first.
         self.right = np.tile(np.arange(1, _LEVELS + 1, dtype=np.int64), (2, 1))
         self.tried = np.full((2, _LEVELS), _LEVELS + 2, np.int64)
         # Share of order 2 against order 1, by both confidences, in 1/1024.
         self.share = np.full((_LEVELS * _LEVELS, 2), 1024, np.int64)
 
-    def _widths(self) -> tuple[np.ndarray, np.ndarray]:
-        """Widths of both predictions by both confidences, then those of equal predictions."""
-        rate2 = self.right[0] * (_SCALE - 2048) // self.tried[0]
-        rate1 = self.right[1] * (_SCALE - 2048) // self.tried[1]
-        p2, p1 = np.repeat(rate2, _LEVELS), np.tile(rate1, _LEVELS)
-        weight = self.share[:, 0] * 1024 // self.share.sum(axis=1)
-        width2 = np.append(p2 * weight // 1024, np.maximum(p2, p1)) + 1
-        width1 = np.append(p1 * (1024 - weight) // 1024 + 1, np.zeros_like(p1))
-        return width2, width1
+    def widths(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Widths out of 2**16 of the prediction of order 2 and of both, by both confidences,
+        then of equal predictions; start and width of an id's part by case."""
+        rates = self.right * (_SCALE - 2048) // self.tried
+        p2, p1 = rates[0][:, None], rates[1]
+        share = self.share.reshape(_LEVELS, _LEVELS, 2)
+        weight = share[:, :, 0] * 1024 // (share[:, :, 0] + share[:, :, 1])
+        start, width = np.zeros((2, 4, 2, _LEVELS, _LEVELS), np.int64)
+        width[1, 0] = p2 * weight // 1024 + 1
+        width[1, 1] = np.maximum(p2, p1) + 1
+        width[2, 0] = p1 * (1024 - weight) // 1024 + 1
+        width[3] = start[2] = width[1]
+        start[0] = width[1] + width[2]
+        width[0] = _SCALE - start[0]
+        return width[1].ravel(), start[0].ravel(), start.ravel(), width.ravel()
 
     def predict(self, before: np.ndarray, last: np.ndarray):
-        """Both predictions with their widths out of 2**16, and what the update needs."""
-        slot = (before * 40503 + last * 2654435761 >> 5) & ((1 << _SLOTS) - 1)
-        packed2, packed1 = self.second[slot], self.first[last]
+        """Both predictions, the lanes' cases without hits, and what the update needs."""
+        # Bits 5 to 22 of the sum, so 32 bits of it do.
+        slot = before.view(np.uint32) * 40503
+        slot += last.view(np.uint32) * 2654435761
+        slot = (slot >> 5 & ((1 << _SLOTS) - 1)).astype(np.intp)
+        last = last.astype(np.intp)
+        packed2, packed1 = self.second.take(slot), self.first.take(last)
         two, one = packed2 >> _LEVEL_BITS, packed1 >> _LEVEL_BITS
-        level2, level1 = packed2 & (_LEVELS - 1), packed1 & (_LEVELS - 1)
-        case = (level2 << _LEVEL_BITS) + level1
-        case = np.where(two == one, case + _LEVELS * _LEVELS, case).astype(np.int64)
-        width2, width1 = (widths.take(case) for widths in self._widths())
-        return two, one, width2, width1, (slot, packed2, packed1, level2, level1, case)
-
-    def update(self, ids, last, hit2, hit1, context) -> None:
-        """``hit2`` and ``hit1`` say which lanes' ids are the predictions of the orders."""
-        slot, packed2, packed1, level2, level1, case = context
-        hits2, hits1 = hit2.astype(np.int32), hit1.astype(np.int32)
+        case = ((packed2 & (_LEVELS - 1)) << _LEVEL_BITS) + (packed1 & (_LEVELS - 1))
+        case += (two == one).astype(np.int32) * _EQUAL
+        return two, one, case, (slot, packed2, last, packed1)
+
+    def update(self, ids: np.ndarray, case: np.ndarray, context) -> None:
+        """``case`` tells the orders' hits too."""
+        slot, packed2, last, packed1 = context
         # Lanes by hit of order 1, hit of order 2, equal predictions and both confidences.
-        seen = np.bincount(case + (hits2 << 7) + (hits1 << 8), minlength=512)
-        seen = seen.reshape(2, 2, 2, _LEVELS, _LEVELS)
+        seen = np.bincount(case, minlength=_CASES).reshape(2, 2, 2, _LEVELS, _LEVELS)
         self.tried[0] += seen.sum(axis=(0, 1, 2, 4))
         self.tried[1] += seen.sum(axis=(0, 1, 2, 3))
         self.right[0] += seen[:, 1].sum(axis=(0, 1, 3))
         self.right[1] += seen[1].sum(axis=(0, 1, 2))
         self.share[:, 0] += 16 * seen[:, 1, 0].sum(axis=0).ravel()
         self.share[:, 1] += 16 * seen[1, :, 0].sum(axis=0).ravel()
-        for table, at, packed, level, hit in (
-            (self.second, slot, packed2, level2, hits2),
-            (self.first, last, packed1, level1, hits1),
+        known = ids << _LEVEL_BITS
+        for table, at, packed, (change, fresh) in (
+            (self.second, slot, packed2, _CHANGES2),
+            (self.first, last, packed1, _CHANGES1),
         ):
-            state = (hit << _LEVEL_BITS) + level
-            # A miss without confidence makes the id the prediction. Lanes that write to one
-            # place: the last of them counts, in both directions.
-            table[at] = np.where(state == 0, ids << _LEVEL_BITS, packed + _STEP.take(state))
-        np.add.at(self.counts, ids, np.int32(15))
+            packed += change.take(case)
+            fresh = fresh.take(case)
+            packed &= ~fresh
+            packed |= known & fresh
+            # Lanes that write to one place: the last of them counts, in both directions.
+            table[at] = packed
+        np.add.at(self.counts, ids.astype(np.intp), np.int32(15))
+
+    def sums(self) -> np.ndarray:
+        """The frequencies of all ids up to each, valid until the next step."""
+        return np.cumsum(self.counts, out=self.ends)
 
 
 class _Lanes:
@@ -104,26 +132,20 @@ class _Lanes:
         self.low = np.zeros(lanes, np.int64)
         self.range = np.full(lanes, _MASK, np.int64)
 
-    def narrow(self, lanes, step, start, width) -> None:
-        """The part of each lane's interval from ``start``, in steps."""
-        self.low[lanes] += step * start
-        self.range[lanes] = step * width
-
-    def settle(self, lanes: np.ndarray | slice):
-        """Lanes that move 16 bits, again and again until all intervals are wide enough."""
-        low, size = self.low[lanes], self.range[lanes]
-        if isinstance(lanes, slice):
-            lanes = np.arange(len(self.low))[lanes]
-        while len(lanes):
-            apart = (low ^ (low + size - 1)) >> 32
-            small = np.flatnonzero((size < _BOTTOM) & (apart != 0))
-            if len(small):
-                size[small] = _BOTTOM - (low[small] & (_BOTTOM - 1))
-                apart[small] = 0
-            ready = np.flatnonzero(apart == 0)
+    def narrow(self, lanes: np.ndarray | slice, step, start, width):
+        """Takes the part of each lane's interval from ``start``, in steps. Gives the lanes that
+        move 16 bits, again and again until all intervals are wide enough."""
+        low, size = self.low[lanes] + step * start, step * width
+        self.low[lanes], self.range[lanes] = low, size
+        while len(low):
+            together = (low ^ (low + size - 1)) < 1 << 32
+            ready = np.flatnonzero(together | (size < _BOTTOM))
             if not len(ready):
                 return
-            lanes, low, size = lanes[ready], low[ready], size[ready]
+            lanes = ready if isinstance(lanes, slice) else lanes[ready]
+            low, size, together = low[ready], size[ready], together[ready]
+            small = np.flatnonzero(~together)
+            size[small] = _BOTTOM - (low[small] & (_BOTTOM - 1))
             # An interval cut short lies in one cell of 2**24, so its top 16 bits agree.
             yield lanes, low
             low, size = (low << 16) & _MASK, size << 16
@@ -139,49 +161,47 @@ def encode_block(ids: np.ndarray, vocabulary: int) -> bytes:
     """One block of at most ``BLOCK_IDS`` ids below ``vocabulary``."""
     n = len(ids)
     lanes, steps = _shape(n)
-    grid = np.zeros((lanes, steps), np.int64)
+    grid = np.zeros((lanes, steps), np.int32)
     grid.reshape(-1)[:n] = ids
     columns = np.ascontiguousarray(grid.T)
     model, state = Model(vocabulary), _Lanes(lanes)
-    before, last = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
-    out = np.zeros((lanes, steps + 16), np.uint16)
-    at = np.zeros(lanes, np.int64)
-    everyone = np.arange(lanes)
-
-    def settle(which: np.ndarray | slice) -> None:
-        nonlocal out
-        for ready, low in state.settle(which):
+    before, last = np.zeros(lanes, np.int32), np.zeros(lanes, np.int32)
+    # The words of a lane stand below each other.
+    out = np.zeros((steps + 16) * lanes, np.uint16)
+    at = np.arange(lanes)
+
+    def narrow(which: np.ndarray | slice, step, start, width) -> None:
+        for ready, low in state.narrow(which, step, start, width):
             place = at[ready]
-            if place.max() + 4 >= out.shape[1]:
-                out = np.concatenate([out, np.zeros_like(out)], axis=1)
-            out[ready, place] = low >> 32
-            at[ready] = place + 1
+            out[place] = (low >> 32).astype(np.uint16)
+            at[ready] = place + lanes
 
     for t in range(steps):
+        # An interval moves three times at most when narrowed, and has three words at the end.
+        if at.max(initial=0) + 9 * lanes > len(out):
+            out = np.concatenate([out, np.zeros_like(out)])
         # All lanes, or all but the last one, which may be shorter.
         active = slice(lanes if (lanes - 1) * steps + t < n else lanes - 1)
         x, b, a = columns[t][active], before[active], last[active]
-        two, one, width2, width1, context = model.predict(b, a)
-        hit2, hit1 = x == two, x == one
-        rest = width2 + width1
-        start = np.where(hit2, 0, np.where(hit1, width2, rest))
-        width = np.where(hit2, width2, np.where(hit1, width1, _SCALE - rest))
-        state.narrow(active, state.range[active] >> _SCALE_BITS, start, width)
-        settle(active)
-        other = np.flatnonzero(~(hit2 | hit1))
+        two, one, case, context = model.predict(b, a)
+        _, _, start, width = model.widths()
+        case += (x == two).astype(np.int32) * _HIT2
+        case += (x == one).astype(np.int32) * _HIT1
+        case = case.astype(np.intp)
+        narrow(active, state.range[active] >> _SCALE_BITS, start.take(case), width.take(case))
+        other = np.flatnonzero(case < _HIT2)
         if len(other):
-            ends = np.cumsum(model.counts, dtype=np.int32)
-            y = x[other]
-            counts = model.counts[y]
-            state.narrow(other, state.range[other] // int(ends[-1]), ends[y] - counts, counts)
-            settle(other)
-        model.update(x, a, hit2, hit1, context)
+            ends = model.sums()
+            y = x[other].astype(np.intp)
+            counts = model.counts.take(y)
+            narrow(other, state.range[other] // int(ends[-1]), ends.take(y) - counts, counts)
+        model.update(x, case, context)
         before, last = last, columns[t]
-    if at.max(initial=0) + 4 >= out.shape[1]:
-        out = np.concatenate([out, np.zeros((lanes, 4), np.uint16)], axis=1)
     for shift in (32, 16, 0):
-        out[everyone, at] = (state.low >> shift) & 0xFFFF
-        at += 1
+        out[at] = (state.low >> shift) & 0xFFFF
+        at += lanes
+    at //= max(lanes, 1)
+    out = np.ascontiguousarray(out.reshape(-1, max(lanes, 1))[:, :lanes].T)
     used = np.arange(out.shape[1]) < at[:, None]
     body = at.astype("<u2").tobytes() + out[used].astype("<u2").tobytes()
     crc = zlib.crc32(ids.astype("<u4").tobytes())
@@ -191,7 +211,7 @@ def encode_block(ids: np.ndarray, vocabulary: int) -> bytes:
 def _found(ends: np.ndarray, values: np.ndarray) -> np.ndarray:
     """The id whose counts hold each value; values in order are found much faster."""
     order = np.sort((values << 32) | np.arange(len(values)))
-    out = np.empty(len(values), np.int64)
+    out = np.empty(len(values), np.intp)
     out[order & 0xFFFFFFFF] = np.searchsorted(ends, (order >> 32).astype(ends.dtype), "right")
     return out
 
@@ -204,57 +224,56 @@ def decode_block(data: memoryview) -> tuple[np.ndarray, int]:
         raise ValueError("damaged block of token ids")
     lanes = -(-n // steps)
     words = np.frombuffer(body, "<u2", lanes).astype(np.int64)
-    stream = np.frombuffer(body, "<u2", offset=2 * lanes).astype(np.int64)
+    stream = np.frombuffer(body, "<u2", offset=2 * lanes)
     at = np.cumsum(words) - words
     code = np.zeros(lanes, np.int64)
     for _ in range(3):
         code = (code << 16) | stream[at]
         at += 1
     model, state = Model(vocabulary), _Lanes(lanes)
-    before, last = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
-    columns = np.zeros((steps, lanes), np.int64)
+    before, last = np.zeros(lanes, np.int32), np.zeros(lanes, np.int32)
+    columns = np.zeros((steps, lanes), np.int32)
 
-    def settle(which: np.ndarray | slice) -> None:
-        for ready, _ in state.settle(which):
+    def narrow(which: np.ndarray | slice, step, start, width) -> None:
+        for ready, _ in state.narrow(which, step, start, width):
             place = at[ready]
-            code[ready] = ((code[ready] << 16) & _MASK) | stream[place]
+            code[ready] = ((code[ready] << 16) & _MASK) | stream.take(place)
             at[ready] = place + 1
 
-    def value(which: np.ndarray | slice, step: np.ndarray, total: int) -> np.ndarray:
-        # Below 2**48 the quotient of floats has the right whole part.
-        return np.minimum(((code[which] - state.low[which]) / step).astype(np.int64), total - 1)
-
     for t in range(steps):
         active = slice(lanes if (lanes - 1) * steps + t < n else lanes - 1)
         b, a = before[active], last[active]
-        two, one, width2, width1, context = model.predict(b, a)
+        two, one, case, context = model.predict(b, a)
+        width2, both, start, width = model.widths()
         step = state.range[active] >> _SCALE_BITS
-        got = value(active, step, _SCALE)
-        rest = width2 + width1
-        in2, known = got < width2, got < rest
+        inside = code[active] - state.low[active]
+        in2, known = inside < step * width2.take(case), inside < step * both.take(case)
         x = columns[t][active]
         x[:] = np.where(in2, two, one)
-        start = np.where(in2, 0, np.where(known, width2, rest))
-        width = np.where(in2, width2, np.where(known, width1, _SCALE - rest))
-        state.narrow(active, step, start, width)
-        settle(active)
+        # The id of order 2 is that of order 1 too if they predict the same.
+        hit1 = known & (~in2 | (two == one))
+        case += in2.astype(np.int32) * _HIT2
+        case += hit1.astype(np.int32) * _HIT1
+        case = case.astype(np.intp)
+        narrow(active, step, start.take(case), width.take(case))
         other = np.flatnonzero(~known)
         if len(other):
-            ends = np.cumsum(model.counts, dtype=np.int32)
+            ends = model.sums()
             total = int(ends[-1])
             step = state.range[other] // total
-            y = _found(ends, value(other, step, total))
-            counts = model.counts[y]
-            state.narrow(other, step, ends[y] - counts, counts)
-            settle(other)
+            # Below 2**48 the quotient of floats has the right whole part.
+            value = ((code[other] - state.low[other]) / step).astype(np.int64)
+            y = _found(ends, np.minimum(value, total - 1))
+            counts = model.counts.take(y)
+            narrow(other, step, ends.take(y) - counts, counts)
             x[other] = y
-        model.update(x, a, x == two, x == one, context)
+        model.update(x, case, context)
         before, last = last, columns[t]
     grid = np.ascontiguousarray(columns.T)
     ids = grid.reshape(-1)[:n]
     if zlib.crc32(ids.astype("<u4").tobytes()) != ids_crc:
         raise ValueError("ids differ from those written")
-    return ids, struct.calcsize(_HEADER) + size
+    return ids.astype(np.int64), struct.calcsize(_HEADER) + size
 
 
 def encode(ids: np.ndarray, vocabulary: int) -> bytes:

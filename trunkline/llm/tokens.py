@@ -3,9 +3,11 @@
 The byte-level tokenizer splits a text into pieces (words with their space, numbers, marks,
 white space) and merges inside a piece only. Pieces are found here for a whole batch at
 once; each different piece is encoded once by the model of the tokenizers library, which
-takes a piece in the letters that stand for its bytes, and kept by its hash in the worker. A text with characters outside the scripts whose classes are listed here, or
-with the string of a special token, is encoded by the library as it is. Both give the ids
-of ``encode``: a special token's string is that token, as the library has it by default.
+takes the new pieces of a batch together, in the letters that stand for their bytes, and
+kept by its hash in the worker. A text with characters outside the scripts whose classes are
+listed here, or with the string of a special token, is encoded by the library as it is. Both
+give the ids of ``encode``: a special token's string is that token, as the library has it by
+default.
 """
 
 from __future__ import annotations
@@ -13,7 +15,6 @@ from __future__ import annotations
 import os
 import sys
 import unicodedata
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -56,7 +57,7 @@ def _letters() -> dict[int, str]:
 def byte_kinds(data: np.ndarray) -> np.ndarray:
     """The class of the character that each byte belongs to."""
     kinds = _classes()
-    kind = kinds[data]  # right for ASCII
+    kind = kinds.take(data)  # right for ASCII
     lead = np.flatnonzero(data >= 0x80)
     if len(lead):
         b = data[lead]
@@ -77,7 +78,8 @@ def split(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     unknown class (its marks mean nothing then)."""
     n = len(data)
     kind = byte_kinds(data)
-    unknown = np.append(0, np.cumsum(kind == _UNKNOWN))[offsets]
+    odd = np.zeros(len(offsets) - 1, bool)
+    odd[np.searchsorted(offsets, np.flatnonzero(kind == _UNKNOWN), "right") - 1] = True
     border = np.zeros(n + 1, bool)
     border[offsets] = True
     change = np.ones(n + 1, bool)
@@ -104,7 +106,7 @@ def split(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
             for i in range(len(suffix)):
                 begin[hit + 1 + i] = False
             begin[end[end < n]] = True
-    return begin, np.diff(unknown) > 0
+    return begin, odd
 
 
 class Vocabulary:
@@ -112,12 +114,18 @@ class Vocabulary:
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         added = self.tokenizer.get_added_tokens_decoder().values()
         self.special = [t.content.encode() for t in added]
-        self.model, self.letters = self.tokenizer.model, _letters()
+        self.letters = _letters()
+        # The model alone, on pieces that no letter of theirs separates.
+        self.pieces = Tokenizer(self.tokenizer.model)
+        self.pieces.pre_tokenizer = pre_tokenizers.CharDelimiterSplit("\n")
+        words = self.pieces.get_vocab()
+        self.bytes = np.zeros(max(words.values()) + 1, np.int64)
+        self.bytes[list(words.values())] = [len(word) for word in words]
         self.clear()
         # Reading the file takes several times what is kept of it.
         tx.give_back()
@@ -147,13 +155,19 @@ class Vocabulary:
         parts = [raw[a:b] for a, b in zip(first.tolist(), last.tolist(), strict=True)]
         letters = b"".join(parts).decode("latin-1").translate(self.letters)
         ends = np.cumsum(last - first)
-        tokenize = self.model.tokenize
-        encoded = [
-            [token.id for token in tokenize(letters[a:b])]
-            for a, b in zip((ends - (last - first)).tolist(), ends.tolist(), strict=True)
-        ]
-        n = np.fromiter(map(len, encoded), np.int64, len(encoded))
-        return np.fromiter(chain.from_iterable(encoded), np.uint16, int(n.sum())), n
+        apart = "\n".join(
+            [letters[a:b] for a, b in zip((ends - (last - first)).tolist(), ends.tolist(), strict=True)]
+        )
+        (encoded,) = self.pieces.encode_batch_fast([apart], add_special_tokens=False)
+        ids = np.array(encoded.ids, np.uint16)
+        # A piece ends where its bytes do.
+        done = np.append(0, np.cumsum(self.bytes[ids]))
+        of = np.searchsorted(done, ends)
+        if (done.take(of, mode="clip") == ends).all():
+            return ids, np.diff(of, prepend=0)
+        # The vocabulary lacks some bytes, which the library leaves out.
+        each = self.pieces.encode_batch_fast(apart.split("\n"), add_special_tokens=False)
+        return ids, np.fromiter(map(len, each), np.int64, len(each))
 
     def _insert(self, h: np.ndarray, ids: np.ndarray, n: np.ndarray) -> None:
         total = len(ids)
