@@ -81,8 +81,10 @@ class Counted:
         return self.inner.encode_batch_fast(texts, **options)
 
 
-def test_new_pieces_of_a_batch_go_to_the_library_together(tokenizer):
-    """In one text, however many they are; known pieces do not go there again."""
+@pytest.mark.parametrize("together", [1, 7, 4096])
+def test_new_pieces_go_to_the_library_together(monkeypatch, tokenizer, together):
+    """So many in one text; known pieces do not go there again."""
+    monkeypatch.setattr(tokens, "TOGETHER", together, raising=False)
     small = tokens.Vocabulary(tokens.tokenizer_path())
     small.pieces = counted = Counted(getattr(small, "pieces", None))
     rng = random.Random(6)
@@ -92,7 +94,7 @@ def test_new_pieces_of_a_batch_go_to_the_library_together(tokenizer):
         ids, ranges = small.encode(pa.array(texts))
         for i, text in enumerate(texts):
             assert ids[ranges[i] : ranges[i + 1]].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
-    assert counted.calls == [1]
+    assert counted.calls == [1] * -(-small.entries // together)
 
 
 def test_a_vocabulary_without_some_bytes(tmp_path):

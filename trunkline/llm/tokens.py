@@ -3,7 +3,7 @@
 The byte-level tokenizer splits a text into pieces (words with their space, numbers, marks,
 white space) and merges inside a piece only. Pieces are found here for a whole batch at
 once; each different piece is encoded once by the model of the tokenizers library, which
-takes the new pieces of a batch together, in the letters that stand for their bytes, and
+takes new pieces by the thousand, in the letters that stand for their bytes, and
 kept by its hash in the worker. A text with characters outside the scripts whose classes are
 listed here, or with the string of a special token, is encoded by the library as it is. Both
 give the ids of ``encode``: a special token's string is that token, as the library has it by
@@ -27,6 +27,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 TOKENIZER = "byte_bpe_50k.json"
 #: Bits of the worker's piece table, and the ids it holds, before it starts afresh.
 TABLE_BITS, TABLE_IDS = 21, 8_000_000
+#: New pieces that go to the library in one text; what it keeps for a text grows with it.
+TOGETHER = 4096
 _LETTER, _NUMBER, _SPACE, _MARK, _UNKNOWN = 1, 2, 3, 4, 5
 
 
@@ -152,6 +154,14 @@ class Vocabulary:
 
     def _encoded(self, raw: bytes, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of pieces, one after another, and how many each has."""
+        runs = [
+            self._together(raw, first[i : i + TOGETHER], last[i : i + TOGETHER])
+            for i in range(0, len(first), TOGETHER)
+        ]
+        ids, n = zip(*runs, strict=True)
+        return np.concatenate(ids), np.concatenate(n)
+
+    def _together(self, raw: bytes, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         parts = [raw[a:b] for a, b in zip(first.tolist(), last.tolist(), strict=True)]
         letters = b"".join(parts).decode("latin-1").translate(self.letters)
         ends = np.cumsum(last - first)
